@@ -28,13 +28,20 @@ def decode(rows: DataFrame, codes: DataFrame, source: str, code_key: str) -> Dat
 def side_by_side(frames: Sequence[DataFrame]) -> DataFrame:
     """One-row relations with different columns as a single row.
 
-    Stacks the rows with the missing columns NULL and folds them with MAX, so no
-    product of relations is planned.
+    Each relation becomes a scalar subquery, so no product of relations is planned and
+    the subqueries run side by side.
     """
-    stacked = frames[0]
-    for frame in frames[1:]:
-        stacked = stacked.unionByName(frame, allowMissingColumns=True)
-    return stacked.agg(*[F.max(name).alias(name) for name in stacked.columns])
+    spark = frames[0].sparkSession
+    packed = [
+        frame.select(F.struct(*frame.columns).alias("row")).scalar().alias(f"row_{position}")
+        for position, frame in enumerate(frames)
+    ]
+    fields = [
+        F.col(f"row_{position}.{name}").alias(name)
+        for position, frame in enumerate(frames)
+        for name in frame.columns
+    ]
+    return spark.range(0, 1, 1, 1).select(*packed).select(*fields)
 
 
 def with_share(grouped: DataFrame, amount: str, share: str) -> DataFrame:

@@ -192,8 +192,31 @@ def _fact_recount(w: Warehouse) -> DataFrame:
     )
 
 
+def _row_counts(w: Warehouse) -> list[DataFrame]:
+    """Rows of every table in text, validated and in the fact layer, and the event window."""
+    facts = {
+        "users": w.dim_user, "products": w.dim_product, "orders": w.fact_order,
+        "user_behaviors": w.fact_behavior, "user_features": w.snapshot_user,
+        "product_features": w.snapshot_product,
+    }
+    window = [
+        w.fact_order.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last")),
+        w.fact_behavior.agg(F.min("behavior_date").alias("first"), F.max("behavior_date").alias("last")),
+    ]
+    return [
+        *[_count(w.raw(name), f"raw_{name}") for name in c.HEADERS],
+        *[_verdict_counts(w, name) for name in c.HEADERS],
+        *[_count(rows, f"dwd_{name}") for name, rows in facts.items()],
+        union_all(window).agg(F.min("first").alias("min_event_date"), F.max("last").alias("max_event_date")),
+    ]
+
+
+def row_counts(w: Warehouse) -> DataFrame:
+    return side_by_side(_row_counts(w))
+
+
 def measurement(w: Warehouse) -> DataFrame:
-    """Every number the checks need, as one row; each layer is aggregated once."""
+    """Every number the checks and the profile need, as one row."""
     kpi_names = (
         "total_orders", "ordering_customers", "completed_orders", "completed_customers", "completed_gmv",
         "cancelled_or_refunded_orders", "repeat_completed_customers", "behavior_events",
@@ -203,14 +226,10 @@ def measurement(w: Warehouse) -> DataFrame:
     rising = w.sequential_funnel.select((F.col("user_count") > previous).alias("rises"))
     user_findings, product_findings = user_feature_findings(w), product_feature_findings(w)
     frames = [
-        *[_count(w.raw[name], f"raw_{name}") for name in c.HEADERS],
-        *[_verdict_counts(w, name) for name in c.HEADERS],
+        *_row_counts(w),
         duplicates(w).agg(F.coalesce(F.sum("duplicate_rows"), F.lit(0)).alias("duplicate_rows")),
         orphan_rows(w).agg(F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("orphan_rows")),
         _fact_recount(w),
-        _count(w.fact_behavior, "fact_behaviors"),
-        _count(w.dim_user, "dim_users"),
-        _count(w.dim_product, "dim_products"),
         user_findings.agg(
             _sum_if(F.col("mismatch")).alias("user_mismatches"),
             _sum_if(F.col("days_since_last_order") == c.LAST_ORDER_SENTINEL).alias("sentinels"),
@@ -281,8 +300,8 @@ def checks() -> list[Check]:
             "ods_orders=dwd_orders", CRITICAL, "The order fact holds every valid order.",
         ),
         Check(
-            "ods_dwd_behavior_reconciliation", v("valid_user_behaviors") == v("fact_behaviors"),
-            _text(v("valid_user_behaviors"), "=", v("fact_behaviors")),
+            "ods_dwd_behavior_reconciliation", v("valid_user_behaviors") == v("dwd_user_behaviors"),
+            _text(v("valid_user_behaviors"), "=", v("dwd_user_behaviors")),
             "ods_behaviors=dwd_behaviors", CRITICAL, "The behavior fact holds every valid behavior.",
         ),
         zero("amount_equation_valid", v("equation_off"), CRITICAL, "Total minus discount is what was paid."),
@@ -302,9 +321,9 @@ def checks() -> list[Check]:
                 F.abs(kpi("completed_gmv") - v("fact_completed_gmv")) <= tolerance,
                 kpi("cancelled_or_refunded_orders") == v("fact_called_off"),
                 kpi("repeat_completed_customers") == v("fact_repeat"),
-                kpi("behavior_events") == v("fact_behaviors"),
-                kpi("registered_users") == v("dim_users"),
-                kpi("products") == v("dim_products"),
+                kpi("behavior_events") == v("dwd_user_behaviors"),
+                kpi("registered_users") == v("dwd_users"),
+                kpi("products") == v("dwd_products"),
                 kpi("quarantined_rows") == rejected,
             ),
             _text("orders=", kpi("total_orders"), ",behaviors=", kpi("behavior_events"),
@@ -328,7 +347,7 @@ def checks() -> list[Check]:
         ),
         Check(
             "customer_segments_reconcile",
-            _all_of(v("segment_users") == v("dim_users"), F.abs(v("segment_share") - 1.0) <= 0.001),
+            _all_of(v("segment_users") == v("dwd_users"), F.abs(v("segment_share") - 1.0) <= 0.001),
             _text("users=", v("segment_users"), ",share=", F.round(v("segment_share"), 4)),
             "segments cover all users exactly once", CRITICAL, "Every user is in one segment.",
         ),
@@ -372,38 +391,16 @@ def quality_summary(health: DataFrame) -> DataFrame:
     )
 
 
-def row_profile(w: Warehouse) -> DataFrame:
+def row_profile(measured: DataFrame) -> DataFrame:
     """Rows per table at each layer, quarantined rows and the window of event dates."""
-    facts = {
-        "users": w.dim_user, "products": w.dim_product, "orders": w.fact_order,
-        "user_behaviors": w.fact_behavior, "user_features": w.snapshot_user,
-        "product_features": w.snapshot_product,
-    }
-    window = [
-        w.fact_order.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last")),
-        w.fact_behavior.agg(F.min("behavior_date").alias("first"), F.max("behavior_date").alias("last")),
-    ]
-    frames = [
-        *[_count(w.raw[name], f"raw_{name}") for name in c.HEADERS],
-        *[
-            w.staged(name).agg(
-                _count_if(F.col(ACCEPTED)).alias(f"valid_{name}"),
-                _count_if(~F.col(ACCEPTED)).alias(f"quarantine_{name}"),
-            )
-            for name in c.HEADERS
-        ],
-        *[_count(rows, f"dwd_{name}") for name, rows in facts.items()],
-        union_all(window).agg(F.min("first").alias("min_event_date"), F.max("last").alias("max_event_date")),
-    ]
-    row = side_by_side(frames)
 
     def over_tables(layer: str) -> Column:
         return reduce(Column.__add__, [F.col(f"{layer}_{name}") for name in c.HEADERS])
 
-    return row.select(
+    return measured.select(
         over_tables("raw").alias("raw_rows"),
         over_tables("valid").alias("valid_rows"),
-        over_tables("quarantine").alias("quarantine_rows"),
+        over_tables("rejected").alias("quarantine_rows"),
         over_tables("dwd").alias("dwd_rows"),
         *[F.col(f"{layer}_{name}") for layer in ("raw", "valid", "dwd") for name in c.HEADERS],
         "min_event_date", "max_event_date",

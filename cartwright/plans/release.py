@@ -10,7 +10,8 @@ from __future__ import annotations
 import json
 import time
 import uuid
-from dataclasses import dataclass, field
+from collections.abc import Mapping
+from dataclasses import dataclass
 from datetime import datetime, timezone
 from typing import Any
 
@@ -23,7 +24,7 @@ from cartwright.plans import quality
 from cartwright.plans.kpis import with_run_constants
 from cartwright.plans.warehouse import Warehouse
 from cartwright.sources import csv_files, folders
-from cartwright.sources.store import ParquetStore, shared_folder
+from cartwright.sources.store import ParquetStore, scratch_store, shared_folder
 
 POINTER = "current.json"
 
@@ -39,7 +40,8 @@ class Candidate:
     warehouse: Warehouse
     health: DataFrame
     summary: dict[str, Any]
-    profile: dict[str, Any] = field(default_factory=dict)
+    profile: dict[str, Any]
+    measured: DataFrame
 
     @property
     def blocking(self) -> list[str]:
@@ -52,24 +54,24 @@ def new_run_id(data_mode: str, at: datetime) -> str:
 
 def build_candidate(
     spark: SparkSession,
-    sources: dict[str, DataFrame],
+    sources: Mapping[str, DataFrame],
     run_at: datetime,
     ids: c.IdFormats = c.STRICT_IDS,
     store: ParquetStore | None = None,
-    profile: bool = True,
 ) -> Candidate:
     """Materialise the layers, measure them once and derive the checks."""
-    store = store or ParquetStore(spark, f"{shared_folder(spark)}/cartwright-{uuid.uuid4().hex}")
+    store = store or scratch_store(spark)
     w = Warehouse(spark, sources, ids, store)
+    w.build()
+    measured = store.keep("ops_measurement", quality.measurement(w))
     health = store.keep(
         "ops_data_quality_results",
-        quality.quality_checks(quality.measurement(w)).withColumn("checked_at", F.lit(run_at)),
+        quality.quality_checks(measured).withColumn("checked_at", F.lit(run_at)),
     )
     summary = quality.quality_summary(health).first().asDict()
     if summary["total_checks"] == 0:
         raise QualityGateError("No quality check was produced")
-    row = quality.row_profile(w).first().asDict() if profile else {}
-    return Candidate(w, health, summary, row)
+    return Candidate(w, health, summary, quality.row_profile(measured).first().asDict(), measured)
 
 
 def _outputs(candidate: Candidate, run_at: datetime, data_mode: str, source_status: str) -> dict[str, DataFrame]:

@@ -7,6 +7,8 @@ it a plan, a ``ParquetStore`` writes it and hands back the written table.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,7 +19,6 @@ from cartwright.functions.parsing import MONEY, iso_weekday
 from cartwright.operators.relations import decode, literal_table
 from cartwright.operators.validation import (
     ACCEPTED,
-    LOCAL_REASONS,
     ParentLink,
     judge,
     quarantine,
@@ -36,19 +37,25 @@ class Warehouse:
     def __init__(
         self,
         spark: SparkSession,
-        sources: dict[str, DataFrame],
+        sources: Mapping[str, DataFrame],
         ids: c.IdFormats = c.STRICT_IDS,
         store=None,
     ) -> None:
         self.spark = spark
         self.ids = ids
         self.store = store or LazyStore()
-        self.raw = {name: raw_contract(sources[name], name) for name in c.HEADERS if name in sources}
+        self._sources = sources
+        self._raw: dict[str, DataFrame] = {}
+
+    def raw(self, name: str) -> DataFrame:
+        if name not in self._raw:
+            self._raw[name] = raw_contract(self._sources[name], name)
+        return self._raw[name]
 
     # --- validated staging ---------------------------------------------------------------
 
     def _judged(self, name: str) -> DataFrame:
-        return judge(self.raw[name], RULEBOOK[name](self.ids), LINEAGE)
+        return judge(self.raw(name), RULEBOOK[name](self.ids), LINEAGE)
 
     def _stage(self, name: str, rows: DataFrame) -> DataFrame:
         return self.store.keep(f"stg_{name}", rows, partition_by=ACCEPTED)
@@ -246,5 +253,19 @@ class Warehouse:
             "ads_order_status": self.order_status_summary,
         }
 
-    def has_local_reasons(self, name: str) -> DataFrame:
-        return self.staged(name).filter(F.size(LOCAL_REASONS) > 0)
+    def build(self) -> None:
+        """Bring every kept layer into being, independent ones at the same time.
+
+        Small layers do not fill a cluster on their own; side by side their jobs share it.
+        """
+        waves = (
+            ("staged_users", "staged_products"),
+            ("staged_orders", "staged_user_behaviors", "staged_user_features", "staged_product_features"),
+            ("fact_order", "fact_behavior"),
+            ("daily_commerce", "order_status_summary", "hourly_behavior", "customer_summary",
+             "sequential_funnel", "category_ranking", "executive_kpis"),
+            ("customer_segments",),
+        )
+        with ThreadPoolExecutor(max_workers=len(max(waves, key=len))) as pool:
+            for wave in waves:
+                list(pool.map(lambda name: getattr(self, name), wave))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
+from cartwright import contract as c
 from cartwright.plans.warehouse import Warehouse
 
 # Published table names.  The text is the grain of each table.
@@ -44,7 +45,7 @@ GRAINS = {
 
 
 def layers(w: Warehouse, health: DataFrame) -> dict[str, DataFrame]:
-    tables = {f"ods_{name}_valid": w.valid(name) for name in w.raw}
+    tables = {f"ods_{name}_valid": w.valid(name) for name in c.HEADERS}
     tables["ods_quarantine"] = w.quarantine.drop("reasons")
     tables |= {
         "dwd_dim_user": w.dim_user,

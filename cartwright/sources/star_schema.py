@@ -6,6 +6,9 @@ and judges it exactly like file input.  Whole tables are used; nothing is droppe
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Mapping
+from functools import cached_property
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -82,25 +85,55 @@ SPOILS: dict[str, list[tuple[str, int, int, str | None]]] = {
 }
 
 
-def star_sources(spark: SparkSession, folder: str, spoiled: bool = False) -> dict[str, DataFrame]:
-    """The six source tables, all text, keyed by logical name."""
+class StarSources(Mapping):
+    """The six source tables, all text, keyed by logical name and planned on first use."""
+
+    def __init__(self, spark: SparkSession, folder: str, spoiled: bool = False) -> None:
+        self._spark = spark
+        self._folder = folder
+        self._spoiled = spoiled
+        self._planned: dict[str, DataFrame] = {}
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(c.HEADERS)
+
+    def __len__(self) -> int:
+        return len(c.HEADERS)
+
+    def __getitem__(self, name: str) -> DataFrame:
+        if name not in self._planned:
+            rows = getattr(self, f"_{name}")()
+            self._planned[name] = _spoil(rows, SPOILS[name]) if self._spoiled else rows
+        return self._planned[name]
+
+    def _table(self, name: str) -> DataFrame:
+        return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
+
+    @cached_property
+    def _order_rows(self) -> DataFrame:
+        return _order_rows(self._table("orders"), self._table("lineitem"))
+
+    @cached_property
+    def _event_rows(self) -> DataFrame:
+        return _event_rows(self._table("events"), self._table("part"))
+
+    def _users(self) -> DataFrame:
+        return _users(self._table("customer"), self._table("nation"))
+
+    def _products(self) -> DataFrame:
+        return _products(self._table("part"))
 
-    def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{folder}/{name}.parquet")
+    def _orders(self) -> DataFrame:
+        return _orders(self._order_rows)
 
-    order_rows = _order_rows(table("orders"), table("lineitem"))
-    event_rows = _event_rows(table("events"), table("part"))
-    sources = {
-        "users": _users(table("customer"), table("nation")),
-        "products": _products(table("part")),
-        "orders": _orders(order_rows),
-        "user_behaviors": _behaviors(event_rows),
-        "user_features": _user_features(table("customer"), order_rows, event_rows),
-        "product_features": _product_features(table("part"), order_rows, event_rows),
-    }
-    if spoiled:
-        sources = {name: _spoil(rows, SPOILS[name]) for name, rows in sources.items()}
-    return sources
+    def _user_behaviors(self) -> DataFrame:
+        return _behaviors(self._event_rows)
+
+    def _user_features(self) -> DataFrame:
+        return _user_features(self._table("customer"), self._order_rows, self._event_rows)
+
+    def _product_features(self) -> DataFrame:
+        return _product_features(self._table("part"), self._order_rows, self._event_rows)
 
 
 def _spoil(rows: DataFrame, spoils: list[tuple[str, int, int, str | None]]) -> DataFrame:
@@ -125,15 +158,25 @@ def _lookup(values: dict[str, str], key: Column, otherwise: Column) -> Column:
     return chosen
 
 
+def _int_div(numerator: Column, denominator: Column) -> Column:
+    """Integer quotient of non-negative numbers; NULL over zero."""
+    whole = numerator - numerator % F.nullif(denominator, F.lit(0).cast("bigint"))
+    return (whole / F.nullif(denominator, F.lit(0).cast("bigint"))).cast("bigint")
+
+
+def _fixed_point(units: Column, digits: int) -> Column:
+    """Non-negative units of the last digit as decimal text."""
+    base = F.lit(10**digits).cast("bigint")
+    fraction = F.lpad((units % base).cast("string"), digits, "0")
+    return F.concat(_int_div(units, base).cast("string"), F.lit("."), fraction)
+
+
 def _hundredths(cents: Column) -> Column:
-    """Non-negative hundredths as text with two decimals."""
-    whole = F.floor(cents / 100).cast("string")
-    return F.concat(whole, F.lit("."), F.lpad((cents % 100).cast("string"), 2, "0"))
+    return _fixed_point(cents, 2)
 
 
 def _ten_thousandths(n: Column) -> Column:
-    whole = F.floor(n / 10000).cast("string")
-    return F.concat(whole, F.lit("."), F.lpad((n % 10000).cast("string"), 4, "0"))
+    return _fixed_point(n, 4)
 
 
 def _text(column: Column) -> Column:
@@ -184,15 +227,17 @@ def _products(part: DataFrame) -> DataFrame:
 
 
 def _order_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
-    """Typed orders with their line totals; an order without lines keeps NULL totals."""
-    price = F.col("l_extendedprice").cast(MONEY)
-    rebate = F.round(price * F.col("l_discount").cast("decimal(4,2)"), 2)
+    """Typed orders with their line totals in cents; an order without lines keeps NULL totals."""
+    hundred = F.lit(100).cast("bigint")
+    price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
+    percent = F.round(F.col("l_discount") * 100).cast("bigint")
+    rebate = _int_div(price * percent + 50, hundred)
     lines = lineitem.groupBy("l_orderkey").agg(
         F.min("l_partkey").alias("product"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
         F.max(price).alias("unit_price"),
-        F.sum(price).cast(MONEY).alias("total"),
-        F.sum(rebate).cast(MONEY).alias("discount"),
+        F.sum(price).alias("total"),
+        F.sum(rebate).alias("discount"),
     )
     low = F.col("o_orderpriority") == "5-LOW"
     status = (
@@ -213,7 +258,7 @@ def _order_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
         moved.alias("at"),
         status.alias("status"),
         "product", "quantity", "unit_price", "total", "discount",
-        (F.col("total") - F.col("discount")).cast(MONEY).alias("paid"),
+        (F.col("total") - F.col("discount")).alias("paid"),
         F.when((status == "completed") & (F.col("o_orderkey") % 2 == 0), 1 + F.col("o_orderkey") % 5).alias("score"),
     )
 
@@ -233,10 +278,10 @@ def _orders(order_rows: DataFrame) -> DataFrame:
                 "order_date": at,
                 "order_status": _lookup(c.STATUS_TEXT, status, status),
                 "payment_method": F.concat(F.lit("method_"), k % 5),
-                "unit_price": F.col("unit_price"),
-                "total_amount": F.col("total"),
-                "discount": F.col("discount"),
-                "actual_payment": F.col("paid"),
+                "unit_price": _hundredths(F.col("unit_price")),
+                "total_amount": _hundredths(F.col("total")),
+                "discount": _hundredths(F.col("discount")),
+                "actual_payment": _hundredths(F.col("paid")),
                 "delivery_date": F.when(delivered, _text(at + F.expr("INTERVAL '2' DAY"))).otherwise(""),
                 "receive_date": F.when(status.isin(*RECEIVED), _text(at + F.expr("INTERVAL '4' DAY"))).otherwise(""),
                 "review_score": F.when(scored, _text(F.col("score"))).otherwise(""),
@@ -288,7 +333,7 @@ def _per(order_rows: DataFrame, event_rows: DataFrame, buyer: str, visitor: str)
             F.count(F.lit(1)).alias("orders"),
             F.count(F.when(status == "completed", 1)).alias("completed"),
             F.count(F.when(status.isin(*c.CANCELLED_OR_REFUNDED), 1)).alias("cancelled"),
-            (F.sum("paid") * 100).cast("bigint").alias("cents"),
+            F.sum("paid").alias("cents"),
             F.max("at").alias("last_at"),
             F.sum("score").alias("scores"),
             F.count("score").alias("scored"),
@@ -306,16 +351,12 @@ def _or_zero(name: str) -> Column:
     return F.coalesce(F.col(name), F.lit(0).cast("bigint"))
 
 
-def _int_div(numerator: Column, denominator: Column) -> Column:
-    """Integer quotient of non-negative numbers, zero over zero entities."""
-    return F.coalesce(F.floor(numerator / F.nullif(denominator, F.lit(0))), F.lit(0)).cast("bigint")
-
-
 def _user_features(customer: DataFrame, order_rows: DataFrame, event_rows: DataFrame) -> DataFrame:
     ordered, behaved = _per(order_rows, event_rows, "buyer", "visitor")
     k = F.col("c_custkey")
     n, done, cents = _or_zero("orders"), _or_zero("completed"), _or_zero("cents")
     counts = {b: _or_zero(b) for b in c.BEHAVIOR_TEXT}
+    nothing = F.lit(0).cast("bigint")
     intent, seen = counts["favorite"] + counts["cart"], sum(counts.values(), F.lit(0))
     # A fixed later day keeps the feature independent of the run date.
     idle = F.datediff(F.lit("2030-01-01").cast("date"), F.to_date("last_at"))
@@ -329,12 +370,12 @@ def _user_features(customer: DataFrame, order_rows: DataFrame, event_rows: DataF
                 "total_spent": _hundredths(cents + F.when(k % 97 == 0, 100).otherwise(0)),
                 "order_count": F.concat(n, F.lit(".0")),
                 "completed_orders": F.concat(done, F.lit(".0")),
-                "avg_order_amount": _hundredths(_int_div(cents, n)),
+                "avg_order_amount": _hundredths(F.coalesce(_int_div(cents, n), nothing)),
                 **{f"{b}_count": F.concat(counts[b], F.lit(".0")) for b in c.BEHAVIOR_TEXT},
                 "days_since_last_order": F.coalesce(idle, F.lit(c.LAST_ORDER_SENTINEL)),
                 "order_frequency": F.concat(done, F.lit(".0")),
                 "repurchase_indicator": (n >= 2).cast("int"),
-                "purchase_intent": _ten_thousandths(_int_div(intent * 10000, seen)),
+                "purchase_intent": _ten_thousandths(F.coalesce(_int_div(intent * 10000, seen), nothing)),
                 "consumption_level": F.when(cents >= 500000000, "高").when(cents >= 100000000, "中").otherwise("低"),
                 "member_level_score": 1 + k % 5,
             },
@@ -345,7 +386,7 @@ def _user_features(customer: DataFrame, order_rows: DataFrame, event_rows: DataF
 def _product_features(part: DataFrame, order_rows: DataFrame, event_rows: DataFrame) -> DataFrame:
     ordered, behaved = _per(order_rows, event_rows, "product", "product")
     k = F.col("p_partkey")
-    n, done = _or_zero("orders"), _or_zero("completed")
+    n, done, nothing = _or_zero("orders"), _or_zero("completed"), F.lit(0).cast("bigint")
     counts = {b: _or_zero(b) for b in c.BEHAVIOR_TEXT}
     rows = part.select("p_partkey").join(ordered, k == F.col("ordered_by"), "left")
     return rows.join(behaved, k == F.col("seen_by"), "left").select(
@@ -358,7 +399,7 @@ def _product_features(part: DataFrame, order_rows: DataFrame, event_rows: DataFr
                 "completed_count": done,
                 "cancel_count": _or_zero("cancelled"),
                 **{f"{c.BEHAVIOR_TEXT[b]}_count": counts[b] for b in c.BEHAVIOR_TEXT},
-                "conversion_rate": _ten_thousandths(_int_div(done * 10000, n)),
+                "conversion_rate": _ten_thousandths(F.coalesce(_int_div(done * 10000, n), nothing)),
                 "avg_review_score": F.when(
                     F.col("scored") > 0, _hundredths(_int_div(F.col("scores") * 100, F.col("scored")))
                 ).otherwise(""),
