@@ -6,13 +6,23 @@ import uuid
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwright import contract as c
-from cartwright.functions.parsing import MONEY, WHOLE_DECIMAL, has_fraction, is_blank, parsed, parsed_if_present, whole_number
-from cartwright.operators.validation import judge, reason_frequency, reason_text
+from cartwright.functions.parsing import (
+    MONEY,
+    WHOLE_DECIMAL,
+    blank,
+    blank_to_null,
+    exprs,
+    has_fraction,
+    parsed,
+    parsed_if_present,
+    whole_number,
+)
+from cartwright.operators.validation import judge, reason_frequency, reason_text, union_all
 from cartwright.plans import consumption, customers, quality, release
 from cartwright.plans.rulebook import RULEBOOK, raw_contract
 from cartwright.plans.warehouse import Warehouse
@@ -36,20 +46,19 @@ def _warehouse(spark: SparkSession, folder: str, store=None) -> Warehouse:
     return Warehouse(spark, StarSources(spark, folder), c.WIDE_IDS, store)
 
 
-def _edge(rows: DataFrame) -> DataFrame:
-    """Plain output types: BIGINT, DOUBLE and wall-clock TIMESTAMP."""
+_PLAIN_TYPES = {
+    T.DecimalType: "DOUBLE", T.IntegerType: "BIGINT", T.ShortType: "BIGINT", T.ByteType: "BIGINT",
+    T.TimestampType: "TIMESTAMP_NTZ",
+}
 
-    def plain(field: T.StructField) -> Column:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
-        elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):
-            column = column.cast("bigint")
-        elif isinstance(field.dataType, T.TimestampType):
-            column = column.cast("timestamp_ntz")
-        return column.alias(field.name)
 
-    return rows.select(*[plain(field) for field in rows.schema])
+def _edge(rows: DataFrame) -> DataFrame:
+    """Plain output types: BIGINT, DOUBLE and wall-clock TIMESTAMP."""
+    columns = []
+    for field in rows.schema:
+        target = _PLAIN_TYPES.get(type(field.dataType))
+        columns.append(f"CAST({field.name} AS {target}) AS {field.name}" if target else field.name)
+    return rows.selectExpr(*columns)
 
 
 def _judged(name: str) -> Query:
@@ -58,7 +67,7 @@ def _judged(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
         raw = raw_contract(StarSources(spark, folder, spoiled=True)[name], name)
         rows = judge(raw, RULEBOOK[name](c.WIDE_IDS))
-        return _edge(rows.withColumn("rejection_reasons", reason_text("local_reasons")).drop("local_reasons"))
+        return _edge(rows.selectExpr("*", f"{reason_text('local_reasons')} AS rejection_reasons").drop("local_reasons"))
 
     return query
 
@@ -68,10 +77,10 @@ def _validated(name: str) -> Query:
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
         w = _warehouse(spark, folder)
-        return w.staged(name).select(
+        return w.staged(name).selectExpr(
             RULEBOOK[name](c.WIDE_IDS).key,
-            reason_text("local_reasons").alias("rejection_reasons"),
-            reason_text().alias("final_rejection_reasons"),
+            f"{reason_text('local_reasons')} AS rejection_reasons",
+            f"{reason_text()} AS final_rejection_reasons",
         )
 
     return query
@@ -94,28 +103,28 @@ def order_status_summary(spark: SparkSession, folder: str) -> DataFrame:
 
 def optional_field_parse(spark: SparkSession, folder: str) -> DataFrame:
     raw = StarSources(spark, folder, spoiled=True)["orders"]
-    score, delivered = F.col("review_score"), F.col("delivery_date")
-    rows = raw.select(
-        F.trim("order_id").alias("order_id"),
-        parsed_if_present(score, "int").alias("review_score"),
-        (~is_blank(score) & parsed_if_present(score, "int").isNull()).alias("bad_review_score"),
-        parsed_if_present(delivered, "timestamp").alias("delivery_ts"),
-        (~is_blank(delivered) & parsed_if_present(delivered, "timestamp").isNull()).alias("bad_delivery_date"),
-        F.nullif(F.trim("review_content"), F.lit("")).alias("review_content"),
+
+    def field(source: str, dtype: str, value: str) -> list[str]:
+        read = parsed_if_present(source, dtype)
+        return [f"{read} AS {value}", f"NOT {blank(source)} AND ({read}) IS NULL AS bad_{source}"]
+
+    return _edge(
+        raw.selectExpr(
+            "trim(order_id) AS order_id", *field("review_score", "INT", "review_score"),
+            *field("delivery_date", "TIMESTAMP", "delivery_ts"), f"{blank_to_null('review_content')} AS review_content",
+        )
     )
-    return _edge(rows)
 
 
 def integral_decimal_parse(spark: SparkSession, folder: str) -> DataFrame:
     raw = StarSources(spark, folder, spoiled=True)["user_features"]
-    exact = parsed(F.col("order_count"), WHOLE_DECIMAL)
-    rows = raw.select(
-        "user_id",
-        whole_number(exact).alias("order_count"),
-        has_fraction(exact).alias("has_fraction"),
-        parsed(F.col("total_spent"), MONEY).alias("total_spent"),
+    exact = parsed("order_count", WHOLE_DECIMAL)
+    return _edge(
+        raw.selectExpr(
+            "user_id", f"{whole_number(exact)} AS order_count", f"{has_fraction(exact)} AS has_fraction",
+            f"{parsed('total_spent', MONEY)} AS total_spent",
+        )
     )
-    return _edge(rows)
 
 
 # --- quarantine ---------------------------------------------------------------------------------
@@ -123,18 +132,17 @@ def integral_decimal_parse(spark: SparkSession, folder: str) -> DataFrame:
 
 def valid_row_counts(spark: SparkSession, folder: str) -> DataFrame:
     w = _warehouse(spark, folder)
-    frames = [
-        w.staged(name).agg(
-            F.lit(name).alias("source_table"),
-            F.count(F.when(F.col("accepted"), 1)).alias("valid_rows"),
-            F.count(F.when(~F.col("accepted"), 1)).alias("quarantined_rows"),
-        )
-        for name in c.HEADERS
-    ]
-    rows = frames[0]
-    for frame in frames[1:]:
-        rows = rows.unionByName(frame)
-    return rows
+    return union_all(
+        [
+            w.staged(name).agg(
+                *exprs(
+                    f"'{name}' AS source_table", "count_if(accepted) AS valid_rows",
+                    "count_if(NOT accepted) AS quarantined_rows",
+                )
+            )
+            for name in c.HEADERS
+        ]
+    )
 
 
 def quarantine_rows(spark: SparkSession, folder: str) -> DataFrame:
@@ -196,13 +204,13 @@ def amount_mismatches(spark: SparkSession, folder: str) -> DataFrame:
     staged = judge(
         raw_contract(StarSources(spark, folder, spoiled=True)["orders"], "orders"), RULEBOOK["orders"](c.WIDE_IDS)
     )
-    return quality.amount_findings(staged.filter(F.size("local_reasons") == 0))
+    return quality.amount_findings(staged.filter("size(local_reasons) = 0"))
 
 
 def user_feature_mismatches(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.user_feature_findings(_warehouse(spark, folder))
-    sentinel = F.col("days_since_last_order") == c.LAST_ORDER_SENTINEL
-    return rows.select("user_id", "mismatch", sentinel.alias("last_order_sentinel"))
+    sentinel = f"days_since_last_order = {c.LAST_ORDER_SENTINEL} AS last_order_sentinel"
+    return rows.selectExpr("user_id", "mismatch", sentinel)
 
 
 def product_feature_mismatches(spark: SparkSession, folder: str) -> DataFrame:
@@ -268,31 +276,22 @@ def csv_contract_check(spark: SparkSession, folder: str) -> DataFrame:
     reports = [
         csv_files.inspect_table(spark, f"{root}/products.csv", "products"),
         csv_files.inspect_table(spark, f"{root}/user_behaviors.csv", "user_behaviors"),
-        # The users file under the order of another table's headers.
+        # The users file under the headers of another table.
         csv_files.inspect_table(spark, f"{root}/users.csv", "product_features"),
     ]
-    rows = reports[0]
-    for report in reports[1:]:
-        rows = rows.unionByName(report)
-    return rows.select("table_name", "header_ok", "data_rows", "wrong_width_rows")
+    return union_all(reports).select("table_name", "header_ok", "data_rows", "wrong_width_rows")
 
 
 def parquet_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of every table before and after it is written as Parquet."""
     store, sources = scratch_store(spark), StarSources(spark, folder)
-    frames = []
+    counts = []
     for name, headers in c.HEADERS.items():
         rows = sources[name].select(*[f"`{h}`" for h in headers])
-        written = store.keep(name, rows)
-        frames.append(rows.agg(F.lit(name).alias("table_name"), F.lit("source").alias("side"), F.count(F.lit(1)).alias("n")))
-        frames.append(written.agg(F.lit(name).alias("table_name"), F.lit("written").alias("side"), F.count(F.lit(1)).alias("n")))
-    counts = frames[0]
-    for frame in frames[1:]:
-        counts = counts.unionByName(frame)
-    side = F.col("side")
-    return counts.groupBy("table_name").agg(
-        F.max(F.when(side == "source", F.col("n"))).alias("source_rows"),
-        F.max(F.when(side == "written", F.col("n"))).alias("written_rows"),
+        for side, frame in (("source", rows), ("written", store.keep(name, rows))):
+            counts.append(frame.agg(*exprs(f"'{name}' AS table_name", f"'{side}' AS side", "count(1) AS n")))
+    return union_all(counts).groupBy("table_name").agg(
+        *exprs("max(IF(side = 'source', n, NULL)) AS source_rows", "max(IF(side = 'written', n, NULL)) AS written_rows")
     )
 
 

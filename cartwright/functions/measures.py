@@ -11,85 +11,75 @@ holds a large part of the rows arrives already reduced.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cartwright.functions.parsing import exprs
+
 _ENTITY = "__entity"
 
 
 @dataclass(frozen=True)
 class Measure:
-    """Partials per (group, entity), named by suffix, and their merge per group."""
+    """Partials per (group, entity), and their merge per group with ``{partial}`` slots."""
 
-    partials: dict[str, Column]
-    merge: Callable[[Callable[[str], Column]], Column]
+    partials: dict[str, str]
+    merge: str
 
 
 def row_count() -> Measure:
-    return Measure({"n": F.count(F.lit(1))}, lambda p: F.coalesce(F.sum(p("n")), F.lit(0)))
+    return Measure({"n": "count(1)"}, "coalesce(sum({n}), 0)")
 
 
-def rows_where(condition: Column) -> Measure:
+def rows_where(condition: str) -> Measure:
     """Number of matching rows; NULL (not zero) over an empty input."""
-    one_or_zero = F.when(condition, 1).otherwise(0)
-    return Measure({"n": F.sum(one_or_zero)}, lambda p: F.sum(p("n")))
+    return Measure({"n": f"sum(CASE WHEN {condition} THEN 1 ELSE 0 END)"}, "sum({n})")
 
 
-def total(amount: Column, scale: int | None = 2) -> Measure:
-    return Measure({"s": F.sum(amount)}, lambda p: _rounded(F.sum(p("s")), scale))
+def total(amount: str, scale: int | None = 2) -> Measure:
+    merge = "sum({s})" if scale is None else f"round(sum({{s}}), {scale})"
+    return Measure({"s": f"sum({amount})"}, merge)
 
 
-def total_where(condition: Column, amount: Column, scale: int = 2) -> Measure:
-    return total(F.when(condition, amount).otherwise(F.lit(0)), scale)
+def total_where(condition: str, amount: str, scale: int = 2) -> Measure:
+    return total(f"CASE WHEN {condition} THEN {amount} ELSE 0 END", scale)
 
 
-def mean(amount: Column, condition: Column | None = None, scale: int = 2) -> Measure:
-    value = amount if condition is None else F.when(condition, amount)
+def mean(amount: str, condition: str = "true", scale: int = 2) -> Measure:
+    value = f"CASE WHEN {condition} THEN {amount} END"
     return Measure(
-        {"s": F.sum(value), "n": F.count(value)},
-        lambda p: F.round(F.sum(p("s")) / F.nullif(F.sum(p("n")), F.lit(0)), scale),
+        {"s": f"sum({value})", "n": f"count({value})"}, f"round(sum({{s}}) / nullif(sum({{n}}), 0), {scale})"
     )
 
 
 def entities() -> Measure:
-    return Measure({}, lambda p: F.count(F.col(_ENTITY)))
+    return Measure({}, f"count({_ENTITY})")
 
 
-def entities_where(condition: Column, at_least: int = 1) -> Measure:
+def entities_where(condition: str, at_least: int = 1) -> Measure:
     """Distinct entities with at least this many matching rows."""
     return Measure(
-        {"n": F.count(F.when(condition, 1))},
-        lambda p: F.count(F.when(p("n") >= at_least, F.col(_ENTITY))),
+        {"n": f"count(CASE WHEN {condition} THEN 1 END)"}, f"count(CASE WHEN {{n}} >= {at_least} THEN {_ENTITY} END)"
     )
 
 
-def earliest(column: Column) -> Measure:
-    return Measure({"m": F.min(column)}, lambda p: F.min(p("m")))
+def earliest(column: str) -> Measure:
+    return Measure({"m": f"min({column})"}, "min({m})")
 
 
-def latest(column: Column) -> Measure:
-    return Measure({"m": F.max(column)}, lambda p: F.max(p("m")))
+def latest(column: str) -> Measure:
+    return Measure({"m": f"max({column})"}, "max({m})")
 
 
 def report(rows: DataFrame, keys: list[str], entity: str, measures: dict[str, Measure]) -> DataFrame:
     """One row per key group (one row in all when there are no keys)."""
-    partials = [
-        column.alias(f"{name}__{suffix}")
-        for name, measure in measures.items()
-        for suffix, column in measure.partials.items()
-    ]
-    # An entity column may itself be a grouping key under another name, so copy it.
+    partials, merged = [], []
+    for name, measure in measures.items():
+        slots = {suffix: f"{name}__{suffix}" for suffix in measure.partials}
+        partials += [f"{text} AS {slots[suffix]}" for suffix, text in measure.partials.items()]
+        merged.append(f"{measure.merge.format(**slots)} AS {name}")
+    # The entity gets a name of its own, as it may be one of the keys as well.
     per_entity = rows.withColumn(_ENTITY, F.col(entity)).groupBy(*keys, _ENTITY)
-    folded = per_entity.agg(*partials) if partials else per_entity.agg(F.lit(1).alias("__one"))
-    merged = [
-        measure.merge(lambda suffix, name=name: F.col(f"{name}__{suffix}")).alias(name)
-        for name, measure in measures.items()
-    ]
-    return folded.groupBy(*keys).agg(*merged)
-
-
-def _rounded(column: Column, scale: int | None) -> Column:
-    return column if scale is None else F.round(column, scale)
+    return per_entity.agg(*exprs(*partials)).groupBy(*keys).agg(*exprs(*merged))

@@ -13,87 +13,65 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from cartwright.functions.parsing import safe_ratio
+from cartwright.functions.parsing import exprs, literal, rows_of, safe_ratio
 
 
 def stage_depth(
-    events: DataFrame, entity: str, time: str, stages: Sequence[Column], time_slice: str = "hour"
+    events: DataFrame, entity: str, time: str, stages: Sequence[str], time_slice: str = "hour"
 ) -> DataFrame:
     """Deepest stage reached per entity that reached at least the first stage."""
     depth = len(stages)
-    flags = [F.coalesce(stage, F.lit(False)).alias(f"s{k}") for k, stage in enumerate(stages, 1)]
+    flags = [f"coalesce({stage}, false) AS s{k}" for k, stage in enumerate(stages, 1)]
     # Events of one entity at one instant fold into one row before anything is sorted.
-    instants = (
-        events.select(F.col(entity).alias("entity"), F.col(time).alias("at"), *flags)
+    walked = (
+        events.selectExpr(f"{entity} AS entity", f"{time} AS at", *flags)
         .groupBy("entity", "at")
-        .agg(*[F.max(f"s{k}").alias(f"s{k}") for k in range(1, depth + 1)])
-        .withColumn("slice", F.date_trunc(time_slice, "at"))
+        .agg(*exprs(*[f"max(s{k}) AS s{k}" for k in range(1, depth + 1)]))
+        .selectExpr("*", f"date_trunc('{time_slice}', at) AS slice")
     )
-    so_far = (
-        Window.partitionBy("entity", "slice")
-        .orderBy("at")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    walked = instants
+    so_far = "OVER (PARTITION BY entity, slice ORDER BY at ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     for step in range(1, depth + 1):
-        reached = {}
-        for entry in range(0, depth - step + 1):
+        reached = []
+        for entry in range(depth - step + 1):
             stage = entry + step
-            hit = F.col(f"s{stage}")
-            if step > 1:
-                hit = hit & F.col(f"r{entry}_{stage - 1}")
-            reached[f"r{entry}_{stage}"] = F.max(hit).over(so_far)
-        walked = walked.withColumns(reached)
-    exits = [
-        sum(
-            (F.max(f"r{entry}_{stage}").cast("int") for stage in range(entry + 1, depth + 1)),
-            F.lit(entry),
-        ).alias(f"from_{entry}")
-        for entry in range(depth)
-    ]
-    slices = walked.groupBy("entity", "slice").agg(*exits)
-    steps = F.array_sort(F.collect_list(F.struct("slice", *[f"from_{e}" for e in range(depth)])))
-
-    def advance(state: Column, row: Column) -> Column:
-        options = [row[f"from_{e}"] for e in range(depth)] + [F.lit(depth)]
-        return F.element_at(F.array(*options), state + 1)
-
+            hit = f"s{stage}" if step == 1 else f"s{stage} AND r{entry}_{stage - 1}"
+            reached.append(f"max({hit}) {so_far} AS r{entry}_{stage}")
+        walked = walked.selectExpr("*", *reached)
+    exits = []
+    for entry in range(depth):
+        gained = [f"CAST(max(r{entry}_{stage}) AS INT)" for stage in range(entry + 1, depth + 1)]
+        exits.append(f"{entry} + {' + '.join(gained)} AS from_{entry}")
+    slices = walked.groupBy("entity", "slice").agg(*exprs(*exits))
+    leaves = ", ".join(f"from_{entry}" for entry in range(depth))
+    options = ", ".join(f"step.from_{entry}" for entry in range(depth))
     return (
         slices.groupBy("entity")
-        .agg(steps.alias("steps"))
-        .select(F.col("entity").alias(entity), F.aggregate("steps", F.lit(0), advance).alias("depth"))
-        .filter(F.col("depth") >= 1)
+        .agg(*exprs(f"array_sort(collect_list(struct(slice, {leaves}))) AS steps"))
+        .selectExpr(
+            f"entity AS {entity}",
+            f"aggregate(steps, 0, (state, step) -> element_at(array({options}, {depth}), state + 1)) AS depth",
+        )
+        .filter("depth >= 1")
     )
 
 
 def stage_report(depths: DataFrame, names: Sequence[str]) -> DataFrame:
     """Entities per stage with conversion from the previous and from the first stage."""
     totals = depths.agg(
-        *[F.count(F.when(F.col("depth") >= k, 1)).alias(f"n{k}") for k in range(1, len(names) + 1)]
+        *exprs(*[f"count(CASE WHEN depth >= {k} THEN 1 END) AS n{k}" for k in range(1, len(names) + 1)])
     )
-    rows = totals.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(
-                        F.lit(k).alias("stage_order"),
-                        F.lit(name).alias("stage_name"),
-                        F.col(f"n{k}").alias("user_count"),
-                    )
-                    for k, name in enumerate(names, 1)
-                ]
-            )
+    rows = totals.selectExpr(
+        rows_of(
+            {"stage_order": str(k), "stage_name": literal(name), "user_count": f"n{k}"}
+            for k, name in enumerate(names, 1)
         )
     )
-    in_order = Window.orderBy("stage_order")
-    first = F.max(F.when(F.col("stage_order") == 1, F.col("user_count"))).over(Window.partitionBy())
-    return rows.select(
+    previous = safe_ratio("user_count", "lag(user_count) OVER (ORDER BY stage_order)")
+    first = safe_ratio("user_count", "max(CASE WHEN stage_order = 1 THEN user_count END) OVER ()")
+    return rows.selectExpr(
         "*",
-        F.when(F.col("stage_order") == 1, F.lit(1.0))
-        .otherwise(safe_ratio(F.col("user_count"), F.lag("user_count").over(in_order)))
-        .alias("previous_stage_conversion"),
-        safe_ratio(F.col("user_count"), first).alias("overall_conversion"),
+        f"CASE WHEN stage_order = 1 THEN 1.0D ELSE {previous} END AS previous_stage_conversion",
+        f"{first} AS overall_conversion",
     )

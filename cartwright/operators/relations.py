@@ -4,25 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.functions.parsing import safe_ratio
+from cartwright.functions.parsing import exprs, literal, rows_of, safe_ratio
 from cartwright.operators.validation import union_all
 
 
 def literal_table(spark: SparkSession, columns: Sequence[str], rows: Sequence[Sequence]) -> DataFrame:
     """An inline relation whose rows are part of the plan."""
-    structs = [
-        F.struct(*[F.lit(value).alias(name) for name, value in zip(columns, row, strict=True)])
-        for row in rows
-    ]
-    return spark.range(0, 1, 1, 1).select(F.inline(F.array(*structs)))
+    structs = [dict(zip(columns, map(literal, row), strict=True)) for row in rows]
+    return spark.range(0, 1, 1, 1).selectExpr(rows_of(structs))
 
 
 def decode(rows: DataFrame, codes: DataFrame, source: str, code_key: str) -> DataFrame:
     """Inner lookup into a code dimension, which holds a handful of literal rows."""
-    return rows.join(F.broadcast(codes), F.col(source) == F.col(code_key), "inner").drop(code_key)
+    return rows.join(F.broadcast(codes), rows[source] == codes[code_key], "inner").drop(code_key)
 
 
 def side_by_side(frames: Sequence[DataFrame]) -> DataFrame:
@@ -33,74 +30,65 @@ def side_by_side(frames: Sequence[DataFrame]) -> DataFrame:
     """
     spark = frames[0].sparkSession
     packed = [
-        frame.select(F.struct(*frame.columns).alias("row")).scalar().alias(f"row_{position}")
+        frame.selectExpr(f"struct({', '.join(frame.columns)}) AS row").scalar().alias(f"row_{position}")
         for position, frame in enumerate(frames)
     ]
     fields = [
-        F.col(f"row_{position}.{name}").alias(name)
-        for position, frame in enumerate(frames)
-        for name in frame.columns
+        f"row_{position}.{name} AS {name}" for position, frame in enumerate(frames) for name in frame.columns
     ]
-    return spark.range(0, 1, 1, 1).select(*packed).select(*fields)
+    return spark.range(0, 1, 1, 1).select(*packed).selectExpr(*fields)
 
 
 def with_share(grouped: DataFrame, amount: str, share: str) -> DataFrame:
     """Share of the total over an already aggregated relation of a few rows."""
-    whole = F.sum(amount).over(Window.partitionBy())
-    return grouped.withColumn(share, safe_ratio(F.col(amount), whole))
+    return grouped.selectExpr("*", f"{safe_ratio(amount, f'sum({amount}) OVER ()')} AS {share}")
 
 
-def ranked(grouped: DataFrame, rank: str, order: Sequence[Column]) -> DataFrame:
+def ranked(grouped: DataFrame, rank: str, order: str) -> DataFrame:
     """Global rank over an already aggregated relation."""
-    return grouped.withColumn(rank, F.row_number().over(Window.orderBy(*order)))
+    return grouped.selectExpr("*", f"row_number() OVER (ORDER BY {order}) AS {rank}")
 
 
 def duplicate_keys(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:
     """Rows beyond the first per key, for each table: COUNT(*) - COUNT(DISTINCT key)."""
     keys = union_all(
         [
-            rows.select(F.lit(name).alias("source_table"), F.col(key).cast("string").alias("record_key"))
+            rows.selectExpr(f"{literal(name)} AS source_table", f"CAST({key} AS STRING) AS record_key")
             for name, (rows, key) in tables.items()
         ]
     )
-    per_key = keys.groupBy("source_table", "record_key").agg(F.count(F.lit(1)).alias("copies"))
-    return per_key.groupBy("source_table").agg(
-        (F.sum("copies") - F.count("record_key")).alias("duplicate_rows")
-    )
+    per_key = keys.groupBy("source_table", "record_key").agg(*exprs("count(1) AS copies"))
+    return per_key.groupBy("source_table").agg(*exprs("sum(copies) - count(record_key) AS duplicate_rows"))
 
 
-def orphans(children: Sequence[tuple[str, DataFrame, str, str]], parents: dict[str, tuple[DataFrame, str]]) -> DataFrame:
+def orphans(
+    children: Sequence[tuple[str, DataFrame, str, str]], parents: dict[str, tuple[DataFrame, str]]
+) -> DataFrame:
     """Child rows whose key has no parent, counted per child table and parent kind.
 
     ``children`` holds (child name, rows, key column, parent kind).  The child keys
     are counted first, so a key held by many rows meets the anti join as one row.
     """
-    counted = union_all(
+    keys = union_all(
         [
-            rows.select(
-                F.lit(name).alias("source_table"), F.lit(kind).alias("parent"), F.col(key).alias("key")
-            )
+            rows.selectExpr(f"{literal(name)} AS source_table", f"{literal(kind)} AS parent", f"{key} AS key")
             for name, rows, key, kind in children
         ]
-    ).groupBy("source_table", "parent", "key").agg(F.count(F.lit(1)).alias("copies"))
+    )
+    counted = keys.groupBy("source_table", "parent", "key").agg(*exprs("count(1) AS copies"))
     known = union_all(
-        [
-            rows.select(F.lit(kind).alias("parent"), F.col(key).alias("key"))
-            for kind, (rows, key) in parents.items()
-        ]
+        [rows.selectExpr(f"{literal(kind)} AS parent", f"{key} AS key") for kind, (rows, key) in parents.items()]
     )
     return (
         counted.join(known, ["parent", "key"], "left_anti")
         .groupBy("source_table", "parent")
-        .agg(F.sum("copies").alias("orphan_rows"))
+        .agg(*exprs("sum(copies) AS orphan_rows"))
     )
 
 
-def mismatches(
-    snapshot: DataFrame, key: str, recomputed: Sequence[DataFrame], differs: Column
-) -> DataFrame:
+def mismatches(snapshot: DataFrame, key: str, recomputed: Sequence[DataFrame], differs: str) -> DataFrame:
     """Snapshot rows that disagree with what the facts say (one-sided, from the snapshot)."""
     joined = snapshot
     for frame in recomputed:
         joined = joined.join(frame, key, "left")
-    return joined.withColumn("mismatch", differs)
+    return joined.selectExpr("*", f"{differs} AS mismatch")

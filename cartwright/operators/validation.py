@@ -6,10 +6,12 @@ the row is valid.  A rule whose predicate is NULL does not fire.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
+
+from cartwright.functions.parsing import literal, named
 
 LOCAL_REASONS = "local_reasons"
 REASONS = "reasons"
@@ -18,8 +20,10 @@ ACCEPTED = "accepted"
 
 @dataclass(frozen=True)
 class Rule:
+    """A rejection code and the SQL predicate that raises it."""
+
     code: str
-    broken: Column
+    broken: str
 
 
 @dataclass(frozen=True)
@@ -32,9 +36,9 @@ class TableRules:
 
     name: str
     key: str
-    parse: dict[str, Column]
+    parse: dict[str, str]
     rules: list[Rule]
-    keep: dict[str, Column] = field(default_factory=dict)
+    keep: dict[str, str] = field(default_factory=dict)
 
 
 @dataclass(frozen=True)
@@ -49,27 +53,23 @@ class ParentLink:
     time_code: str | None = None
 
 
-def reason_array(rules: list[Rule]) -> Column:
-    return F.array_compact(F.array(*[F.when(rule.broken, F.lit(rule.code)) for rule in rules]))
+def reason_array(rules: Iterable[Rule]) -> str:
+    arms = ", ".join(f"CASE WHEN {rule.broken} THEN {literal(rule.code)} END" for rule in rules)
+    return f"array_compact(array({arms}))"
 
 
-def reason_text(column: str = REASONS) -> Column:
-    return F.array_join(F.col(column), ";")
+def reason_text(column: str = REASONS) -> str:
+    return f"array_join({column}, ';')"
 
 
 def judge(raw: DataFrame, table: TableRules, carry: tuple[str, ...] = ()) -> DataFrame:
     """Parse every field once, then evaluate all rules over the parsed row."""
-    parsed_rows = raw.select("*", *[c.alias(name) for name, c in table.parse.items()])
-    kept = [c.alias(name) for name, c in table.keep.items()]
-    return parsed_rows.select(*kept, *carry, reason_array(table.rules).alias(LOCAL_REASONS))
+    parsed_rows = raw.selectExpr("*", *named(table.parse))
+    return parsed_rows.selectExpr(*named(table.keep), *carry, f"{reason_array(table.rules)} AS {LOCAL_REASONS}")
 
 
 def without_parents(judged: DataFrame) -> DataFrame:
-    return judged.select(
-        "*",
-        F.col(LOCAL_REASONS).alias(REASONS),
-        (F.size(LOCAL_REASONS) == 0).alias(ACCEPTED),
-    )
+    return judged.selectExpr("*", f"{LOCAL_REASONS} AS {REASONS}", f"size({LOCAL_REASONS}) = 0 AS {ACCEPTED}")
 
 
 def with_parents(child: DataFrame, links: list[ParentLink]) -> DataFrame:
@@ -83,52 +83,48 @@ def with_parents(child: DataFrame, links: list[ParentLink]) -> DataFrame:
     joined = child
     broken, early = [], []
     for position, link in enumerate(links):
-        prefix = f"__p{position}_"
-        columns = [
-            F.col(link.key).alias(prefix + "key"),
-            F.col(ACCEPTED).alias(prefix + "ok"),
-        ]
+        key, verdict, time = (f"__p{position}_{part}" for part in ("key", "ok", "time"))
+        columns = [f"{link.key} AS {key}", f"{ACCEPTED} AS {verdict}"]
         if link.parent_time:
-            columns.append(F.col(link.parent_time).alias(prefix + "time"))
-        parent = link.parent.select(*columns)
-        joined = joined.join(parent, F.col(link.key) == F.col(prefix + "key"), "left")
-        broken.append(Rule(link.code, ~F.coalesce(F.col(prefix + "ok"), F.lit(False))))
+            columns.append(f"{link.parent_time} AS {time}")
+        parent = link.parent.selectExpr(*columns)
+        joined = joined.join(parent, joined[link.key] == parent[key], "left")
+        broken.append(Rule(link.code, f"NOT coalesce({verdict}, false)"))
         if link.parent_time:
-            early.append(Rule(link.time_code, F.col(link.child_time) < F.col(prefix + "time")))
-    reasons = F.concat(F.col(LOCAL_REASONS), reason_array(broken + early))
-    checked = joined.select(*[F.col(name) for name in child.columns], reasons.alias(REASONS))
-    return checked.select("*", (F.size(REASONS) == 0).alias(ACCEPTED))
+            early.append(Rule(link.time_code, f"{link.child_time} < {time}"))
+    reasons = f"concat({LOCAL_REASONS}, {reason_array(broken + early)})"
+    checked = joined.selectExpr(*child.columns, f"{reasons} AS {REASONS}")
+    return checked.selectExpr("*", f"size({REASONS}) = 0 AS {ACCEPTED}")
 
 
 def valid_rows(staged: DataFrame) -> DataFrame:
-    return staged.filter(F.col(ACCEPTED)).drop(LOCAL_REASONS, REASONS, ACCEPTED)
+    return staged.filter(ACCEPTED).drop(LOCAL_REASONS, REASONS, ACCEPTED)
 
 
 def locally_clean_rows(staged: DataFrame) -> DataFrame:
     """Rows without a reason of their own, whatever their parents look like."""
-    return staged.filter(F.size(LOCAL_REASONS) == 0).drop(LOCAL_REASONS, REASONS, ACCEPTED)
+    return staged.filter(f"size({LOCAL_REASONS}) = 0").drop(LOCAL_REASONS, REASONS, ACCEPTED)
 
 
 def quarantine(staged: dict[str, tuple[DataFrame, str]], carry: tuple[str, ...] = ()) -> DataFrame:
     """One row per rejected row of any table: its table, key and all reasons."""
-    branches = [
-        rows.filter(~F.col(ACCEPTED)).select(
-            F.lit(name).alias("source_table"),
-            F.col(key).alias("record_key"),
-            F.col(REASONS),
-            reason_text().alias("rejection_reasons"),
-            *carry,
-        )
-        for name, (rows, key) in staged.items()
-    ]
-    return union_all(branches)
+    return union_all(
+        [
+            rows.filter(f"NOT {ACCEPTED}").selectExpr(
+                f"{literal(name)} AS source_table", f"{key} AS record_key", REASONS,
+                f"{reason_text()} AS rejection_reasons", *carry,
+            )
+            for name, (rows, key) in staged.items()
+        ]
+    )
 
 
 def reason_frequency(quarantined: DataFrame) -> DataFrame:
     return (
-        quarantined.select("source_table", F.explode(REASONS).alias("reason"))
+        quarantined.selectExpr("source_table", f"explode({REASONS}) AS reason")
         .groupBy("source_table", "reason")
-        .agg(F.count(F.lit(1)).alias("rejected_rows"))
+        .count()
+        .withColumnRenamed("count", "rejected_rows")
     )
 
 

@@ -3,32 +3,33 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartwright import contract as c
 from cartwright.functions import measures as m
+from cartwright.functions.parsing import listed, literal
 from cartwright.operators.relations import with_share
 
+PAID, COMPLETED, PAYMENT = "is_paid_lifecycle", "is_completed", "actual_payment"
+CALLED_OFF = f"status_code IN ({listed(c.CANCELLED_OR_REFUNDED)})"
+
 
 def daily_commerce(fact_order: DataFrame) -> DataFrame:
-    paid, completed = F.col("is_paid_lifecycle"), F.col("is_completed")
-    payment = F.col("actual_payment")
     return m.report(
         fact_order, ["order_date"], "user_id",
         {
             "total_orders": m.row_count(),
             "ordering_customers": m.entities(),
-            "units": m.total(F.col("quantity"), None),
-            "all_order_amount": m.total(payment),
-            "paid_gmv": m.total(F.col("paid_gmv")),
-            "completed_gmv": m.total_where(completed, payment),
-            "discount_amount": m.total(F.col("discount")),
-            "paid_orders": m.rows_where(paid),
-            "completed_orders": m.rows_where(completed),
-            "completed_customers": m.entities_where(completed),
-            "cancelled_or_refunded_orders": m.rows_where(F.col("status_code").isin(*c.CANCELLED_OR_REFUNDED)),
-            "paid_aov": m.mean(payment, paid),
-            "avg_review_score": m.mean(F.col("review_score"), completed),
+            "units": m.total("quantity", None),
+            "all_order_amount": m.total(PAYMENT),
+            "paid_gmv": m.total("paid_gmv"),
+            "completed_gmv": m.total_where(COMPLETED, PAYMENT),
+            "discount_amount": m.total("discount"),
+            "paid_orders": m.rows_where(PAID),
+            "completed_orders": m.rows_where(COMPLETED),
+            "completed_customers": m.entities_where(COMPLETED),
+            "cancelled_or_refunded_orders": m.rows_where(CALLED_OFF),
+            "paid_aov": m.mean(PAYMENT, PAID),
+            "avg_review_score": m.mean("review_score", COMPLETED),
         },
     )
 
@@ -39,8 +40,8 @@ def order_status_summary(fact_order: DataFrame) -> DataFrame:
         {
             "order_count": m.row_count(),
             "customer_count": m.entities(),
-            "order_amount": m.total(F.col("actual_payment")),
-            "paid_gmv": m.total(F.col("paid_gmv")),
+            "order_amount": m.total(PAYMENT),
+            "paid_gmv": m.total("paid_gmv"),
         },
     )
     return with_share(per_status, "order_count", "order_share")
@@ -52,14 +53,10 @@ def hourly_behavior(fact_behavior: DataFrame) -> DataFrame:
         {
             "behavior_events": m.row_count(),
             "active_users": m.entities(),
-            **behavior_counts(),
-            "avg_duration_seconds": m.mean(F.col("duration_seconds")),
+            **{
+                f"{b.behavior_code}_events": m.rows_where(f"behavior_code = {literal(b.behavior_code)}")
+                for b in c.BEHAVIORS
+            },
+            "avg_duration_seconds": m.mean("duration_seconds"),
         },
     )
-
-
-def behavior_counts() -> dict[str, m.Measure]:
-    return {
-        f"{b.behavior_code}_events": m.rows_where(F.col("behavior_code") == b.behavior_code)
-        for b in c.BEHAVIORS
-    }

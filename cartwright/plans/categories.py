@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartwright import contract as c
 from cartwright.functions import measures as m
+from cartwright.functions.parsing import exprs, listed
 from cartwright.operators.relations import ranked
+from cartwright.plans.activity import COMPLETED, PAID, PAYMENT
 
 PERFORMANCE_COLUMNS = (
     "category", "products", "behavior_events", "engaged_users", "browse_users", "intent_users",
@@ -24,15 +25,13 @@ def category_ranking(dim_product: DataFrame, fact_order: DataFrame, fact_behavio
     cut to key and category first.
     """
     kind = dim_product.select("product_id", "category")
-    paid, completed = F.col("is_paid_lifecycle"), F.col("is_completed")
-    code = F.col("behavior_code")
     behaved = m.report(
         fact_behavior.join(kind, "product_id"), ["category"], "user_id",
         {
             "behavior_events": m.row_count(),
             "engaged_users": m.entities(),
-            "browse_users": m.entities_where(code == "browse"),
-            "intent_users": m.entities_where(code.isin(*c.INTENT_BEHAVIORS)),
+            "browse_users": m.entities_where("behavior_code = 'browse'"),
+            "intent_users": m.entities_where(f"behavior_code IN ({listed(c.INTENT_BEHAVIORS)})"),
         },
     )
     ordered = m.report(
@@ -40,24 +39,24 @@ def category_ranking(dim_product: DataFrame, fact_order: DataFrame, fact_behavio
         {
             "total_orders": m.row_count(),
             "ordering_customers": m.entities(),
-            "paid_orders": m.rows_where(paid),
-            "paid_customers": m.entities_where(paid),
-            "paid_gmv": m.total(F.col("paid_gmv")),
-            "paid_aov": m.mean(F.col("actual_payment"), paid),
-            "completed_orders": m.rows_where(completed),
-            "completed_customers": m.entities_where(completed),
-            "completed_gmv": m.total_where(completed, F.col("actual_payment")),
+            "paid_orders": m.rows_where(PAID),
+            "paid_customers": m.entities_where(PAID),
+            "paid_gmv": m.total("paid_gmv"),
+            "paid_aov": m.mean(PAYMENT, PAID),
+            "completed_orders": m.rows_where(COMPLETED),
+            "completed_customers": m.entities_where(COMPLETED),
+            "completed_gmv": m.total_where(COMPLETED, PAYMENT),
         },
     )
     joined = (
-        dim_product.groupBy("category").agg(F.count(F.lit(1)).alias("products"))
+        dim_product.groupBy("category").agg(*exprs("count(1) AS products"))
         .join(behaved, "category", "left")
         .join(ordered, "category", "left")
     )
-    filled = joined.select(
+    filled = joined.selectExpr(
         *[
-            F.col(name) if name in _MAY_BE_NULL else F.coalesce(F.col(name), F.lit(0)).alias(name)
+            name if name in _MAY_BE_NULL else f"coalesce({name}, 0) AS {name}"
             for name in PERFORMANCE_COLUMNS + COMPLETED_COLUMNS
         ]
     )
-    return ranked(filled, "category_rank", [F.desc("completed_gmv"), F.asc("category")])
+    return ranked(filled, "category_rank", "completed_gmv DESC, category")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartwright import contract as c
+from cartwright.functions.parsing import exprs, literal, rows_of
 
 # The six headline cards and the KPI column behind each.
 KPI_CARDS = {
@@ -30,7 +31,7 @@ def top_categories(ranking: DataFrame, n: int = 10) -> DataFrame:
 
 
 def check_status_counts(health: DataFrame) -> DataFrame:
-    return health.groupBy(F.lower("check_status").alias("check_status")).agg(F.count(F.lit(1)).alias("checks"))
+    return health.groupBy(F.lower("check_status").alias("check_status")).agg(*exprs("count(1) AS checks"))
 
 
 def daily_series(daily: DataFrame) -> DataFrame:
@@ -49,13 +50,6 @@ def segment_series(segments: DataFrame) -> DataFrame:
 
 
 def kpi_cards(kpi_row: DataFrame) -> DataFrame:
-    return kpi_row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(card).alias("card"), F.col(name).cast("double").alias("value"))
-                    for card, name in KPI_CARDS.items()
-                ]
-            )
-        )
+    return kpi_row.selectExpr(
+        rows_of({"card": literal(card), "value": f"CAST({name} AS DOUBLE)"} for card, name in KPI_CARDS.items())
     )

@@ -3,97 +3,89 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from cartwright import contract as c
+from cartwright.functions.parsing import exprs, listed, literal
 from cartwright.operators.funnel import stage_depth, stage_report
 from cartwright.operators.relations import with_share
 
 # Stage names of the published funnel.
 FUNNEL_STAGES = ("browse", "click_after_browse", "intent_after_click", "paid_order_after_intent")
 
+_KINDS = [f"{b.behavior_code}_events" for b in c.BEHAVIORS]
+
 
 def customer_summary(dim_user: DataFrame, fact_order: DataFrame, fact_behavior: DataFrame) -> DataFrame:
     """Both facts are reduced to one row per user before they meet the dimension."""
     ordered = fact_order.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("total_orders"),
-        F.count(F.when(F.col("is_paid_lifecycle"), 1)).alias("paid_orders"),
-        F.count(F.when(F.col("is_completed"), 1)).alias("completed_orders"),
-        F.round(F.sum("actual_payment"), 2).alias("all_order_amount"),
-        F.round(F.sum("paid_gmv"), 2).alias("paid_gmv"),
-        F.min("order_ts").alias("first_order_ts"),
-        F.max("order_ts").alias("last_order_ts"),
+        *exprs(
+            "count(1) AS total_orders",
+            "count_if(is_paid_lifecycle) AS paid_orders",
+            "count_if(is_completed) AS completed_orders",
+            "round(sum(actual_payment), 2) AS all_order_amount",
+            "round(sum(paid_gmv), 2) AS paid_gmv",
+            "min(order_ts) AS first_order_ts",
+            "max(order_ts) AS last_order_ts",
+        )
     )
     behaved = fact_behavior.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("behavior_events"),
-        *[
-            F.count(F.when(F.col("behavior_code") == b.behavior_code, 1)).alias(f"{b.behavior_code}_events")
-            for b in c.BEHAVIORS
-        ],
-        F.min("behavior_ts").alias("first_behavior_ts"),
-        F.max("behavior_ts").alias("last_behavior_ts"),
+        *exprs(
+            "count(1) AS behavior_events",
+            *[f"count_if(behavior_code = {literal(b.behavior_code)}) AS {k}" for b, k in zip(c.BEHAVIORS, _KINDS)],
+            "min(behavior_ts) AS first_behavior_ts",
+            "max(behavior_ts) AS last_behavior_ts",
+        )
     )
 
-    def or_zero(*names: str):
-        return [F.coalesce(F.col(name), F.lit(0)).alias(name) for name in names]
+    def or_zero(*names: str) -> list[str]:
+        return [f"coalesce({name}, 0) AS {name}" for name in names]
 
+    who = ("user_id", "age_band", "gender", "province", "city", "member_level")
     return (
-        dim_user.select("user_id", "age_band", "gender", "province", "city", "member_level")
+        dim_user.select(*who)
         .join(ordered, "user_id", "left")
         .join(behaved, "user_id", "left")
-        .select(
-            "user_id", "age_band", "gender", "province", "city", "member_level",
+        .selectExpr(
+            *who,
             *or_zero("total_orders", "paid_orders", "completed_orders", "all_order_amount", "paid_gmv"),
             "first_order_ts", "last_order_ts",
-            *or_zero("behavior_events", *[f"{b.behavior_code}_events" for b in c.BEHAVIORS]),
+            *or_zero("behavior_events", *_KINDS),
             "first_behavior_ts", "last_behavior_ts",
         )
-        .withColumn("customer_segment", _segment())
+        .selectExpr("*", f"{_segment()} AS customer_segment")
     )
 
 
-def _segment():
-    repeat, single, unpaid, engaged, inactive = c.SEGMENTS
-    return (
-        F.when(F.col("paid_orders") >= 2, repeat)
-        .when(F.col("paid_orders") == 1, single)
-        .when(F.col("total_orders") > 0, unpaid)
-        .when(F.col("behavior_events") > 0, engaged)
-        .otherwise(inactive)
-    )
+def _segment() -> str:
+    conditions = ("paid_orders >= 2", "paid_orders = 1", "total_orders > 0", "behavior_events > 0")
+    arms = " ".join(f"WHEN {rule} THEN {literal(name)}" for rule, name in zip(conditions, c.SEGMENTS))
+    return f"CASE {arms} ELSE {literal(c.SEGMENTS[-1])} END"
 
 
 def customer_segments(summary: DataFrame) -> DataFrame:
-    position = F.array_position(F.array(*[F.lit(s) for s in c.SEGMENTS]), F.col("customer_segment"))
     per_segment = summary.groupBy("customer_segment").agg(
-        F.count(F.lit(1)).alias("user_count"),
-        F.sum("total_orders").alias("total_orders"),
-        F.sum("paid_orders").alias("paid_orders"),
-        F.round(F.sum("paid_gmv"), 2).alias("paid_gmv"),
-        F.sum("behavior_events").alias("behavior_events"),
+        *exprs(
+            "count(1) AS user_count",
+            "sum(total_orders) AS total_orders",
+            "sum(paid_orders) AS paid_orders",
+            "round(sum(paid_gmv), 2) AS paid_gmv",
+            "sum(behavior_events) AS behavior_events",
+        )
     )
-    ordered = per_segment.select(position.cast("int").alias("segment_order"), "*")
-    return with_share(ordered, "user_count", "user_share")
+    position = f"CAST(array_position(array({listed(c.SEGMENTS)}), customer_segment) AS INT) AS segment_order"
+    return with_share(per_segment.selectExpr(position, "*"), "user_count", "user_share")
 
 
 def sequential_funnel(fact_behavior: DataFrame, fact_order: DataFrame) -> DataFrame:
-    steps = fact_behavior.select(
-        "user_id", F.col("behavior_ts").alias("at"), F.col("behavior_code").alias("step")
-    ).unionByName(
-        fact_order.filter("is_paid_lifecycle").select(
-            "user_id", F.col("order_ts").alias("at"), F.lit("paid_order").alias("step")
-        )
+    steps = fact_behavior.selectExpr("user_id", "behavior_ts AS at", "behavior_code AS step").unionByName(
+        fact_order.filter("is_paid_lifecycle").selectExpr("user_id", "order_ts AS at", "'paid_order' AS step")
     )
-    step = F.col("step")
-    stages = [step == "browse", step == "click", step.isin(*c.INTENT_BEHAVIORS), step == "paid_order"]
+    intent = f"step IN ({listed(c.INTENT_BEHAVIORS)})"
+    stages = ["step = 'browse'", "step = 'click'", intent, "step = 'paid_order'"]
     return stage_report(stage_depth(steps, "user_id", "at", stages), FUNNEL_STAGES)
 
 
 def repeat_customers(fact_order: DataFrame, at_least: int = 2) -> DataFrame:
     """Customers with several completed orders."""
-    return (
-        fact_order.filter("is_completed")
-        .groupBy("user_id")
-        .agg(F.count(F.lit(1)).alias("completed_orders"))
-        .filter(F.col("completed_orders") >= at_least)
-    )
+    counted = fact_order.filter("is_completed").groupBy("user_id").agg(*exprs("count(1) AS completed_orders"))
+    return counted.filter(f"completed_orders >= {at_least}")

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from cartwright import contract as c
 from cartwright.functions import measures as m
-from cartwright.functions.parsing import safe_ratio
+from cartwright.functions.parsing import exprs, literal, named, safe_ratio
 from cartwright.operators.relations import side_by_side
+from cartwright.plans.activity import CALLED_OFF, COMPLETED, PAID, PAYMENT
 
 # Published column order.
 KPI_COLUMNS = (
@@ -30,57 +29,51 @@ def executive_kpis(
     quarantined: DataFrame,
 ) -> DataFrame:
     """One pass over each input; repeat customers come out of the same per-user fold."""
-    paid, completed = F.col("is_paid_lifecycle"), F.col("is_completed")
-    payment = F.col("actual_payment")
     orders = m.report(
         fact_order, [], "user_id",
         {
-            "min_order_date": m.earliest(F.col("order_date")),
-            "max_order_date": m.latest(F.col("order_date")),
+            "min_order_date": m.earliest("order_date"),
+            "max_order_date": m.latest("order_date"),
             "total_orders": m.row_count(),
             "ordering_customers": m.entities(),
-            "paid_orders": m.rows_where(paid),
-            "paid_customers": m.entities_where(paid),
-            "completed_orders": m.rows_where(completed),
-            "completed_customers": m.entities_where(completed),
-            "all_order_amount": m.total(payment),
-            "paid_gmv": m.total(F.col("paid_gmv")),
-            "completed_gmv": m.total_where(completed, payment),
-            "paid_aov": m.mean(payment, paid),
-            "completed_aov": m.mean(payment, completed),
-            "cancelled_or_refunded_orders": m.rows_where(F.col("status_code").isin(*c.CANCELLED_OR_REFUNDED)),
-            "repeat_completed_customers": m.entities_where(completed, at_least=2),
+            "paid_orders": m.rows_where(PAID),
+            "paid_customers": m.entities_where(PAID),
+            "completed_orders": m.rows_where(COMPLETED),
+            "completed_customers": m.entities_where(COMPLETED),
+            "all_order_amount": m.total(PAYMENT),
+            "paid_gmv": m.total("paid_gmv"),
+            "completed_gmv": m.total_where(COMPLETED, PAYMENT),
+            "paid_aov": m.mean(PAYMENT, PAID),
+            "completed_aov": m.mean(PAYMENT, COMPLETED),
+            "cancelled_or_refunded_orders": m.rows_where(CALLED_OFF),
+            "repeat_completed_customers": m.entities_where(COMPLETED, at_least=2),
         },
     )
     behaviors = m.report(
         fact_behavior, [], "user_id",
         {
-            "min_behavior_date": m.earliest(F.col("behavior_date")),
-            "max_behavior_date": m.latest(F.col("behavior_date")),
+            "min_behavior_date": m.earliest("behavior_date"),
+            "max_behavior_date": m.latest("behavior_date"),
             "behavior_events": m.row_count(),
             "behavior_users": m.entities(),
         },
     )
     catalog = m.report(dim_product, [], "category", {"products": m.row_count(), "categories": m.entities()})
-    population = dim_user.agg(F.count(F.lit(1)).alias("registered_users"))
-    rejected = quarantined.agg(F.count(F.lit(1)).alias("quarantined_rows"))
+    population = dim_user.agg(*exprs("count(1) AS registered_users"))
+    rejected = quarantined.agg(*exprs("count(1) AS quarantined_rows"))
     row = side_by_side([orders, behaviors, catalog, population, rejected])
-    orders_total = F.col("total_orders")
-    return row.withColumns(
-        {
-            "completion_rate": safe_ratio(F.col("completed_orders"), orders_total),
-            "cancellation_refund_rate": safe_ratio(F.col("cancelled_or_refunded_orders"), orders_total),
-            "repeat_completed_customer_rate": safe_ratio(
-                F.col("repeat_completed_customers"), F.col("completed_customers")
-            ),
-        }
-    ).select(*KPI_COLUMNS)
+    rates = {
+        "completion_rate": safe_ratio("completed_orders", "total_orders"),
+        "cancellation_refund_rate": safe_ratio("cancelled_or_refunded_orders", "total_orders"),
+        "repeat_completed_customer_rate": safe_ratio("repeat_completed_customers", "completed_customers"),
+    }
+    return row.selectExpr("*", *named(rates)).select(*KPI_COLUMNS)
 
 
 def with_run_constants(kpi_row: DataFrame, run_date: str, data_mode: str, source_status: str) -> DataFrame:
-    return kpi_row.select(
-        F.lit(run_date).cast("date").alias("run_date"),
-        F.lit(data_mode.upper()).alias("data_mode"),
-        F.lit(source_status.upper()).alias("source_status"),
+    return kpi_row.selectExpr(
+        f"DATE {literal(run_date)} AS run_date",
+        f"{literal(data_mode.upper())} AS data_mode",
+        f"{literal(source_status.upper())} AS source_status",
         "*",
     )

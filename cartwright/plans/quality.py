@@ -3,21 +3,14 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cartwright import contract as c
-from cartwright.functions.parsing import differs
+from cartwright.functions.parsing import all_of, any_of, differs, exprs, listed, literal, rows_of
 from cartwright.operators.relations import duplicate_keys, mismatches, orphans, side_by_side
-from cartwright.operators.validation import (
-    ACCEPTED,
-    LOCAL_REASONS,
-    REASONS,
-    locally_clean_rows,
-    union_all,
-)
+from cartwright.operators.validation import ACCEPTED, LOCAL_REASONS, REASONS, locally_clean_rows, union_all
+from cartwright.plans.activity import CALLED_OFF
 from cartwright.plans.warehouse import Warehouse
 
 PASS, FAIL, WARN = "pass", "fail", "warn"
@@ -26,63 +19,60 @@ CRITICAL, WARNING = "critical", "warning"
 
 @dataclass(frozen=True)
 class Check:
+    """``passes`` and ``observed`` are expressions over the measurement row."""
+
     name: str
-    passes: Column
-    observed: Column
+    passes: str
+    observed: str
     expected: str
     severity: str
     details: str
 
-    def row(self) -> Column:
+    def row(self) -> dict[str, str]:
         other = FAIL if self.severity == CRITICAL else WARN
-        return F.struct(
-            F.lit(self.name).alias("check_name"),
-            F.when(self.passes, PASS).otherwise(other).alias("check_status"),
-            self.observed.cast("string").alias("observed_value"),
-            F.lit(self.expected).alias("expected_value"),
-            F.lit(self.severity).alias("severity"),
-            F.lit(self.details).alias("details"),
-        )
+        return {
+            "check_name": literal(self.name),
+            "check_status": f"CASE WHEN {self.passes} THEN '{PASS}' ELSE '{other}' END",
+            "observed_value": f"CAST({self.observed} AS STRING)",
+            "expected_value": literal(self.expected),
+            "severity": literal(self.severity),
+            "details": literal(self.details),
+        }
 
 
 # --- findings at row grain ------------------------------------------------------------------
 
-
-def _equation_off() -> Column:
-    return differs(F.col("total_amount") - F.col("discount"), F.col("actual_payment"), c.AMOUNT_TOLERANCE)
+EQUATION_OFF = differs("total_amount - discount", "actual_payment", c.AMOUNT_TOLERANCE)
+UNIT_PRICE_OFF = differs("unit_price * quantity", "total_amount", c.AMOUNT_TOLERANCE)
 
 
-def _unit_price_off() -> Column:
-    return differs(F.col("unit_price") * F.col("quantity"), F.col("total_amount"), c.AMOUNT_TOLERANCE)
+def _status_in(*codes: str) -> str:
+    return f"order_status IN ({listed(c.STATUS_TEXT[code] for code in codes)})"
 
 
-def _lifecycle_broken() -> Column:
-    by_code = c.STATUS_TEXT
-    needs_delivery = [by_code[s] for s in ("shipped", "received", "completed")]
-    needs_receipt = [by_code[s] for s in ("received", "completed")]
-    status = F.col("order_status")
-    return (
-        (status.isin(*needs_delivery) & F.col("delivery_ts").isNull())
-        | (status.isin(*needs_receipt) & F.col("receive_ts").isNull())
-        | (F.col("delivery_ts") < F.col("order_ts"))
-        | (F.col("receive_ts") < F.col("delivery_ts"))
-    )
+LIFECYCLE_BROKEN = any_of(
+    [
+        all_of(_status_in("shipped", "received", "completed"), "delivery_ts IS NULL"),
+        all_of(_status_in("received", "completed"), "receive_ts IS NULL"),
+        "delivery_ts < order_ts",
+        "receive_ts < delivery_ts",
+    ]
+)
 
 
 def lifecycle_violations(valid_orders: DataFrame) -> DataFrame:
-    return valid_orders.filter(_lifecycle_broken())
+    return valid_orders.filter(LIFECYCLE_BROKEN)
 
 
 def amount_findings(clean_orders: DataFrame) -> DataFrame:
     """Locally clean orders whose amounts do not add up or whose unit price does not explain the total."""
-    return clean_orders.select(
-        "order_id", _equation_off().alias("equation_off"), _unit_price_off().alias("unit_price_off")
-    ).filter(F.col("equation_off") | F.col("unit_price_off"))
+    return clean_orders.selectExpr(
+        "order_id", f"{EQUATION_OFF} AS equation_off", f"{UNIT_PRICE_OFF} AS unit_price_off"
+    ).filter("equation_off OR unit_price_off")
 
 
 def duplicates(w: Warehouse) -> DataFrame:
-    keyed = {name: (rows.filter(F.col(ACCEPTED)), key) for name, (rows, key) in w.keyed_staged.items()}
-    return duplicate_keys(keyed)
+    return duplicate_keys({name: (rows.filter(ACCEPTED), key) for name, (rows, key) in w.keyed_staged.items()})
 
 
 def orphan_rows(w: Warehouse) -> DataFrame:
@@ -97,30 +87,28 @@ def orphan_rows(w: Warehouse) -> DataFrame:
 
 def _recount(w: Warehouse, key: str, amount: str, order_count: str, completed: str, cancelled: str) -> list[DataFrame]:
     """Per-entity totals straight from the locally clean source rows."""
-    status = F.col("order_status")
-    called_off = [c.STATUS_TEXT[s] for s in c.CANCELLED_OR_REFUNDED]
     ordered = locally_clean_rows(w.staged_orders).groupBy(key).agg(
-        F.count(F.lit(1)).alias(f"f_{order_count}"),
-        F.count(F.when(status == c.STATUS_TEXT["completed"], 1)).alias(f"f_{completed}"),
-        F.count(F.when(status.isin(*called_off), 1)).alias(f"f_{cancelled}"),
-        F.round(F.sum("actual_payment"), 2).alias(f"f_{amount}"),
+        *exprs(
+            f"count(1) AS f_{order_count}",
+            f"count_if({_status_in('completed')}) AS f_{completed}",
+            f"count_if({_status_in(*c.CANCELLED_OR_REFUNDED)}) AS f_{cancelled}",
+            f"round(sum(actual_payment), 2) AS f_{amount}",
+        )
     )
     behaved = locally_clean_rows(w.staged_user_behaviors).groupBy(key).agg(
-        *[
-            F.count(F.when(F.col("behavior_type") == b.source_behavior, 1)).alias(f"f_{b.behavior_code}_count")
-            for b in c.BEHAVIORS
-        ]
+        *exprs(
+            *[
+                f"count_if(behavior_type = {literal(b.source_behavior)}) AS f_{b.behavior_code}_count"
+                for b in c.BEHAVIORS
+            ]
+        )
     )
     return [ordered, behaved]
 
 
-def _disagrees(amount: str, counts: list[str]) -> Column:
-    def fact(name: str) -> Column:
-        return F.coalesce(F.col(f"f_{name}"), F.lit(0))
-
-    terms = [differs(F.col(amount), fact(amount), c.AMOUNT_TOLERANCE)]
-    terms += [F.col(name) != fact(name) for name in counts]
-    return reduce(Column.__or__, terms)
+def _disagrees(amount: str, counts: list[str]) -> str:
+    terms = [differs(amount, f"coalesce(f_{amount}, 0)", c.AMOUNT_TOLERANCE)]
+    return any_of(terms + [f"{name} <> coalesce(f_{name}, 0)" for name in counts])
 
 
 _BEHAVIOR_COUNTS = [f"{b.behavior_code}_count" for b in c.BEHAVIORS]
@@ -141,54 +129,56 @@ def product_feature_findings(w: Warehouse) -> DataFrame:
 # --- the one-row measurement -------------------------------------------------------------------
 
 
-def _count(rows: DataFrame, name: str) -> DataFrame:
-    return rows.agg(F.count(F.lit(1)).alias(name))
+def _aggregate(rows: DataFrame, **columns: str) -> DataFrame:
+    return rows.agg(*exprs(*[f"{text} AS {name}" for name, text in columns.items()]))
 
 
-def _count_if(condition: Column) -> Column:
-    return F.count(F.when(condition, 1))
+def _count(rows: DataFrame, name: str) -> DataFrame:
+    return _aggregate(rows, **{name: "count(1)"})
 
 
-def _sum_if(condition: Column) -> Column:
+def _sum_if(condition: str) -> str:
     """Matching rows, NULL over no rows at all: an unmeasured check must not pass."""
-    return F.sum(F.when(condition, 1).otherwise(0))
+    return f"sum(CASE WHEN {condition} THEN 1 ELSE 0 END)"
 
 
 def _verdict_counts(w: Warehouse, name: str) -> DataFrame:
-    rejected = ~F.col(ACCEPTED)
-    purely_temporal = F.coalesce(F.col(REASONS) == F.array(F.lit(c.TEMPORAL_REASON)), F.lit(False))
-    columns = [
-        _count_if(F.col(ACCEPTED)).alias(f"valid_{name}"),
-        _count_if(rejected).alias(f"rejected_{name}"),
-        _count_if(rejected & ~purely_temporal).alias(f"other_{name}"),
-        _count_if(rejected & F.array_contains(REASONS, c.TEMPORAL_REASON)).alias(f"early_{name}"),
-    ]
+    temporal = literal(c.TEMPORAL_REASON)
+    columns = {
+        f"valid_{name}": f"count_if({ACCEPTED})",
+        f"rejected_{name}": f"count_if(NOT {ACCEPTED})",
+        f"other_{name}": f"count_if(NOT {ACCEPTED} AND {REASONS} <> array({temporal}))",
+        f"early_{name}": f"count_if(NOT {ACCEPTED} AND array_contains({REASONS}, {temporal}))",
+    }
     if name == "orders":
-        clean = F.size(LOCAL_REASONS) == 0
-        columns += [
-            F.sum(F.when(clean, F.when(_equation_off(), 1).otherwise(0))).alias("equation_off"),
-            F.sum(F.when(clean, F.when(_unit_price_off(), 1).otherwise(0))).alias("unit_price_off"),
-            _count_if(F.col(ACCEPTED) & _lifecycle_broken()).alias("lifecycle_broken"),
-        ]
-    return w.staged(name).agg(*columns)
+        clean = f"size({LOCAL_REASONS}) = 0"
+        columns |= {
+            "equation_off": f"sum(CASE WHEN {clean} THEN CASE WHEN {EQUATION_OFF} THEN 1 ELSE 0 END END)",
+            "unit_price_off": f"sum(CASE WHEN {clean} THEN CASE WHEN {UNIT_PRICE_OFF} THEN 1 ELSE 0 END END)",
+            "lifecycle_broken": f"count_if({ACCEPTED} AND {LIFECYCLE_BROKEN})",
+        }
+    return _aggregate(w.staged(name), **columns)
 
 
 def _fact_recount(w: Warehouse) -> DataFrame:
     """Headline numbers recomputed from the facts, independently of the KPI plan."""
     per_user = w.fact_order.groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"),
-        _count_if(F.col("is_completed")).alias("done"),
-        F.sum(F.when(F.col("is_completed"), F.col("actual_payment")).otherwise(0)).alias("done_amount"),
-        _count_if(F.col("status_code").isin(*c.CANCELLED_OR_REFUNDED)).alias("off"),
+        *exprs(
+            "count(1) AS n",
+            "count_if(is_completed) AS done",
+            "sum(CASE WHEN is_completed THEN actual_payment ELSE 0 END) AS done_amount",
+            f"count_if({CALLED_OFF}) AS off",
+        )
     )
-    return per_user.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("fact_orders"),
-        F.count("user_id").alias("fact_customers"),
-        F.sum("done").alias("fact_completed"),
-        _count_if(F.col("done") > 0).alias("fact_completed_customers"),
-        F.round(F.sum("done_amount"), 2).alias("fact_completed_gmv"),
-        F.sum("off").alias("fact_called_off"),
-        _count_if(F.col("done") >= 2).alias("fact_repeat"),
+    return _aggregate(
+        per_user,
+        fact_orders="coalesce(sum(n), 0)",
+        fact_customers="count(user_id)",
+        fact_completed="sum(done)",
+        fact_completed_customers="count_if(done > 0)",
+        fact_completed_gmv="round(sum(done_amount), 2)",
+        fact_called_off="sum(off)",
+        fact_repeat="count_if(done >= 2)",
     )
 
 
@@ -200,14 +190,14 @@ def _row_counts(w: Warehouse) -> list[DataFrame]:
         "product_features": w.snapshot_product,
     }
     window = [
-        w.fact_order.agg(F.min("order_date").alias("first"), F.max("order_date").alias("last")),
-        w.fact_behavior.agg(F.min("behavior_date").alias("first"), F.max("behavior_date").alias("last")),
+        _aggregate(w.fact_order, first="min(order_date)", last="max(order_date)"),
+        _aggregate(w.fact_behavior, first="min(behavior_date)", last="max(behavior_date)"),
     ]
     return [
         *[_count(w.raw(name), f"raw_{name}") for name in c.HEADERS],
         *[_verdict_counts(w, name) for name in c.HEADERS],
         *[_count(rows, f"dwd_{name}") for name, rows in facts.items()],
-        union_all(window).agg(F.min("first").alias("min_event_date"), F.max("last").alias("max_event_date")),
+        _aggregate(union_all(window), min_event_date="min(first)", max_event_date="max(last)"),
     ]
 
 
@@ -222,41 +212,33 @@ def measurement(w: Warehouse) -> DataFrame:
         "cancelled_or_refunded_orders", "repeat_completed_customers", "behavior_events",
         "registered_users", "products", "quarantined_rows",
     )
-    previous = F.lag("user_count").over(Window.orderBy("stage_order"))
-    rising = w.sequential_funnel.select((F.col("user_count") > previous).alias("rises"))
-    user_findings, product_findings = user_feature_findings(w), product_feature_findings(w)
+    rising = w.sequential_funnel.selectExpr("user_count > lag(user_count) OVER (ORDER BY stage_order) AS rises")
     frames = [
         *_row_counts(w),
-        duplicates(w).agg(F.coalesce(F.sum("duplicate_rows"), F.lit(0)).alias("duplicate_rows")),
-        orphan_rows(w).agg(F.coalesce(F.sum("orphan_rows"), F.lit(0)).alias("orphan_rows")),
+        _aggregate(duplicates(w), duplicate_rows="coalesce(sum(duplicate_rows), 0)"),
+        _aggregate(orphan_rows(w), orphan_rows="coalesce(sum(orphan_rows), 0)"),
         _fact_recount(w),
-        user_findings.agg(
-            _sum_if(F.col("mismatch")).alias("user_mismatches"),
-            _sum_if(F.col("days_since_last_order") == c.LAST_ORDER_SENTINEL).alias("sentinels"),
-        ),
-        product_findings.agg(_sum_if(F.col("mismatch")).alias("product_mismatches")),
-        w.executive_kpis.select(*[F.col(name).alias(f"kpi_{name}") for name in kpi_names]),
-        w.daily_commerce.agg(
-            F.sum("total_orders").alias("daily_orders"),
-            F.round(F.sum("completed_gmv"), 2).alias("daily_completed_gmv"),
+        _aggregate(
+            user_feature_findings(w),
+            user_mismatches=_sum_if("mismatch"),
+            sentinels=_sum_if(f"days_since_last_order = {c.LAST_ORDER_SENTINEL}"),
         ),
-        rising.agg(F.count(F.lit(1)).alias("stages"), _sum_if(F.col("rises")).alias("stage_rises")),
-        w.customer_segments.agg(
-            F.sum("user_count").alias("segment_users"), F.sum("user_share").alias("segment_share")
+        _aggregate(product_feature_findings(w), product_mismatches=_sum_if("mismatch")),
+        w.executive_kpis.selectExpr(*[f"{name} AS kpi_{name}" for name in kpi_names]),
+        _aggregate(
+            w.daily_commerce, daily_orders="sum(total_orders)", daily_completed_gmv="round(sum(completed_gmv), 2)"
         ),
-        union_all([_count(rows, "n") for rows in w.serving.values()]).agg(
-            _sum_if(F.col("n") > 0).alias("filled_outputs")
+        _aggregate(rising, stages="count(1)", stage_rises=_sum_if("rises")),
+        _aggregate(w.customer_segments, segment_users="sum(user_count)", segment_share="sum(user_share)"),
+        _aggregate(
+            union_all([_count(rows, "n") for rows in w.serving.values()]), filled_outputs=_sum_if("n > 0")
         ),
     ]
     return side_by_side(frames)
 
 
-def _all_of(*conditions: Column) -> Column:
-    return reduce(Column.__and__, conditions)
-
-
-def _text(*parts: str | Column) -> Column:
-    return F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+def _joined(*parts: str) -> str:
+    return f"concat({', '.join(parts)})"
 
 
 def checks() -> list[Check]:
@@ -264,145 +246,140 @@ def checks() -> list[Check]:
 
     Names, severities, expected values and the form of the observed value are fixed.
     """
-    v = F.col
     names = list(c.HEADERS)
 
-    def over_tables(prefix: str) -> Column:
-        return sum((v(f"{prefix}_{name}") for name in names[1:]), v(f"{prefix}_{names[0]}"))
+    def over_tables(prefix: str) -> str:
+        return "(" + " + ".join(f"{prefix}_{name}" for name in names) + ")"
 
-    rejected = over_tables("rejected")
-    kpi = lambda name: v(f"kpi_{name}")
-    tolerance = F.lit(c.AMOUNT_TOLERANCE).cast("decimal(18,2)")
+    def near(left: str, right: str) -> str:
+        return f"NOT {differs(left, right, c.AMOUNT_TOLERANCE)}"
 
-    def zero(name: str, measured: Column, severity: str, details: str, expected: str = "0") -> Check:
-        return Check(name, measured == 0, measured, expected, severity, details)
+    def zero(name: str, measured: str, severity: str, details: str, expected: str = "0") -> Check:
+        return Check(name, f"{measured} = 0", measured, expected, severity, details)
 
+    rejected = over_tables("rejected")
     return [
         Check(
             "all_source_tables_non_empty",
-            F.least(*[v(f"raw_{n}") for n in names]) > 0,
-            F.concat_ws(",", *[v(f"raw_{n}").cast("string") for n in names]),
+            f"least({', '.join(f'raw_{n}' for n in names)}) > 0",
+            f"concat_ws(',', {', '.join(f'raw_{n}' for n in names)})",
             "all six tables > 0", CRITICAL, "No input table may be empty.",
         ),
         Check(
             "raw_ods_row_reconciliation",
-            _all_of(*[v(f"raw_{n}") == v(f"valid_{n}") + v(f"rejected_{n}") for n in names]),
-            _text("quarantine=", rejected),
+            all_of(*[f"raw_{n} = valid_{n} + rejected_{n}" for n in names]),
+            _joined("'quarantine='", rejected),
             "raw=valid+quarantine for all tables", CRITICAL, "A source row ends up valid or quarantined, once.",
         ),
         zero("non_temporal_quarantine_empty", over_tables("other"), CRITICAL,
              "Rows rejected for anything but an event before registration block the release."),
-        zero("primary_keys_unique", v("duplicate_rows"), CRITICAL, "Each table's key identifies one row."),
-        zero("foreign_keys_complete", v("orphan_rows"), CRITICAL, "Valid orders and behaviors have valid parents."),
+        zero("primary_keys_unique", "duplicate_rows", CRITICAL, "Each table's key identifies one row."),
+        zero("foreign_keys_complete", "orphan_rows", CRITICAL, "Valid orders and behaviors have valid parents."),
         Check(
-            "ods_dwd_order_reconciliation", v("valid_orders") == v("fact_orders"),
-            _text(v("valid_orders"), "=", v("fact_orders")),
+            "ods_dwd_order_reconciliation", "valid_orders = fact_orders",
+            _joined("valid_orders", "'='", "fact_orders"),
             "ods_orders=dwd_orders", CRITICAL, "The order fact holds every valid order.",
         ),
         Check(
-            "ods_dwd_behavior_reconciliation", v("valid_user_behaviors") == v("dwd_user_behaviors"),
-            _text(v("valid_user_behaviors"), "=", v("dwd_user_behaviors")),
+            "ods_dwd_behavior_reconciliation", "valid_user_behaviors = dwd_user_behaviors",
+            _joined("valid_user_behaviors", "'='", "dwd_user_behaviors"),
             "ods_behaviors=dwd_behaviors", CRITICAL, "The behavior fact holds every valid behavior.",
         ),
-        zero("amount_equation_valid", v("equation_off"), CRITICAL, "Total minus discount is what was paid."),
-        zero("order_lifecycle_dates_valid", v("lifecycle_broken"), CRITICAL,
+        zero("amount_equation_valid", "equation_off", CRITICAL, "Total minus discount is what was paid."),
+        zero("order_lifecycle_dates_valid", "lifecycle_broken", CRITICAL,
              "Delivery and receipt times fit the order's state and order."),
-        zero("user_feature_snapshot_reconciles", v("user_mismatches"), CRITICAL,
+        zero("user_feature_snapshot_reconciles", "user_mismatches", CRITICAL,
              "User features equal a recount of the source rows."),
-        zero("product_feature_snapshot_reconciles", v("product_mismatches"), CRITICAL,
+        zero("product_feature_snapshot_reconciles", "product_mismatches", CRITICAL,
              "Product features equal a recount of the source rows."),
         Check(
             "executive_kpis_reconcile",
-            _all_of(
-                kpi("total_orders") == v("fact_orders"),
-                kpi("ordering_customers") == v("fact_customers"),
-                kpi("completed_orders") == v("fact_completed"),
-                kpi("completed_customers") == v("fact_completed_customers"),
-                F.abs(kpi("completed_gmv") - v("fact_completed_gmv")) <= tolerance,
-                kpi("cancelled_or_refunded_orders") == v("fact_called_off"),
-                kpi("repeat_completed_customers") == v("fact_repeat"),
-                kpi("behavior_events") == v("dwd_user_behaviors"),
-                kpi("registered_users") == v("dwd_users"),
-                kpi("products") == v("dwd_products"),
-                kpi("quarantined_rows") == rejected,
+            all_of(
+                "kpi_total_orders = fact_orders",
+                "kpi_ordering_customers = fact_customers",
+                "kpi_completed_orders = fact_completed",
+                "kpi_completed_customers = fact_completed_customers",
+                near("kpi_completed_gmv", "fact_completed_gmv"),
+                "kpi_cancelled_or_refunded_orders = fact_called_off",
+                "kpi_repeat_completed_customers = fact_repeat",
+                "kpi_behavior_events = dwd_user_behaviors",
+                "kpi_registered_users = dwd_users",
+                "kpi_products = dwd_products",
+                f"kpi_quarantined_rows = {rejected}",
             ),
-            _text("orders=", kpi("total_orders"), ",behaviors=", kpi("behavior_events"),
-                  ",quarantine=", kpi("quarantined_rows")),
+            _joined("'orders='", "kpi_total_orders", "',behaviors='", "kpi_behavior_events", "',quarantine='",
+                    "kpi_quarantined_rows"),
             "ADS equals independent DWD recomputation", CRITICAL, "Headline numbers equal a recount of the facts.",
         ),
         Check(
             "daily_orders_reconcile",
-            _all_of(
-                v("daily_orders") == v("fact_orders"),
-                F.abs(v("daily_completed_gmv") - v("fact_completed_gmv")) <= tolerance,
-            ),
-            _text("orders=", v("daily_orders"), ",completed=", v("daily_completed_gmv")),
+            all_of("daily_orders = fact_orders", near("daily_completed_gmv", "fact_completed_gmv")),
+            _joined("'orders='", "daily_orders", "',completed='", "daily_completed_gmv"),
             "daily totals = DWD totals", CRITICAL, "The days add up to the order fact.",
         ),
         Check(
             "sequential_funnel_monotonic",
-            _all_of(v("stages") == 4, v("stage_rises") == 0),
-            _text("stages=", v("stages"), ",violations=", v("stage_rises")),
+            "stages = 4 AND stage_rises = 0",
+            _joined("'stages='", "stages", "',violations='", "stage_rises"),
             "stages=4,violations=0", CRITICAL, "A funnel stage is never larger than the one before.",
         ),
         Check(
             "customer_segments_reconcile",
-            _all_of(v("segment_users") == v("dwd_users"), F.abs(v("segment_share") - 1.0) <= 0.001),
-            _text("users=", v("segment_users"), ",share=", F.round(v("segment_share"), 4)),
+            "segment_users = dwd_users AND abs(segment_share - 1.0D) <= 0.001D",
+            _joined("'users='", "segment_users", "',share='", "round(segment_share, 4)"),
             "segments cover all users exactly once", CRITICAL, "Every user is in one segment.",
         ),
-        Check("ads_outputs_non_empty", v("filled_outputs") == 7, v("filled_outputs"), "7", CRITICAL,
+        Check("ads_outputs_non_empty", "filled_outputs = 7", "filled_outputs", "7", CRITICAL,
               "Every published aggregate has rows."),
         zero("quarantined_source_rows_reported", rejected, WARNING,
              "Quarantined rows are set apart and take no part in the aggregates.", "reported and excluded"),
         zero("pre_registration_events_reported", over_tables("early"), WARNING,
              "Orders and behaviors dated before the user's registration are quarantined.", "reported and excluded"),
-        zero("unit_price_total_difference_reported", v("unit_price_off"), WARNING,
+        zero("unit_price_total_difference_reported", "unit_price_off", WARNING,
              "The total is authoritative; unit price times quantity is only compared.", "reported only"),
-        zero("feature_last_order_sentinel_reported", v("sentinels"), WARNING,
+        zero("feature_last_order_sentinel_reported", "sentinels", WARNING,
              "Sentinel ages of the last order are counted and otherwise unused.", "reported only"),
     ]
 
 
 def quality_checks(measured: DataFrame) -> DataFrame:
-    return measured.select(F.inline(F.array(*[check.row() for check in checks()])))
+    return measured.selectExpr(rows_of(check.row() for check in checks()))
 
 
 # --- gate, summary, profile ---------------------------------------------------------------------
 
+BLOCKING = f"lower(severity) = '{CRITICAL}' AND lower(check_status) <> '{PASS}'"
+
 
 def blocking(health: DataFrame) -> DataFrame:
     """Critical checks that did not pass, a warning on a critical check included."""
-    return health.filter(
-        (F.lower("severity") == CRITICAL) & (F.lower("check_status") != PASS)
-    )
+    return health.filter(BLOCKING)
 
 
 def quality_summary(health: DataFrame) -> DataFrame:
-    status = F.lower("check_status")
-    stop = (F.lower("severity") == CRITICAL) & (status != PASS)
-    return health.agg(
-        F.count(F.lit(1)).alias("total_checks"),
-        _count_if(status == PASS).alias("passed_checks"),
-        _count_if(status == FAIL).alias("failed_checks"),
-        _count_if(status == WARN).alias("warning_checks"),
-        F.array_join(F.array_sort(F.collect_list(F.when(stop, F.col("check_name")))), ",").alias("blocking_checks"),
-        F.when(_count_if(stop) > 0, FAIL).otherwise(PASS).alias("status"),
+    return _aggregate(
+        health,
+        total_checks="count(1)",
+        passed_checks=f"count_if(lower(check_status) = '{PASS}')",
+        failed_checks=f"count_if(lower(check_status) = '{FAIL}')",
+        warning_checks=f"count_if(lower(check_status) = '{WARN}')",
+        blocking_checks=f"array_join(array_sort(collect_list(CASE WHEN {BLOCKING} THEN check_name END)), ',')",
+        status=f"CASE WHEN count_if({BLOCKING}) > 0 THEN '{FAIL}' ELSE '{PASS}' END",
     )
 
 
 def row_profile(measured: DataFrame) -> DataFrame:
     """Rows per table at each layer, quarantined rows and the window of event dates."""
 
-    def over_tables(layer: str) -> Column:
-        return reduce(Column.__add__, [F.col(f"{layer}_{name}") for name in c.HEADERS])
+    def over_tables(layer: str) -> str:
+        return " + ".join(f"{layer}_{name}" for name in c.HEADERS)
 
-    return measured.select(
-        over_tables("raw").alias("raw_rows"),
-        over_tables("valid").alias("valid_rows"),
-        over_tables("rejected").alias("quarantine_rows"),
-        over_tables("dwd").alias("dwd_rows"),
-        *[F.col(f"{layer}_{name}") for layer in ("raw", "valid", "dwd") for name in c.HEADERS],
+    return measured.selectExpr(
+        f"{over_tables('raw')} AS raw_rows",
+        f"{over_tables('valid')} AS valid_rows",
+        f"{over_tables('rejected')} AS quarantine_rows",
+        f"{over_tables('dwd')} AS dwd_rows",
+        *[f"{layer}_{name}" for layer in ("raw", "valid", "dwd") for name in c.HEADERS],
         "min_event_date", "max_event_date",
     )
 
@@ -411,7 +388,6 @@ def evidence_reconciliation(
     kpi_row: DataFrame, profile: DataFrame, summary: DataFrame, data_mode: str, source_status: str
 ) -> DataFrame:
     """Does a release's evidence agree with itself?  One row per statement."""
-    v = F.col
     row = side_by_side(
         [
             kpi_row.select("total_orders", "completed_orders", "completed_customers", "completion_rate",
@@ -421,28 +397,20 @@ def evidence_reconciliation(
             summary.select("total_checks", "passed_checks", "failed_checks", "warning_checks", "status"),
         ]
     )
-    rate = v("completed_orders").cast("double") / F.nullif(v("total_orders"), F.lit(0))
+    disclosed = c.SOURCE_STATUS_BY_MODE.get(data_mode.upper()) == source_status.upper()
     statements = {
-        "check_counts_add_up": v("passed_checks") + v("failed_checks") + v("warning_checks") == v("total_checks"),
-        "quality_gate_passed": (v("status") == PASS) & (v("failed_checks") == 0),
-        "raw_equals_valid_plus_quarantine": v("raw_rows") == v("valid_rows") + v("quarantine_rows"),
-        "valid_equals_facts": v("valid_rows") == v("dwd_rows"),
-        "completed_within_total": v("completed_orders") <= v("total_orders"),
-        "customers_within_completed": v("completed_customers") <= v("completed_orders"),
-        "completion_rate_agrees": F.coalesce(F.abs(v("completion_rate") - rate) <= 0.0001, v("total_orders") == 0),
-        "orders_equal_profile": v("total_orders") == v("valid_orders"),
-        "behaviors_equal_profile": v("behavior_events") == v("valid_user_behaviors"),
-        "mode_discloses_source": F.lit(
-            c.SOURCE_STATUS_BY_MODE.get(data_mode.upper()) == source_status.upper()
-        ),
+        "check_counts_add_up": "passed_checks + failed_checks + warning_checks = total_checks",
+        "quality_gate_passed": f"status = '{PASS}' AND failed_checks = 0",
+        "raw_equals_valid_plus_quarantine": "raw_rows = valid_rows + quarantine_rows",
+        "valid_equals_facts": "valid_rows = dwd_rows",
+        "completed_within_total": "completed_orders <= total_orders",
+        "customers_within_completed": "completed_customers <= completed_orders",
+        "completion_rate_agrees":
+            "total_orders = 0 OR abs(completion_rate - CAST(completed_orders AS DOUBLE) / nullif(total_orders, 0)) <= 0.0001D",
+        "orders_equal_profile": "total_orders = valid_orders",
+        "behaviors_equal_profile": "behavior_events = valid_user_behaviors",
+        "mode_discloses_source": literal(disclosed),
     }
-    return row.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(F.lit(name).alias("statement"), F.coalesce(holds, F.lit(False)).alias("holds"))
-                    for name, holds in statements.items()
-                ]
-            )
-        )
+    return row.selectExpr(
+        rows_of({"statement": literal(name), "holds": f"coalesce({holds}, false)"} for name, holds in statements.items())
     )

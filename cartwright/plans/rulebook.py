@@ -5,19 +5,19 @@ Rule codes are fixed values and stand in evaluation order.
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from cartwright import contract as c
 from cartwright.functions.parsing import (
     MONEY,
     WHOLE_DECIMAL,
+    any_of,
+    blank,
     blank_to_null,
     differs,
     has_fraction,
-    is_blank,
+    listed,
+    literal,
     parsed,
     parsed_if_present,
     trimmed,
@@ -29,8 +29,8 @@ CORRUPT = "corrupt_record"
 LINEAGE = ("source_file", "ingested_at")
 
 
-def raw(name: str) -> Column:
-    return F.col(f"{name}_raw")
+def raw(name: str) -> str:
+    return f"{name}_raw"
 
 
 def raw_contract(source: DataFrame, table: str) -> DataFrame:
@@ -38,68 +38,63 @@ def raw_contract(source: DataFrame, table: str) -> DataFrame:
 
     A source without corrupt-record or lineage columns gets NULLs for them.
     """
-    fields = [
-        F.col(f"`{header}`").cast("string").alias(c.ASCII_NAMES.get(header, header) + "_raw")
-        for header in c.HEADERS[table]
-    ]
-
-    def extra(name: str, target: str, dtype: str) -> Column:
-        present = name in source.columns
-        return (F.col(name) if present else F.lit(None)).cast(dtype).alias(target)
-
-    return source.select(
-        *fields,
-        extra("_corrupt_record", CORRUPT, "string"),
-        extra("_source_file", "source_file", "string"),
-        extra("_ingested_at", "ingested_at", "timestamp"),
+
+    def extra(name: str, target: str, dtype: str) -> str:
+        return f"CAST({name if name in source.columns else 'NULL'} AS {dtype}) AS {target}"
+
+    return source.selectExpr(
+        *[f"CAST(`{h}` AS STRING) AS {raw(c.ASCII_NAMES.get(h, h))}" for h in c.HEADERS[table]],
+        extra("_corrupt_record", CORRUPT, "STRING"),
+        extra("_source_file", "source_file", "STRING"),
+        extra("_ingested_at", "ingested_at", "TIMESTAMP"),
     )
 
 
 def _malformed() -> Rule:
-    return Rule("malformed_csv", ~is_blank(F.col(CORRUPT)))
+    return Rule("malformed_csv", f"NOT {blank(CORRUPT)}")
 
 
 def _bad_id(name: str, pattern: str) -> Rule:
-    return Rule(f"invalid_{name}", is_blank(raw(name)) | ~F.col(name).rlike(pattern))
+    return Rule(f"invalid_{name}", f"{blank(raw(name))} OR NOT {name} RLIKE {literal(pattern)}")
 
 
 def _unparsed(value: str, code: str | None = None) -> Rule:
-    return Rule(code or f"invalid_{value}_parse", F.col(value).isNull())
+    return Rule(code or f"invalid_{value}_parse", f"{value} IS NULL")
 
 
-def _outside(value: str, low: float, high: float) -> Rule:
-    return Rule(f"invalid_{value}", ~F.col(value).between(low, high))
+def _outside(value: str, low: int, high: int) -> Rule:
+    return Rule(f"invalid_{value}", f"{value} NOT BETWEEN {low} AND {high}")
 
 
 def _negative(code: str, *values: str) -> Rule:
-    return Rule(code, reduce(Column.__or__, [F.col(v) < 0 for v in values]))
+    return Rule(code, any_of(f"{v} < 0" for v in values))
 
 
 def _not_listed(name: str, allowed: tuple[str, ...]) -> Rule:
-    return Rule(f"invalid_{name}", is_blank(raw(name)) | ~F.col(name).isin(*allowed))
+    return Rule(f"invalid_{name}", f"{blank(raw(name))} OR {name} NOT IN ({listed(allowed)})")
 
 
 def _missing(code: str, *names: str) -> Rule:
-    return Rule(code, reduce(Column.__or__, [is_blank(raw(n)) for n in names]))
+    return Rule(code, any_of(blank(raw(n)) for n in names))
 
 
-def _bad_optional(code: str, name: str, value: str, low: float | None = None, high: float | None = None) -> Rule:
-    bad = F.col(value).isNull()
-    if low is not None:
-        bad = bad | ~F.col(value).between(low, high)
-    return Rule(code, ~is_blank(raw(name)) & bad)
+def _bad_optional(code: str, name: str, value: str, outside: tuple[int, int] | None = None) -> Rule:
+    bad = [f"{value} IS NULL"]
+    if outside:
+        bad.append(f"{value} NOT BETWEEN {outside[0]} AND {outside[1]}")
+    return Rule(code, f"NOT {blank(raw(name))} AND {any_of(bad)}")
 
 
-def _texts(*names: str) -> dict[str, Column]:
+def _texts(*names: str) -> dict[str, str]:
     return {name: trimmed(raw(name)) for name in names}
 
 
-def _typed(dtype: str, *names: str) -> dict[str, Column]:
+def _typed(dtype: str, *names: str) -> dict[str, str]:
     return {name: parsed(raw(name), dtype) for name in names}
 
 
-def _as_is(*names: str) -> dict[str, Column]:
-    return {name: F.col(name) for name in names}
+def _as_is(*names: str) -> dict[str, str]:
+    return {name: name for name in names}
 
 
 def users(ids: c.IdFormats) -> TableRules:
@@ -108,9 +103,9 @@ def users(ids: c.IdFormats) -> TableRules:
         key="user_id",
         parse={
             **_texts("user_id", "gender", "province", "city", "member_level"),
-            **_typed("int", "age", "credit_score"),
+            **_typed("INT", "age", "credit_score"),
             **_typed(MONEY, "account_balance"),
-            "registration_ts": parsed(raw("registration_date"), "timestamp"),
+            "registration_ts": parsed(raw("registration_date"), "TIMESTAMP"),
         },
         rules=[
             _malformed(),
@@ -140,7 +135,7 @@ def products(ids: c.IdFormats) -> TableRules:
         parse={
             **_texts("product_id", "product_name", "category", "brand"),
             **_typed(MONEY, "price"),
-            **_typed("bigint", "sales_count"),
+            **_typed("BIGINT", "sales_count"),
         },
         rules=[
             _malformed(),
@@ -164,12 +159,12 @@ def orders(ids: c.IdFormats) -> TableRules:
         key="order_id",
         parse={
             **_texts("order_id", "user_id", "product_id", "order_status", "payment_method"),
-            **_typed("int", "quantity"),
+            **_typed("INT", "quantity"),
             **_typed(MONEY, *amounts),
-            "order_ts": parsed(raw("order_date"), "timestamp"),
-            "delivery_ts": parsed_if_present(raw("delivery_date"), "timestamp"),
-            "receive_ts": parsed_if_present(raw("receive_date"), "timestamp"),
-            "review_score": parsed_if_present(raw("review_score"), "int"),
+            "order_ts": parsed(raw("order_date"), "TIMESTAMP"),
+            "delivery_ts": parsed_if_present(raw("delivery_date"), "TIMESTAMP"),
+            "receive_ts": parsed_if_present(raw("receive_date"), "TIMESTAMP"),
+            "review_score": parsed_if_present(raw("review_score"), "INT"),
             "review_content": blank_to_null(raw("review_content")),
         },
         rules=[
@@ -178,7 +173,7 @@ def orders(ids: c.IdFormats) -> TableRules:
             _bad_id("user_id", ids.user),
             _bad_id("product_id", ids.product),
             _unparsed("quantity"),
-            Rule("invalid_quantity", F.col("quantity") <= 0),
+            Rule("invalid_quantity", "quantity <= 0"),
             _unparsed("order_ts", "invalid_order_date"),
             _not_listed("order_status", tuple(s.source_status for s in c.ORDER_STATUSES)),
             _missing("missing_payment_method", "payment_method"),
@@ -186,11 +181,11 @@ def orders(ids: c.IdFormats) -> TableRules:
             _negative("invalid_amount", *amounts),
             Rule(
                 "amount_equation_mismatch",
-                differs(F.col("total_amount") - F.col("discount"), F.col("actual_payment"), c.AMOUNT_TOLERANCE),
+                differs("total_amount - discount", "actual_payment", c.AMOUNT_TOLERANCE),
             ),
             _bad_optional("invalid_delivery_date", "delivery_date", "delivery_ts"),
             _bad_optional("invalid_receive_date", "receive_date", "receive_ts"),
-            _bad_optional("invalid_review_score", "review_score", "review_score", 1, 5),
+            _bad_optional("invalid_review_score", "review_score", "review_score", (1, 5)),
         ],
         keep=_as_is(
             "order_id", "user_id", "product_id", "quantity", "order_ts", "order_status",
@@ -206,8 +201,8 @@ def user_behaviors(ids: c.IdFormats) -> TableRules:
         key="behavior_id",
         parse={
             **_texts("behavior_id", "user_id", "product_id", "behavior_type"),
-            **_typed("int", "duration_seconds"),
-            "behavior_ts": parsed(raw("behavior_time"), "timestamp"),
+            **_typed("INT", "duration_seconds"),
+            "behavior_ts": parsed(raw("behavior_time"), "TIMESTAMP"),
         },
         rules=[
             _malformed(),
@@ -231,7 +226,7 @@ def user_features(ids: c.IdFormats) -> TableRules:
     counts = order_counts + behavior_counts
 
     def integral(name: str) -> list[Rule]:
-        return [_unparsed(name), Rule(f"invalid_{name}", has_fraction(F.col(name)))]
+        return [_unparsed(name), Rule(f"invalid_{name}", has_fraction(name))]
 
     return TableRules(
         name="user_features",
@@ -240,9 +235,9 @@ def user_features(ids: c.IdFormats) -> TableRules:
             **_texts("user_id", "consumption_level"),
             **_typed(MONEY, "total_spent"),
             **_typed(WHOLE_DECIMAL, *counts),
-            **_typed("decimal(18,4)", "avg_order_amount"),
-            **_typed("int", "days_since_last_order", "repurchase_indicator", "member_level_score"),
-            **_typed("double", "order_frequency", "purchase_intent"),
+            **_typed("DECIMAL(18,4)", "avg_order_amount"),
+            **_typed("INT", "days_since_last_order", "repurchase_indicator", "member_level_score"),
+            **_typed("DOUBLE", "order_frequency", "purchase_intent"),
         },
         rules=[
             _malformed(),
@@ -257,15 +252,15 @@ def user_features(ids: c.IdFormats) -> TableRules:
             _unparsed("purchase_intent"),
             _unparsed("member_level_score"),
             _negative("invalid_feature_value", "total_spent", "avg_order_amount", *counts),
-            Rule("invalid_repurchase_indicator", ~F.col("repurchase_indicator").isin(0, 1)),
+            Rule("invalid_repurchase_indicator", "repurchase_indicator NOT IN (0, 1)"),
             _outside("purchase_intent", 0, 1),
             _not_listed("consumption_level", c.CONSUMPTION_LEVELS),
         ],
         keep={
             **_as_is("user_id", "total_spent"),
-            **{name: whole_number(F.col(name)) for name in order_counts},
+            **{name: whole_number(name) for name in order_counts},
             **_as_is("avg_order_amount"),
-            **{name: whole_number(F.col(name)) for name in behavior_counts},
+            **{name: whole_number(name) for name in behavior_counts},
             **_as_is(
                 "days_since_last_order", "order_frequency", "repurchase_indicator",
                 "purchase_intent", "consumption_level", "member_level_score",
@@ -285,9 +280,9 @@ def product_features(ids: c.IdFormats) -> TableRules:
         parse={
             **_texts("product_id"),
             **_typed(MONEY, "total_revenue"),
-            **_typed("bigint", *counts),
-            **_typed("double", "conversion_rate", "popularity_score"),
-            "avg_review_score": parsed_if_present(raw("avg_review_score"), "double"),
+            **_typed("BIGINT", *counts),
+            **_typed("DOUBLE", "conversion_rate", "popularity_score"),
+            "avg_review_score": parsed_if_present(raw("avg_review_score"), "DOUBLE"),
         },
         rules=[
             _malformed(),
@@ -298,7 +293,7 @@ def product_features(ids: c.IdFormats) -> TableRules:
             _unparsed("popularity_score"),
             _negative("invalid_feature_value", "total_revenue", *counts),
             _outside("conversion_rate", 0, 1),
-            _bad_optional("invalid_review_score", "avg_review_score", "avg_review_score", 1, 5),
+            _bad_optional("invalid_review_score", "avg_review_score", "avg_review_score", (1, 5)),
         ],
         keep=_as_is(
             "product_id", "total_revenue", *counts, "conversion_rate",

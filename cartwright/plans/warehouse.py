@@ -12,10 +12,9 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from cartwright import contract as c
-from cartwright.functions.parsing import MONEY, iso_weekday
+from cartwright.functions.parsing import MONEY, iso_weekday, literal
 from cartwright.operators.relations import decode, literal_table
 from cartwright.operators.validation import (
     ACCEPTED,
@@ -125,12 +124,10 @@ class Warehouse:
 
     @cached_property
     def dim_user(self) -> DataFrame:
-        band = F.lit(c.OLDEST_AGE_BAND)
-        for below, label in reversed(c.AGE_BANDS):
-            band = F.when(F.col("age") < below, label).otherwise(band)
-        return self.valid("users").select(
-            "user_id", "age", band.alias("age_band"), "gender", "province", "city",
-            F.to_date("registration_ts").alias("registration_date"),
+        bands = " ".join(f"WHEN age < {below} THEN {literal(label)}" for below, label in c.AGE_BANDS)
+        return self.valid("users").selectExpr(
+            "user_id", "age", f"CASE {bands} ELSE {literal(c.OLDEST_AGE_BAND)} END AS age_band",
+            "gender", "province", "city", "to_date(registration_ts) AS registration_date",
             "member_level", "account_balance", "credit_score",
         )
 
@@ -140,31 +137,21 @@ class Warehouse:
 
     @cached_property
     def fact_order(self) -> DataFrame:
-        nothing = F.lit(0).cast(MONEY)
-        rows = decode(
-            self.valid("orders").withColumnRenamed("order_status", "source_order_status"),
-            self.dim_order_status, "source_order_status", "source_status",
-        ).select(
-            "order_id", "user_id", "product_id", "quantity", "order_ts",
-            F.to_date("order_ts").alias("order_date"),
-            "source_order_status", "status_code", "status_order", "is_paid_lifecycle", "is_completed",
+        rows = decode(self.valid("orders"), self.dim_order_status, "order_status", "source_status").selectExpr(
+            "order_id", "user_id", "product_id", "quantity", "order_ts", "to_date(order_ts) AS order_date",
+            "order_status AS source_order_status", "status_code", "status_order", "is_paid_lifecycle", "is_completed",
             "payment_method", "unit_price", "total_amount", "discount", "actual_payment",
-            F.when(F.col("is_paid_lifecycle"), F.col("actual_payment")).otherwise(nothing).alias("paid_gmv"),
+            f"CASE WHEN is_paid_lifecycle THEN actual_payment ELSE CAST(0 AS {MONEY}) END AS paid_gmv",
             "delivery_ts", "receive_ts", "review_score", *LINEAGE,
         )
         return self.store.keep("dwd_fact_order", rows)
 
     @cached_property
     def fact_behavior(self) -> DataFrame:
-        rows = decode(
-            self.valid("user_behaviors").withColumnRenamed("behavior_type", "source_behavior_type"),
-            self.dim_behavior, "source_behavior_type", "source_behavior",
-        ).select(
-            "behavior_id", "user_id", "product_id", "source_behavior_type", "behavior_code",
-            "behavior_group", "stage_order", "behavior_ts",
-            F.to_date("behavior_ts").alias("behavior_date"),
-            F.hour("behavior_ts").alias("behavior_hour"),
-            "duration_seconds", *LINEAGE,
+        rows = decode(self.valid("user_behaviors"), self.dim_behavior, "behavior_type", "source_behavior").selectExpr(
+            "behavior_id", "user_id", "product_id", "behavior_type AS source_behavior_type", "behavior_code",
+            "behavior_group", "stage_order", "behavior_ts", "to_date(behavior_ts) AS behavior_date",
+            "hour(behavior_ts) AS behavior_hour", "duration_seconds", *LINEAGE,
         )
         return self.store.keep("dwd_fact_behavior", rows)
 
@@ -178,21 +165,17 @@ class Warehouse:
 
     @cached_property
     def dim_date(self) -> DataFrame:
-        seen = (
-            self.fact_order.select(F.col("order_date").alias("calendar_date"))
-            .union(self.fact_behavior.select("behavior_date"))
-            .distinct()
-        )
-        day = F.col("calendar_date")
-        return seen.select(
-            day,
-            F.year(day).alias("calendar_year"),
-            F.quarter(day).alias("calendar_quarter"),
-            F.month(day).alias("calendar_month"),
-            F.dayofmonth(day).alias("day_of_month"),
-            F.weekofyear(day).alias("week_of_year"),
-            iso_weekday(day).alias("day_of_week"),
-            (iso_weekday(day) >= 6).alias("is_weekend"),
+        ordered = self.fact_order.selectExpr("order_date AS calendar_date")
+        seen = ordered.union(self.fact_behavior.select("behavior_date")).distinct()
+        return seen.selectExpr(
+            "calendar_date",
+            "year(calendar_date) AS calendar_year",
+            "quarter(calendar_date) AS calendar_quarter",
+            "month(calendar_date) AS calendar_month",
+            "day(calendar_date) AS day_of_month",
+            "weekofyear(calendar_date) AS week_of_year",
+            f"{iso_weekday('calendar_date')} AS day_of_week",
+            f"{iso_weekday('calendar_date')} >= 6 AS is_weekend",
         )
 
     # --- summaries and serving tables ------------------------------------------------------

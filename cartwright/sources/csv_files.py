@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterable, Mapping
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cartwright import contract as c
+from cartwright.functions.parsing import all_of, exprs, listed, literal, named, parsed
 from cartwright.operators.validation import union_all
 
 CORRUPT = "_corrupt_record"
@@ -77,32 +79,27 @@ def inspect_table(spark: SparkSession, path: str, table: str) -> DataFrame:
     the split that starts the file, so no file is read twice.
     """
     headers = c.HEADERS[table]
-    record = F.struct(*[F.col(f"`{name}`").alias(f"h{i}") for i, name in enumerate(headers)], F.col(CORRUPT))
-    rows = _reader(spark, headers, False).csv(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.when(F.col("_metadata.file_block_start") == 0, F.monotonically_increasing_id()).alias("position"),
-        F.col(CORRUPT).isNotNull().alias("malformed"),
-        record.alias("record"),
+    fields = ", ".join(f"'h{i}', `{name}`" for i, name in enumerate(headers))
+    rows = _reader(spark, headers, False).csv(path).selectExpr(
+        "_metadata.file_path AS file",
+        "CASE WHEN _metadata.file_block_start = 0 THEN monotonically_increasing_id() END AS position",
+        f"CAST({CORRUPT} IS NOT NULL AS INT) AS malformed",
+        f"named_struct({fields}, 'malformed', CAST({CORRUPT} IS NOT NULL AS INT)) AS record",
     )
     per_file = rows.groupBy("file").agg(
-        F.count(F.lit(1)).alias("lines"),
-        F.count(F.when(F.col("malformed"), 1)).alias("malformed_lines"),
-        F.min_by("record", "position").alias("first"),
+        *exprs("count(1) AS lines", "sum(malformed) AS malformed_lines", "min_by(record, position) AS first")
     )
-    first_name = F.regexp_replace(F.col("first.h0"), "^﻿", "")
-    same = [first_name.eqNullSafe(headers[0])]
-    same += [F.col(f"first.h{i}").eqNullSafe(name) for i, name in enumerate(headers) if i]
-    same.append(F.col(f"first.{CORRUPT}").isNull())
-    header_ok = same[0]
-    for condition in same[1:]:
-        header_ok = header_ok & condition
-    bad_header = F.when(F.col(f"first.{CORRUPT}").isNotNull(), 1).otherwise(0)
+    # The first name may carry a byte-order mark.
+    names = ["replace(first.h0, '\ufeff', '')", *[f"first.h{i}" for i in range(1, len(headers))]]
+    header_ok = all_of("first.malformed = 0", *[f"{n} <=> {literal(h)}" for n, h in zip(names, headers, strict=True)])
     return per_file.agg(
-        F.lit(table).alias("table_name"),
-        F.count(F.lit(1)).alias("files"),
-        F.coalesce(F.bool_and(header_ok), F.lit(False)).alias("header_ok"),
-        F.coalesce(F.sum(F.col("lines") - 1), F.lit(0)).alias("data_rows"),
-        F.coalesce(F.sum(F.col("malformed_lines") - bad_header), F.lit(0)).alias("wrong_width_rows"),
+        *exprs(
+            f"{literal(table)} AS table_name",
+            "count(1) AS files",
+            f"coalesce(bool_and({header_ok}), false) AS header_ok",
+            "coalesce(sum(lines - 1), 0) AS data_rows",
+            "coalesce(sum(malformed_lines - first.malformed), 0) AS wrong_width_rows",
+        )
     )
 
 
@@ -131,35 +128,27 @@ def inspect_inputs(spark: SparkSession, folder: str) -> dict[str, dict]:
 # --- fingerprints ------------------------------------------------------------------------------
 
 
-def _limb(digest: Column, start: int) -> Column:
-    return F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)")
-
-
-def fingerprint(rows: DataFrame, name: str, columns: list[str]) -> DataFrame:
+def fingerprint(rows: DataFrame, name: str, columns: Iterable[str]) -> DataFrame:
     """Row count and an order-free SHA-256 over the rows' own digests.
 
     Sums of digest limbs combine on the map side and do not depend on file layout or
     row order; a repeated row changes the sum.
     """
-    text = F.concat_ws("\x1f", *[F.coalesce(F.col(f"`{n}`").cast("string"), F.lit("\x1e")) for n in columns])
-    digest = F.sha2(text, 256)
-    zero = F.lit(0).cast("decimal(38,0)")
-    return rows.select(digest.alias("d")).agg(
-        F.lit(name).alias("table_name"),
-        F.count(F.lit(1)).alias("row_count"),
-        F.sha2(
-            F.concat_ws(
-                ":",
-                F.coalesce(F.sum(_limb(F.col("d"), 1)), zero).cast("string"),
-                F.coalesce(F.sum(_limb(F.col("d"), 16)), zero).cast("string"),
-                F.count(F.lit(1)).cast("string"),
-            ),
-            256,
-        ).alias("content_sha256"),
+    fields = ", ".join(f"coalesce(CAST(`{n}` AS STRING), chr(30))" for n in columns)
+
+    def limb(start: int) -> str:
+        return f"coalesce(sum(CAST(conv(substring(d, {start}, 15), 16, 10) AS DECIMAL(38,0))), 0)"
+
+    return rows.selectExpr(f"sha2(concat_ws(chr(31), {fields}), 256) AS d").agg(
+        *exprs(
+            f"{literal(name)} AS table_name",
+            "count(1) AS row_count",
+            f"sha2(concat_ws(':', {limb(1)}, {limb(16)}, count(1)), 256) AS content_sha256",
+        )
     )
 
 
-def fingerprints(sources: dict[str, DataFrame]) -> DataFrame:
+def fingerprints(sources: Mapping[str, DataFrame]) -> DataFrame:
     return union_all([fingerprint(sources[t], t, list(headers)) for t, headers in c.HEADERS.items()])
 
 
@@ -171,12 +160,11 @@ def combine(digests: dict[str, str]) -> str:
 
 def combined_fingerprint(per_table: DataFrame) -> DataFrame:
     """One digest over (table, digest) in contract order."""
-    order = F.array_position(F.array(*[F.lit(t) for t in c.HEADERS]), F.col("table_name"))
-    entry = F.concat("table_name", F.lit("\n"), "content_sha256", F.lit("\n"))
-    parts = F.array_sort(F.collect_list(F.struct(order.alias("o"), entry.alias("e"))))
+    entry = "concat(table_name, '\\n', content_sha256, '\\n')"
+    order = f"array_position(array({listed(c.HEADERS)}), table_name)"
+    parts = f"array_sort(collect_list(struct({order} AS o, {entry} AS e)))"
     return per_table.agg(
-        F.sum("row_count").alias("row_count"),
-        F.sha2(F.array_join(F.transform(parts, lambda p: p["e"]), ""), 256).alias("combined_sha256"),
+        *exprs("sum(row_count) AS row_count", f"sha2(array_join({parts}.e, ''), 256) AS combined_sha256")
     )
 
 
@@ -213,15 +201,15 @@ DATE_COLUMNS = frozenset(
 def read_aggregate(spark: SparkSession, path: str) -> DataFrame:
     """Read a published aggregate; what does not parse becomes NULL."""
     rows = spark.read.option("header", True).csv(path)
-    typed = []
+    typed = {}
     for header in rows.columns:
-        name, column = header.strip().lower(), F.col(f"`{header}`")
+        name, value = header.strip().lower(), f"`{header}`"
         if name in NUMERIC_COLUMNS:
-            column = F.trim(column).try_cast("double")
+            value = parsed(value, "DOUBLE")
         elif name in DATE_COLUMNS:
-            column = F.trim(column).try_cast("timestamp")
-        typed.append(column.alias(name))
-    return rows.select(*typed)
+            value = parsed(value, "TIMESTAMP")
+        typed[name] = value
+    return rows.selectExpr(*named(typed))
 
 
 def read_aggregates(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], list[str]]:

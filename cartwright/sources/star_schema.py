@@ -9,11 +9,11 @@ from __future__ import annotations
 from collections.abc import Iterator, Mapping
 from functools import cached_property
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright import contract as c
-from cartwright.functions.parsing import MONEY
+from cartwright.functions.parsing import MONEY, exprs, listed, literal, named
 
 KEY = "_k"
 DELIVERED = ("shipped", "received", "completed")
@@ -137,90 +137,65 @@ class StarSources(Mapping):
 
 
 def _spoil(rows: DataFrame, spoils: list[tuple[str, int, int, str | None]]) -> DataFrame:
-    rows = rows.withColumn("_corrupt_record", F.lit(None).cast("string"))
-    damaged: dict[str, Column] = {}
+    damaged: dict[str, str] = {}
     for header, modulus, remainder, replacement in spoils:
-        before = damaged.get(header, F.col(f"`{header}`"))
-        hit = F.col(KEY) % modulus == remainder
-        damaged[header] = F.when(hit, F.lit(replacement).cast("string")).otherwise(before)
-    return rows.withColumns(damaged)
+        before = damaged.get(header, "CAST(NULL AS STRING)" if header == "_corrupt_record" else f"`{header}`")
+        damaged[header] = f"CASE WHEN {KEY} % {modulus} = {remainder} THEN {literal(replacement)} ELSE {before} END"
+    untouched = [f"`{name}`" for name in rows.columns if name not in damaged]
+    return rows.selectExpr(*untouched, *named(damaged))
 
 
-def _padded_id(prefix: str, key: Column, width: int) -> Column:
-    digits = key.cast("string")
-    return F.concat(F.lit(prefix), F.lpad(digits, F.greatest(F.lit(width), F.length(digits)), F.lit("0")))
+def _padded_id(prefix: str, key: str, width: int) -> str:
+    digits = f"CAST({key} AS STRING)"
+    return f"concat('{prefix}', lpad({digits}, greatest({width}, length({digits})), '0'))"
 
 
-def _lookup(values: dict[str, str], key: Column, otherwise: Column) -> Column:
-    chosen = otherwise
-    for source, target in values.items():
-        chosen = F.when(key == source, target).otherwise(chosen)
-    return chosen
+def _lookup(values: dict[str, str], key: str, otherwise: str = "NULL") -> str:
+    arms = " ".join(f"WHEN {literal(source)} THEN {literal(target)}" for source, target in values.items())
+    return f"CASE {key} {arms} ELSE {otherwise} END"
 
 
-def _int_div(numerator: Column, denominator: Column) -> Column:
-    """Integer quotient of non-negative numbers; NULL over zero."""
-    whole = numerator - numerator % F.nullif(denominator, F.lit(0).cast("bigint"))
-    return (whole / F.nullif(denominator, F.lit(0).cast("bigint"))).cast("bigint")
-
-
-def _fixed_point(units: Column, digits: int) -> Column:
+def _fixed_point(units: str, digits: int) -> str:
     """Non-negative units of the last digit as decimal text."""
-    base = F.lit(10**digits).cast("bigint")
-    fraction = F.lpad((units % base).cast("string"), digits, "0")
-    return F.concat(_int_div(units, base).cast("string"), F.lit("."), fraction)
-
-
-def _hundredths(cents: Column) -> Column:
-    return _fixed_point(cents, 2)
-
-
-def _ten_thousandths(n: Column) -> Column:
-    return _fixed_point(n, 4)
-
+    base = 10**digits
+    return f"concat(({units}) DIV {base}, '.', lpad(CAST(({units}) % {base} AS STRING), {digits}, '0'))"
 
-def _text(column: Column) -> Column:
-    return column.cast("string")
 
-
-def _named(key: Column, columns: dict[str, Column]) -> list[Column]:
-    return [key.alias(KEY), *[column.cast("string").alias(name) for name, column in columns.items()]]
+def _as_text(key: str, columns: dict[str, str]) -> list[str]:
+    return [f"{key} AS {KEY}", *named({name: f"CAST({text} AS STRING)" for name, text in columns.items()})]
 
 
 def _users(customer: DataFrame, nation: DataFrame) -> DataFrame:
-    k = F.col("c_custkey")
-    days = (k * 37 % 1500).cast("int")
-    registered = F.date_add(F.lit("2020-01-01").cast("date"), days)
-    return customer.join(nation, F.col("c_nationkey") == F.col("n_nationkey"), "left").select(
-        *_named(
-            k,
+    return customer.join(nation, customer["c_nationkey"] == nation["n_nationkey"], "left").selectExpr(
+        *_as_text(
+            "c_custkey",
             {
-                "user_id": _padded_id("U", k, 6),
-                "age": 13 + k % 90,
-                "gender": F.element_at(F.array(*[F.lit(g) for g in c.GENDERS]), (k % 3 + 1).cast("int")),
-                "province": F.col("n_name"),
-                "city": F.concat(F.lit("CITY_"), F.col("c_nationkey")),
-                "registration_date": F.concat(_text(registered), F.lit(" 00:00:00")),
-                "member_level": _lookup(MEMBER_LEVEL_OF_SEGMENT, F.col("c_mktsegment"), F.col("c_mktsegment")),
-                "account_balance": F.col("c_acctbal").cast(MONEY),
-                "credit_score": 300 + k * 13 % 700,
+                "user_id": _padded_id("U", "c_custkey", 6),
+                "age": "13 + c_custkey % 90",
+                "gender": f"element_at(array({listed(c.GENDERS)}), CAST(c_custkey % 3 + 1 AS INT))",
+                "province": "n_name",
+                "city": "concat('CITY_', c_nationkey)",
+                "registration_date":
+                    "concat(date_add(DATE '2020-01-01', CAST(c_custkey * 37 % 1500 AS INT)), ' 00:00:00')",
+                "member_level": _lookup(MEMBER_LEVEL_OF_SEGMENT, "c_mktsegment", "c_mktsegment"),
+                "account_balance": f"CAST(c_acctbal AS {MONEY})",
+                "credit_score": "300 + c_custkey * 13 % 700",
             },
         )
     )
 
 
 def _products(part: DataFrame) -> DataFrame:
-    k = F.col("p_partkey")
-    return part.select(
-        *_named(
-            k,
+    return part.selectExpr(
+        *_as_text(
+            "p_partkey",
             {
-                "product_id": _padded_id("P", k, 6),
-                "product_name": F.col("p_name"),
-                "category": F.col("p_type"),
-                "brand": F.when(k % 97 == 0, " ").otherwise(F.col("p_brand")),
-                "price": F.col("p_retailprice").cast(MONEY),
-                "sales_count": F.col("p_size") * 10,
+                "product_id": _padded_id("P", "p_partkey", 6),
+                "product_name": "p_name",
+                "category": "p_type",
+                "brand": "CASE WHEN p_partkey % 97 = 0 THEN ' ' ELSE p_brand END",
+                "price": f"CAST(p_retailprice AS {MONEY})",
+                "sales_count": "p_size * 10",
             },
         )
     )
@@ -228,182 +203,164 @@ def _products(part: DataFrame) -> DataFrame:
 
 def _order_rows(orders: DataFrame, lineitem: DataFrame) -> DataFrame:
     """Typed orders with their line totals in cents; an order without lines keeps NULL totals."""
-    hundred = F.lit(100).cast("bigint")
-    price = F.round(F.col("l_extendedprice") * 100).cast("bigint")
-    percent = F.round(F.col("l_discount") * 100).cast("bigint")
-    rebate = _int_div(price * percent + 50, hundred)
-    lines = lineitem.groupBy("l_orderkey").agg(
-        F.min("l_partkey").alias("product"),
-        F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
-        F.max(price).alias("unit_price"),
-        F.sum(price).alias("total"),
-        F.sum(rebate).alias("discount"),
-    )
-    low = F.col("o_orderpriority") == "5-LOW"
-    status = (
-        F.when((F.col("o_orderstatus") == "O") & low, "pending_payment")
-        .when(F.col("o_orderstatus") == "O", "paid")
-        .when((F.col("o_orderstatus") == "P") & F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"), "shipped")
-        .when(F.col("o_orderstatus") == "P", "received")
-        .when(low, "refunded")
-        .when(F.col("o_orderpriority") == "4-NOT SPECIFIED", "cancelled")
-        .otherwise("completed")
+    lines = (
+        lineitem.selectExpr(
+            "l_orderkey", "l_partkey", "CAST(l_quantity AS BIGINT) AS pieces",
+            "CAST(round(l_extendedprice * 100) AS BIGINT) AS price",
+            "CAST(round(l_discount * 100) AS BIGINT) AS percent",
+        )
+        .groupBy("l_orderkey")
+        .agg(
+            *exprs(
+                "min(l_partkey) AS product", "sum(pieces) AS quantity", "max(price) AS unit_price",
+                "sum(price) AS total", "sum((price * percent + 50) DIV 100) AS discount",
+            )
+        )
     )
-    # Orders of every tenth customer go to the neighbor, so some users never order.
-    buyer = F.col("o_custkey") - F.when(F.col("o_custkey") % 10 == 9, 1).otherwise(0)
-    moved = F.expr("CAST(o_orderdate AS TIMESTAMP_NTZ) + INTERVAL '25' YEAR")
-    return orders.join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left").select(
-        F.col("o_orderkey").alias("k"),
-        buyer.alias("buyer"),
-        moved.alias("at"),
-        status.alias("status"),
-        "product", "quantity", "unit_price", "total", "discount",
-        (F.col("total") - F.col("discount")).alias("paid"),
-        F.when((status == "completed") & (F.col("o_orderkey") % 2 == 0), 1 + F.col("o_orderkey") % 5).alias("score"),
+    status = """CASE
+        WHEN o_orderstatus = 'O' THEN IF(o_orderpriority = '5-LOW', 'pending_payment', 'paid')
+        WHEN o_orderstatus = 'P' THEN IF(o_orderpriority IN ('1-URGENT', '2-HIGH'), 'shipped', 'received')
+        WHEN o_orderpriority = '5-LOW' THEN 'refunded'
+        WHEN o_orderpriority = '4-NOT SPECIFIED' THEN 'cancelled'
+        ELSE 'completed' END"""
+    return (
+        orders.join(lines, orders["o_orderkey"] == lines["l_orderkey"], "left")
+        .selectExpr(
+            "o_orderkey AS k",
+            # Orders of every tenth customer go to the neighbor, so some users never order.
+            "o_custkey - IF(o_custkey % 10 = 9, 1, 0) AS buyer",
+            "CAST(o_orderdate AS TIMESTAMP_NTZ) + INTERVAL '25' YEAR AS at",
+            f"{status} AS status",
+            "product", "quantity", "unit_price", "total", "discount", "total - discount AS paid",
+        )
+        .selectExpr("*", "CASE WHEN status = 'completed' AND k % 2 = 0 THEN 1 + k % 5 END AS score")
     )
 
 
 def _orders(order_rows: DataFrame) -> DataFrame:
-    k, status, at = F.col("k"), F.col("status"), F.col("at")
-    delivered = status.isin(*DELIVERED) & (k % 211 != 0)
-    scored = F.col("score").isNotNull()
-    return order_rows.select(
-        *_named(
-            k,
+    return order_rows.selectExpr(
+        *_as_text(
+            "k",
             {
-                "order_id": _padded_id("O", k, 8),
-                "user_id": _padded_id("U", F.col("buyer"), 6),
-                "product_id": _padded_id("P", F.col("product"), 6),
-                "quantity": F.col("quantity"),
-                "order_date": at,
-                "order_status": _lookup(c.STATUS_TEXT, status, status),
-                "payment_method": F.concat(F.lit("method_"), k % 5),
-                "unit_price": _hundredths(F.col("unit_price")),
-                "total_amount": _hundredths(F.col("total")),
-                "discount": _hundredths(F.col("discount")),
-                "actual_payment": _hundredths(F.col("paid")),
-                "delivery_date": F.when(delivered, _text(at + F.expr("INTERVAL '2' DAY"))).otherwise(""),
-                "receive_date": F.when(status.isin(*RECEIVED), _text(at + F.expr("INTERVAL '4' DAY"))).otherwise(""),
-                "review_score": F.when(scored, _text(F.col("score"))).otherwise(""),
-                "review_content": F.when(scored, F.concat(F.lit("review "), k)).otherwise(""),
+                "order_id": _padded_id("O", "k", 8),
+                "user_id": _padded_id("U", "buyer", 6),
+                "product_id": _padded_id("P", "product", 6),
+                "quantity": "quantity",
+                "order_date": "at",
+                "order_status": _lookup(c.STATUS_TEXT, "status", "status"),
+                "payment_method": "concat('method_', k % 5)",
+                "unit_price": _fixed_point("unit_price", 2),
+                "total_amount": _fixed_point("total", 2),
+                "discount": _fixed_point("discount", 2),
+                "actual_payment": _fixed_point("paid", 2),
+                "delivery_date": f"CASE WHEN status IN ({listed(DELIVERED)}) AND k % 211 <> 0"
+                                 " THEN CAST(at + INTERVAL '2' DAY AS STRING) ELSE '' END",
+                "receive_date": f"CASE WHEN status IN ({listed(RECEIVED)})"
+                                " THEN CAST(at + INTERVAL '4' DAY AS STRING) ELSE '' END",
+                "review_score": "coalesce(CAST(score AS STRING), '')",
+                "review_content": "CASE WHEN score IS NOT NULL THEN concat('review ', k) ELSE '' END",
             },
         )
     )
 
 
 def _event_rows(events: DataFrame, part: DataFrame) -> DataFrame:
-    parts = part.agg(F.count(F.lit(1)).alias("parts")).scalar()
-    return events.select(
-        F.col("event_id").alias("k"),
-        F.col("user_id").alias("visitor"),
-        (F.col("event_id") % parts).alias("product"),
-        F.expr("CAST(ts AS TIMESTAMP_NTZ)").alias("at"),
-        _lookup(BEHAVIOR_OF_EVENT, F.col("event_type"), F.lit(None).cast("string")).alias("behavior"),
-        F.col("event_type"),
-        F.floor("value").alias("seconds"),
+    parts = part.agg(*exprs("count(1) AS parts")).scalar()
+    return events.withColumn("parts", parts).selectExpr(
+        "event_id AS k",
+        "user_id AS visitor",
+        "event_id % parts AS product",
+        "CAST(ts AS TIMESTAMP_NTZ) AS at",
+        f"{_lookup(BEHAVIOR_OF_EVENT, 'event_type')} AS behavior",
+        "event_type",
+        "floor(value) AS seconds",
     )
 
 
 def _behaviors(event_rows: DataFrame) -> DataFrame:
-    k = F.col("k")
-    return event_rows.select(
-        *_named(
-            k,
+    return event_rows.selectExpr(
+        *_as_text(
+            "k",
             {
-                "behavior_id": _padded_id("B", k, 8),
-                "user_id": _padded_id("U", F.col("visitor"), 6),
-                "product_id": _padded_id("P", F.col("product"), 6),
-                "behavior_type": F.coalesce(
-                    _lookup(c.BEHAVIOR_TEXT, F.col("behavior"), F.lit(None).cast("string")), F.col("event_type")
-                ),
-                "behavior_time": F.col("at"),
-                "duration_seconds": F.col("seconds"),
+                "behavior_id": _padded_id("B", "k", 8),
+                "user_id": _padded_id("U", "visitor", 6),
+                "product_id": _padded_id("P", "product", 6),
+                "behavior_type": _lookup(c.BEHAVIOR_TEXT, "behavior", "event_type"),
+                "behavior_time": "at",
+                "duration_seconds": "seconds",
             },
         )
     )
 
 
-def _per(order_rows: DataFrame, event_rows: DataFrame, buyer: str, visitor: str) -> tuple[DataFrame, DataFrame]:
+def _per(entity: DataFrame, key: str, order_rows: DataFrame, event_rows: DataFrame, buyer: str, visitor: str) -> DataFrame:
     """Order and behavior totals per entity over the rows that carry no local fault."""
-    status = F.col("status")
     ordered = (
-        order_rows.filter(F.col("product").isNotNull())
+        order_rows.filter("product IS NOT NULL")
         .groupBy(F.col(buyer).alias("ordered_by"))
         .agg(
-            F.count(F.lit(1)).alias("orders"),
-            F.count(F.when(status == "completed", 1)).alias("completed"),
-            F.count(F.when(status.isin(*c.CANCELLED_OR_REFUNDED), 1)).alias("cancelled"),
-            F.sum("paid").alias("cents"),
-            F.max("at").alias("last_at"),
-            F.sum("score").alias("scores"),
-            F.count("score").alias("scored"),
+            *exprs(
+                "count(1) AS orders", "count_if(status = 'completed') AS completed",
+                f"count_if(status IN ({listed(c.CANCELLED_OR_REFUNDED)})) AS cancelled", "sum(paid) AS cents",
+                "max(at) AS last_at", "sum(score) AS scores", "count(score) AS scored",
+            )
         )
     )
     behaved = (
-        event_rows.filter(F.col("behavior").isNotNull())
+        event_rows.filter("behavior IS NOT NULL")
         .groupBy(F.col(visitor).alias("seen_by"))
-        .agg(*[F.count(F.when(F.col("behavior") == b, 1)).alias(b) for b in c.BEHAVIOR_TEXT])
+        .agg(*exprs(*[f"count_if(behavior = '{b}') AS {b}" for b in c.BEHAVIOR_TEXT]))
+    )
+    counts = ("orders", "completed", "cancelled", "cents", "scored", *c.BEHAVIOR_TEXT)
+    rows = entity.select(F.col(key).alias("k"))
+    joined = rows.join(ordered, rows["k"] == ordered["ordered_by"], "left")
+    return joined.join(behaved, rows["k"] == behaved["seen_by"], "left").selectExpr(
+        "k", "last_at", "scores", *[f"coalesce({name}, 0L) AS {name}" for name in counts]
     )
-    return ordered, behaved
 
 
-def _or_zero(name: str) -> Column:
-    return F.coalesce(F.col(name), F.lit(0).cast("bigint"))
+_SEEN = "(" + " + ".join(c.BEHAVIOR_TEXT) + ")"
 
 
 def _user_features(customer: DataFrame, order_rows: DataFrame, event_rows: DataFrame) -> DataFrame:
-    ordered, behaved = _per(order_rows, event_rows, "buyer", "visitor")
-    k = F.col("c_custkey")
-    n, done, cents = _or_zero("orders"), _or_zero("completed"), _or_zero("cents")
-    counts = {b: _or_zero(b) for b in c.BEHAVIOR_TEXT}
-    nothing = F.lit(0).cast("bigint")
-    intent, seen = counts["favorite"] + counts["cart"], sum(counts.values(), F.lit(0))
-    # A fixed later day keeps the feature independent of the run date.
-    idle = F.datediff(F.lit("2030-01-01").cast("date"), F.to_date("last_at"))
-    rows = customer.select("c_custkey").join(ordered, k == F.col("ordered_by"), "left")
-    return rows.join(behaved, k == F.col("seen_by"), "left").select(
-        *_named(
-            k,
+    return _per(customer, "c_custkey", order_rows, event_rows, "buyer", "visitor").selectExpr(
+        *_as_text(
+            "k",
             {
-                "user_id": _padded_id("U", k, 6),
+                "user_id": _padded_id("U", "k", 6),
                 # An offset on some users lets the snapshot disagree with the facts.
-                "total_spent": _hundredths(cents + F.when(k % 97 == 0, 100).otherwise(0)),
-                "order_count": F.concat(n, F.lit(".0")),
-                "completed_orders": F.concat(done, F.lit(".0")),
-                "avg_order_amount": _hundredths(F.coalesce(_int_div(cents, n), nothing)),
-                **{f"{b}_count": F.concat(counts[b], F.lit(".0")) for b in c.BEHAVIOR_TEXT},
-                "days_since_last_order": F.coalesce(idle, F.lit(c.LAST_ORDER_SENTINEL)),
-                "order_frequency": F.concat(done, F.lit(".0")),
-                "repurchase_indicator": (n >= 2).cast("int"),
-                "purchase_intent": _ten_thousandths(F.coalesce(_int_div(intent * 10000, seen), nothing)),
-                "consumption_level": F.when(cents >= 500000000, "高").when(cents >= 100000000, "中").otherwise("低"),
-                "member_level_score": 1 + k % 5,
+                "total_spent": _fixed_point("cents + IF(k % 97 = 0, 100, 0)", 2),
+                "order_count": "concat(orders, '.0')",
+                "completed_orders": "concat(completed, '.0')",
+                "avg_order_amount": _fixed_point("coalesce(cents DIV nullif(orders, 0), 0)", 2),
+                **{f"{b}_count": f"concat({b}, '.0')" for b in c.BEHAVIOR_TEXT},
+                # A fixed later day keeps the feature independent of the run date.
+                "days_since_last_order":
+                    f"coalesce(datediff(DATE '2030-01-01', to_date(last_at)), {c.LAST_ORDER_SENTINEL})",
+                "order_frequency": "concat(completed, '.0')",
+                "repurchase_indicator": "IF(orders >= 2, 1, 0)",
+                "purchase_intent": _fixed_point(f"coalesce((favorite + cart) * 10000 DIV nullif({_SEEN}, 0), 0)", 4),
+                "consumption_level": "CASE WHEN cents >= 500000000 THEN '高' WHEN cents >= 100000000 THEN '中' ELSE '低' END",
+                "member_level_score": "1 + k % 5",
             },
         )
     )
 
 
 def _product_features(part: DataFrame, order_rows: DataFrame, event_rows: DataFrame) -> DataFrame:
-    ordered, behaved = _per(order_rows, event_rows, "product", "product")
-    k = F.col("p_partkey")
-    n, done, nothing = _or_zero("orders"), _or_zero("completed"), F.lit(0).cast("bigint")
-    counts = {b: _or_zero(b) for b in c.BEHAVIOR_TEXT}
-    rows = part.select("p_partkey").join(ordered, k == F.col("ordered_by"), "left")
-    return rows.join(behaved, k == F.col("seen_by"), "left").select(
-        *_named(
-            k,
+    return _per(part, "p_partkey", order_rows, event_rows, "product", "product").selectExpr(
+        *_as_text(
+            "k",
             {
-                "product_id": _padded_id("P", k, 6),
-                "total_revenue": _hundredths(_or_zero("cents")),
-                "total_sales": n + F.when(k % 89 == 1, 1).otherwise(0),
-                "completed_count": done,
-                "cancel_count": _or_zero("cancelled"),
-                **{f"{c.BEHAVIOR_TEXT[b]}_count": counts[b] for b in c.BEHAVIOR_TEXT},
-                "conversion_rate": _ten_thousandths(F.coalesce(_int_div(done * 10000, n), nothing)),
-                "avg_review_score": F.when(
-                    F.col("scored") > 0, _hundredths(_int_div(F.col("scores") * 100, F.col("scored")))
-                ).otherwise(""),
-                "popularity_score": _hundredths(n + sum(counts.values(), F.lit(0))),
+                "product_id": _padded_id("P", "k", 6),
+                "total_revenue": _fixed_point("cents", 2),
+                "total_sales": "orders + IF(k % 89 = 1, 1, 0)",
+                "completed_count": "completed",
+                "cancel_count": "cancelled",
+                **{f"{text}_count": b for b, text in c.BEHAVIOR_TEXT.items()},
+                "conversion_rate": _fixed_point("coalesce(completed * 10000 DIV nullif(orders, 0), 0)", 4),
+                "avg_review_score": f"CASE WHEN scored > 0 THEN {_fixed_point('scores * 100 DIV scored', 2)} ELSE '' END",
+                "popularity_score": _fixed_point(f"orders + {_SEEN}", 2),
             },
         )
     )
