@@ -81,5 +81,9 @@ def report(rows: DataFrame, keys: list[str], entity: str, measures: dict[str, Me
         partials += [f"{text} AS {slots[suffix]}" for suffix, text in measure.partials.items()]
         merged.append(f"{measure.merge.format(**slots)} AS {name}")
     # The entity gets a name of its own, as it may be one of the keys as well.
-    per_entity = rows.withColumn(_ENTITY, F.col(entity)).groupBy(*keys, _ENTITY)
-    return per_entity.agg(*exprs(*partials)).groupBy(*keys).agg(*exprs(*merged))
+    keyed = rows.withColumn(_ENTITY, F.col(entity))
+    if partials:
+        per_entity = keyed.groupBy(*keys, _ENTITY).agg(*exprs(*partials))
+    else:
+        per_entity = keyed.select(*keys, _ENTITY).distinct()
+    return per_entity.groupBy(*keys).agg(*exprs(*merged))
