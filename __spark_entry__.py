@@ -26,6 +26,7 @@ from cartwright.operators.validation import judge, reason_frequency, reason_text
 from cartwright.plans import consumption, customers, quality, release
 from cartwright.plans.rulebook import RULEBOOK, raw_contract
 from cartwright.plans.warehouse import Warehouse
+from cartwright.session import prepare
 from cartwright.sources import csv_files
 from cartwright.sources.star_schema import StarSources
 from cartwright.sources.store import scratch_store, shared_folder
@@ -36,7 +37,7 @@ RUN_AT = datetime(2024, 2, 1)
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    return order_status_summary(spark, FLAGSHIP_FOLDER)
+    return order_status_summary(prepare(spark), FLAGSHIP_FOLDER)
 
 
 # --- plumbing ---------------------------------------------------------------------------------
@@ -157,8 +158,14 @@ def rejection_reason_frequency(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _candidate(spark: SparkSession, folder: str) -> release.Candidate:
-    """The checks read every layer several times, so the layers are written once."""
-    return release.build_candidate(spark, StarSources(spark, folder), RUN_AT, c.WIDE_IDS, scratch_store(spark))
+    """The checks read every layer several times, so the layers are written once.
+
+    What the callers read afterwards is a few rows; the large layers go again.
+    """
+    store = scratch_store(spark)
+    candidate = release.build_candidate(spark, StarSources(spark, folder), RUN_AT, c.WIDE_IDS, store)
+    store.discard(keep=("ops_data_quality_results", "ops_measurement", "ads_executive_kpis"))
+    return candidate
 
 
 def quality_checks(spark: SparkSession, folder: str) -> DataFrame:
@@ -319,8 +326,12 @@ def gated_publish(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def _prepared(query: Query) -> Query:
+    return lambda spark, folder: query(prepare(spark), folder)
+
+
 def queries() -> dict[str, Query]:
-    return {
+    registered = {
         "order_status_summary": order_status_summary,
         "users_rules": _judged("users"),
         "products_rules": _judged("products"),
@@ -380,6 +391,7 @@ def queries() -> dict[str, Query]:
         "typed_release_read": typed_release_read,
         "gated_publish": gated_publish,
     }
+    return {name: _prepared(query) for name, query in registered.items()}
 
 
 def oracle_sql() -> dict[str, str]:

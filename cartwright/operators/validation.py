@@ -54,8 +54,9 @@ class ParentLink:
 
 
 def reason_array(rules: Iterable[Rule]) -> str:
-    arms = ", ".join(f"CASE WHEN {rule.broken} THEN {literal(rule.code)} END" for rule in rules)
-    return f"array_compact(array({arms}))"
+    # Not array_compact: it is a lambda underneath and takes its whole subtree out of generated code.
+    arms = ", ".join(f"CASE WHEN {rule.broken} THEN {literal(rule.code)} ELSE '' END" for rule in rules)
+    return f"array_remove(array({arms}), '')"
 
 
 def reason_text(column: str = REASONS) -> str:

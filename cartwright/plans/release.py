@@ -23,6 +23,7 @@ from cartwright.operators.validation import union_all
 from cartwright.plans import quality
 from cartwright.plans.kpis import with_run_constants
 from cartwright.plans.warehouse import Warehouse
+from cartwright.session import prepare
 from cartwright.sources import csv_files, folders
 from cartwright.sources.store import ParquetStore, scratch_store, shared_folder
 
@@ -61,6 +62,7 @@ def build_candidate(
 ) -> Candidate:
     """Materialise the layers, measure them once and derive the checks."""
     store = store or scratch_store(spark)
+    prepare(spark)
     w = Warehouse(spark, sources, ids, store)
     w.build()
     measured = store.keep("ops_measurement", quality.measurement(w))
@@ -148,8 +150,12 @@ def run_release(
     run_at: datetime | None = None,
     publish: bool = True,
     ids: c.IdFormats = c.STRICT_IDS,
+    keep_layers: bool = False,
 ) -> dict[str, Any]:
-    """Six CSV inputs to eight published aggregates; returns the run manifest."""
+    """Six CSV inputs to eight published aggregates; returns the run manifest.
+
+    The layers live in the shared folder while the run lasts, and beyond it on request.
+    """
     mode = data_mode.upper()
     if mode not in c.SOURCE_STATUS_BY_MODE:
         raise ValueError(f"Unsupported data mode: {data_mode}")
@@ -157,6 +163,7 @@ def run_release(
     run_id = new_run_id(mode, run_at)
     run_folder = f"{root}/runs/{run_id}"
     started = time.monotonic()
+    store = ParquetStore(spark, f"{shared_folder(spark)}/cartwright-{run_id}")
     manifest: dict[str, Any] = {
         "run_id": run_id,
         "data_mode": mode,
@@ -176,7 +183,6 @@ def run_release(
             "row_count": sum(report["data_rows"] for report in reports.values()),
             "tables": {t: {"row_count": reports[t]["data_rows"], "content_sha256": ordered[t]} for t in c.HEADERS},
         }
-        store = ParquetStore(spark, f"{shared_folder(spark)}/cartwright-{run_id}")
         candidate = build_candidate(spark, sources, run_at, ids, store)
         manifest["quality"] = _quality_section(candidate)
         manifest["data_profile"] = _profile_section(candidate.profile)
@@ -203,6 +209,9 @@ def run_release(
         manifest["duration_seconds"] = round(time.monotonic() - started, 3)
         _write_manifest(spark, run_folder, manifest)
         raise
+    finally:
+        if not keep_layers:
+            store.discard()
     try:
         _write_manifest(spark, run_folder, manifest)
     except Exception as exc:  # The release is committed; a second copy of its manifest must not undo that.

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from cartwright.sources.folders import remove_folder
+
 
 class LazyStore:
     """Keep layers as plans."""
@@ -25,6 +27,7 @@ class ParquetStore:
     def __init__(self, spark: SparkSession, root: str) -> None:
         self.spark = spark
         self.root = root.rstrip("/")
+        self._written: set[str] = set()
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
@@ -34,12 +37,20 @@ class ParquetStore:
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(name))
+        self._written.add(name)
         schema = rows.schema
         # The declared schema keeps the partition column's type without inference.
         back = self.spark.read.schema(schema).parquet(self.path(name))
         return back.select(*schema.names)
 
 
+    def discard(self, keep: tuple[str, ...] = ()) -> None:
+        """Remove written layers that nobody will read any more."""
+        for name in sorted(self._written.difference(keep)):
+            remove_folder(self.spark, self.path(name))
+            self._written.discard(name)
+
+
 _LOCAL_FOLDERS: dict[str, str] = {}
 
 

@@ -16,6 +16,8 @@ SMALL = "/root/testdata/sf0.001"
 def spark():
     from pyspark.sql import SparkSession
 
+    from cartwright.session import prepare
+
     work = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     session = (
         SparkSession.builder.master(f"local[{os.environ.get('BENCH_CPUS', '8')}]")
@@ -26,12 +28,12 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
-        .config("spark.sql.codegen.hugeMethodLimit", "8000")
         .config("spark.sql.warehouse.dir", f"{work}/warehouse")
         .config("spark.checkpoint.dir", f"{work}/shared")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
+    prepare(session)
     yield session
     session.stop()
 
