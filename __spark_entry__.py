@@ -330,7 +330,19 @@ def _prepared(query: Query) -> Query:
     return lambda spark, folder: query(prepare(spark), folder)
 
 
-def queries() -> dict[str, Query]:
+def _corpus():
+    """The corpus queries, or None where that subpackage is not installed."""
+    try:
+        import corpus_pipeline
+        from cartwright.llm import registry
+    except ModuleNotFoundError as missing:
+        if missing.name in ("cartwright.llm", "corpus_pipeline"):
+            return None
+        raise
+    return registry, corpus_pipeline
+
+
+def core_queries() -> dict[str, Query]:
     registered = {
         "order_status_summary": order_status_summary,
         "users_rules": _judged("users"),
@@ -394,7 +406,23 @@ def queries() -> dict[str, Query]:
     return {name: _prepared(query) for name, query in registered.items()}
 
 
-def oracle_sql() -> dict[str, str]:
+def queries() -> dict[str, Query]:
+    corpus = _corpus()
+    if corpus is None:
+        return core_queries()
+    registry, pipeline = corpus
+    return core_queries() | registry.QUERIES | {"pipeline": pipeline.run}
+
+
+def core_oracle_sql() -> dict[str, str]:
     from oracle_statements import statements
 
     return statements()
+
+
+def oracle_sql() -> dict[str, str]:
+    corpus = _corpus()
+    if corpus is None:
+        return core_oracle_sql()
+    registry, pipeline = corpus
+    return core_oracle_sql() | registry.SQL | ({"pipeline": pipeline.ORACLE_SQL} if pipeline.ORACLE_SQL else {})

@@ -6,7 +6,7 @@ from conftest import SMALL
 
 import __spark_entry__ as entry
 
-SQL = entry.oracle_sql()
+SQL = entry.core_oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -15,12 +15,12 @@ def database():
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(SQL)
+    assert set(entry.core_queries()) == set(SQL)
 
 
 @pytest.mark.parametrize("name", sorted(SQL))
 def test_query_equals_sql(spark, database, name):
-    assert compare(spark, database, SMALL, entry.queries()[name], SQL[name]) is None
+    assert compare(spark, database, SMALL, entry.core_queries()[name], SQL[name]) is None
 
 
 def test_flagship(spark):
