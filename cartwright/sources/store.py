@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -43,13 +44,16 @@ class ParquetStore:
         back = self.spark.read.schema(schema).parquet(self.path(name))
         return back.select(*schema.names)
 
-
-    def discard(self, keep: tuple[str, ...] = ()) -> None:
+    def remove(self, names: Iterable[str]) -> None:
         """Remove written layers that nobody will read any more."""
-        for name in sorted(self._written.difference(keep)):
+        for name in sorted(self._written.intersection(names)):
             remove_folder(self.spark, self.path(name))
             self._written.discard(name)
 
+    def discard(self, keep: tuple[str, ...] = ()) -> None:
+        """Remove all written layers but those in ``keep``."""
+        self.remove(self._written.difference(keep))
+
 
 _LOCAL_FOLDERS: dict[str, str] = {}
 
