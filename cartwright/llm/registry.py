@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import byte_bpe
+from cartwright.llm import byte_bpe, exact_dedup, minhash
 from cartwright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -24,8 +24,33 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    """Near-duplicate groups of all documents over shingles of two words."""
+    return minhash.near_duplicates(table(spark, folder, "documents"), words=2)
+
+
+def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies among all documents."""
+    return exact_dedup.decisions(table(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op3_minhash": op3_minhash,
+    "op7_exact_dedup": op7_exact_dedup,
 }
 
-SQL: dict[str, str] = {}
+OP7_SQL = """
+WITH normal AS (
+    SELECT doc_id, sha256(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+    FROM documents
+)
+SELECT doc_id, max(doc_id) OVER copies AS keep_id, count(*) OVER copies AS group_size,
+       row_number() OVER (PARTITION BY text_sha256 ORDER BY doc_id DESC) = 1 AS kept, text_sha256
+FROM normal
+WINDOW copies AS (PARTITION BY text_sha256)
+"""
+
+SQL: dict[str, str] = {
+    "op7_exact_dedup": OP7_SQL,
+}
