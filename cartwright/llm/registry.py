@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import byte_bpe, exact_dedup, minhash
+from cartwright.llm import byte_bpe, exact_dedup, minhash, mixing, toxicity
 from cartwright.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -29,15 +29,34 @@ def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), words=2)
 
 
+def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Copies of all documents so that no source is passed more than four times and none less than once."""
+    return mixing.schedule(table(spark, folder, "documents"), mixing.Target(repetitions=4.0))
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Copies among all documents."""
     return exact_dedup.decisions(table(spark, folder, "documents"))
 
 
+TOXIC_FROM = 0.3
+
+
+def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    """Scores of all documents; lexicon and model know only rows that are not held out."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, folder, "labels").select("doc_id", "toxic"))
+    rows = toxicity.score(docs, model, output="score").drop("text")
+    predicted = (F.col("score") >= TOXIC_FROM).cast("int")
+    return rows.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op3_minhash": op3_minhash,
+    "op4_mixing": op4_mixing,
     "op7_exact_dedup": op7_exact_dedup,
+    "op9_toxicity": op9_toxicity,
 }
 
 OP7_SQL = """

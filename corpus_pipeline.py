@@ -4,11 +4,35 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cartwright.llm import byte_bpe
+from cartwright.llm import byte_bpe, exact_dedup, minhash, mixing, toxicity
 from cartwright.llm.common import store_for, table
 
 
+# A document goes when it is more likely toxic than not.
+TOXIC_FROM = 0.5
+# Every source is passed once at least and twice at most.
+MIXTURE = mixing.Target(repetitions=2.0)
+
+
+def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"))
+    return toxicity.score(docs, model, output="toxicity_of_text").filter(F.col("toxicity_of_text") < TOXIC_FROM).select(*docs.columns)
+
+
+def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return exact_dedup.deduplicate(docs)
+
+
+def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.deduplicate(docs)
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.mix(docs, MIXTURE)
+
+
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     rows = byte_bpe.encode(docs, path, public_tokenizers.PATTERN)
@@ -16,6 +40,10 @@ def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 STAGES = [
+    ("toxicity", toxicity_stage),
+    ("exact dedup", exact_stage),
+    ("near dedup", near_stage),
+    ("mixing", mixing_stage),
     ("byte-level BPE", encode_stage),
 ]
 
