@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import byte_bpe, exact_dedup, minhash, mixing, toxicity
-from cartwright.llm.common import table
+from cartwright.llm import ann, byte_bpe, exact_dedup, minhash, mixing, token_files, toxicity, url_filters, word_bpe
+from cartwright.llm.common import store_for, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,6 +24,17 @@ def op1_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+WORD_BPE, END_ID = "word_bpe_49k.json", 2
+
+
+def op2_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """All documents written as token files and read back from them."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    root = store_for(docs).root
+    token_files.write(docs, root, public_tokenizers.path(WORD_BPE), END_ID)
+    return token_files.read(spark, root).select("doc_id", "start", "n_tokens", F.crc32("token_ids").alias("ids_crc32"))
+
+
 def op3_minhash(spark: SparkSession, folder: str) -> DataFrame:
     """Near-duplicate groups of all documents over shingles of two words."""
     return minhash.near_duplicates(table(spark, folder, "documents"), words=2)
@@ -34,6 +45,20 @@ def op4_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.schedule(table(spark, folder, "documents"), mixing.Target(repetitions=4.0))
 
 
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op5_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Verdicts over all pages."""
+    return url_filters.judge(table(spark, folder, "pages"), URL_RULES)
+
+
+def op6_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """Bytes and tokens of all documents."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return word_bpe.count_tokens(docs, public_tokenizers.path(WORD_BPE)).drop("text")
+
+
 def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Copies among all documents."""
     return exact_dedup.decisions(table(spark, folder, "documents"))
@@ -51,12 +76,21 @@ def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", toxicity.is_held_out(F.col("doc_id")).alias("held_out"), "score", predicted.alias("predicted"))
 
 
+def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
+    """Twenty nearest rows of every twentieth vector."""
+    return ann.search(table(spark, folder, "embeddings"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
+    "op2_token_files": op2_token_files,
     "op3_minhash": op3_minhash,
     "op4_mixing": op4_mixing,
+    "op5_url_filters": op5_url_filters,
+    "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
     "op9_toxicity": op9_toxicity,
+    "op10_neighbours": op10_neighbours,
 }
 
 OP7_SQL = """
@@ -70,6 +104,24 @@ FROM normal
 WINDOW copies AS (PARTITION BY text_sha256)
 """
 
+# The given pages hold no redirects and no canonical links, so rules alone decide.
+OP5_SQL = """
+WITH rules(rule_host, rule_path, rule_verdict) AS (
+    VALUES ('net', '/', 'block'), ('example.net', '/en/', 'allow'), ('example.com', '/de/', 'block'), ('org', '/fr/', 'allow')
+), cut AS (
+    SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), parts AS (
+    SELECT page_id,
+           translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+    FROM cut
+)
+SELECT page_id, host, path, rule_host || rule_path AS rule, coalesce(rule_verdict, 'allow') AS verdict
+FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) = 1
+"""
+
 SQL: dict[str, str] = {
+    "op5_url_filters": OP5_SQL,
     "op7_exact_dedup": OP7_SQL,
 }
