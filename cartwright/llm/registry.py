@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import ann, byte_bpe, exact_dedup, minhash, mixing, token_files, toxicity, url_filters, word_bpe
+from cartwright.llm import ann, byte_bpe, exact_dedup, line_dedup, minhash, mixing, token_files, toxicity, url_filters, word_bpe
 from cartwright.llm.common import store_for, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,11 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return exact_dedup.decisions(table(spark, folder, "documents"))
 
 
+def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Fate of every line of all documents."""
+    return line_dedup.judge_lines(table(spark, folder, "documents"))
+
+
 TOXIC_FROM = 0.3
 
 
@@ -89,6 +94,7 @@ QUERIES: dict[str, Query] = {
     "op5_url_filters": op5_url_filters,
     "op6_token_counts": op6_token_counts,
     "op7_exact_dedup": op7_exact_dedup,
+    "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_neighbours": op10_neighbours,
 }
@@ -121,7 +127,40 @@ FROM parts LEFT JOIN rules ON (host = rule_host OR ends_with(host, '.' || rule_h
 QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) = 1
 """
 
+OP8_SQL = """
+WITH cut AS (
+    SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS raw, generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) - 1 AS line_no
+    FROM documents
+), lines AS (
+    SELECT doc_id, line_no,
+           trim(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ' ' || chr(9) || chr(13) || chr(11) || chr(12)) AS line
+    FROM cut
+), heads AS (
+    SELECT line, min((doc_id, line_no)) AS head, list_distinct(regexp_split_to_array(line, '[ \t\r\x0B\f]+')) AS words
+    FROM lines WHERE line <> '' GROUP BY line
+), exploded AS (
+    SELECT head, len(words) AS n, unnest(words) AS word FROM heads
+), ranked AS (
+    SELECT head, n, word,
+           row_number() OVER (PARTITION BY head ORDER BY frequency, word) AS place
+    FROM exploded JOIN (SELECT word, count(*) AS frequency FROM exploded GROUP BY word) USING (word)
+), prefixes AS (
+    SELECT head, n, word FROM ranked WHERE place <= n - ceil(n * 80 / 100.0 - 1e-9) + 1
+), candidates AS (
+    SELECT DISTINCT a.head AS earlier, b.head AS later
+    FROM prefixes a JOIN prefixes b ON a.word = b.word AND a.head < b.head AND least(a.n, b.n) * 100 >= greatest(a.n, b.n) * 80
+), removed AS (
+    SELECT DISTINCT later AS head
+    FROM candidates JOIN heads a ON a.head = earlier JOIN heads b ON b.head = later
+    WHERE len(list_intersect(a.words, b.words)) * 100 >= (len(a.words) + len(b.words) - len(list_intersect(a.words, b.words))) * 80
+)
+SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, coalesce(head[1], doc_id) AS class_doc_id, CAST(coalesce(head[2], line_no) AS INTEGER) AS class_line,
+       head IS NULL OR (head = (doc_id, line_no) AND NOT EXISTS (SELECT 1 FROM removed r WHERE r.head = h.head)) AS kept
+FROM lines LEFT JOIN heads h USING (line)
+"""
+
 SQL: dict[str, str] = {
+    "op8_line_dedup": OP8_SQL,
     "op5_url_filters": OP5_SQL,
     "op7_exact_dedup": OP7_SQL,
 }

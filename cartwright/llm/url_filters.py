@@ -65,7 +65,9 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     moved = F.when(F.contains(lowered, F.lit("refresh")), F.regexp_extract(page, _REFRESH, 1)).otherwise("")
     rows = pages.select(col(url).cast("string").alias("base"), F.array(target, moved).alias("links"))
     rows = rows.filter(F.exists("links", lambda link: link != "")).select("base", F.explode("links").alias("link")).filter("link <> ''")
-    edges = rows.select(node(F.col("base")).alias("a"), node(resolved(F.col("link"), F.col("base"))).alias("b"))
+    # Exploding one value keeps the optimizer from writing its expression out at every use.
+    rows = rows.select("base", F.explode(F.array(resolved(F.col("link"), F.col("base")))).alias("target"))
+    edges = rows.select(F.explode(F.array(node(F.col("base")))).alias("a"), "target").select("a", node(F.col("target")).alias("b"))
     return edges.filter("a IS NOT NULL AND b IS NOT NULL AND a <> b")
 
 
