@@ -147,7 +147,10 @@ def valid_row_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quarantine_rows(spark: SparkSession, folder: str) -> DataFrame:
-    return _warehouse(spark, folder).quarantine.select("source_table", "record_key", "rejection_reasons")
+    raw = StarSources(spark, folder)
+    sources = {name: csv_files.with_lineage(raw[name], csv_files.file_name(name), RUN_AT) for name in c.HEADERS}
+    rows = Warehouse(spark, sources, c.WIDE_IDS, run_at=RUN_AT).quarantine
+    return _edge(rows.select("source_table", "record_key", "rejection_reasons", "source_file", "ingested_at", "quarantined_at"))
 
 
 def rejection_reason_frequency(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,13 +160,13 @@ def rejection_reason_frequency(spark: SparkSession, folder: str) -> DataFrame:
 # --- checks, gate and evidence -------------------------------------------------------------------
 
 
-def _candidate(spark: SparkSession, folder: str) -> release.Candidate:
+def _candidate(spark: SparkSession, folder: str, repeated: bool = False) -> release.Candidate:
     """The checks read every layer several times, so the layers are written once.
 
     What the callers read afterwards is a few rows; the large layers go again.
     """
     store = scratch_store(spark)
-    candidate = release.build_candidate(spark, StarSources(spark, folder), RUN_AT, c.WIDE_IDS, store)
+    candidate = release.build_candidate(spark, StarSources(spark, folder, repeated=repeated), RUN_AT, c.WIDE_IDS, store)
     store.discard(keep=("ops_data_quality_results", "ops_measurement", "ads_executive_kpis"))
     return candidate
 
@@ -172,6 +175,11 @@ def quality_checks(spark: SparkSession, folder: str) -> DataFrame:
     return _candidate(spark, folder).health.drop("details", "checked_at").orderBy("check_name")
 
 
+def quality_checks_repeated_parents(spark: SparkSession, folder: str) -> DataFrame:
+    """The checks where some users and products come twice: keys and row counts must fail, recounts must not."""
+    return _candidate(spark, folder, repeated=True).health.drop("details", "checked_at").orderBy("check_name")
+
+
 def quality_summary(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_summary(_candidate(spark, folder).health)
 
@@ -253,7 +261,7 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     """Write a table as CSV and read it back as text under the contract."""
     target, headers = f"{_scratch_folder(spark)}/users.csv", c.HEADERS["users"]
     users = StarSources(spark, folder)["users"].select(*headers)
-    users.write.option("header", True).csv(target)
+    users.write.option("header", True).option("escape", '"').csv(target)
     return csv_files.scan_csv(spark, target, headers).drop("_corrupt_record")
 
 
@@ -278,7 +286,7 @@ def csv_contract_check(spark: SparkSession, folder: str) -> DataFrame:
     """Header, width and size of written tables: one sound, one with short rows, one misnamed."""
     root, sources = _scratch_folder(spark), StarSources(spark, folder)
     for name in ("users", "products"):
-        sources[name].select(*c.HEADERS[name]).write.option("header", True).csv(f"{root}/{name}.csv")
+        sources[name].select(*c.HEADERS[name]).write.option("header", True).option("escape", '"').csv(f"{root}/{name}.csv")
     _write_event_lines(spark, folder, f"{root}/user_behaviors.csv")
     reports = [
         csv_files.inspect_table(spark, f"{root}/products.csv", "products"),
@@ -384,6 +392,7 @@ def core_queries() -> dict[str, Query]:
         "product_feature_mismatches": product_feature_mismatches,
         "kpi_reconciliation": kpi_reconciliation,
         "quality_checks": quality_checks,
+        "quality_checks_repeated_parents": quality_checks_repeated_parents,
         "quality_summary": quality_summary,
         "row_profile": row_profile,
         "evidence_reconciliation": evidence_reconciliation,

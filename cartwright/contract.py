@@ -136,7 +136,7 @@ WIDE_IDS = IdFormats(
     user="^U[0-9]{6,}$", product="^P[0-9]{6,}$", order="^O[0-9]{8,}$", behavior="^B[0-9]{8,}$"
 )
 
-# --- Published outputs: sort keys of each serving table ------------------------------------------
+# --- Fixed values: published outputs and the sort keys of each serving table ---------------------
 
 SERVING_SORT_KEYS: dict[str, tuple[str, ...]] = {
     "ads_executive_kpis": (),

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from cartwright import contract as c
 from cartwright.functions.parsing import all_of, any_of, differs, exprs, listed, literal, rows_of
 from cartwright.operators.relations import duplicate_keys, mismatches, orphans, side_by_side
-from cartwright.operators.validation import ACCEPTED, LOCAL_REASONS, REASONS, locally_clean_rows, union_all
+from cartwright.operators.validation import ACCEPTED, REASONS, locally_clean_rows, union_all
 from cartwright.plans.activity import CALLED_OFF
 from cartwright.plans.warehouse import Warehouse
 
@@ -87,7 +87,7 @@ def orphan_rows(w: Warehouse) -> DataFrame:
 
 def _recount(w: Warehouse, key: str, amount: str, order_count: str, completed: str, cancelled: str) -> list[DataFrame]:
     """Per-entity totals straight from the locally clean source rows."""
-    ordered = locally_clean_rows(w.staged_orders).groupBy(key).agg(
+    ordered = locally_clean_rows(w.judged("orders")).groupBy(key).agg(
         *exprs(
             f"count(1) AS f_{order_count}",
             f"count_if({_status_in('completed')}) AS f_{completed}",
@@ -95,7 +95,7 @@ def _recount(w: Warehouse, key: str, amount: str, order_count: str, completed: s
             f"round(sum(actual_payment), 2) AS f_{amount}",
         )
     )
-    behaved = locally_clean_rows(w.staged_user_behaviors).groupBy(key).agg(
+    behaved = locally_clean_rows(w.judged("user_behaviors")).groupBy(key).agg(
         *exprs(
             *[
                 f"count_if(behavior_type = {literal(b.source_behavior)}) AS f_{b.behavior_code}_count"
@@ -151,15 +151,16 @@ def _verdict_counts(w: Warehouse, name: str) -> DataFrame:
         f"early_{name}": f"count_if(NOT {ACCEPTED} AND array_contains({REASONS}, {temporal}))",
     }
     if name == "orders":
-        clean = f"size({LOCAL_REASONS}) = 0"
-        columns |= {
-            "equation_off": f"sum(CASE WHEN {clean} THEN CASE WHEN {EQUATION_OFF} THEN 1 ELSE 0 END END)",
-            "unit_price_off": f"sum(CASE WHEN {clean} THEN CASE WHEN {UNIT_PRICE_OFF} THEN 1 ELSE 0 END END)",
-            "lifecycle_broken": f"count_if({ACCEPTED} AND {LIFECYCLE_BROKEN})",
-        }
+        columns["lifecycle_broken"] = f"count_if({ACCEPTED} AND {LIFECYCLE_BROKEN})"
     return _aggregate(w.staged(name), **columns)
 
 
+def _amount_counts(w: Warehouse) -> DataFrame:
+    return _aggregate(
+        locally_clean_rows(w.judged("orders")), equation_off=_sum_if(EQUATION_OFF), unit_price_off=_sum_if(UNIT_PRICE_OFF)
+    )
+
+
 def _fact_recount(w: Warehouse) -> DataFrame:
     """Headline numbers recomputed from the facts, independently of the KPI plan."""
     per_user = w.fact_order.groupBy("user_id").agg(
@@ -215,6 +216,7 @@ def measurement(w: Warehouse) -> DataFrame:
     rising = w.sequential_funnel.selectExpr("user_count > lag(user_count) OVER (ORDER BY stage_order) AS rises")
     frames = [
         *_row_counts(w),
+        _amount_counts(w),
         _aggregate(duplicates(w), duplicate_rows="coalesce(sum(duplicate_rows), 0)"),
         _aggregate(orphan_rows(w), orphan_rows="coalesce(sum(orphan_rows), 0)"),
         _fact_recount(w),

@@ -12,7 +12,7 @@ import time
 import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -63,7 +63,7 @@ def build_candidate(
     """Materialise the layers, measure them once and derive the checks."""
     store = store or scratch_store(spark)
     prepare(spark)
-    w = Warehouse(spark, sources, ids, store)
+    w = Warehouse(spark, sources, ids, store, run_at)
     w.build()
     measured = store.keep("ops_measurement", quality.measurement(w))
     health = store.keep(
@@ -141,6 +141,12 @@ def _profile_section(row: dict[str, Any]) -> dict[str, Any]:
     return {**{name: row[name] for name in totals}, **per_table}
 
 
+def _close(manifest: dict[str, Any], run_at: datetime, started: float) -> None:
+    seconds = time.monotonic() - started
+    manifest["duration_seconds"] = round(seconds, 3)
+    manifest["finished_at"] = (run_at + timedelta(seconds=seconds)).isoformat()
+
+
 def run_release(
     spark: SparkSession,
     input_folder: str,
@@ -151,10 +157,13 @@ def run_release(
     publish: bool = True,
     ids: c.IdFormats = c.STRICT_IDS,
     keep_layers: bool = False,
+    multi_line: bool = False,
 ) -> dict[str, Any]:
     """Six CSV inputs to eight published aggregates; returns the run manifest.
 
     The layers live in the shared folder while the run lasts, and beyond it on request.
+    ``multi_line`` reads quoted line breaks.  The run sets the session settings of
+    ``cartwright.session`` and leaves them set.
     """
     mode = data_mode.upper()
     if mode not in c.SOURCE_STATUS_BY_MODE:
@@ -174,14 +183,18 @@ def run_release(
         "published": False,
     }
     try:
-        reports = csv_files.inspect_inputs(spark, input_folder)
-        sources = csv_files.read_inputs(spark, input_folder, run_at)
+        reports = csv_files.inspect_inputs(spark, input_folder, multi_line)
+        sources = csv_files.read_inputs(spark, input_folder, run_at, multi_line)
         prints = csv_files.fingerprints(sources)
         ordered = {row["table_name"]: row["content_sha256"] for row in prints.collect()}
         manifest["input"] = {
             "combined_sha256": csv_files.combine(ordered),
             "row_count": sum(report["data_rows"] for report in reports.values()),
-            "tables": {t: {"row_count": reports[t]["data_rows"], "content_sha256": ordered[t]} for t in c.HEADERS},
+            "bytes": sum(report["bytes"] for report in reports.values()),
+            "tables": {
+                t: {"row_count": reports[t]["data_rows"], "bytes": reports[t]["bytes"], "content_sha256": ordered[t]}
+                for t in c.HEADERS
+            },
         }
         candidate = build_candidate(spark, sources, run_at, ids, store)
         manifest["quality"] = _quality_section(candidate)
@@ -194,7 +207,7 @@ def run_release(
         outputs = _outputs(candidate, run_at, mode, manifest["source_status"])
         manifest["exports"] = export(spark, outputs, target if publish else f"{run_folder}/exports")
         manifest["status"] = "success"
-        manifest["duration_seconds"] = round(time.monotonic() - started, 3)
+        _close(manifest, run_at, started)
         if publish:
             _write_manifest(spark, target, {**manifest, "published": True})
             switch_pointer(spark, root, run_id)
@@ -206,7 +219,7 @@ def run_release(
         manifest["status"] = "failed"
         manifest["error_type"] = type(exc).__name__
         manifest["error"] = str(exc)
-        manifest["duration_seconds"] = round(time.monotonic() - started, 3)
+        _close(manifest, run_at, started)
         _write_manifest(spark, run_folder, manifest)
         raise
     finally:

@@ -9,9 +9,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwright import contract as c
 from cartwright.functions.parsing import MONEY, iso_weekday, literal
@@ -39,12 +41,15 @@ class Warehouse:
         sources: Mapping[str, DataFrame],
         ids: c.IdFormats = c.STRICT_IDS,
         store=None,
+        run_at: datetime | None = None,
     ) -> None:
         self.spark = spark
         self.ids = ids
         self.store = store or LazyStore()
+        self.run_at = run_at
         self._sources = sources
         self._raw: dict[str, DataFrame] = {}
+        self._judged_rows: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
         if name not in self._raw:
@@ -56,6 +61,15 @@ class Warehouse:
     def _judged(self, name: str) -> DataFrame:
         return judge(self.raw(name), RULEBOOK[name](self.ids), LINEAGE)
 
+    def judged(self, name: str) -> DataFrame:
+        """Rows with their own reasons only, before a repeated parent can repeat them.
+
+        The recounts read these, so the tables with parents are kept in this state too.
+        """
+        if name not in self._judged_rows:
+            self._judged_rows[name] = self.store.keep(f"jdg_{name}", self._judged(name))
+        return self._judged_rows[name]
+
     def _stage(self, name: str, rows: DataFrame) -> DataFrame:
         return self.store.keep(f"stg_{name}", rows, partition_by=ACCEPTED)
 
@@ -81,12 +95,12 @@ class Warehouse:
     @cached_property
     def staged_orders(self) -> DataFrame:
         links = [self._user_link("order_ts"), self._product_link()]
-        return self._stage("orders", with_parents(self._judged("orders"), links))
+        return self._stage("orders", with_parents(self.judged("orders"), links))
 
     @cached_property
     def staged_user_behaviors(self) -> DataFrame:
         links = [self._user_link("behavior_ts"), self._product_link()]
-        return self._stage("user_behaviors", with_parents(self._judged("user_behaviors"), links))
+        return self._stage("user_behaviors", with_parents(self.judged("user_behaviors"), links))
 
     @cached_property
     def staged_user_features(self) -> DataFrame:
@@ -110,7 +124,8 @@ class Warehouse:
 
     @cached_property
     def quarantine(self) -> DataFrame:
-        return quarantine(self.keyed_staged, LINEAGE)
+        rows = quarantine(self.keyed_staged, LINEAGE)
+        return rows.withColumn("quarantined_at", F.lit(self.run_at).cast("timestamp"))
 
     # --- conformed dimensions and facts ----------------------------------------------------
 

@@ -16,6 +16,8 @@ from cartwright.functions.parsing import all_of, exprs, listed, literal, named,
 from cartwright.operators.validation import union_all
 
 CORRUPT = "_corrupt_record"
+# A SHA-256 in hex, and the digits that fit a signed 64-bit integer.
+DIGEST_DIGITS, LIMB_DIGITS = 64, 15
 
 
 class ContractError(ValueError):
@@ -26,7 +28,7 @@ def text_schema(headers: tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in (*headers, CORRUPT)])
 
 
-def _reader(spark: SparkSession, headers: tuple[str, ...], has_header: bool):
+def _reader(spark: SparkSession, headers: tuple[str, ...], has_header: bool, multi_line: bool = False):
     # Without column pruning a row is judged malformed on its full width, whatever is selected.
     return (
         spark.read.schema(text_schema(headers))
@@ -34,16 +36,19 @@ def _reader(spark: SparkSession, headers: tuple[str, ...], has_header: bool):
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("columnPruning", False)
+        .option("escape", '"')
+        .option("multiLine", multi_line)
     )
 
 
-def scan_csv(spark: SparkSession, path: str, headers: tuple[str, ...]) -> DataFrame:
+def scan_csv(spark: SparkSession, path: str, headers: tuple[str, ...], multi_line: bool = False) -> DataFrame:
     """Every column as text; a row of the wrong width keeps its text in the corrupt column.
 
-    ``path`` is a file or a folder of part files.  Records end at line ends, so large
-    files are split over many tasks.
+    ``path`` is a file or a folder of part files.  A quote inside quotes is doubled.
+    Records end at line ends, so large files are split over many tasks; ``multi_line``
+    reads quoted line breaks, at the price of one task per file.
     """
-    return _reader(spark, headers, True).csv(path)
+    return _reader(spark, headers, True, multi_line).csv(path)
 
 
 def with_lineage(rows: DataFrame, source_file: str, ingested_at: datetime) -> DataFrame:
@@ -54,9 +59,11 @@ def file_name(table: str) -> str:
     return f"{table}.csv"
 
 
-def read_inputs(spark: SparkSession, folder: str, ingested_at: datetime) -> dict[str, DataFrame]:
+def read_inputs(spark: SparkSession, folder: str, ingested_at: datetime, multi_line: bool = False) -> dict[str, DataFrame]:
     return {
-        table: with_lineage(scan_csv(spark, f"{folder}/{file_name(table)}", headers), file_name(table), ingested_at)
+        table: with_lineage(
+            scan_csv(spark, f"{folder}/{file_name(table)}", headers, multi_line), file_name(table), ingested_at
+        )
         for table, headers in c.HEADERS.items()
     }
 
@@ -72,22 +79,25 @@ def register_views(sources: dict[str, DataFrame]) -> list[str]:
 # --- contract inspection ---------------------------------------------------------------------
 
 
-def inspect_table(spark: SparkSession, path: str, table: str) -> DataFrame:
-    """One row: header verdict, data rows and rows of the wrong width, in one pass.
+def inspect_table(spark: SparkSession, path: str, table: str, multi_line: bool = False) -> DataFrame:
+    """One row: header verdict, data rows, rows of the wrong width and bytes, in one pass.
 
     The header is the first record of each file; it is found by the smallest row id in
     the split that starts the file, so no file is read twice.
     """
     headers = c.HEADERS[table]
     fields = ", ".join(f"'h{i}', `{name}`" for i, name in enumerate(headers))
-    rows = _reader(spark, headers, False).csv(path).selectExpr(
+    rows = _reader(spark, headers, False, multi_line).csv(path).selectExpr(
         "_metadata.file_path AS file",
+        "_metadata.file_size AS bytes",
         "CASE WHEN _metadata.file_block_start = 0 THEN monotonically_increasing_id() END AS position",
         f"CAST({CORRUPT} IS NOT NULL AS INT) AS malformed",
         f"named_struct({fields}, 'malformed', CAST({CORRUPT} IS NOT NULL AS INT)) AS record",
     )
     per_file = rows.groupBy("file").agg(
-        *exprs("count(1) AS lines", "sum(malformed) AS malformed_lines", "min_by(record, position) AS first")
+        *exprs(
+            "count(1) AS lines", "sum(malformed) AS malformed_lines", "min_by(record, position) AS first", "max(bytes) AS bytes"
+        )
     )
     # The first name may carry a byte-order mark.
     names = ["replace(first.h0, '\ufeff', '')", *[f"first.h{i}" for i in range(1, len(headers))]]
@@ -99,16 +109,17 @@ def inspect_table(spark: SparkSession, path: str, table: str) -> DataFrame:
             f"coalesce(bool_and({header_ok}), false) AS header_ok",
             "coalesce(sum(lines - 1), 0) AS data_rows",
             "coalesce(sum(malformed_lines - first.malformed), 0) AS wrong_width_rows",
+            "coalesce(sum(bytes), 0) AS bytes",
         )
     )
 
 
-def inspect_inputs(spark: SparkSession, folder: str) -> dict[str, dict]:
+def inspect_inputs(spark: SparkSession, folder: str, multi_line: bool = False) -> dict[str, dict]:
     """Check all six tables; the first violated table in contract order is reported."""
     frames = []
     for table in c.HEADERS:
         try:
-            frames.append(inspect_table(spark, f"{folder}/{file_name(table)}", table))
+            frames.append(inspect_table(spark, f"{folder}/{file_name(table)}", table, multi_line))
         except AnalysisException as exc:
             raise ContractError(f"Required input is missing: {file_name(table)}") from exc
     found = {row["table_name"]: row.asDict() for row in union_all(frames).collect()}
@@ -132,18 +143,24 @@ def fingerprint(rows: DataFrame, name: str, columns: Iterable[str]) -> DataFrame
     """Row count and an order-free SHA-256 over the rows' own digests.
 
     Sums of digest limbs combine on the map side and do not depend on file layout or
-    row order; a repeated row changes the sum.
+    row order; a repeated row changes the sum.  The limbs cover all digits of a row's
+    digest.  A field enters with its length, and NULL as a mark of its own, so no
+    content looks like another's.
     """
-    fields = ", ".join(f"coalesce(CAST(`{n}` AS STRING), chr(30))" for n in columns)
+    fields = ", ".join(
+        f"CASE WHEN `{n}` IS NULL THEN 'n' ELSE concat('v', char_length(CAST(`{n}` AS STRING)), ':', CAST(`{n}` AS STRING)) END"
+        for n in columns
+    )
 
     def limb(start: int) -> str:
-        return f"coalesce(sum(CAST(conv(substring(d, {start}, 15), 16, 10) AS DECIMAL(38,0))), 0)"
+        return f"coalesce(sum(CAST(conv(substring(d, {start}, {LIMB_DIGITS}), 16, 10) AS DECIMAL(38,0))), 0)"
 
-    return rows.selectExpr(f"sha2(concat_ws(chr(31), {fields}), 256) AS d").agg(
+    limbs = ", ".join(limb(start) for start in range(1, DIGEST_DIGITS + 1, LIMB_DIGITS))
+    return rows.selectExpr(f"sha2(concat({fields}), 256) AS d").agg(
         *exprs(
             f"{literal(name)} AS table_name",
             "count(1) AS row_count",
-            f"sha2(concat_ws(':', {limb(1)}, {limb(16)}, count(1)), 256) AS content_sha256",
+            f"sha2(concat_ws(':', {limbs}, count(1)), 256) AS content_sha256",
         )
     )
 
@@ -180,7 +197,7 @@ def write_aggregate(rows: DataFrame, path: str, sort_keys: tuple[str, ...]) -> N
     keys = [key for key in sort_keys if key in rows.columns]
     if keys:
         single = single.sortWithinPartitions(*keys)
-    single.write.mode("errorifexists").option("header", True).csv(path)
+    single.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
 
 
 # Columns of the published aggregates that are read back as numbers or dates.
@@ -200,7 +217,7 @@ DATE_COLUMNS = frozenset(
 
 def read_aggregate(spark: SparkSession, path: str) -> DataFrame:
     """Read a published aggregate; what does not parse becomes NULL."""
-    rows = spark.read.option("header", True).csv(path)
+    rows = spark.read.option("header", True).option("escape", '"').csv(path)
     typed = {}
     for header in rows.columns:
         name, value = header.strip().lower(), f"`{header}`"

@@ -85,13 +85,18 @@ SPOILS: dict[str, list[tuple[str, int, int, str | None]]] = {
 }
 
 
+# Parents that come twice in the variant with repeated keys: every so many-th.
+REPEATS = {"users": 199, "products": 211}
+
+
 class StarSources(Mapping):
     """The six source tables, all text, keyed by logical name and planned on first use."""
 
-    def __init__(self, spark: SparkSession, folder: str, spoiled: bool = False) -> None:
+    def __init__(self, spark: SparkSession, folder: str, spoiled: bool = False, repeated: bool = False) -> None:
         self._spark = spark
         self._folder = folder
         self._spoiled = spoiled
+        self._repeated = repeated
         self._planned: dict[str, DataFrame] = {}
 
     def __iter__(self) -> Iterator[str]:
@@ -103,6 +108,8 @@ class StarSources(Mapping):
     def __getitem__(self, name: str) -> DataFrame:
         if name not in self._planned:
             rows = getattr(self, f"_{name}")()
+            if self._repeated and name in REPEATS:
+                rows = rows.unionByName(rows.filter(f"{KEY} % {REPEATS[name]} = 0"))
             self._planned[name] = _spoil(rows, SPOILS[name]) if self._spoiled else rows
         return self._planned[name]
 

@@ -59,10 +59,19 @@ _LOCAL_FOLDERS: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; a temporary one only where none is named."""
+    """The folder that driver and executors share.
+
+    It is named by ``spark.checkpoint.dir`` or by ``setCheckpointDir``.  Only a local
+    master, whose tasks run in the driver's own process, gets a temporary one.
+    """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    given = spark.sparkContext._jsc.sc().getCheckpointDir()
+    if given.isDefined():
+        return given.get().rstrip("/")
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("name a folder that all executors share in spark.checkpoint.dir")
     application = spark.sparkContext.applicationId
     if application not in _LOCAL_FOLDERS:
         _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="cartwright-")

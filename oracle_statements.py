@@ -10,7 +10,7 @@ import re
 
 from cartwright import contract as c
 from cartwright.plans.consumption import KPI_CARDS
-from cartwright.sources.star_schema import SPOILS
+from cartwright.sources.star_schema import REPEATS, SPOILS
 
 RELATIONS: dict[str, str] = {}
 
@@ -664,14 +664,16 @@ def _verdicts(table: str) -> str:
 
 
 def _row_text(table: str) -> str:
-    fields = ", ".join(f"coalesce({c.ASCII_NAMES.get(h, h)}, chr(30))" for h in c.HEADERS[table])
-    return f"sha256(concat_ws(chr(31), {fields}))"
+    names = [c.ASCII_NAMES.get(h, h) for h in c.HEADERS[table]]
+    fields = " || ".join(f"(CASE WHEN {n} IS NULL THEN 'n' ELSE 'v' || length({n}) || ':' || {n} END)" for n in names)
+    return f"sha256({fields})"
 
 
 def _fingerprint(table: str) -> str:
     limb = lambda start: f"sum(CAST(CAST('0x' || substr(d, {start}, 15) AS BIGINT) AS HUGEINT))"
+    limbs = " || ':' || ".join(limb(start) for start in (1, 16, 31, 46, 61))
     return (
-        f"SELECT '{table}' AS table_name, count(*) AS row_count, sha256({limb(1)} || ':' || {limb(16)} || ':' || count(*))"
+        f"SELECT '{table}' AS table_name, count(*) AS row_count, sha256({limbs} || ':' || count(*))"
         f" AS content_sha256 FROM (SELECT {_row_text(table)} AS d FROM raw_{table})"
     )
 
@@ -740,7 +742,8 @@ def _finals() -> dict[str, str]:
         "valid_row_counts": " UNION ALL ".join(
             f"SELECT '{t}' AS source_table, count(*) FILTER (final_reasons = '') AS valid_rows,"
             f" count(*) FILTER (final_reasons <> '') AS quarantined_rows FROM all_{t}" for t in c.HEADERS),
-        "quarantine_rows": "SELECT * FROM rejected",
+        "quarantine_rows": "SELECT *, source_table || '.csv' AS source_file, TIMESTAMP '2024-02-01' AS ingested_at,"
+        " TIMESTAMP '2024-02-01' AS quarantined_at FROM rejected",
         "rejection_reason_frequency": """SELECT source_table, reason, count(*) AS rejected_rows
             FROM (SELECT source_table, unnest(string_split(rejection_reasons, ';')) AS reason FROM rejected) GROUP BY ALL""",
         "dim_user": _plain(("user_id", "age", "age_band", "gender", "province", "city", "registration_date", "member_level",
@@ -815,34 +818,42 @@ def _finals() -> dict[str, str]:
     }
 
 
-def _needed(sql: str) -> list[str]:
+def _needed(sql: str, relations: dict[str, str]) -> list[str]:
     """Relations a statement depends on, in definition order."""
     found: set[str] = set()
     queue = [sql]
     while queue:
         for word in set(re.findall(r"\b[a-z_]+\b", queue.pop())):
-            if word in RELATIONS and word not in found:
+            if word in relations and word not in found:
                 found.add(word)
-                queue.append(RELATIONS[word])
+                queue.append(relations[word])
     order: list[str] = []
 
     def place(name: str) -> None:
         if name in order:
             return
-        for word in re.findall(r"\b[a-z_]+\b", RELATIONS[name]):
-            if word in RELATIONS and word != name:
+        for word in re.findall(r"\b[a-z_]+\b", relations[name]):
+            if word in relations and word != name:
                 place(word)
         order.append(name)
 
-    for name in RELATIONS:
+    for name in relations:
         if name in found:
             place(name)
     return order
 
 
 def statements() -> dict[str, str]:
-    out = {}
-    for name, sql in _finals().items():
-        relations = ", ".join(f"{r} AS ({RELATIONS[r]})" for r in _needed(sql))
-        out[name] = f"WITH {relations} {sql}" if relations else sql
+    finals = _finals()
+    out = {name: _composed(sql, RELATIONS) for name, sql in finals.items()}
+    repeated = dict(RELATIONS)
+    for table, step in REPEATS.items():
+        once = RELATIONS[f"raw_{table}"]
+        repeated[f"raw_{table}"] = f"SELECT * FROM ({once}) UNION ALL SELECT * FROM ({once}) WHERE k % {step} = 0"
+    out["quality_checks_repeated_parents"] = _composed(finals["quality_checks"], repeated)
     return out
+
+
+def _composed(sql: str, all_relations: dict[str, str]) -> str:
+    relations = ", ".join(f"{r} AS ({all_relations[r]})" for r in _needed(sql, all_relations))
+    return f"WITH {relations} {sql}" if relations else sql

@@ -88,6 +88,34 @@ def test_fingerprint_ignores_order_and_layout_but_not_content(spark):
     assert digest(rows.selectExpr("a", "coalesce(b, '') AS b")) != base
 
 
+def test_fingerprint_takes_no_content_for_another(spark):
+    def digest(*rows):
+        frame = spark.createDataFrame(list(rows), "a string, b string")
+        return csv_files.fingerprint(frame, "t", ["a", "b"]).first()["content_sha256"]
+
+    alike = [("x\x1fy", "z"), ("x", "y\x1fz"), (None, "z"), ("\x1e", "z"), ("n", "z"), ("", "z"), ("v1:x", "z"), ("1", ":xv1:z"), ("1:", "xv1:z")]
+    assert len({digest(row) for row in alike}) == len(alike)
+
+
+def test_quotes_and_line_breaks(spark, folder):
+    headers = c.HEADERS["products"]
+    text = ",".join(headers) + '\nP000001,"say ""hi"", now",c,b,1.00,0\n'
+    put(folder, "quoted.csv", text)
+    rows = csv_files.scan_csv(spark, f"{folder}/quoted.csv", headers).collect()
+    assert [(r["product_name"], r["_corrupt_record"]) for r in rows] == [('say "hi", now', None)]
+    assert csv_files.inspect_table(spark, f"{folder}/quoted.csv", "products").first()["wrong_width_rows"] == 0
+    broken = text + 'P000002,"two\nlines",c,b,1.00,0\n'
+    put(folder, "broken.csv", broken)
+    rows = csv_files.scan_csv(spark, f"{folder}/broken.csv", headers, multi_line=True).collect()
+    assert [r["product_name"] for r in rows] == ['say "hi", now', "two\nlines"]
+    report = csv_files.inspect_table(spark, f"{folder}/broken.csv", "products", multi_line=True).first()
+    assert (report["data_rows"], report["wrong_width_rows"], report["bytes"]) == (2, 0, len(broken))
+    csv_files.write_aggregate(spark.createDataFrame([('a "q" b', 1)], "note string, total_orders int"), f"{folder}/out", ())
+    [part] = __import__("pathlib").Path(f"{folder}/out").glob("part-*.csv")
+    assert part.read_text().splitlines()[1] == '"a ""q"" b",1'
+    assert csv_files.read_aggregate(spark, f"{folder}/out").first()["note"] == 'a "q" b'
+
+
 def test_combined_fingerprint_in_plan_and_on_driver(spark):
     prints = csv_files.fingerprints(fixture.fixture_sources(spark, 12))
     collected = {r["table_name"]: r["content_sha256"] for r in prints.collect()}
