@@ -27,7 +27,7 @@ from cartwright.plans import consumption, customers, quality, release
 from cartwright.plans.rulebook import RULEBOOK, raw_contract
 from cartwright.plans.warehouse import Warehouse
 from cartwright.session import prepare
-from cartwright.sources import csv_files
+from cartwright.sources import catalog, csv_files
 from cartwright.sources.star_schema import StarSources
 from cartwright.sources.store import scratch_store, shared_folder
 
@@ -180,6 +180,19 @@ def quality_checks_repeated_parents(spark: SparkSession, folder: str) -> DataFra
     return _candidate(spark, folder, repeated=True).health.drop("details", "checked_at").orderBy("check_name")
 
 
+def layers_by_name(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of every layer, read under its published name."""
+    store = scratch_store(spark)
+    candidate = release.build_candidate(spark, StarSources(spark, folder), RUN_AT, c.WIDE_IDS, store)
+    names = catalog.create_views(candidate.warehouse, candidate.health)
+    counts = [spark.table(name).agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("layer_rows")) for name in names]
+    rows = store.keep("layer_counts", union_all(counts))
+    for name in names:
+        spark.catalog.dropTempView(name)
+    store.discard(keep=("layer_counts",))
+    return rows
+
+
 def quality_summary(spark: SparkSession, folder: str) -> DataFrame:
     return quality.quality_summary(_candidate(spark, folder).health)
 
@@ -393,6 +406,7 @@ def core_queries() -> dict[str, Query]:
         "kpi_reconciliation": kpi_reconciliation,
         "quality_checks": quality_checks,
         "quality_checks_repeated_parents": quality_checks_repeated_parents,
+        "layers_by_name": layers_by_name,
         "quality_summary": quality_summary,
         "row_profile": row_profile,
         "evidence_reconciliation": evidence_reconciliation,

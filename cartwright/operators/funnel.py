@@ -5,8 +5,8 @@ instant at which it reached stage k-1.  That is a small automaton run over the
 entity's events in time order.  Running it per entity would put a very active entity
 into one task, so it is run per (entity, time slice) instead: for each slice it is
 found which stage the entity leaves in, for every stage it may have entered in.
-These tiny transition rows are then chained per entity, at most one per slice of
-the calendar however many events a slice holds.
+These tiny transition rows are chained into rows of the next wider slice, and at last
+per entity, so that no task gathers more than the slices within the next wider one.
 """
 
 from __future__ import annotations
@@ -19,9 +19,13 @@ from cartwright.functions.parsing import exprs, literal, rows_of, safe_ratio
 
 
 def stage_depth(
-    events: DataFrame, entity: str, time: str, stages: Sequence[str], time_slice: str = "hour"
+    events: DataFrame, entity: str, time: str, stages: Sequence[str], time_slices: Sequence[str] = ("minute", "day")
 ) -> DataFrame:
-    """Deepest stage reached per entity that reached at least the first stage."""
+    """Deepest stage reached per entity that reached at least the first stage.
+
+    ``time_slices`` go from narrow to wide; the narrowest bounds what is sorted at once.
+    """
+    time_slice, *wider = time_slices
     depth = len(stages)
     flags = [f"coalesce({stage}, false) AS s{k}" for k, stage in enumerate(stages, 1)]
     # Events of one entity at one instant fold into one row before anything is sorted.
@@ -46,15 +50,17 @@ def stage_depth(
     slices = walked.groupBy("entity", "slice").agg(*exprs(*exits))
     leaves = ", ".join(f"from_{entry}" for entry in range(depth))
     options = ", ".join(f"step.from_{entry}" for entry in range(depth))
-    return (
-        slices.groupBy("entity")
-        .agg(*exprs(f"array_sort(collect_list(struct(slice, {leaves}))) AS steps"))
-        .selectExpr(
-            f"entity AS {entity}",
-            f"aggregate(steps, 0, (state, step) -> element_at(array({options}, {depth}), state + 1)) AS depth",
-        )
-        .filter("depth >= 1")
-    )
+
+    def after(entry: int) -> str:
+        """The stage in which the sorted steps are left when they are entered in ``entry``."""
+        return f"aggregate(steps, {entry}, (state, step) -> element_at(array({options}, {depth}), state + 1))"
+
+    steps = exprs(f"array_sort(collect_list(struct(slice, {leaves}))) AS steps")
+    for unit in wider:
+        chained = slices.selectExpr("*", f"date_trunc('{unit}', slice) AS wide").groupBy("entity", "wide").agg(*steps)
+        slices = chained.selectExpr("entity", "wide AS slice", *[f"{after(entry)} AS from_{entry}" for entry in range(depth)])
+    chained = slices.groupBy("entity").agg(*steps)
+    return chained.selectExpr(f"entity AS {entity}", f"{after(0)} AS depth").filter("depth >= 1")
 
 
 def stage_report(depths: DataFrame, names: Sequence[str]) -> DataFrame:

@@ -697,6 +697,21 @@ _FACT_BEHAVIOR = ("behavior_id", "user_id", "product_id", "source_behavior_type"
 _RANKED = "(SELECT *, row_number() OVER (ORDER BY completed_gmv DESC, category) AS category_rank FROM m_category)"
 
 
+_LAYERS = {
+    **{f"ods_{t}_valid": f"ok_{t}" for t in c.HEADERS}, "ods_quarantine": "rejected", "dwd_dim_user": "d_user",
+    "dwd_dim_product": "ok_products", "dwd_dim_order_status": "d_status", "dwd_dim_behavior": "d_behavior", "dwd_fact_order": "f_order",
+    "dwd_fact_behavior": "f_behavior", "dwd_feature_snapshot_user": "ok_user_features",
+    "dwd_feature_snapshot_product": "ok_product_features",
+    "dwd_dim_date": "(SELECT order_date FROM f_order UNION SELECT behavior_date FROM f_behavior)",
+    "dws_daily_commerce": "m_daily", "dws_order_status_summary": "m_status", "dws_hourly_behavior": "m_hourly",
+    "dws_customer_summary": "m_customer", "dws_sequential_funnel": "m_funnel", "dws_customer_segments": "m_segment",
+    "dws_category_performance": "m_category", "ads_executive_kpis": "m_kpi", "ads_daily_trend": "m_daily",
+    "ads_sequential_funnel": "m_funnel", "ads_category_performance": "m_category", "ads_hourly_behavior": "m_hourly",
+    "ads_customer_segments": "m_segment", "ads_order_status": "m_status", "ops_data_quality_results": "checks",
+    "ads_dataops_health": "checks",
+}
+
+
 def _finals() -> dict[str, str]:
     bad = "stgbad_orders"
     score, delivered = _opt("review_score", "INT"), _opt("delivery_date", "TIMESTAMP")
@@ -784,6 +799,8 @@ def _finals() -> dict[str, str]:
         "kpi_reconciliation": """SELECT check_name, check_status, observed_value FROM checks
             WHERE check_name IN ('executive_kpis_reconcile', 'daily_orders_reconcile', 'customer_segments_reconcile')""",
         "quality_checks": "SELECT * FROM checks",
+        "layers_by_name": " UNION ALL ".join(
+            f"SELECT '{layer}' AS layer, (SELECT count(*) FROM {rows}) AS layer_rows" for layer, rows in _LAYERS.items()),
         "quality_summary": "SELECT * FROM summary",
         "row_profile": _plain(("raw_rows", "valid_rows", "quarantine_rows", "dwd_rows", *_COUNTS, "min_event_date", "max_event_date"),
                               "profile"),

@@ -35,15 +35,15 @@ def events(seed, users, n, minutes, hot=False):
     ]
 
 
-@pytest.mark.parametrize("time_slice", ["minute", "hour", "day"])
+@pytest.mark.parametrize("time_slices", [("hour",), ("minute", "day"), ("second", "minute", "hour")], ids=len)
 @pytest.mark.parametrize(
     "data",
     [events(1, 40, 200, 600), events(2, 30, 120, 5), events(3, 60, 240, 10000), events(4, 50, 400, 3000, hot=True)],
     ids=["mixed", "many-ties", "long", "hot-user"],
 )
-def test_depth_equals_brute_force(spark, data, time_slice):
+def test_depth_equals_brute_force(spark, data, time_slices):
     rows = spark.createDataFrame(data, "user INT, at TIMESTAMP, step STRING")
-    found = {r["user"]: r["depth"] for r in stage_depth(rows, "user", "at", STAGES, time_slice).collect()}
+    found = {r["user"]: r["depth"] for r in stage_depth(rows, "user", "at", STAGES, time_slices).collect()}
     assert found == brute(data)
 
 
