@@ -20,15 +20,15 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cartwright.llm.common import col, free_name, ship, slices, vocabulary_bytes
+from cartwright.llm.common import col, free_name, keeps_cache, ship, slices, use_cache, vocabulary_bytes
 
-# Runs of ``pattern`` never hold a blank after other text, so a text may be cut there.
+# Matches of this pattern never hold white space after other text, so a text may be cut there.
 CUT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEGMENT_CHARS = 1 << 20
-CACHED_CHUNKS = 700_000
+CACHED_CHUNKS = 400_000
 
 _UNEVEN_BLANKS = regex.compile(r"\s (?:\s|\Z)")
-_SAFE_CUT = re.compile(r"(?<=\S)\s")
+_SAFE_CUT = re.compile(r"(?<=\S)[ \n]")
 
 
 # --- the model --------------------------------------------------------------------------------
@@ -173,6 +173,9 @@ def _codec(table: bytes, pattern: str) -> Codec:
     return Codec(table, pattern)
 
 
+keeps_cache("byte_bpe", _codec.cache_clear)
+
+
 # --- DataFrames -------------------------------------------------------------------------------
 
 
@@ -197,6 +200,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = CUT_PATTERN, text: s
     source = docs.select(*[col(name) for name in kept], col(text).cast("string").alias(work))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_cache("byte_bpe")
         codec = _codec(table.value, pattern)
         for batch in batches:
             for part in slices(batch, work):
@@ -219,6 +223,7 @@ def decode(tokens: DataFrame, ranks_path: str, ids: str = "token_ids", pattern:
     kept = [name for name in tokens.columns if name.lower() != "decoded_bytes"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_cache("byte_bpe")
         codec = _codec(table.value, pattern)
         for batch in batches:
             for part in slices(batch, ids):

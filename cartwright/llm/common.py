@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
@@ -35,6 +35,21 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+_CACHES: dict[str, Callable[[], object]] = {}
+
+
+def keeps_cache(owner: str, clear: Callable[[], object]) -> None:
+    """Say how to drop what an operator has cached in a Python worker."""
+    _CACHES[owner] = clear
+
+
+def use_cache(owner: str) -> None:
+    """At the start of a task: what other operators have left in this worker goes, so that caches do not add up."""
+    for other, clear in _CACHES.items():
+        if other != owner:
+            clear()
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

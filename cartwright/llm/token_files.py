@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import col, ship, slices, vocabulary_bytes
+from cartwright.llm.common import col, ship, slices, use_cache, vocabulary_bytes
 from cartwright.llm.word_bpe import library_encoder
 
 DICTIONARY_BYTES, DICTIONARY_DOCS, DICTIONARY_TEXT_BYTES = 64 << 10, 1000, 16 << 10
@@ -82,6 +82,7 @@ def _sample(rows: DataFrame, file, width_of) -> list[bytes]:
     drawn = short.orderBy(F.xxhash64("row_key"), "row_key").limit(DICTIONARY_DOCS).select("row_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_cache("library_encoder")
         encoder = library_encoder(file.value)
         for batch in batches:
             ids = encoder.encode_all(batch.column(0).to_pylist())
@@ -110,6 +111,7 @@ def write(docs: DataFrame, root: str, vocabulary_path: str, end_id: int, key: st
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_cache("library_encoder")
         encoder = library_encoder(file.value)
         compress = _codecs(shared.value)[0].compress
         width = _width(encoder)

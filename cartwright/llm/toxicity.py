@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import col, free_name, ship, slices, store_for
+from cartwright.llm.common import col, free_name, keeps_cache, ship, slices, store_for, use_cache
 from cartwright.sources.store import ParquetStore
 
 # Bounds of the labelled sample that lexicon and model are fitted on.
@@ -33,7 +33,7 @@ OFTEN, LEAST_DOCS = 5, 3
 LEAST_RATIO, LEAST_ODDS = 25.0, 1.5
 FUZZY, QUOTED, ADDRESSED = 0.7, 0.25, 1.25
 WINDOW = 8
-CACHED_CHUNKS = 700_000
+CACHED_CHUNKS = 250_000
 
 _WORD = re.compile(r"[^\W\d_]+")
 _QUOTES = "\"'“”„‟«»‹›‘’"
@@ -400,6 +400,7 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
 # --- scoring ----------------------------------------------------------------------------------
 
 _READERS: dict[tuple[Entry, ...], Reader] = {}
+keeps_cache("toxicity", _READERS.clear)
 
 
 def _reader(entries: tuple[Entry, ...]) -> Reader:
@@ -421,6 +422,7 @@ def score(docs: DataFrame, model: Model, text: str = "text", output: str = "toxi
     schema = docs.select(*[col(name) for name in kept]).schema.add(output, "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_cache("toxicity")
         reader = _reader(model.entries)
         for batch in batches:
             for part in slices(batch, work):

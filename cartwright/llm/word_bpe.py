@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
 from cartwright.llm.byte_bpe import byte_characters
-from cartwright.llm.common import col, free_name, ship, slices, vocabulary_bytes
+from cartwright.llm.common import col, free_name, keeps_cache, ship, slices, use_cache, vocabulary_bytes
 
 CACHED_CHUNKS, CACHED_WORDS = 500_000, 500_000
 SEGMENT_CHARS = 1 << 20
@@ -151,6 +151,9 @@ def _counter(file: bytes) -> TokenCounter:
     return TokenCounter(file)
 
 
+keeps_cache("token_counts", _counter.cache_clear)
+
+
 def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", limit: int = 2048) -> DataFrame:
     """Add ``n_bytes, n_tokens, over_limit``.
 
@@ -164,6 +167,7 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", limi
     work = free_name("text_to_count", docs.columns)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_cache("token_counts")
         counter = _counter(file.value)
         for batch in batches:
             for part in slices(batch, work):
@@ -292,3 +296,6 @@ class LibraryEncoder:
 @lru_cache(maxsize=2)
 def library_encoder(file: bytes) -> LibraryEncoder:
     return LibraryEncoder(file)
+
+
+keeps_cache("library_encoder", library_encoder.cache_clear)
