@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 from cartwright.sources.store import ParquetStore
 
 
-def connected_components(edges: DataFrame, store: ParquetStore, name: str = "components") -> DataFrame:
+def connected_components(edges: DataFrame, store: ParquetStore, name: str = "components", most_rounds: int | None = None) -> DataFrame:
     """``node, component`` for every node of the undirected ``edges`` (a, b); two nodes are connected
     exactly if they have the same component, which is one of its nodes.
 
     Each round moves every node to the least of its neighbours in an order drawn anew, and edges follow
     their ends; ends that meet drop out.  In a random order a round removes a constant share of the
     nodes that still have edges, also along a path, so that rounds grow with the logarithm of the
-    input.  Every round is written, which cuts the lineage.  A node with very many edges is folded
+    input.  With ``most_rounds`` it stops early: nodes of one component are connected then, but not the
+    other way round.  Every round is written, which cuts the lineage.  A node with very many edges is folded
     before it is shuffled, and adaptive execution splits it in the joins.  Edges with a null end or
     with equal ends are left out.
     """
@@ -24,6 +25,8 @@ def connected_components(edges: DataFrame, store: ParquetStore, name: str = "com
     while True:
         step = len(rounds)
         spent.append(f"{name}-edges-{step}")
+        if step == most_rounds and rounds:
+            break
         current = store.keep(spent[-1], edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
         if current.isEmpty():
             break

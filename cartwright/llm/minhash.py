@@ -7,8 +7,10 @@ A text's set is its distinct word shingles.  A sketch keeps the k least hashes o
    their kept values, so a class enters only the lists of its rarest ones: a class with enough
    values of its own enters none, however common its other passages are.
 3. A list does not emit all its pairs.  Round by round its members are compared with one pivot, and
-   lists whose members are all connected are done.  When few unconnected pairs are left, these are
-   compared one by one; so no link between different components is lost.
+   lists whose members are all connected are done.  When pivots close no more lists, all unconnected
+   pairs left meet; so no link between different components is lost.
+   A pair comes out of a list only if sizes fit, and parity signatures: bit i holds the parity of the
+   set's hashes that fall on i, so two signatures differ in no more bits than the sets in hashes.
 4. Pairs whose estimate from the union of both sketches is too low drop out; exact Jaccard
    similarity over the full sets decides on the others.
 
@@ -25,19 +27,26 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import col, free_name, ship, slices, store_for
+from cartwright.llm.common import col, free_name, keeps_cache, ship, slices, store_for, use_cache
 from cartwright.llm.components import connected_components
 from cartwright.sources.store import ParquetStore
 
 KEPT = 32
 MISS = 1e-9
-CACHED_WORDS = 700_000
-PIVOT_ROUNDS = 8
+CACHED_WORDS = 250_000
+# Words of 64 bits in a parity signature.
+PARITY_WORDS = 8
+PARITY = tuple(f"p{i}" for i in range(PARITY_WORDS))
+PIVOT_ROUNDS = 2
+# Contractions after a pivot round.  What they leave apart is only compared once more.
+CONTRACTIONS = 2
 # More unconnected pairs than this for each list entry call for another pivot round.
-PAIRS_PER_ENTRY = 2
+PAIRS_PER_ENTRY = 4
+# Size of the table of key hashes: 1 MB.
+BITS = 1 << 23
 
 
 # --- sets -------------------------------------------------------------------------------------
@@ -50,6 +59,7 @@ class _WordHashes(dict):
 
 
 _WORDS = _WordHashes()
+keeps_cache("minhash", _WORDS.clear)
 _MULTIPLIER, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -78,6 +88,14 @@ def shingle_set(text: str | None, words: int) -> np.ndarray:
     return np.unique(value >> np.uint64(1)).view(np.int64)
 
 
+def parity_words(sets: list[np.ndarray]) -> np.ndarray:
+    """A column of 64-bit words per PARITY name: parities of the hashes' numbers modulo all bits."""
+    bits = 64 * PARITY_WORDS
+    rows = [np.bincount(s % bits, minlength=bits) & 1 for s in sets]
+    packed = np.packbits(np.array(rows, np.uint8).reshape(-1, bits), axis=1, bitorder="little")
+    return packed.view("<i8").T if len(rows) else np.empty((PARITY_WORDS, 0), np.int64)
+
+
 @lru_cache(maxsize=8)
 def needed_of_sketch(kept: int, numerator: int, denominator: int) -> int:
     """The largest c for which a pair at the threshold shares fewer than c of k values with chance below MISS."""
@@ -106,6 +124,7 @@ def sketches(docs: DataFrame, key: str, text: str, words: int, kept: int, numera
     source = docs.select(F.col(carry), col(key).alias("row_key"), col(text).cast("string").alias("row_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_cache("minhash")
         for batch in batches:
             for part in slices(batch, "row_text"):
                 sets = [shingle_set(t, words) for t in part.column("row_text").to_pylist()]
@@ -120,21 +139,34 @@ def sketches(docs: DataFrame, key: str, text: str, words: int, kept: int, numera
                         pa.array([needed(n, kept, numerator, denominator) for n in sizes], pa.int32()),
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
+                        *(pa.array(word) for word in parity_words(sets)),
                     ],
-                    ["carry", "row_key", "size", "needed", "set_digest", "sketch"],
+                    ["carry", "row_key", "size", "needed", "set_digest", "sketch", *PARITY],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"carry bigint, row_key {kind}, size bigint, needed int, set_digest binary, sketch array<bigint>"
-    return source.mapInArrow(run, schema)
+    return source.mapInArrow(run, schema + "".join(f", {name} bigint" for name in PARITY))
 
 
-def full_sets(docs: DataFrame, text: str, words: int) -> DataFrame:
-    """``set_digest, size, shingles`` of every text with words."""
+def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
+    """``set_digest, shingles`` of the wanted classes (set_digest, row_key), each once.
+
+    No text is shuffled.  A table of key hashes, of BITS bits whatever the corpus, tells whose sets are
+    made; keys may be null, repeated or share a bit, so the digest of a set decides whether it is kept.
+    """
     ship(docs.sparkSession)
-    source = docs.select(col(text).cast("string").alias("row_text"))
+    place = F.pmod(F.xxhash64("hashed_key"), F.lit(BITS))
+    word, bit = F.floor(place / 64), F.pmod(place, F.lit(64)).cast("int")
+    marked = wanted.select(F.col("row_key").alias("hashed_key")).withColumn("word", word).withColumn("bit", bit)
+    marked = marked.select("word", F.expr("shiftleft(1L, bit)").alias("mask"))
+    table = marked.groupBy("word").agg(F.bit_or("mask").alias("mask"))
+    source = docs.select(col(key).alias("hashed_key"), col(text).cast("string").alias("row_text"))
+    source = source.withColumn("word", word).withColumn("bit", bit).join(F.broadcast(table), "word").filter(F.getbit("mask", F.col("bit")) == 1)
+    source = source.select("row_text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        use_cache("minhash")
         for batch in batches:
             for part in slices(batch, "row_text", 1 << 20):
                 sets = [s for s in (shingle_set(t, words) for t in part.column("row_text").to_pylist()) if len(s)]
@@ -145,63 +177,78 @@ def full_sets(docs: DataFrame, text: str, words: int) -> DataFrame:
                     digests = pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary())
                     yield pa.RecordBatch.from_arrays([digests, lists], ["set_digest", "shingles"])
 
-    return source.mapInArrow(run, "set_digest binary, shingles array<bigint>")
+    found = source.mapInArrow(run, "set_digest binary, shingles array<bigint>")
+    return found.join(wanted.select("set_digest"), "set_digest", "left_semi").dropDuplicates(["set_digest"])
 
 
 # --- candidates -------------------------------------------------------------------------------
 
 
 def inverted_lists(classes: DataFrame, store: ParquetStore) -> DataFrame:
-    """``value, c, size``: each class under the rarest of its kept values that must hold a common one."""
+    """``value, c, size`` and parity words: each class under the rarest of its kept values.
+
+    Two similar classes share ``needed`` values, so they share one of the rarest values that are left when
+    that many less one are taken away.
+    """
     entries = classes.select(F.col("set_digest").alias("c"), F.explode("sketch").alias("value"))
     shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("frequency")).filter("frequency > 1")
     # At most k rows per class.
-    common = (
-        entries.join(shared, "value")
-        .groupBy("c")
-        .agg(F.sort_array(F.collect_list(F.struct("frequency", "value"))).alias("common"))
+    common = entries.join(shared, "value").groupBy("c").agg(F.sort_array(F.collect_list(F.struct("frequency", "value"))).alias("common"))
+    # Values of its own come first in the order of rarity and fill places.
+    own = F.size("sketch") - F.size("common")
+    places = F.size("sketch") - F.col("needed") + 1 - own
+    rows = classes.select(F.col("set_digest").alias("c"), "size", "needed", "sketch", *PARITY).join(common, "c").withColumn("places", places)
+    rows = rows.filter("places > 0").select("c", "size", *PARITY, F.explode(F.slice("common", F.lit(1), F.col("places"))).alias("entry"))
+    return store.keep("lists", rows.select(F.col("entry.value").alias("value"), "c", "size", *PARITY))
+
+
+def _candidates(entries: DataFrame, others: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Distinct pairs (a, b) of different components that meet in a list and may be similar."""
+    other = others.select(
+        "value", F.col("c").alias("d"), F.col("size").alias("other_size"), F.col("component").alias("other"), *[F.col(p).alias(f"other_{p}") for p in PARITY]
     )
-    # Values of its own come first in the order of rarity and fill places of the prefix.
-    places = F.size("sketch") - F.col("needed") + 1 - (F.size("sketch") - F.size("common"))
-    rows = classes.select(F.col("set_digest").alias("c"), "size", "needed", "sketch").join(common, "c").withColumn("places", places)
-    rows = rows.filter("places > 0").select("c", "size", F.explode(F.slice("common", F.lit(1), F.col("places"))).alias("entry"))
-    return store.keep("lists", rows.select(F.col("entry.value").alias("value"), "c", "size"))
-
+    fit = F.least("size", "other_size") * denominator >= F.greatest("size", "other_size") * numerator
+    differing = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"other_{p}"))) for p in PARITY), F.lit(0))
+    # Sets at the threshold differ in (1 - t) / (1 + t) of their joint sizes.
+    close = differing * (denominator + numerator) <= (F.col("size") + F.col("other_size")) * (denominator - numerator)
+    met = entries.join(other, "value").filter((F.col("component") != F.col("other")) & fit & close)
+    return met.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
 
-def _sizes_fit(one: Column, other: Column, numerator: int, denominator: int) -> Column:
-    return F.least(one, other) * denominator >= F.greatest(one, other) * numerator
 
+def likely_links(pairs: DataFrame, classes: DataFrame, kept: int) -> DataFrame:
+    """Those pairs whose similarity, estimated from the union of both sketches, is not too low."""
 
-def verified_links(
-    pairs: DataFrame, classes: DataFrame, sets: DataFrame, kept: int, numerator: int, denominator: int
-) -> DataFrame:
-    """Those of the distinct ``pairs`` (a, b) whose similarity reaches the threshold."""
-
-    def side(rows: DataFrame, end: str, *columns: str) -> DataFrame:
-        return rows.select(F.col("set_digest").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
+    def side(end: str) -> DataFrame:
+        return classes.select(F.col("set_digest").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("sketch", "size", "needed")])
 
-    rows = pairs.join(side(classes, "a", "sketch", "size", "needed"), "a").join(side(classes, "b", "sketch", "size", "needed"), "b")
+    rows = pairs.join(side("a"), "a").join(side("b"), "b")
     union = F.slice(F.sort_array(F.array_union("sketch_a", "sketch_b")), 1, kept)
     # Of the k least values of the union, those in both sketches: k times the similarity is expected.
     rows = rows.withColumn("hits", F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b"))))
     least = F.when((F.col("size_a") >= kept) & (F.col("size_b") >= kept), F.least("needed_a", "needed_b")).otherwise(1)
-    likely = rows.filter(F.col("hits") >= least).select("a", "b", "size_a", "size_b")
-    full = likely.join(side(sets, "a", "shingles"), "a").join(side(sets, "b", "shingles"), "b")
+    return rows.filter(F.col("hits") >= least).select("a", "b", "size_a", "size_b")
+
+
+def verified_links(likely: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Those pairs whose similarity over full sets reaches the threshold."""
+
+    def side(end: str) -> DataFrame:
+        return sets.select(F.col("set_digest").alias(end), F.col("shingles").alias(f"shingles_{end}"))
+
     inter = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    full = full.select("a", "b", "size_a", "size_b", inter.alias("common"))
+    full = likely.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", inter.alias("common"))
     return full.filter(F.col("common") * denominator >= (F.col("size_a") + F.col("size_b") - F.col("common")) * numerator).select("a", "b")
 
 
 def class_components(
-    lists: DataFrame, classes: DataFrame, sets: DataFrame, store: ParquetStore, kept: int, numerator: int, denominator: int
-) -> DataFrame:
+    docs: DataFrame, lists: DataFrame, classes: DataFrame, store: ParquetStore, key: str, text: str, words: int, numerator: int, denominator: int, kept: int
+) -> DataFrame:
     """``node, component`` of all classes that are linked with another one."""
     links = lists.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0)
     found = connected_components(links, store, "components-0")
-    names = []
     for step in range(PIVOT_ROUNDS + 1):
         placed = lists.join(found.select(F.col("node").alias("c"), "component"), "c", "left")
-        placed = placed.select("value", "c", "size", F.coalesce("component", "c").alias("component"))
+        placed = placed.withColumn("component", F.coalesce("component", "c"))
         open_lists = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
         active = store.keep(f"active-{step}", placed.join(open_lists.select("value"), "value", "left_semi"))
         parts = active.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
@@ -214,21 +261,22 @@ def class_components(
         if last:
             # A pair between components has an end outside the list's largest one; only such ends are joined.
             largest = parts.groupBy("value").agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
-            minor = active.join(largest, "value").filter("component <> largest")
-            other = active.select("value", F.col("c").alias("b"), F.col("size").alias("other_size"), F.col("component").alias("other"))
-            pairs = minor.join(other, "value").filter(F.col("component") != F.col("other"))
+            entering, others = active.join(largest, "value").filter("component <> largest").drop("largest"), active
         else:
-            order = F.struct(F.xxhash64("c", F.lit(step)), "c", F.col("size").alias("other_size"), F.col("component").alias("other"))
+            # The same pivots in all lists first, which close compact groups; then other ones in every list, which
+            # chain the members of loose groups.
+            rank = F.xxhash64("c", "value", F.lit(step)) if step else F.xxhash64("c")
+            order = F.struct(rank.alias("rank"), "c", "size", "component", *PARITY)
             pivots = active.groupBy("value").agg(F.min(order).alias("pivot"))
-            pivots = pivots.select("value", F.col("pivot.c").alias("b"), "pivot.other_size", "pivot.other")
-            pairs = active.join(pivots, "value").filter(F.col("component") != F.col("other"))
-        pairs = pairs.filter(_sizes_fit(F.col("size"), F.col("other_size"), numerator, denominator))
-        pairs = pairs.select(F.least("c", "b").alias("a"), F.greatest("c", "b").alias("b")).distinct()
-        fresh = store.keep(f"links-{step}", verified_links(pairs, classes, sets, kept, numerator, denominator))
-        store.remove([f"active-{step}"])
-        names.append(f"links-{step}")
-        links = links.unionByName(fresh)
-        found = connected_components(links, store, f"components-{step + 1}")
+            entering, others = active, pivots.select("value", "pivot.c", "pivot.size", "pivot.component", *[f"pivot.{p}" for p in PARITY])
+        pairs = _candidates(entering, others, numerator, denominator)
+        likely = store.keep(f"likely-{step}", likely_links(pairs, classes, kept))
+        ends = likely.select(F.col("a").alias("set_digest")).union(likely.select("b")).distinct()
+        wanted = store.keep(f"wanted-{step}", classes.join(ends, "set_digest", "left_semi").select("set_digest", "row_key"))
+        sets = store.keep(f"sets-{step}", full_sets(docs, wanted, key, text, words))
+        links = links.unionByName(store.keep(f"links-{step}", verified_links(likely, sets, numerator, denominator)))
+        store.remove([f"{name}-{step}" for name in ("active", "likely", "wanted", "sets")])
+        found = connected_components(links, store, f"components-{step + 1}", None if last else CONTRACTIONS)
         if last:
             break
     return found
@@ -247,13 +295,7 @@ def judge_rows(
     first = nonempty.groupBy("set_digest").agg(F.min("carry").alias("carry"))
     classes = store.keep("classes", nonempty.join(first, ["set_digest", "carry"], "left_semi"))
     lists = inverted_lists(classes, store)
-    wanted = classes.join(lists.select(F.col("c").alias("set_digest")).distinct(), "set_digest", "left_semi")
-    wanted = store.keep("wanted", wanted.select("set_digest", "row_key"))
-    # Keys may be null or repeated, so the digest decides whose sets are kept.
-    texts = docs.join(wanted.select(F.col("row_key").alias("wanted_key")).distinct(), col(key).eqNullSafe(F.col("wanted_key")), "left_semi")
-    sets = full_sets(texts, text, words).join(wanted.select("set_digest"), "set_digest", "left_semi").dropDuplicates(["set_digest"])
-    sets = store.keep("sets", sets)
-    found = class_components(lists, classes, sets, store, kept, numerator, denominator)
+    found = class_components(docs, lists, classes, store, key, text, words, numerator, denominator, kept)
     placed = rows.select("carry", "row_key", "size", "set_digest").join(
         found.select(F.col("node").alias("set_digest"), "component"), "set_digest", "left"
     )
