@@ -132,11 +132,11 @@ def best_in_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataF
     vectors, ids, numbers = _matrix(rows["vector"]), rows["vec_id"].to_numpy(), rows["row"].to_numpy()
     asked, own, query_ids = _matrix(queries["vector"]), queries["row"].to_numpy(), queries["vec_id"].to_numpy()
     rough = asked @ vectors.T
-    out = []
+    picked, exact_of = [], []
     for at in range(len(asked)):
         others = numbers != own[at]
         scores = np.where(others, rough[at], -np.inf)
-        if others.sum() > k:
+        if len(scores) > k + 1:
             # Rounding of the fast product is far below this slack; ties are settled by exact scores.
             cut = np.partition(scores, len(scores) - k)[len(scores) - k]
             near = np.flatnonzero(scores >= cut - 1e-9 * max(1.0, abs(cut)))
@@ -144,8 +144,16 @@ def best_in_block(queries: pd.DataFrame, rows: pd.DataFrame, k: int) -> pd.DataF
             near = np.flatnonzero(others)
         exact = exact_scores(asked[at], vectors[near])
         first = np.lexsort((numbers[near], ids[near], -exact))[:k]
-        out.append(pd.DataFrame({"query_row": own[at], "query_id": query_ids[at], "row": numbers[near[first]], "vec_id": ids[near[first]], "score": exact[first]}))
-    return pd.concat(out) if out else pd.DataFrame(columns=["query_row", "query_id", "row", "vec_id", "score"])
+        picked.append(near[first])
+        exact_of.append(exact[first])
+    repeats = [len(chosen) for chosen in picked]
+    chosen = np.concatenate(picked) if picked else np.empty(0, np.int64)
+    return pd.DataFrame(
+        {
+            "query_row": np.repeat(own, repeats), "query_id": np.repeat(query_ids, repeats), "row": numbers[chosen], "vec_id": ids[chosen],
+            "score": np.concatenate(exact_of) if exact_of else np.empty(0),
+        }
+    )
 
 
 _FOUND = "query_row bigint, query_id bigint, row bigint, vec_id bigint, score double"
