@@ -69,7 +69,7 @@ def op8_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return line_dedup.judge_lines(table(spark, folder, "documents"))
 
 
-TOXIC_FROM = 0.3
+TOXIC_FROM = toxicity.TOXIC_FROM
 
 
 def op9_toxicity(spark: SparkSession, folder: str) -> DataFrame:

@@ -26,6 +26,8 @@ from cartwright.sources.store import ParquetStore
 # Bounds of the labelled sample that lexicon and model are fitted on.
 TOXIC_ROWS, CLEAN_ROWS = 1500, 3000
 LEXICON_ENTRIES, CANDIDATES = 2000, 5000
+# A text is toxic from this score on, for the operator and for the pipeline.
+TOXIC_FROM = 0.3
 SHORTEST_WORD, SHORTEST_STEM, LONGEST_STEM = 3, 4, 12
 # Uses of a term that one document counts for, and toxic documents that a term needs.
 OFTEN, LEAST_DOCS = 5, 3

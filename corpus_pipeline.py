@@ -10,8 +10,8 @@ from cartwright.llm import byte_bpe, exact_dedup, minhash, mixing, toxicity
 from cartwright.llm.common import store_for, table
 
 
-# A document goes when it is more likely toxic than not.
-TOXIC_FROM = 0.5
+# A document goes when operator 9 predicts it toxic.
+TOXIC_FROM = toxicity.TOXIC_FROM
 # Every source is passed once at least and twice at most.
 MIXTURE = mixing.Target(repetitions=2.0)
 

@@ -67,3 +67,14 @@ def test_toxicity_stage_keeps_clean_documents(spark):
     rows = toxicity.score(docs, model).join(labels, "doc_id").selectExpr("toxic", f"toxicity >= {corpus_pipeline.TOXIC_FROM} AS gone").toPandas()
     assert rows[rows.toxic == 0].gone.mean() < 0.005
     assert rows[rows.toxic == 1].gone.mean() > 0.85
+
+
+def test_toxicity_stage_removes_what_op9_predicts(spark):
+    folder = "/root/testdata/sf0.1"
+    docs, labels = (spark.read.parquet(f"{folder}/{t}.parquet") for t in ("documents", "labels"))
+    judged = registry.op9_toxicity(spark, folder).join(labels, "doc_id", "left").select("doc_id", "held_out", "predicted", "toxic").toPandas()
+    kept = Counter(r["doc_id"] for r in corpus_pipeline.toxicity_stage(spark, docs, folder).select("doc_id").collect())
+    assert kept == Counter(judged[judged.predicted == 0].doc_id)
+    toxic = judged[judged.held_out & (judged.toxic == 1)]
+    assert len(toxic) > 50
+    assert (~toxic.doc_id.isin(kept)).mean() > 0.9
