@@ -197,10 +197,16 @@ def mix(
     docs: DataFrame, target: Target, key: str = "doc_id", text: str = "text", source: str = "source", tokens: str | None = None,
     block_tokens: int = BLOCK_TOKENS, seed: int = SEED,
 ) -> DataFrame:
-    """The documents themselves, a row per copy, with their own columns only."""
+    """The documents themselves, a row per copy, with their own columns only, in the order of the schedule.
+
+    Partitions, and so the files written of them, follow each other by block and position, and rows inside too.
+    """
     store = store_for(docs)
     row = free_name("stable_row", docs.columns)
     rows = store.keep("rows", docs.withColumn(row, F.monotonically_increasing_id()))
     narrow = store.keep("narrow", _identified(rows, key, text, source, tokens, row).drop("row_key", "row_source"))
-    copies = store.keep("copies", plan_copies(narrow, target, store, block_tokens, seed).select(F.col("row_number").alias(row)))
-    return rows.join(copies, row).select(*[col(name) for name in docs.columns])
+    block, position = free_name("copy_block", docs.columns), free_name("copy_position", docs.columns)
+    planned = plan_copies(narrow, target, store, block_tokens, seed)
+    copies = store.keep("copies", planned.select(F.col("row_number").alias(row), F.col("block").alias(block), F.col("position").alias(position)))
+    ordered = rows.join(copies, row).repartitionByRange(block, position).sortWithinPartitions(block, position)
+    return ordered.select(*[col(name) for name in docs.columns])

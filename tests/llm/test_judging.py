@@ -255,6 +255,15 @@ def test_mixing_awkward_rows(spark):
         mixing.Target()
 
 
+def test_mix_comes_in_order_of_blocks(spark, folder):
+    docs = spark.createDataFrame(mixing_corpus(6), SCHEMA).repartition(3)
+    planned = mixing.schedule(docs, TARGETS[0], block_tokens=64).orderBy("block", "position").select("doc_id").collect()
+    mixing.mix(docs, TARGETS[0], block_tokens=64).write.parquet(f"{folder}/mixed")
+    files = sorted(p for p in __import__("os").listdir(f"{folder}/mixed") if p.endswith(".parquet"))
+    written = [r["doc_id"] for p in files for r in spark.read.parquet(f"{folder}/mixed/{p}").collect()]
+    assert written == [r["doc_id"] for r in planned]
+
+
 # --- neighbours -------------------------------------------------------------------------------
 
 
