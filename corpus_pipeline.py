@@ -35,8 +35,9 @@ def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    rows = byte_bpe.encode(docs, path, public_tokenizers.PATTERN)
-    return rows.select("doc_id", "lang", "source", "n_chars", "n_tokens", "token_ids")
+    rows = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, decoded=True)
+    same = F.col("decoded_bytes") == F.coalesce("text", F.lit("")).cast("binary")
+    return rows.select("doc_id", "lang", "source", "n_chars", "n_tokens", "token_ids", same.alias("decodes_to_text"))
 
 
 STAGES = [

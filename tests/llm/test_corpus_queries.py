@@ -3,12 +3,14 @@
 from collections import Counter
 
 import pytest
+from awkward import AWKWARD, clashing, documents
 from comparing import compare, oracle
 from conftest import SMALL
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from cartwright.llm import registry, toxicity
+from cartwright.llm import byte_bpe, registry, toxicity
 
 
 @pytest.fixture(scope="module")
@@ -78,3 +80,14 @@ def test_toxicity_stage_removes_what_op9_predicts(spark):
     toxic = judged[judged.held_out & (judged.toxic == 1)]
     assert len(toxic) > 50
     assert (~toxic.doc_id.isin(kept)).mean() > 0.9
+
+
+def test_last_stage_decodes_what_it_encoded(spark, monkeypatch):
+    docs = clashing(documents(spark)).selectExpr("*", "'xx' AS lang", "1 AS n_chars")
+    rows = corpus_pipeline.encode_stage(spark, docs, SMALL).collect()
+    assert len(rows) == len(AWKWARD)
+    assert all(r["decodes_to_text"] is True for r in rows)
+    encode = byte_bpe.encode
+    monkeypatch.setattr(byte_bpe, "encode", lambda *a, **b: encode(*a, **b).withColumn("text", F.concat("text", F.lit("?"))))
+    spoilt = corpus_pipeline.encode_stage(spark, docs, SMALL).filter("n_tokens > 0").collect()
+    assert spoilt and not any(r["decodes_to_text"] for r in spoilt)
