@@ -10,6 +10,7 @@ proportions of their weights and is permuted itself.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from math import ceil
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -101,11 +102,12 @@ def find_exponent(shares: DataFrame, target: Target, total_tokens: float) -> flo
 
 
 def source_weights(rows: DataFrame, target: Target, store: ParquetStore) -> tuple[DataFrame, float]:
-    """``source_key, documents, tokens, share, weight, source_budget, passes`` and the exponent.
+    """``source_key, documents, tokens, bare, share, weight, source_budget, passes`` and the exponent.
 
-    Sources without tokens have share and weight 0 and are passed once.
+    Sources without tokens have share and weight 0 and are passed once.  ``bare`` documents have no tokens.
     """
-    totals = store.keep("sources", rows.groupBy("source_key").agg(F.count(F.lit(1)).alias("documents"), F.sum("tokens").alias("tokens")))
+    counts = [F.count(F.lit(1)).alias("documents"), F.sum("tokens").alias("tokens"), F.count_if(F.col("tokens") == 0).alias("bare")]
+    totals = store.keep("sources", rows.groupBy("source_key").agg(*counts))
     everything = totals.agg(F.sum("tokens")).first()[0] or 0
     shares = totals.withColumn("share", F.col("tokens") / F.lit(max(everything, 1)))
     used = shares.filter("tokens > 0")
@@ -124,11 +126,11 @@ def source_weights(rows: DataFrame, target: Target, store: ParquetStore) -> tupl
     return store.keep("weights", weighed.withColumn("passes", passes.cast("int"))), exponent
 
 
-def _running_starts(rows: DataFrame, store: ParquetStore) -> DataFrame:
+def _running_starts(rows: DataFrame, store: ParquetStore, layer: str = "steps") -> DataFrame:
     """Add ``start``, the tokens before a copy in its pass, in three levels of bounded windows."""
     by_step = W.partitionBy("source_key", "pass", "step")
     totals = rows.groupBy("source_key", "pass", "step").agg(F.sum("tokens").alias("tokens"))
-    totals = store.keep("steps", totals.withColumn("parent", F.shiftright("step", STEPS_PER_PARENT_BITS)))
+    totals = store.keep(layer, totals.withColumn("parent", F.shiftright("step", STEPS_PER_PARENT_BITS)))
     before = (W.unboundedPreceding, -1)
     parents = totals.groupBy("source_key", "pass", "parent").agg(F.sum("tokens").alias("tokens"))
     over_parents = W.partitionBy("source_key", "pass").orderBy("parent").rowsBetween(*before)
@@ -141,6 +143,21 @@ def _running_starts(rows: DataFrame, store: ParquetStore) -> DataFrame:
     return placed.withColumn("start", F.col("base") + F.col("inner"))
 
 
+def _told_apart(rows: DataFrame, store: ParquetStore) -> DataFrame:
+    """Give the second and later of equal rows an identity of their own, so that they spread like others.
+
+    They are numbered in order of rows, as running totals of ones.  As equal rows stand for each other,
+    the result does not depend on which of them gets which number.
+    """
+    group = F.struct("source_key", "identity").alias("source_key")
+    step = F.shiftright("row_number", ROWS_PER_STEP_BITS).alias("step")
+    ones = rows.select(group, F.lit(0).alias("pass"), step, F.lit(0).alias("rank"), "row_number", F.lit(1).alias("tokens"), F.col("tokens").alias("own_tokens"))
+    numbered = _running_starts(ones, store, "repeats")
+    identity = F.when(F.col("start") == 0, F.col("source_key.identity")).otherwise(F.xxhash64("source_key.identity", "start"))
+    told = numbered.select("row_number", F.col("source_key.source_key").alias("source_key"), F.col("own_tokens").alias("tokens"), identity.alias("identity"))
+    return store.keep("told_apart", told)
+
+
 def plan_copies(
     rows: DataFrame, target: Target, store: ParquetStore, block_tokens: int = BLOCK_TOKENS, seed: int = SEED
 ) -> DataFrame:
@@ -148,7 +165,10 @@ def plan_copies(
 
     ``rows`` hold ``row_number, source_key, tokens, identity``.
     """
+    rows = _told_apart(rows, store)
     weights, _ = source_weights(rows, target, store)
+    budget, bare = weights.agg(F.sum("source_budget"), F.sum(F.col("bare") * F.col("passes"))).first()
+    blocks = max(1, ceil((budget or 0) / block_tokens), ceil((bare or 0) / block_tokens))
     bits = F.greatest(F.lit(0), F.ceil(F.log2(F.col("documents").cast("double"))).cast("int") - ROWS_PER_STEP_BITS)
     weights = weights.select("source_key", "tokens", "weight", "source_budget", "passes", bits.alias("bits"))
     weights = weights.withColumnRenamed("tokens", "source_tokens")
@@ -156,10 +176,11 @@ def plan_copies(
     rank = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "pass", "identity"), 1)
     copies = copies.withColumn("rank", rank).withColumn("step", F.expr("CASE WHEN bits = 0 THEN 0L ELSE shiftright(rank, 63 - bits) END"))
     placed = _running_starts(copies, store).withColumn("start", F.col("start") + F.col("pass") * F.col("source_tokens"))
-    # A copy that begins within the budget is emitted; sources without tokens come with the first block.
+    # A copy that begins within the budget is emitted; one without tokens weighs nothing and comes in any block.
     emitted = placed.filter((F.col("start") < F.col("source_budget") - 1e-6) | (F.col("source_tokens") == 0) | (F.col("tokens") == 0) & (F.col("pass") == 0))
     share = F.col("weight") * F.lit(block_tokens)
-    block = F.when(F.col("weight") > 0, F.floor(F.col("start") / share)).otherwise(0).cast("bigint")
+    anywhere = F.pmod(F.xxhash64(F.lit(seed), "source_key", "rank"), F.lit(blocks))
+    block = F.when(F.col("tokens") > 0, F.floor(F.col("start") / share)).otherwise(anywhere).cast("bigint")
     emitted = emitted.select("row_number", "pass", "rank", block.alias("block"))
     inside = W.partitionBy("block").orderBy(F.xxhash64(F.lit(seed), "block", "rank"), "pass", "row_number")
     return emitted.select("row_number", "pass", "block", (F.row_number().over(inside) - 1).alias("position"))
@@ -183,8 +204,8 @@ def schedule(
     """Every copy to emit: ``<key>, <source>, n_tokens, pass, block, position``.
 
     Tokens are counted by ``word_count`` unless a column is named.  A null source is a source of its own.
-    Null and empty texts have no tokens and come once, with the pass.  Repeated rows are rows of their
-    own.  An empty table gives an empty result.  Equal input gives equal output.
+    Null and empty texts have no tokens and come once, with the pass, in any block.  Repeated rows are
+    rows of their own.  An empty table gives an empty result.  Equal input gives equal output.
     """
     store = store_for(docs)
     rows = store.keep("rows", _identified(docs.withColumn("mix_row", F.monotonically_increasing_id()), key, text, source, tokens, "mix_row"))

@@ -264,6 +264,25 @@ def test_mix_comes_in_order_of_blocks(spark, folder):
     assert written == [r["doc_id"] for r in planned]
 
 
+def test_no_window_grows_with_empty_or_repeated_rows(spark, monkeypatch):
+    corpus = mixing_corpus(7) + [(1000 + i, "", "empty") for i in range(2000)] + [(5000, "w w", "big")] * 2000
+    docs = spark.createDataFrame(corpus, SCHEMA)
+    steps, starts = [], mixing._running_starts
+
+    def watched(rows, *rest):
+        steps.append(rows.groupBy("source_key", "pass", "step").count().agg({"count": "max"}).first()[0])
+        return starts(rows, *rest)
+
+    monkeypatch.setattr(mixing, "_running_starts", watched)
+    found = mixing.schedule(docs, TARGETS[0], block_tokens=64).collect()
+    assert max(steps) < 4 << mixing.ROWS_PER_STEP_BITS
+    assert max(Counter(r["block"] for r in found).values()) < 200
+    copies = Counter(r["doc_id"] for r in found)
+    assert copies[5000] >= 2000 and all(copies[i] >= 1 for i, _, _ in corpus)
+    again = mixing.schedule(docs.repartition(5), TARGETS[0], block_tokens=64).collect()
+    assert Counter(map(tuple, found)) == Counter(map(tuple, again))
+
+
 # --- neighbours -------------------------------------------------------------------------------
 
 
