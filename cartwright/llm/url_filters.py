@@ -15,7 +15,9 @@ from cartwright.llm.components import connected_components
 from cartwright.llm.exact_dedup import LOWER, UPPER
 
 # (?is): any case, and dots match line ends.
-_CANONICAL = r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
+# The word canonical may stand anywhere among those of rel.
+_REL = r"""\brel\s*=\s*(?:"(?:[^">]*\s)?canonical(?=[\s"])|'(?:[^'>]*\s)?canonical(?=[\s'])|canonical(?=[\s/>]))"""
+_CANONICAL = rf"""(?is)<link\b(?=[^>]*{_REL})[^>]*\bhref\s*=\s*["']?([^"'\s>]+)"""
 _REFRESH = r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\bcontent\s*=\s*["']?\s*[\d.]*\s*[;,]\s*url\s*=\s*["']?([^"'\s>]+)"""
 
 
@@ -61,9 +63,10 @@ def link_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     """``a, b`` of every redirect and canonical link in the pages."""
     page = F.coalesce(col(html).cast("string"), F.lit(""))
     lowered = F.lower(page)
-    target = F.when(F.contains(lowered, F.lit("canonical")), F.regexp_extract(page, _CANONICAL, 1)).otherwise("")
-    moved = F.when(F.contains(lowered, F.lit("refresh")), F.regexp_extract(page, _REFRESH, 1)).otherwise("")
-    rows = pages.select(col(url).cast("string").alias("base"), F.array(target, moved).alias("links"))
+    none = F.array().cast("array<string>")
+    targets = F.when(F.contains(lowered, F.lit("canonical")), F.regexp_extract_all(page, F.lit(_CANONICAL), F.lit(1))).otherwise(none)
+    moved = F.when(F.contains(lowered, F.lit("refresh")), F.regexp_extract_all(page, F.lit(_REFRESH), F.lit(1))).otherwise(none)
+    rows = pages.select(col(url).cast("string").alias("base"), F.concat(targets, moved).alias("links"))
     rows = rows.filter(F.exists("links", lambda link: link != "")).select("base", F.explode("links").alias("link")).filter("link <> ''")
     # Exploding one value keeps the optimizer from writing its expression out at every use.
     rows = rows.select("base", F.explode(F.array(resolved(F.col("link"), F.col("base")))).alias("target"))
