@@ -228,6 +228,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, sto
     """``toxic, row_text`` of at most TOXIC_ROWS and CLEAN_ROWS labelled documents that are not held out.
 
     A key with several labels is toxic if one of them says so.  Keys are drawn by hash.
+    Of rows of one key the one with the smallest hash of its text is taken.
     """
     marked = labels.filter(col(key).isNotNull() & F.col("toxic").isNotNull() & ~is_held_out(col(key)))
     marked = marked.groupBy(col(key).alias("sample_key")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
@@ -237,7 +238,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, key: str, text: str, sto
     ]
     keys = store.keep("sample-keys", drawn[0].unionByName(drawn[1]).coalesce(1))
     rows = docs.select(col(key).alias("sample_key"), col(text).cast("string").alias("row_text"))
-    return store.keep("sample", rows.join(F.broadcast(keys), "sample_key").select("toxic", "row_text"))
+    drawn_rows = rows.join(F.broadcast(keys), "sample_key").select("sample_key", "toxic", F.struct(F.xxhash64("row_text"), "row_text").alias("row"))
+    return store.keep("sample", drawn_rows.groupBy("sample_key", "toxic").agg(F.min("row").alias("row")).select("toxic", "row.row_text"))
 
 
 def count_terms(sample: DataFrame) -> DataFrame:

@@ -84,6 +84,17 @@ def test_toxicity_of_awkward_rows(spark):
     assert toxicity.score(docs.limit(0), nothing).collect() == []
 
 
+def test_sample_takes_one_row_of_a_key(spark):
+    docs = spark.createDataFrame([(1, f"bad text {i}", "a") for i in range(500)] + [(2, "good", "a"), (3, None, "a"), (5, "fine", "a")], SCHEMA)
+    keys = spark.createDataFrame([(i, int(i == 1)) for i in range(1, 6)], "doc_id bigint, toxic int")
+    drawn = [r[0] for r in keys.filter(~toxicity.is_held_out(keys.doc_id)).select("doc_id").collect()]
+    assert 1 in drawn
+    first = toxicity.labelled_sample(docs, keys, "doc_id", "text", store_for(docs)).collect()
+    assert len(first) == len([i for i in drawn if i != 4])
+    again = toxicity.labelled_sample(docs.repartition(5), keys, "doc_id", "text", store_for(docs)).collect()
+    assert Counter(map(tuple, first)) == Counter(map(tuple, again))
+
+
 # --- urls -------------------------------------------------------------------------------------
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -118,6 +129,17 @@ def test_urls(spark):
     assert url_filters.judge(pages.limit(0), RULES).collect() == []
 
 
+def test_every_link_of_a_page_is_an_edge(spark):
+    html = (
+        '<link rel="alternate canonical" href="http://b.it/1"><link href=\'http://b.it/2\' rel=\'canonical next\'><link rel=canonical href=http://b.it/3>'
+        '<link rel="not-canonical" href="http://b.it/4"><link rel="canonicals" href="http://b.it/5">'
+    )
+    html += REFRESH.format("http://c.it/1") + REFRESH.format("http://c.it/2")
+    pages = spark.createDataFrame([(1, "http://a.it/", html), (2, "http://d.it/", None)], "page_id bigint, url string, html string")
+    found = Counter(tuple(r) for r in url_filters.link_edges(pages).collect())
+    assert found == Counter(("a.it/", to) for to in ("b.it/1", "b.it/2", "b.it/3", "c.it/1", "c.it/2"))
+
+
 def test_given_edges(spark):
     pages = spark.createDataFrame([(1, "http://a.it/", None)], "page_id bigint, url string, html string")
     edges = spark.createDataFrame([("http://a.it/", "http://b.it/"), ("http://b.it/", "http://c.net/")], "a string, b string")
