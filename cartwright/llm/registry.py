@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartwright.llm import ann, byte_bpe, exact_dedup, line_dedup, minhash, mixing, token_files, toxicity, url_filters, word_bpe
+from cartwright.llm import (
+    ann,
+    byte_bpe,
+    exact_dedup,
+    line_dedup,
+    main_text,
+    minhash,
+    mixing,
+    spelling,
+    token_files,
+    toxicity,
+    turn_trie,
+    url_filters,
+    word_bpe,
+)
 from cartwright.llm.common import store_for, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -86,6 +100,26 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return ann.search(table(spark, folder, "embeddings"))
 
 
+SHORTEST_WORD, LEAST_COUNT, EVERY, TIMES = 7, 2, 31, 10
+
+
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    """Spelling variants among the words of all documents."""
+    docs = table(spark, folder, "documents")
+    words = store_for(docs).keep("words", spelling.count_words(docs, shortest=SHORTEST_WORD, least=LEAST_COUNT, every=EVERY))
+    return spelling.group_variants(words, times=TIMES)
+
+
+def op12_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return main_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+
+
+def op13_turn_trie(spark: SparkSession, folder: str) -> DataFrame:
+    """Prefix nodes of all conversations after they were given common openings."""
+    return turn_trie.conversation_nodes(table(spark, folder, "conversations"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_token_files": op2_token_files,
@@ -97,6 +131,9 @@ QUERIES: dict[str, Query] = {
     "op8_line_dedup": op8_line_dedup,
     "op9_toxicity": op9_toxicity,
     "op10_neighbours": op10_neighbours,
+    "op11_spelling": op11_spelling,
+    "op12_main_text": op12_main_text,
+    "op13_turn_trie": op13_turn_trie,
 }
 
 OP7_SQL = """
