@@ -23,13 +23,14 @@ from cartwright.functions.parsing import (
     whole_number,
 )
 from cartwright.operators.validation import judge, reason_frequency, reason_text, union_all
-from cartwright.plans import consumption, customers, quality, release
+from cartwright.plans import arrivals, consumption, customers, incremental, quality, release
 from cartwright.plans.rulebook import RULEBOOK, raw_contract
 from cartwright.plans.warehouse import Warehouse
 from cartwright.session import prepare
 from cartwright.sources import catalog, csv_files
 from cartwright.sources.star_schema import StarSources
 from cartwright.sources.store import scratch_store, shared_folder
+from cartwright.streaming.quarantine import stream_tables
 
 FLAGSHIP_FOLDER = "/root/testdata/sf0.001"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -347,6 +348,41 @@ def gated_publish(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- arriving data --------------------------------------------------------------------------------
+
+
+def streamed_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """The quarantine of all six tables, judged as their CSV files arrive, two a batch."""
+    root = _scratch_folder(spark)
+    arrivals.write_text_files(StarSources(spark, folder), f"{root}/in", files=4)
+    tables = stream_tables(spark, f"{root}/in", f"{root}/out", RUN_AT, c.WIDE_IDS, files_per_batch=2)
+    rows = union_all([table.quarantine() for table in tables.values()])
+    return _edge(rows.select("source_table", "record_key", "rejection_reasons", "source_file", "ingested_at", "quarantined_at"))
+
+
+def streamed_hourly_behavior(spark: SparkSession, folder: str) -> DataFrame:
+    """Behavior per hour of event time over event files that arrive in turn, late rows counted apart."""
+    return arrivals.hourly_stream(spark, _warehouse(spark, folder).fact_behavior, _scratch_folder(spark)).result()
+
+
+def _replaced(fact: incremental.PartitionedFact, report: Callable[[incremental.PartitionedLayers], DataFrame]) -> Query:
+    """A report over partitions that two change sets brought to their present state."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        w = _warehouse(spark, folder)
+        rows = w.fact_order if fact is incremental.ORDERS else w.fact_behavior
+        return _edge(report(arrivals.replaced_layers(spark, {fact: rows}, _scratch_folder(spark))))
+
+    return query
+
+
+def _sketched_customers(layers: incremental.PartitionedLayers) -> DataFrame:
+    """Exact customers per status, and whether the sketches come within four standard errors."""
+    exact = layers.order_status_summary().select("status_code", "customer_count")
+    near = f"abs(customers - customer_count) <= 1 + {4 * incremental.SKETCH_ERROR} * customer_count"
+    return exact.join(layers.approximate_customers(), "status_code").selectExpr("status_code", "customer_count", f"{near} AS within_bound")
+
+
 def _prepared(query: Query) -> Query:
     return lambda spark, folder: query(prepare(spark), folder)
 
@@ -425,6 +461,12 @@ def core_queries() -> dict[str, Query]:
         "combined_fingerprint": combined_fingerprint,
         "typed_release_read": typed_release_read,
         "gated_publish": gated_publish,
+        "streamed_quarantine": streamed_quarantine,
+        "streamed_hourly_behavior": streamed_hourly_behavior,
+        "replaced_daily_commerce": _replaced(incremental.ORDERS, lambda layers: layers.daily_commerce()),
+        "replaced_order_status": _replaced(incremental.ORDERS, lambda layers: layers.order_status_summary()),
+        "replaced_hourly_behavior": _replaced(incremental.BEHAVIORS, lambda layers: layers.hourly_behavior()),
+        "sketched_customers": _replaced(incremental.ORDERS, _sketched_customers),
     }
     return {name: _prepared(query) for name, query in registered.items()}
 

@@ -11,7 +11,7 @@ holds a large part of the rows arrives already reduced.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,10 +23,14 @@ _ENTITY = "__entity"
 
 @dataclass(frozen=True)
 class Measure:
-    """Partials per (group, entity), and their merge per group with ``{partial}`` slots."""
+    """Partials per (group, entity), and their merge per group with ``{partial}`` slots.
+
+    ``folds`` names the partials of one entity that are not added up when several are made one.
+    """
 
     partials: dict[str, str]
     merge: str
+    folds: dict[str, str] = field(default_factory=dict)
 
 
 def row_count() -> Measure:
@@ -66,24 +70,43 @@ def entities_where(condition: str, at_least: int = 1) -> Measure:
 
 
 def earliest(column: str) -> Measure:
-    return Measure({"m": f"min({column})"}, "min({m})")
+    return Measure({"m": f"min({column})"}, "min({m})", {"m": "min"})
 
 
 def latest(column: str) -> Measure:
-    return Measure({"m": f"max({column})"}, "max({m})")
+    return Measure({"m": f"max({column})"}, "max({m})", {"m": "max"})
 
 
-def report(rows: DataFrame, keys: list[str], entity: str, measures: dict[str, Measure]) -> DataFrame:
-    """One row per key group (one row in all when there are no keys)."""
-    partials, merged = [], []
-    for name, measure in measures.items():
-        slots = {suffix: f"{name}__{suffix}" for suffix in measure.partials}
-        partials += [f"{text} AS {slots[suffix]}" for suffix, text in measure.partials.items()]
-        merged.append(f"{measure.merge.format(**slots)} AS {name}")
+def _slots(name: str, measure: Measure) -> dict[str, str]:
+    return {suffix: f"{name}__{suffix}" for suffix in measure.partials}
+
+
+def partials(rows: DataFrame, keys: list[str], entity: str, measures: dict[str, Measure]) -> DataFrame:
+    """One row per key group and entity; such rows of several parts of the data can be kept and merged later."""
     # The entity gets a name of its own, as it may be one of the keys as well.
     keyed = rows.withColumn(_ENTITY, F.col(entity))
-    if partials:
-        per_entity = keyed.groupBy(*keys, _ENTITY).agg(*exprs(*partials))
-    else:
-        per_entity = keyed.select(*keys, _ENTITY).distinct()
-    return per_entity.groupBy(*keys).agg(*exprs(*merged))
+    columns = [
+        f"{text} AS {_slots(name, measure)[suffix]}" for name, measure in measures.items() for suffix, text in measure.partials.items()
+    ]
+    if not columns:
+        return keyed.select(*keys, _ENTITY).distinct()
+    return keyed.groupBy(*keys, _ENTITY).agg(*exprs(*columns))
+
+
+def folded(parts: DataFrame, keys: list[str], measures: dict[str, Measure]) -> DataFrame:
+    """Partials of several parts of the data as one row per key group and entity."""
+    columns = []
+    for name, measure in measures.items():
+        columns += [f"{measure.folds.get(suffix, 'sum')}({slot}) AS {slot}" for suffix, slot in _slots(name, measure).items()]
+    return parts.groupBy(*keys, _ENTITY).agg(*exprs(*columns)) if columns else parts.select(*keys, _ENTITY).distinct()
+
+
+def merged(per_entity: DataFrame, keys: list[str], measures: dict[str, Measure]) -> DataFrame:
+    """The report over one row per key group and entity."""
+    columns = [f"{measure.merge.format(**_slots(name, measure))} AS {name}" for name, measure in measures.items()]
+    return per_entity.groupBy(*keys).agg(*exprs(*columns))
+
+
+def report(rows: DataFrame, keys: list[str], entity: str, measures: dict[str, Measure]) -> DataFrame:
+    """One row per key group (one row in all when there are no keys)."""
+    return merged(partials(rows, keys, entity, measures), keys, measures)

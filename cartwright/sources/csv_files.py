@@ -28,10 +28,11 @@ def text_schema(headers: tuple[str, ...]) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in (*headers, CORRUPT)])
 
 
-def _reader(spark: SparkSession, headers: tuple[str, ...], has_header: bool, multi_line: bool = False):
+def _reader(source, headers: tuple[str, ...], has_header: bool, multi_line: bool = False):
+    """``source`` is a session's ``read`` or ``readStream``."""
     # Without column pruning a row is judged malformed on its full width, whatever is selected.
     return (
-        spark.read.schema(text_schema(headers))
+        source.schema(text_schema(headers))
         .option("header", has_header)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", CORRUPT)
@@ -48,7 +49,12 @@ def scan_csv(spark: SparkSession, path: str, headers: tuple[str, ...], multi_lin
     Records end at line ends, so large files are split over many tasks; ``multi_line``
     reads quoted line breaks, at the price of one task per file.
     """
-    return _reader(spark, headers, True, multi_line).csv(path)
+    return _reader(spark.read, headers, True, multi_line).csv(path)
+
+
+def stream_csv(spark: SparkSession, path: str, headers: tuple[str, ...], files_per_batch: int = 1000) -> DataFrame:
+    """The files of a folder as they arrive, read like ``scan_csv`` reads them."""
+    return _reader(spark.readStream, headers, True).option("maxFilesPerTrigger", files_per_batch).csv(path)
 
 
 def with_lineage(rows: DataFrame, source_file: str, ingested_at: datetime) -> DataFrame:
@@ -87,7 +93,7 @@ def inspect_table(spark: SparkSession, path: str, table: str, multi_line: bool =
     """
     headers = c.HEADERS[table]
     fields = ", ".join(f"'h{i}', `{name}`" for i, name in enumerate(headers))
-    rows = _reader(spark, headers, False, multi_line).csv(path).selectExpr(
+    rows = _reader(spark.read, headers, False, multi_line).csv(path).selectExpr(
         "_metadata.file_path AS file",
         "_metadata.file_size AS bytes",
         "CASE WHEN _metadata.file_block_start = 0 THEN monotonically_increasing_id() END AS position",

@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from cartwright import contract as c
+from cartwright.plans.arrivals import DAYS_PER_FILE, DELAY, LAST_FILE, LATE_EVERY
 from cartwright.plans.consumption import KPI_CARDS
 from cartwright.sources.star_schema import REPEATS, SPOILS
 
@@ -607,6 +608,18 @@ SELECT count(*) AS total_checks, count(*) FILTER (check_status = 'pass') AS pass
            AS blocking_checks,
        CASE WHEN count(*) FILTER (severity = 'critical' AND check_status <> 'pass') > 0 THEN 'fail' ELSE 'pass' END AS status
 FROM checks"""
+# Event files in turn; a row is late if its hour had ended before the latest time of all earlier files, less the delay.
+RELATIONS["by_arrival"] = f"""
+SELECT *, date_trunc('hour', behavior_ts) AS hour_start,
+       least({LAST_FILE}, (day(behavior_ts) - 1) // {DAYS_PER_FILE}
+             + CASE WHEN CAST(substr(behavior_id, 2) AS BIGINT) % {LATE_EVERY} = 0 THEN 1 ELSE 0 END) AS arrival
+FROM f_behavior"""
+RELATIONS["arrival_marks"] = f"""
+SELECT arrival, max(max(behavior_ts)) OVER (ORDER BY arrival ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL {DELAY} AS mark
+FROM by_arrival GROUP BY arrival"""
+RELATIONS["arrived"] = """
+SELECT *, coalesce(hour_start + INTERVAL 1 HOUR <= mark, false) AS late FROM by_arrival JOIN arrival_marks USING (arrival)"""
+
 _FACTS = {
     "users": "d_user", "products": "ok_products", "orders": "f_order", "user_behaviors": "f_behavior",
     "user_features": "ok_user_features", "product_features": "ok_product_features",
@@ -832,6 +845,12 @@ def _finals() -> dict[str, str]:
             CAST(paid_gmv AS DOUBLE) AS paid_gmv, CAST(completed_gmv AS DOUBLE) AS completed_gmv, CAST(paid_aov AS DOUBLE) AS paid_aov,
             CAST(completed_customers AS DOUBLE) AS completed_customers FROM m_daily""",
         "gated_publish": """SELECT CASE WHEN status = 'pass' THEN 'published' ELSE 'withheld' END AS outcome, blocking_checks FROM summary""",
+        "streamed_hourly_behavior": f"""SELECT hour_start, count(*) FILTER (NOT late) AS behavior_events,
+            count(DISTINCT user_id) FILTER (NOT late) AS active_users,
+            {', '.join(f"count(*) FILTER (NOT late AND behavior_code = '{b}') AS {b}_events" for b in c.BEHAVIOR_TEXT)},
+            CAST(coalesce(sum(duration_seconds) FILTER (NOT late), 0) AS BIGINT) AS duration_seconds, count(*) FILTER (late) AS late_events
+            FROM arrived WHERE hour_start + INTERVAL 1 HOUR <= (SELECT max(behavior_ts) - INTERVAL {DELAY} FROM f_behavior) GROUP BY 1""",
+        "sketched_customers": "SELECT status_code, count(DISTINCT user_id) AS customer_count, true AS within_bound FROM f_order GROUP BY 1",
     }
 
 
@@ -863,6 +882,10 @@ def _needed(sql: str, relations: dict[str, str]) -> list[str]:
 def statements() -> dict[str, str]:
     finals = _finals()
     out = {name: _composed(sql, RELATIONS) for name, sql in finals.items()}
+    for name, whole in (("streamed_quarantine", "quarantine_rows"), ("replaced_daily_commerce", "daily_commerce"),
+                        ("replaced_order_status", "order_status_summary"), ("replaced_hourly_behavior", "hourly_behavior")):
+        # What came in pieces must equal what is computed at once.
+        out[name] = out[whole]
     repeated = dict(RELATIONS)
     for table, step in REPEATS.items():
         once = RELATIONS[f"raw_{table}"]
