@@ -334,9 +334,9 @@ def combined_fingerprint(spark: SparkSession, folder: str) -> DataFrame:
 
 def typed_release_read(spark: SparkSession, folder: str) -> DataFrame:
     """Publish the daily trend as CSV and read it back typed."""
-    target = f"{_scratch_folder(spark)}/ads_daily_trend.csv"
-    csv_files.write_aggregate(_warehouse(spark, folder).daily_commerce, target, ("order_date",))
-    rows = csv_files.read_aggregate(spark, target)
+    target, daily = f"{_scratch_folder(spark)}/ads_daily_trend.csv", _warehouse(spark, folder).daily_commerce
+    csv_files.write_aggregate(daily, target, ("order_date",))
+    rows = csv_files.read_aggregate(spark, target, daily.schema)
     return _edge(rows.select("order_date", "total_orders", "paid_gmv", "completed_gmv", "paid_aov", "completed_customers"))
 
 
@@ -348,6 +348,97 @@ def gated_publish(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- publication ----------------------------------------------------------------------------------
+
+
+_ROOTS: dict[tuple[str, str, bool], str] = {}
+
+
+def _publication(spark: SparkSession, folder: str, repaired: bool) -> str:
+    """A root to which the given tables were released from CSV files, once per session; sound tables get through the gate."""
+    key = (spark.sparkContext.applicationId, folder, repaired)
+    if key not in _ROOTS:
+        root = _scratch_folder(spark)
+        arrivals.write_text_files(StarSources(spark, folder, repaired=repaired), f"{root}/in")
+        _release(spark, root)
+        _ROOTS[key] = root
+    return _ROOTS[key]
+
+
+def _release(spark: SparkSession, root: str) -> None:
+    try:
+        release.run_release(spark, f"{root}/in", root, "PORTFOLIO", run_at=RUN_AT, ids=c.WIDE_IDS)
+    except release.QualityGateError:
+        pass  # The run's manifest says what blocked it.
+
+
+def publication_outcome(spark: SparkSession, folder: str) -> DataFrame:
+    """A whole release of the given and of the repaired tables: what the manifests say, and where the pointer leads."""
+    rows = []
+    for variant, repaired in (("given", False), ("repaired", True)):
+        root = _publication(spark, folder, repaired)
+        manifest = release.first_manifest(spark, root)
+        current = release.current_release(spark, root)
+        counts = manifest["data_profile"]
+        rows.append((
+            variant, "published" if manifest["published"] else "withheld", ",".join(manifest["quality"]["blocking_checks"]),
+            current is not None and release.read_manifest(spark, current)["run_id"] == manifest["run_id"],
+            len(manifest.get("exports", {})), len(manifest["statements"]), manifest["input"]["row_count"],
+            counts["valid_rows"], counts["quarantine_rows"],
+        ))
+    names = "variant string, outcome string, blocking_checks string, pointer_leads_here boolean, exports bigint, statements bigint"
+    return spark.createDataFrame(rows, f"{names}, input_rows bigint, valid_rows bigint, quarantine_rows bigint")
+
+
+def _published(output: str) -> Query:
+    """One output of the current release of the repaired tables, found through the pointer and read back typed."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        root = _publication(spark, folder, repaired=True)
+        present, missing = release.read_release(spark, release.current_release(spark, root))
+        if missing:
+            raise RuntimeError(f"Outputs missing from the release: {missing}")
+        return present[output].drop("details")
+
+    return query
+
+
+def republished_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """The same input released twice: rows per output, and rows that only one of the two releases has."""
+    root = _publication(spark, folder, repaired=True)
+    before, _ = release.read_release(spark, release.current_release(spark, root))
+    _release(spark, root)
+    after, _ = release.read_release(spark, release.current_release(spark, root))
+    counts = []
+    for output in c.SERVING_SORT_KEYS:
+        both = before[output].withColumn("side", F.lit(1)).unionAll(after[output].withColumn("side", F.lit(-1)))
+        per_row = both.groupBy(*before[output].columns).agg(F.sum("side").alias("left"), F.count(F.lit(1)).alias("n"))
+        sums = per_row.agg(*[F.coalesce(F.sum(value), F.lit(0)).alias(name) for name, value in (("n", F.col("n")), ("different", F.abs("left")))])
+        counts.append(sums.select(F.lit(output).alias("output"), (F.col("n") / 2).cast("bigint").alias("output_rows"), "different"))
+    return union_all(counts)
+
+
+def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
+    """Every layer saved as a table of the catalog: its grain as the catalog describes it, and its rows."""
+    database = f"cartwright_{uuid.uuid4().hex}"
+    store = scratch_store(spark)
+    candidate = release.build_candidate(spark, StarSources(spark, folder), RUN_AT, c.WIDE_IDS, store)
+    spark.sql(f"CREATE DATABASE {database}")
+    try:
+        catalog.save_tables(candidate.warehouse, candidate.health, database)
+        rows = store.keep("described", catalog.described_tables(spark, database))
+    finally:
+        spark.sql(f"DROP DATABASE {database} CASCADE")
+    store.discard(keep=("described",))
+    return rows
+
+
+def raw_views(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of the six sources, read by the names of their views."""
+    names = csv_files.register_views(dict(StarSources(spark, folder)))
+    return union_all([spark.table(name).agg(F.lit(name).alias("view_name"), F.count(F.lit(1)).alias("view_rows")) for name in names])
+
+
 # --- arriving data --------------------------------------------------------------------------------
 
 
@@ -461,6 +552,11 @@ def core_queries() -> dict[str, Query]:
         "combined_fingerprint": combined_fingerprint,
         "typed_release_read": typed_release_read,
         "gated_publish": gated_publish,
+        "publication_outcome": publication_outcome,
+        **{f"published_{output.removeprefix('ads_')}": _published(output) for output in c.SERVING_SORT_KEYS},
+        "republished_outputs": republished_outputs,
+        "catalog_tables": catalog_tables,
+        "raw_views": raw_views,
         "streamed_quarantine": streamed_quarantine,
         "streamed_hourly_behavior": streamed_hourly_behavior,
         "replaced_daily_commerce": _replaced(incremental.ORDERS, lambda layers: layers.daily_commerce()),

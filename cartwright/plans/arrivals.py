@@ -20,10 +20,11 @@ DAYS_PER_FILE, LATE_EVERY, LAST_FILE, DELAY = 8, 23, 3, "6 hours"
 MONTHS, NEW, CORRECTED, WITHDRAWN = 3, (7, 3), (11, 5), (101, 7)
 
 
-def write_text_files(sources: Mapping[str, DataFrame], folder: str, files: int) -> None:
-    """Every raw table as a folder of some CSV files."""
+def write_text_files(sources: Mapping[str, DataFrame], folder: str, files: int | None = None) -> None:
+    """Every raw table as a folder of CSV files, so many if a number is given."""
     for name, headers in c.HEADERS.items():
-        rows = sources[name].select(*[f"`{h}`" for h in headers]).repartition(files)
+        rows = sources[name].select(*[f"`{h}`" for h in headers])
+        rows = rows.repartition(files) if files else rows
         rows.write.option("header", True).option("escape", '"').csv(f"{folder}/{csv_files.file_name(name)}")
 
 

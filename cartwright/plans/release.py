@@ -17,10 +17,11 @@ from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from cartwright import contract as c
 from cartwright.operators.validation import union_all
-from cartwright.plans import quality
+from cartwright.plans import identity, quality
 from cartwright.plans.kpis import with_run_constants
 from cartwright.plans.warehouse import Warehouse
 from cartwright.session import prepare
@@ -34,6 +35,10 @@ class QualityGateError(RuntimeError):
     """Critical checks failed, so nothing was published."""
 
 
+class ConcurrentReleaseError(RuntimeError):
+    """Another run published since this one began."""
+
+
 @dataclass
 class Candidate:
     """A built warehouse with its checks; nothing of it is visible to readers yet."""
@@ -76,15 +81,33 @@ def build_candidate(
     return Candidate(w, health, summary, quality.row_profile(measured).first().asDict(), measured)
 
 
-def _outputs(candidate: Candidate, run_at: datetime, data_mode: str, source_status: str) -> dict[str, DataFrame]:
-    outputs = dict(candidate.warehouse.serving)
+def _outputs(w: Warehouse, health: DataFrame, run_at: datetime, data_mode: str, source_status: str) -> dict[str, DataFrame]:
+    outputs = dict(w.serving)
     outputs["ads_executive_kpis"] = with_run_constants(
         outputs["ads_executive_kpis"], run_at.date().isoformat(), data_mode, source_status
     )
-    outputs["ads_dataops_health"] = candidate.health
+    outputs["ads_dataops_health"] = health
     return {name: outputs[name] for name in c.SERVING_SORT_KEYS}
 
 
+_SCHEMAS: dict[str, dict[str, T.StructType]] = {}
+
+
+def output_schemas(spark: SparkSession) -> dict[str, T.StructType]:
+    """Columns and types of the eight outputs, from their plans over empty tables."""
+    application = spark.sparkContext.applicationId
+    if application not in _SCHEMAS:
+        w, at = Warehouse(spark, identity.empty_sources(spark)), datetime(2000, 1, 1)
+        health = quality.quality_checks(quality.measurement(w)).withColumn("checked_at", F.lit(at))
+        _SCHEMAS[application] = {name: rows.schema for name, rows in _outputs(w, health, at, "DEMO", "").items()}
+    return _SCHEMAS[application]
+
+
+def read_release(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], list[str]]:
+    """The typed outputs of a release and the names of missing ones."""
+    return csv_files.read_aggregates(spark, folder, output_schemas(spark))
+
+
 def export(spark: SparkSession, outputs: dict[str, DataFrame], folder: str) -> dict[str, int]:
     """Write every output as one ordered CSV and count the rows in one job."""
     counted = union_all(
@@ -99,11 +122,45 @@ def export(spark: SparkSession, outputs: dict[str, DataFrame], folder: str) -> d
     return {name: counts[name] for name in outputs}
 
 
-def switch_pointer(spark: SparkSession, root: str, run_id: str) -> None:
-    """Make a finished release the current one, or withdraw it if that fails."""
+def _pointer(spark: SparkSession, root: str) -> dict[str, Any]:
+    path = f"{root}/{POINTER}"
+    found = json.loads(folders.read_text(spark, path)) if folders.exists(spark, path) else {"run_id": None}
+    return {"version": 0, **found}
+
+
+def _claim(root: str, version: int) -> str:
+    return f"{root}/commits/{version:08d}.json"
+
+
+def pointer_version(spark: SparkSession, root: str) -> int:
+    """How often the pointer has moved; finishes a move that broke off after its claim."""
+    now = _pointer(spark, root)["version"]
+    claim = _claim(root, now + 1)
+    if folders.exists(spark, claim):
+        claimed = json.loads(folders.read_text(spark, claim))
+        if folders.exists(spark, f"{release_folder(root, claimed['run_id'])}/manifest.json"):
+            folders.replace_text(spark, f"{root}/{POINTER}", json.dumps(claimed) + "\n")
+            return now + 1
+        folders.remove_folder(spark, claim)
+    return now
+
+
+def switch_pointer(spark: SparkSession, root: str, run_id: str, seen: int) -> None:
+    """Make a finished release the current one if the pointer is still where it was ``seen``; else withdraw the release.
+
+    The next version is claimed by creating its file, which only one writer can; the winner replaces the pointer.
+    """
+    claim = _claim(root, seen + 1)
+    moved = {"run_id": run_id, "version": seen + 1}
+    claimed = False
     try:
-        folders.replace_text(spark, f"{root}/{POINTER}", json.dumps({"run_id": run_id}) + "\n")
+        if pointer_version(spark, root) != seen or not folders.create_text(spark, claim, json.dumps(moved) + "\n"):
+            raise ConcurrentReleaseError(f"Another release was published after version {seen}")
+        claimed = True
+        folders.replace_text(spark, f"{root}/{POINTER}", json.dumps(moved) + "\n")
     except Exception:
+        if claimed:
+            folders.remove_folder(spark, claim)
         folders.remove_folder(spark, release_folder(root, run_id))
         raise
 
@@ -113,16 +170,20 @@ def release_folder(root: str, run_id: str) -> str:
 
 
 def current_release(spark: SparkSession, root: str) -> str | None:
-    pointer = f"{root}/{POINTER}"
-    if not folders.exists(spark, pointer):
-        return None
-    return release_folder(root, json.loads(folders.read_text(spark, pointer))["run_id"])
+    run_id = _pointer(spark, root)["run_id"]
+    return release_folder(root, run_id) if run_id else None
 
 
 def read_manifest(spark: SparkSession, folder: str) -> dict[str, Any]:
     return json.loads(folders.read_text(spark, f"{folder}/manifest.json"))
 
 
+def first_manifest(spark: SparkSession, root: str) -> dict[str, Any]:
+    """The manifest of the first run below a root, published or not."""
+    runs = sorted(entry.name for entry in folders.entries(spark, f"{root}/runs"))
+    return read_manifest(spark, f"{root}/runs/{runs[0]}")
+
+
 def _write_manifest(spark: SparkSession, folder: str, manifest: dict[str, Any]) -> None:
     text = json.dumps(manifest, indent=2, ensure_ascii=False, default=str) + "\n"
     folders.replace_text(spark, f"{folder}/manifest.json", text)
@@ -183,6 +244,9 @@ def run_release(
         "published": False,
     }
     try:
+        seen = pointer_version(spark, root)
+        csv_files.check_files(spark, input_folder)
+        manifest["statements"] = identity.layer_digests(spark, ids)
         reports = csv_files.inspect_inputs(spark, input_folder, multi_line)
         sources = csv_files.read_inputs(spark, input_folder, run_at, multi_line)
         prints = csv_files.fingerprints(sources)
@@ -204,13 +268,13 @@ def run_release(
         target = release_folder(root, run_id)
         if folders.exists(spark, target):
             raise RuntimeError(f"Release exists already: {target}")
-        outputs = _outputs(candidate, run_at, mode, manifest["source_status"])
+        outputs = _outputs(candidate.warehouse, candidate.health, run_at, mode, manifest["source_status"])
         manifest["exports"] = export(spark, outputs, target if publish else f"{run_folder}/exports")
         manifest["status"] = "success"
         _close(manifest, run_at, started)
         if publish:
             _write_manifest(spark, target, {**manifest, "published": True})
-            switch_pointer(spark, root, run_id)
+            switch_pointer(spark, root, run_id, seen)
             manifest["published"] = True
     except Exception as exc:
         if publish and folders.exists(spark, release_folder(root, run_id)):

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cartwright import contract as c
+from cartwright.operators.validation import union_all
 from cartwright.plans.warehouse import Warehouse
+from cartwright.sources.store import LazyStore
 
 # Published table names.  The text is the grain of each table.
 GRAINS = {
@@ -79,8 +82,22 @@ def create_views(w: Warehouse, health: DataFrame) -> list[str]:
     return list(tables)
 
 
+def described_tables(spark: SparkSession, database: str) -> DataFrame:
+    """``table_name, grain, table_rows`` of every layer saved in a database: the comment as the catalog has it, the rows counted."""
+    counts = []
+    for name in GRAINS:
+        grain = spark.catalog.getTable(f"{database}.{name}").description
+        counts.append(spark.table(f"{database}.{name}").agg(F.lit(name).alias("table_name"), F.lit(grain).alias("grain"), F.count(F.lit(1)).alias("table_rows")))
+    return union_all(counts)
+
+
 def save_tables(w: Warehouse, health: DataFrame, database: str) -> list[str]:
-    """Overwrite every layer as a Parquet table of the catalog, with its grain as comment."""
+    """Overwrite every layer as a Parquet table of the catalog, with its grain as comment.
+
+    Over plans that nobody has written every table would compute all layers below it again, so a written warehouse is asked for.
+    """
+    if isinstance(w.store, LazyStore):
+        raise ValueError("save_tables needs a warehouse over a ParquetStore")
     saved = []
     for name, rows in layers(w, health).items():
         table = f"{database}.{name}"

@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 from cartwright import contract as c
 from cartwright.functions.parsing import all_of, exprs, listed, literal, named, parsed
 from cartwright.operators.validation import union_all
+from cartwright.sources import folders
 
 CORRUPT = "_corrupt_record"
 # A SHA-256 in hex, and the digits that fit a signed 64-bit integer.
@@ -120,6 +121,32 @@ def inspect_table(spark: SparkSession, path: str, table: str, multi_line: bool =
     )
 
 
+def check_files(spark: SparkSession, folder: str) -> None:
+    """Refuse links and empty files before anything is read; the first fault in contract order is reported.
+
+    A link may lead out of the delivered folder, and an empty part is a file whose writing broke off.
+    Names that begin with a dot or underscore are not data.
+    """
+    for table in c.HEADERS:
+        name = file_name(table)
+        found = folders.entry(spark, f"{folder}/{name}")
+        if found is None:
+            raise ContractError(f"Required input is missing: {name}")
+        if found.is_link:
+            raise ContractError(f"{name} is a symbolic link")
+        parts = [found]
+        if found.is_folder:
+            parts = [part for part in folders.entries(spark, f"{folder}/{name}") if not part.name.startswith((".", "_"))]
+        for part in parts:
+            shown = name if part is found else f"{name}/{part.name}"
+            if part.is_link:
+                raise ContractError(f"{shown} is a symbolic link")
+            if not part.is_folder and part.size == 0:
+                raise ContractError(f"{shown} is an empty file")
+        if not parts:
+            raise ContractError(f"{name} is empty")
+
+
 def inspect_inputs(spark: SparkSession, folder: str, multi_line: bool = False) -> dict[str, dict]:
     """Check all six tables; the first violated table in contract order is reported."""
     frames = []
@@ -206,41 +233,30 @@ def write_aggregate(rows: DataFrame, path: str, sort_keys: tuple[str, ...]) -> N
     single.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
 
 
-# Columns of the published aggregates that are read back as numbers or dates.
-NUMERIC_COLUMNS = frozenset(
-    """total_orders ordering_customers paid_orders paid_customers completed_orders
-    completed_customers all_order_amount paid_gmv completed_gmv paid_aov completed_aov
-    completion_rate cancellation_refund_rate repeat_completed_customer_rate behavior_events
-    behavior_users registered_users products categories quarantined_rows stage_order user_count
-    previous_stage_conversion overall_conversion category_rank behavior_hour browse_events
-    click_events favorite_events cart_events segment_order user_share status_order order_count
-    order_share customer_count""".split()
-)
-DATE_COLUMNS = frozenset(
-    "run_date min_order_date max_order_date min_behavior_date max_behavior_date order_date checked_at".split()
-)
+def read_type(dtype: T.DataType) -> str | None:
+    """How a published column is read back: numbers as DOUBLE, dates and times as TIMESTAMP, the rest as text."""
+    if isinstance(dtype, T.NumericType):
+        return "DOUBLE"
+    return "TIMESTAMP" if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)) else None
 
 
-def read_aggregate(spark: SparkSession, path: str) -> DataFrame:
-    """Read a published aggregate; what does not parse becomes NULL."""
+def read_aggregate(spark: SparkSession, path: str, like: T.StructType) -> DataFrame:
+    """Read a published aggregate with the types of the layer it was made from; what does not parse becomes NULL."""
+    types = {field.name.lower(): read_type(field.dataType) for field in like}
     rows = spark.read.option("header", True).option("escape", '"').csv(path)
     typed = {}
     for header in rows.columns:
         name, value = header.strip().lower(), f"`{header}`"
-        if name in NUMERIC_COLUMNS:
-            value = parsed(value, "DOUBLE")
-        elif name in DATE_COLUMNS:
-            value = parsed(value, "TIMESTAMP")
-        typed[name] = value
+        typed[name] = parsed(value, types[name]) if types.get(name) else value
     return rows.selectExpr(*named(typed))
 
 
-def read_aggregates(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame], list[str]]:
+def read_aggregates(spark: SparkSession, folder: str, like: Mapping[str, T.StructType]) -> tuple[dict[str, DataFrame], list[str]]:
     """All published aggregates of a release and the names of the missing ones."""
     present, missing = {}, []
-    for name in c.SERVING_SORT_KEYS:
+    for name, schema in like.items():
         try:
-            present[name] = read_aggregate(spark, f"{folder}/{name}.csv")
+            present[name] = read_aggregate(spark, f"{folder}/{name}.csv", schema)
         except AnalysisException:
             missing.append(name)
     return present, missing

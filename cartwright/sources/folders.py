@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import uuid
 
+from dataclasses import dataclass
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -31,8 +34,57 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+@dataclass(frozen=True)
+class Entry:
+    """What the file system says of a path, links not followed."""
+
+    name: str
+    size: int
+    is_link: bool
+    is_folder: bool
+
+
+def _entry(spark: SparkSession, fs, path) -> Entry:
+    # Without its scheme: the local file system looks for links by the plain path only.
+    status = fs.getFileLinkStatus(_path(spark, path.toUri().getPath()))
+    return Entry(path.getName(), status.getLen(), status.isSymlink(), status.isDirectory())
+
+
+def entry(spark: SparkSession, path: str) -> Entry | None:
+    try:
+        return _entry(spark, _file_system(spark, path), _path(spark, path))
+    except Py4JJavaError as exc:
+        if "FileNotFoundException" in exc.java_exception.getClass().getName():
+            return None
+        raise
+
+
+def entries(spark: SparkSession, path: str) -> list[Entry]:
+    """What lies in a folder, each looked at as a possible link."""
+    fs = _file_system(spark, path)
+    return [_entry(spark, fs, status.getPath()) for status in fs.listStatus(_path(spark, path))]
+
+
+def create_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a file that must not be there yet; False if it is.
+
+    Of several writers one wins, as far as the file system renames without overwriting in one step, as HDFS does.
+    """
+    try:
+        _put_text(spark, path, text, overwrite=False)
+    except Py4JJavaError as exc:
+        if "FileAlreadyExistsException" in exc.java_exception.getClass().getName():
+            return False
+        raise
+    return True
+
+
 def replace_text(spark: SparkSession, path: str, text: str) -> None:
     """Write beside the target, then take its place in one rename."""
+    _put_text(spark, path, text, overwrite=True)
+
+
+def _put_text(spark: SparkSession, path: str, text: str, overwrite: bool) -> None:
     staged = f"{path}.{uuid.uuid4().hex}.tmp"
     fs = _file_system(spark, staged)
     stream = fs.create(_path(spark, staged), True)
@@ -42,8 +94,13 @@ def replace_text(spark: SparkSession, path: str, text: str) -> None:
         stream.close()
     jvm = spark._jvm
     options = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
-    options[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    rename = jvm.org.apache.hadoop.fs.Options.Rename
+    options[0] = rename.OVERWRITE if overwrite else rename.NONE
     context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(
         _path(spark, path).toUri() if ":" in path else fs.getUri(), spark._jsc.hadoopConfiguration()
     )
-    context.rename(_path(spark, staged), _path(spark, path), options)
+    try:
+        context.rename(_path(spark, staged), _path(spark, path), options)
+    except Exception:
+        fs.delete(_path(spark, staged), False)
+        raise

@@ -89,14 +89,35 @@ SPOILS: dict[str, list[tuple[str, int, int, str | None]]] = {
 REPEATS = {"users": 199, "products": 211}
 
 
+# Values that replace faulty ones where the tables are wanted sound: every row stays, and what a rule or check would
+# object to gets a value that it accepts.
+REPAIRS: dict[str, dict[str, str]] = {
+    "users": {
+        "age": f"CAST(least({KEY} % 90 + 13, 100) AS STRING)",
+        "account_balance": "replace(account_balance, '-', '')",
+    },
+    "products": {"brand": f"IF(trim(brand) = '', concat('Brand#', {KEY}), brand)"},
+    "orders": {
+        "delivery_date": f"IF(delivery_date = '' AND receive_date <> '', receive_date, IF(delivery_date = '' AND {KEY} % 211 = 0"
+                         f" AND order_status = {literal(c.STATUS_TEXT['shipped'])}, order_date, delivery_date))",
+    },
+    "user_features": {
+        # Takes back the offset by which some snapshots disagree with the facts.
+        "total_spent": f"IF({KEY} % 97 = 0, CAST(CAST(total_spent AS {MONEY}) - 1 AS STRING), total_spent)",
+    },
+    "product_features": {"total_sales": f"IF({KEY} % 89 = 1, CAST(CAST(total_sales AS BIGINT) - 1 AS STRING), total_sales)"},
+}
+
+
 class StarSources(Mapping):
     """The six source tables, all text, keyed by logical name and planned on first use."""
 
-    def __init__(self, spark: SparkSession, folder: str, spoiled: bool = False, repeated: bool = False) -> None:
+    def __init__(self, spark: SparkSession, folder: str, spoiled: bool = False, repeated: bool = False, repaired: bool = False) -> None:
         self._spark = spark
         self._folder = folder
         self._spoiled = spoiled
         self._repeated = repeated
+        self._repaired = repaired
         self._planned: dict[str, DataFrame] = {}
 
     def __iter__(self) -> Iterator[str]:
@@ -118,29 +139,34 @@ class StarSources(Mapping):
 
     @cached_property
     def _order_rows(self) -> DataFrame:
-        return _order_rows(self._table("orders"), self._table("lineitem"))
+        rows = _order_rows(self._table("orders"), self._table("lineitem"))
+        return _with_lines(rows, self._table("part")) if self._repaired else rows
 
     @cached_property
     def _event_rows(self) -> DataFrame:
-        return _event_rows(self._table("events"), self._table("part"))
+        rows = _event_rows(self._table("events"), self._table("part"))
+        return rows.withColumn("behavior", F.coalesce("behavior", F.lit("browse"))) if self._repaired else rows
 
     def _users(self) -> DataFrame:
-        return _users(self._table("customer"), self._table("nation"))
+        return self._mended("users", _users(self._table("customer"), self._table("nation")))
 
     def _products(self) -> DataFrame:
-        return _products(self._table("part"))
+        return self._mended("products", _products(self._table("part")))
 
     def _orders(self) -> DataFrame:
-        return _orders(self._order_rows)
+        return self._mended("orders", _orders(self._order_rows))
 
     def _user_behaviors(self) -> DataFrame:
         return _behaviors(self._event_rows)
 
     def _user_features(self) -> DataFrame:
-        return _user_features(self._table("customer"), self._order_rows, self._event_rows)
+        return self._mended("user_features", _user_features(self._table("customer"), self._order_rows, self._event_rows))
 
     def _product_features(self) -> DataFrame:
-        return _product_features(self._table("part"), self._order_rows, self._event_rows)
+        return self._mended("product_features", _product_features(self._table("part"), self._order_rows, self._event_rows))
+
+    def _mended(self, name: str, rows: DataFrame) -> DataFrame:
+        return rows.withColumns({header: F.expr(text) for header, text in REPAIRS[name].items()}) if self._repaired else rows
 
 
 def _spoil(rows: DataFrame, spoils: list[tuple[str, int, int, str | None]]) -> DataFrame:
@@ -271,6 +297,14 @@ def _orders(order_rows: DataFrame) -> DataFrame:
     )
 
 
+def _with_lines(order_rows: DataFrame, part: DataFrame) -> DataFrame:
+    """Orders without lines get one piece of some product, for nothing."""
+    parts = part.agg(*exprs("count(1) AS parts")).scalar()
+    filled = {"product": "coalesce(product, k % parts)", "quantity": "coalesce(quantity, 1)"}
+    filled |= {name: f"coalesce({name}, 0)" for name in ("unit_price", "total", "discount", "paid")}
+    return order_rows.withColumn("parts", parts).withColumns({name: F.expr(text) for name, text in filled.items()}).drop("parts")
+
+
 def _event_rows(events: DataFrame, part: DataFrame) -> DataFrame:
     parts = part.agg(*exprs("count(1) AS parts")).scalar()
     return events.withColumn("parts", parts).selectExpr(

@@ -11,6 +11,7 @@ import re
 from cartwright import contract as c
 from cartwright.plans.arrivals import DAYS_PER_FILE, DELAY, LAST_FILE, LATE_EVERY
 from cartwright.plans.consumption import KPI_CARDS
+from cartwright.sources.catalog import GRAINS
 from cartwright.sources.star_schema import REPEATS, SPOILS
 
 RELATIONS: dict[str, str] = {}
@@ -845,6 +846,10 @@ def _finals() -> dict[str, str]:
             CAST(paid_gmv AS DOUBLE) AS paid_gmv, CAST(completed_gmv AS DOUBLE) AS completed_gmv, CAST(paid_aov AS DOUBLE) AS paid_aov,
             CAST(completed_customers AS DOUBLE) AS completed_customers FROM m_daily""",
         "gated_publish": """SELECT CASE WHEN status = 'pass' THEN 'published' ELSE 'withheld' END AS outcome, blocking_checks FROM summary""",
+        "catalog_tables": " UNION ALL ".join(
+            f"SELECT '{layer}' AS table_name, 'Grain: {GRAINS[layer]}.' AS grain, (SELECT count(*) FROM {rows}) AS table_rows"
+            for layer, rows in _LAYERS.items()),
+        "raw_views": " UNION ALL ".join(f"SELECT 'raw_{t}_raw' AS view_name, count(*) AS view_rows FROM raw_{t}" for t in c.HEADERS),
         "streamed_hourly_behavior": f"""SELECT hour_start, count(*) FILTER (NOT late) AS behavior_events,
             count(DISTINCT user_id) FILTER (NOT late) AS active_users,
             {', '.join(f"count(*) FILTER (NOT late AND behavior_code = '{b}') AS {b}_events" for b in c.BEHAVIOR_TEXT)},
@@ -886,6 +891,17 @@ def statements() -> dict[str, str]:
                         ("replaced_order_status", "order_status_summary"), ("replaced_hourly_behavior", "hourly_behavior")):
         # What came in pieces must equal what is computed at once.
         out[name] = out[whole]
+    repaired = _repaired()
+    for output, (source, columns) in _OUTPUTS.items():
+        out[f"published_{output.removeprefix('ads_')}"] = _read_back(_composed(finals[source], repaired), output, columns)
+    counts = "SELECT count(*) AS n, '{0}' AS output FROM ({1})"
+    sizes = " UNION ALL ".join(counts.format(output, _composed(finals[source], repaired)) for output, (source, _) in _OUTPUTS.items())
+    out["republished_outputs"] = f"SELECT output, n AS output_rows, CAST(0 AS BIGINT) AS different FROM ({sizes})"
+    outcome = """SELECT '{0}' AS variant, CASE WHEN status = 'pass' THEN 'published' ELSE 'withheld' END AS outcome, blocking_checks,
+        status = 'pass' AS pointer_leads_here, CAST(CASE WHEN status = 'pass' THEN 8 ELSE 0 END AS BIGINT) AS exports,
+        CAST(33 AS BIGINT) AS statements, raw_rows AS input_rows, valid_rows, quarantine_rows FROM summary, profile"""
+    out["publication_outcome"] = " UNION ALL ".join(
+        f"SELECT * FROM ({_composed(outcome.format(variant), relations)})" for variant, relations in (("given", RELATIONS), ("repaired", repaired)))
     repeated = dict(RELATIONS)
     for table, step in REPEATS.items():
         once = RELATIONS[f"raw_{table}"]
@@ -894,6 +910,55 @@ def statements() -> dict[str, str]:
     return out
 
 
+def _repaired() -> dict[str, str]:
+    """The relations over tables whose faulty values were replaced by sound ones."""
+    parts = "(SELECT count(*) FROM part)"
+    shipped = c.STATUS_TEXT["shipped"]
+    zeros = ", ".join(f"coalesce({name}, 0) AS {name}" for name in ("unit_price", "total", "discount", "paid"))
+    replaced = {
+        "o_rows": f"coalesce(product, k % {parts}) AS product, coalesce(quantity, 1) AS quantity, {zeros}",
+        "e_rows": "coalesce(behavior, 'browse') AS behavior",
+        "raw_users": "CAST(least(k % 90 + 13, 100) AS VARCHAR) AS age, replace(account_balance, '-', '') AS account_balance",
+        "raw_products": "CASE WHEN trim(brand) = '' THEN 'Brand#' || k ELSE brand END AS brand",
+        "raw_orders": f"""CASE WHEN delivery_date = '' AND receive_date <> '' THEN receive_date
+            WHEN delivery_date = '' AND k % 211 = 0 AND order_status = '{shipped}' THEN order_date ELSE delivery_date END AS delivery_date""",
+        "raw_user_features": "CASE WHEN k % 97 = 0 THEN CAST(CAST(total_spent AS DECIMAL(18,2)) - 1 AS VARCHAR) ELSE total_spent END AS total_spent",
+        "raw_product_features": "CASE WHEN k % 89 = 1 THEN CAST(CAST(total_sales AS BIGINT) - 1 AS VARCHAR) ELSE total_sales END AS total_sales",
+    }
+    return RELATIONS | {name: f"SELECT * REPLACE ({columns}) FROM ({RELATIONS[name]})" for name, columns in replaced.items()}
+
+
+_OUTPUT_TEXTS = {"stage_name", "category", "customer_segment", "source_order_status", "status_code", "check_name", "check_status", "severity",
+                 "observed_value", "expected_value", "data_mode", "source_status"}
+_OUTPUT_TIMES = {"order_date", "run_date", "min_order_date", "max_order_date", "min_behavior_date", "max_behavior_date", "checked_at"}
+# Output -> the statement of its rows and the columns read back.
+_OUTPUTS = {
+    "ads_executive_kpis": ("executive_kpis", _KPIS),
+    "ads_daily_trend": ("daily_commerce", _DAILY),
+    "ads_sequential_funnel": ("sequential_funnel", ("stage_order", "stage_name", "user_count", "previous_stage_conversion", "overall_conversion")),
+    "ads_category_performance": ("category_ranking", ("category_rank", *_PERFORMANCE, "completed_orders", "completed_customers", "completed_gmv")),
+    "ads_hourly_behavior": ("hourly_behavior", ("behavior_hour", "behavior_events", "active_users", *[f"{b}_events" for b in c.BEHAVIOR_TEXT],
+                                                "avg_duration_seconds")),
+    "ads_customer_segments": ("customer_segments", ("segment_order", "customer_segment", "user_count", "total_orders", "paid_orders", "paid_gmv",
+                                                    "behavior_events", "user_share")),
+    "ads_order_status": ("order_status_summary", ("source_order_status", "status_code", "status_order", "order_count", "customer_count",
+                                                  "order_amount", "paid_gmv", "order_share")),
+    "ads_dataops_health": ("quality_checks", ("check_name", "check_status", "severity", "observed_value", "expected_value")),
+}
+# Columns that a release adds to what the statement gives.
+_OUTPUT_EXTRAS = {
+    "ads_executive_kpis": ", TIMESTAMP '2024-02-01' AS run_date, 'PORTFOLIO' AS data_mode, 'UNVERIFIED' AS source_status",
+    "ads_dataops_health": ", TIMESTAMP '2024-02-01' AS checked_at",
+}
+
+
+def _read_back(sql: str, output: str, columns) -> str:
+    def typed(name: str) -> str:
+        return f"{name}" if name in _OUTPUT_TEXTS else f"CAST({name} AS {'TIMESTAMP' if name in _OUTPUT_TIMES else 'DOUBLE'}) AS {name}"
+
+    return f"SELECT {', '.join(map(typed, columns))}{_OUTPUT_EXTRAS.get(output, '')} FROM ({sql})"
+
+
 def _composed(sql: str, all_relations: dict[str, str]) -> str:
     relations = ", ".join(f"{r} AS ({all_relations[r]})" for r in _needed(sql, all_relations))
     return f"WITH {relations} {sql}" if relations else sql

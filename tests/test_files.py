@@ -6,6 +6,7 @@ from datetime import datetime
 import pytest
 
 from cartwright import contract as c
+from cartwright.plans import release
 from cartwright.sources import csv_files, fixture
 from cartwright.sources.csv_files import ContractError
 
@@ -113,7 +114,8 @@ def test_quotes_and_line_breaks(spark, folder):
     csv_files.write_aggregate(spark.createDataFrame([('a "q" b', 1)], "note string, total_orders int"), f"{folder}/out", ())
     [part] = __import__("pathlib").Path(f"{folder}/out").glob("part-*.csv")
     assert part.read_text().splitlines()[1] == '"a ""q"" b",1'
-    assert csv_files.read_aggregate(spark, f"{folder}/out").first()["note"] == 'a "q" b'
+    like = spark.createDataFrame([], "note string, total_orders int").schema
+    assert csv_files.read_aggregate(spark, f"{folder}/out", like).first().asDict() == {"note": 'a "q" b', "total_orders": 1.0}
 
 
 def test_combined_fingerprint_in_plan_and_on_driver(spark):
@@ -124,10 +126,11 @@ def test_combined_fingerprint_in_plan_and_on_driver(spark):
 
 def test_typed_read_back(spark, folder):
     put(folder, "ads_daily_trend.csv", " Order_Date ,total_orders,note\n2024-01-01,5,a\nsoon,many,b\n")
-    rows = csv_files.read_aggregate(spark, f"{folder}/ads_daily_trend.csv").collect()
+    schemas = release.output_schemas(spark)
+    rows = csv_files.read_aggregate(spark, f"{folder}/ads_daily_trend.csv", schemas["ads_daily_trend"]).collect()
     assert (rows[0]["order_date"], rows[0]["total_orders"], rows[0]["note"]) == (datetime(2024, 1, 1), 5.0, "a")
     assert (rows[1]["order_date"], rows[1]["total_orders"]) == (None, None)
-    present, missing = csv_files.read_aggregates(spark, folder)
+    present, missing = release.read_release(spark, folder)
     assert list(present) == ["ads_daily_trend"] and len(missing) == 7
 
 
@@ -135,3 +138,26 @@ def test_views(spark):
     sources = csv_files.register_views(fixture.fixture_sources(spark, 4))
     assert "raw_users_raw" in sources
     assert spark.table("raw_users_raw").count() == 4
+
+
+def test_links_and_empty_files_are_refused(spark, folder):
+    for name in c.HEADERS:
+        os.makedirs(f"{folder}/in/{name}.csv")
+        put(f"{folder}/in/{name}.csv", "part-0.csv", ",".join(c.HEADERS[name]) + "\n")
+        put(f"{folder}/in/{name}.csv", "_SUCCESS", "")
+    csv_files.check_files(spark, f"{folder}/in")
+    empty = put(f"{folder}/in/users.csv", "part-1.csv", "")
+    with pytest.raises(ContractError, match="users.csv/part-1.csv is an empty file"):
+        csv_files.check_files(spark, f"{folder}/in")
+    put(f"{folder}/in/users.csv", "part-1.csv", "x")
+    outside = put(folder, "outside.csv", "secret")
+    os.symlink(outside, f"{folder}/in/orders.csv/part-9.csv")
+    with pytest.raises(ContractError, match="orders.csv/part-9.csv is a symbolic link"):
+        csv_files.check_files(spark, f"{folder}/in")
+    os.makedirs(f"{folder}/other")
+    os.symlink(f"{folder}/in/users.csv", f"{folder}/other/users.csv")
+    with pytest.raises(ContractError, match="users.csv is a symbolic link"):
+        csv_files.check_files(spark, f"{folder}/other")
+    with pytest.raises(ContractError, match="Required input is missing: users.csv"):
+        csv_files.check_files(spark, f"{folder}/nowhere")
+    assert os.path.getsize(empty) == 1

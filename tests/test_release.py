@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartwright import contract as c
-from cartwright.plans import quality, release
+from cartwright.plans import identity, quality, release
 from cartwright.sources import catalog, csv_files, fixture, folders
 from cartwright.sources.csv_files import ContractError
 from cartwright.sources.store import scratch_store
@@ -79,7 +79,7 @@ def test_golden_run(spark, base):
     quality_section = manifest["quality"]
     assert [quality_section[k] for k in ("total_checks", "passed_checks", "failed_checks", "warning_checks")] == [20, 18, 0, 2]
     assert (quality_section["blocking_checks"], quality_section["status"]) == ([], "pass")
-    tables, missing = csv_files.read_aggregates(spark, release.current_release(spark, f"{root}/out"))
+    tables, missing = release.read_release(spark, release.current_release(spark, f"{root}/out"))
     assert missing == []
     kpi = tables["ads_executive_kpis"].first().asDict()
     expected, gmv, users_by_stage, users_by_segment = recount(root)
@@ -228,6 +228,35 @@ def test_a_failed_switch_withdraws_the_release(spark, base, monkeypatch):
     assert {p.name for p in Path(f"{root}/out/releases").iterdir()} == kept
 
 
+def test_of_two_writers_one_wins(spark, folder):
+    """Both runs saw the same pointer; the second finds it moved and withdraws its release."""
+    for run in ("first", "second", "third"):
+        folders.replace_text(spark, f"{folder}/releases/{run}/manifest.json", "{}")
+    assert release.pointer_version(spark, folder) == 0 and release.current_release(spark, folder) is None
+    release.switch_pointer(spark, folder, "first", 0)
+    with pytest.raises(release.ConcurrentReleaseError):
+        release.switch_pointer(spark, folder, "second", 0)
+    assert release.current_release(spark, folder).endswith("releases/first")
+    assert not folders.exists(spark, f"{folder}/releases/second") and release.pointer_version(spark, folder) == 1
+    assert not folders.create_text(spark, f"{folder}/commits/00000001.json", "x")
+    # A claim whose writer stopped before it moved the pointer is finished by the next one; one without a release is dropped.
+    folders.create_text(spark, f"{folder}/commits/00000002.json", json.dumps({"run_id": "third", "version": 2}))
+    assert release.pointer_version(spark, folder) == 2 and release.current_release(spark, folder).endswith("third")
+    folders.create_text(spark, f"{folder}/commits/00000003.json", json.dumps({"run_id": "lost", "version": 3}))
+    assert release.pointer_version(spark, folder) == 2 and not folders.exists(spark, f"{folder}/commits/00000003.json")
+    assert [p.name for p in Path(folder).rglob("*.tmp")] == []
+
+
+def test_layer_digests_follow_the_rules(spark, base, monkeypatch):
+    _, manifest = base
+    digests = identity.layer_digests(spark)
+    assert digests == manifest["statements"] == identity.layer_digests(spark.newSession()) and len(digests) == 33
+    assert identity.layer_digests(spark, c.WIDE_IDS)["dwd_fact_order"] != digests["dwd_fact_order"]
+    monkeypatch.setattr(c, "AGE_BANDS", ((26, "18-25"), *c.AGE_BANDS[1:]))
+    changed = {name for name, digest in identity.layer_digests(spark).items() if digest != digests[name]}
+    assert {"dwd_dim_user", "dws_customer_summary", "bundle"} <= changed and "dwd_fact_behavior" not in changed
+
+
 def test_warning_on_a_critical_check_blocks(spark):
     rows = [("a", "warn", "critical"), ("b", "warn", "warning"), ("c", "pass", "critical"), ("d", "FAIL", "Critical")]
     health = spark.createDataFrame(rows, "check_name STRING, check_status STRING, severity STRING")
