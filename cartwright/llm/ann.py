@@ -9,6 +9,7 @@ bounded on both sides, and candidates are scored exactly.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 from heapq import heappop, heappush
@@ -28,6 +29,9 @@ BRANCHES, LEAF_ROWS, STEPS = 16, 64, 12
 CALIBRATION_QUERIES, TARGET_RECALL = 256, 0.96
 # Rows of a leaf, and queries to it, that meet in one block.
 BLOCK_ROWS, BLOCK_QUERIES = 2048, 1024
+# Vectors of a length with so many rows at most are compared with all of that length.
+SMALL_LENGTH = 4096
+_LOG = logging.getLogger(__name__)
 
 
 # --- the tree ---------------------------------------------------------------------------------
@@ -168,14 +172,12 @@ def _ranked(found: DataFrame, k: int) -> DataFrame:
 
 
 def usable_rows(table: DataFrame, key: str, vector: str, store: ParquetStore) -> DataFrame:
-    """``row, vec_id, vector`` of the vectors that take part: finite, not zero, of the most common length."""
+    """``row, vec_id, vector`` of the vectors that take part: finite and not zero."""
     rows = table.select(
         F.monotonically_increasing_id().alias("row"), col(key).cast("bigint").alias("vec_id"), col(vector).cast("array<double>").alias("vector")
     )
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
-    rows = store.keep("vectors", rows.filter(finite & F.exists("vector", lambda x: x != 0)))
-    lengths = rows.groupBy(F.size("vector").alias("length")).count().orderBy(F.desc("count"), "length").first()
-    return rows.filter(F.size("vector") == (lengths["length"] if lengths else 0))
+    return store.keep("vectors", rows.filter(finite & F.exists("vector", lambda x: x != 0)))
 
 
 def assign_leaves(rows: DataFrame, tree) -> DataFrame:
@@ -222,19 +224,38 @@ def search(
 
     Nearness is the inner product in double precision; ties go to the smaller key, and a query's own row
     is no candidate.  With fewer candidates all are returned, so that leaves are widened until k rows can
-    be found.  Null and zero vectors, those with null or non-finite components, and those of another
-    length than the most common one take no part.  Repeated keys are rows of their own.  An empty table
-    gives an empty result.
+    be found.  Null and zero vectors and those with null or non-finite components take no part.  Vectors have an inner
+    product with those of their own length only: each length with more than ``SMALL_LENGTH`` rows is searched in a tree of
+    its own, all others are compared whole.  Repeated keys are rows of their own.  An empty table gives an empty result.
     """
     spark = ship(table.sparkSession)
     store = store_for(table)
-    rows = usable_rows(table, key, vector, store)
+    vectors = usable_rows(table, key, vector, store)
+    length = F.size("vector")
+    large = vectors.groupBy(length.alias("length")).agg(F.count(F.lit(1)).alias("rows")).filter(F.col("rows") > SMALL_LENGTH)
+    # Each of these has thousands of rows, so the list is short against the table.
+    lengths = sorted(row["length"] for row in large.collect())
+    found = [_search_tree(vectors.filter(length == n), store, f"{n}-", k, every, target) for n in lengths]
+    few = vectors.filter(~length.isin(lengths)) if lengths else vectors
+    index = store.keep("few-index", few.withColumn("leaf", length))
+    asked = store.keep("few-asked", index.filter(F.col("vec_id") % every == 0))
+    found.append(_meet(index, asked, store, "few-", k))
+    rows = found[0]
+    for more in found[1:]:
+        rows = rows.unionAll(more)
+    return _ranked(rows, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def _search_tree(rows: DataFrame, store: ParquetStore, name: str, k: int, every: int, target: float) -> DataFrame:
+    """Candidates for the queries among vectors of one length: leaves are visited best bin first."""
+    spark = rows.sparkSession
     sample = rows.orderBy(F.xxhash64("row"), "row").limit(SAMPLE_ROWS).select("vector").toPandas()
     fitted = fit_tree(_matrix(sample["vector"])) if len(sample) else Tree(np.zeros((1, 1)), [[]], [0])
     tree = spark.sparkContext.broadcast(fitted)
-    index = store.keep("index", assign_leaves(rows, tree))
+    index = store.keep(f"{name}index", assign_leaves(rows, tree))
     queries = index.filter(F.col("vec_id") % every == 0).select("row", "vec_id", "vector")
-    visits, _ = calibrated_visits(index, queries, tree, k, target)
+    visits, recall = calibrated_visits(index, queries, tree, k, target)
+    _LOG.info("%d of %d leaves for a recall of %.4f over the calibration queries", visits, tree.value.leaves, recall)
     sizes = index.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"))
     # As many rows as the tree has leaves, which its sample bounds.
     by_leaf = {row["leaf"]: row["rows"] for row in sizes.collect()}
@@ -253,10 +274,16 @@ def search(
             chosen = batch.take(pa.array(picked, pa.int64()))
             yield pa.RecordBatch.from_arrays([*chosen.columns, pa.array(leaves, pa.int32())], ["row", "vec_id", "vector", "leaf"])
 
-    asked = store.keep("asked", queries.mapInArrow(walk, "row bigint, vec_id bigint, vector array<double>, leaf int"))
+    asked = store.keep(f"{name}asked", queries.mapInArrow(walk, "row bigint, vec_id bigint, vector array<double>, leaf int"))
+    return _meet(index, asked, store, name, k)
+
+
+def _meet(index: DataFrame, asked: DataFrame, store: ParquetStore, name: str, k: int) -> DataFrame:
+    """Queries and rows of equal leaves, compared in blocks."""
+    sizes = index.groupBy("leaf").agg(F.count(F.lit(1)).alias("rows"))
     asked_sizes = asked.groupBy("leaf").agg(F.count(F.lit(1)).alias("queries"))
     parts = store.keep(
-        "parts",
+        f"{name}parts",
         sizes.join(asked_sizes, "leaf").select(
             "leaf", F.ceil(F.col("rows") / BLOCK_ROWS).cast("int").alias("row_parts"), F.ceil(F.col("queries") / BLOCK_QUERIES).cast("int").alias("query_parts")
         ).coalesce(1),
@@ -274,5 +301,4 @@ def search(
             return pd.DataFrame({"query_row": [], "query_id": [], "row": [], "vec_id": [], "score": []})
         return best_in_block(asking, there, k)
 
-    found = left.cogroup(right).applyInPandas(meet, _FOUND)
-    return _ranked(found, k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+    return left.cogroup(right).applyInPandas(meet, _FOUND)

@@ -79,19 +79,23 @@ def decide(
 def decisions(docs: DataFrame, key: str = "doc_id", text: str = "text", support: float = SUPPORT) -> DataFrame:
     """One row per input row: ``<key>, keep_id, group_size, kept, text_sha256``.
 
-    Null and empty texts are equal.  An empty table gives an empty result; other columns are not read.
+    Null and empty texts are equal; texts of any length enter whole.  An empty table gives an empty result; other columns are not read.
     """
     rows, _ = decide(docs.select(col(key), col(text)), store_for(docs), key, text, (key,), support)
     return rows.select(col(key), "keep_id", "group_size", "kept", "text_sha256")
 
 
-def deduplicate(docs: DataFrame, key: str = "doc_id", text: str = "text", support: float = SUPPORT) -> DataFrame:
+def deduplicate(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", support: float = SUPPORT, store: ParquetStore | None = None
+) -> DataFrame:
     """The rows that stay, with all their columns and nothing else.
 
+    Whole texts are compared by their SHA-256, however long; the result reads from ``store`` until it is written.
+
     The rows are written once with a row number.  Dropped row numbers are written too; Spark broadcasts
     them where the written table is below its threshold, and joins by shuffle beyond.
     """
-    store = store_for(docs)
+    store = store or store_for(docs)
     row = free_name("stable_row", docs.columns)
     rows = store.keep("rows", docs.withColumn(row, F.monotonically_increasing_id()))
     work = store_for(docs)

@@ -334,10 +334,11 @@ def near_duplicates(
 
 
 def deduplicate(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, numerator: int = 80, denominator: int = 100, kept: int = KEPT
-) -> DataFrame:
-    """The rows that ``near_duplicates`` keeps, with all their columns and nothing else."""
-    store = store_for(docs)
+    docs: DataFrame, key: str = "doc_id", text: str = "text", words: int = 5, numerator: int = 80, denominator: int = 100, kept: int = KEPT,
+    store: ParquetStore | None = None,
+) -> DataFrame:
+    """The rows that ``near_duplicates`` keeps, with all their columns and nothing else; they are read from ``store``."""
+    store = store or store_for(docs)
     row = free_name("stable_row", docs.columns)
     rows = store.keep("rows", docs.withColumn(row, F.monotonically_increasing_id()))
     work = store_for(docs)

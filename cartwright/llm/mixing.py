@@ -10,7 +10,7 @@ proportions of their weights and is permuted itself.
 from __future__ import annotations
 
 from dataclasses import dataclass
-from math import ceil
+from math import ceil, exp, log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -25,6 +25,8 @@ SEED = 17
 ROWS_PER_STEP_BITS, STEPS_PER_PARENT_BITS = 6, 12
 # Inner points of a search interval that one aggregate tries: four bisections at once.
 POINTS, ROUNDS, STEEPEST = 15, 9, 16.0
+# Where widening ends: shares that differ by a millionth then differ by a factor of e in weight.
+WIDEST = float(1 << 20)
 
 
 @dataclass(frozen=True)
@@ -50,11 +52,16 @@ def word_count(text: Column) -> Column:
     return F.when(F.octet_length(text) > 0, F.octet_length(text) - F.octet_length(bare) + 1).otherwise(0).cast("bigint")
 
 
+def _log_weight(exponent: float, top: float) -> Column:
+    """Taken against the largest share, so that the sum of weights never vanishes."""
+    return (F.log("share") - F.lit(log(top))) * F.lit(exponent)
+
+
 def _measured(shares: DataFrame, exponents: list[float]) -> list[tuple[float, float, float]]:
     """Entropy, and the largest and least ratio of weight to share, for each exponent: one aggregate."""
-    columns = []
+    columns, top = [], _top(shares)
     for i, t in enumerate(exponents):
-        log_weight = F.log("share") * t
+        log_weight = _log_weight(t, top)
         columns += [
             F.sum(F.exp(log_weight)).alias(f"total_{i}"),
             F.sum(F.exp(log_weight) * log_weight).alias(f"moment_{i}"),
@@ -65,34 +72,40 @@ def _measured(shares: DataFrame, exponents: list[float]) -> list[tuple[float, fl
     out = []
     for i in range(len(exponents)):
         total = row[f"total_{i}"]
-        log_total = _log(total)
+        log_total = log(total)
         out.append((log_total - row[f"moment_{i}"] / total, row[f"most_{i}"] - log_total, row[f"least_{i}"] - log_total))
     return out
 
 
-def _log(value: float) -> float:
-    from math import log
-
-    return log(value)
+def _top(shares: DataFrame) -> float:
+    return shares.agg(F.max("share")).first()[0]
 
 
 def find_exponent(shares: DataFrame, target: Target, total_tokens: float) -> float:
     """Bisect for the least exponent that is steep enough; both measures fall as it grows.
 
-    For an entropy the range is 0 to 16, for a repetition limit 0 to 1; a target beyond the range gives
-    its nearer end.
+    For a repetition limit the range is 0 to 1.  For an entropy it begins with 0 to 16 and is doubled until it holds the
+    target, or until only the sources of the largest share are left, whose entropy no exponent lowers.
     """
 
     def steep_enough(measure: tuple[float, float, float]) -> bool:
         entropy, most, least = measure
         if target.entropy is not None:
             return entropy <= target.entropy
-        log_budget = -least if target.budget is None else _log(max(target.budget, 1e-9) / total_tokens)
-        return most + log_budget <= _log(target.repetitions) + 1e-12
+        log_budget = -least if target.budget is None else log(max(target.budget, 1e-9) / total_tokens)
+        return most + log_budget <= log(target.repetitions) + 1e-12
 
     low, high = 0.0, STEEPEST if target.entropy is not None else 1.0
     if steep_enough(_measured(shares, [low])[0]):
         return low
+    if target.entropy is not None:
+        before = _measured(shares, [high])[0]
+        while not steep_enough(before) and high < WIDEST:
+            high *= 2
+            now = _measured(shares, [high])[0]
+            if abs(now[0] - before[0]) < 1e-12:
+                break
+            before = now
     for _ in range(ROUNDS):
         points = [low + (high - low) * (i + 1) / (POINTS + 1) for i in range(POINTS)]
         enough = [steep_enough(m) for m in _measured(shares, points)]
@@ -115,11 +128,10 @@ def source_weights(rows: DataFrame, target: Target, store: ParquetStore) -> tupl
         return shares.selectExpr("*", "0D AS weight", "0D AS source_budget", "1 AS passes"), 1.0
     exponent = find_exponent(used, target, everything)
     _, _, least = _measured(used, [exponent])[0]
-    total = used.agg(F.sum(F.pow("share", F.lit(exponent)))).first()[0]
-    from math import exp
-
+    power = F.exp(_log_weight(exponent, _top(used)))
+    total = used.agg(F.sum(power)).first()[0]
     budget = target.budget if target.budget is not None else everything * exp(-least)
-    weighed = shares.withColumn("weight", F.when(F.col("tokens") > 0, F.pow("share", F.lit(exponent)) / F.lit(total)).otherwise(0.0))
+    weighed = shares.withColumn("weight", F.when(F.col("tokens") > 0, power / F.lit(total)).otherwise(0.0))
     weighed = weighed.withColumn("source_budget", F.col("weight") * F.lit(float(budget)))
     # A budget that misses whole passes by rounding alone is no further pass.
     passes = F.when(F.col("tokens") > 0, F.ceil(F.col("source_budget") / F.col("tokens") - 1e-9)).otherwise(1)
@@ -216,18 +228,22 @@ def schedule(
 
 def mix(
     docs: DataFrame, target: Target, key: str = "doc_id", text: str = "text", source: str = "source", tokens: str | None = None,
-    block_tokens: int = BLOCK_TOKENS, seed: int = SEED,
+    block_tokens: int = BLOCK_TOKENS, seed: int = SEED, store: ParquetStore | None = None,
 ) -> DataFrame:
     """The documents themselves, a row per copy, with their own columns only, in the order of the schedule.
 
-    Partitions, and so the files written of them, follow each other by block and position, and rows inside too.
+    Partitions, and so the files written of them, follow each other by block and position, and rows inside too.  A text of
+    any length is one row of one block, and is read from ``store``.
     """
-    store = store_for(docs)
+    store = store or store_for(docs)
     row = free_name("stable_row", docs.columns)
     rows = store.keep("rows", docs.withColumn(row, F.monotonically_increasing_id()))
     narrow = store.keep("narrow", _identified(rows, key, text, source, tokens, row).drop("row_key", "row_source"))
     block, position = free_name("copy_block", docs.columns), free_name("copy_position", docs.columns)
     planned = plan_copies(narrow, target, store, block_tokens, seed)
     copies = store.keep("copies", planned.select(F.col("row_number").alias(row), F.col("block").alias(block), F.col("position").alias(position)))
-    ordered = rows.join(copies, row).repartitionByRange(block, position).sortWithinPartitions(block, position)
-    return ordered.select(*[col(name) for name in docs.columns])
+    # Blocks are numbered from 0 without gaps, so their bounds need no sample of the rows.
+    blocks = (copies.agg(F.max(block)).first()[0] or 0) + 1
+    parts = min(blocks, max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), 1))
+    placed = rows.join(copies, row).repartitionById(parts, F.floor(F.col(block) * parts / F.lit(blocks)).cast("int"))
+    return placed.sortWithinPartitions(block, position).select(*[col(name) for name in docs.columns])

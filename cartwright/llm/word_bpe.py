@@ -191,6 +191,14 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", limi
 _CLOSING = frozenset(".,;:!?")
 
 
+def _letters(chunk: str) -> bool:
+    """Whether a chunk is of letters only in the form that the library reads.
+
+    Some letters come apart into a letter and a mark, and the library joins a mark with the punctuation after it.
+    """
+    return (chunk if chunk.isascii() else unicodedata.normalize("NFC", chunk).lower()).isalpha()
+
+
 def _groups(items: list[str], size: int = 1024) -> Iterator[list[str]]:
     return (items[start : start + size] for start in range(0, len(items), size))
 
@@ -227,7 +235,7 @@ class LibraryEncoder:
         for chunk in chunks:
             if chunk.isalpha():
                 words.add(chunk)
-            elif chunk[-1:] in _CLOSING and chunk[:-1].lower().isalpha():
+            elif chunk[-1:] in _CLOSING and _letters(chunk[:-1]):
                 closed.append(chunk)
                 words.add(chunk[:-1])
                 words.add(chunk[-1])

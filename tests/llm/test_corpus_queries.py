@@ -1,6 +1,7 @@
 """Registered corpus queries: SQL twins over whole tables, and the pipeline."""
 
 from collections import Counter
+from pathlib import Path
 
 import pytest
 from awkward import AWKWARD, clashing, documents
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 import corpus_pipeline
 from cartwright.llm import byte_bpe, registry, toxicity
+from cartwright.sources.store import shared_folder
 
 
 @pytest.fixture(scope="module")
@@ -63,6 +65,15 @@ def test_pipeline(spark):
     assert found == Counter(r["doc_id"] for r in docs.select("doc_id").collect())
 
 
+def test_a_run_leaves_one_stage_behind(spark):
+    """Layers of the stages go with the stage after them."""
+    shared = Path(shared_folder(spark))
+    before = set(shared.rglob("*.parquet"))
+    last = corpus_pipeline.run(spark, SMALL)
+    left = {path.relative_to(shared).parts[1] for path in set(shared.rglob("*.parquet")) - before}
+    assert left <= {"stage-4"} | {name for name in left if name.startswith("model")} and last.count() > 0
+
+
 def test_toxicity_stage_keeps_clean_documents(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     model = toxicity.fit(docs, labels)

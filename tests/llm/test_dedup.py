@@ -177,3 +177,11 @@ def test_lines_of_awkward_rows(spark):
     cleaned = line_dedup.clean(docs)
     assert cleaned.columns == docs.columns and cleaned.count() == len(AWKWARD)
     assert line_dedup.judge_lines(documents(spark).limit(0)).collect() == []
+
+
+def test_line_identity_has_two_independent_halves(spark):
+    """Hashes are chained: a half that hashes the first half again would add nothing to it."""
+    lines = spark.range(50).selectExpr("concat('line ', id) AS line")
+    rows = lines.select("line", *line_dedup._digest()).selectExpr("d1", "d2", "xxhash64(line, 1) AS chained").collect()
+    assert len({r["d1"] for r in rows}) == len({r["d2"] for r in rows}) == 50
+    assert all(r["d2"] not in (r["chained"], r["d1"]) for r in rows)

@@ -325,6 +325,7 @@ def vectors(seed, count=900, size=12):
 
 
 def test_neighbours_by_calibrated_recall(spark, monkeypatch):
+    monkeypatch.setattr(ann, "SMALL_LENGTH", 100)
     monkeypatch.setattr(ann, "LEAF_ROWS", 16)
     monkeypatch.setattr(ann, "BLOCK_ROWS", 100)
     monkeypatch.setattr(ann, "BLOCK_QUERIES", 10)
@@ -354,6 +355,22 @@ def test_neighbours_by_calibrated_recall(spark, monkeypatch):
     assert got == {q: [i for i, _ in t[0]] for q, t in truth.items()}
 
 
+def test_neighbours_of_mixed_lengths(spark, monkeypatch):
+    """Two lengths with a tree each and two rare ones: every vector meets those of its own length, and only those."""
+    monkeypatch.setattr(ann, "SMALL_LENGTH", 100)
+    monkeypatch.setattr(ann, "BLOCK_ROWS", 64)
+    random_numbers = np.random.default_rng(9)
+    groups = {size: [(i, random_numbers.normal(size=size)) for i in range(start, start + count)] for size, start, count in ((3, 0, 160), (5, 160, 240), (2, 400, 61), (7, 500, 2))}
+    table = spark.createDataFrame([(i, v.tolist()) for rows in groups.values() for i, v in rows], "vec_id bigint, embedding array<double>").repartition(4)
+    found = defaultdict(list)
+    for row in sorted(ann.search(table, target=1.1).collect(), key=lambda r: r["rank"]):
+        found[row["query_id"]].append(row["vec_id"])
+    truth = {}
+    for rows in groups.values():
+        truth |= {q: [i for i, _ in t[0]] for q, t in brute_neighbours(rows, 20, 20).items()}
+    assert found == truth and found[500] == [501]
+
+
 def test_neighbours_of_awkward_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [
@@ -364,6 +381,7 @@ def test_neighbours_of_awkward_vectors(spark):
     found = defaultdict(list)
     for row in sorted(ann.search(table).collect(), key=lambda r: (r["query_id"], r["rank"])):
         found[row["query_id"]].append((row["rank"], row["vec_id"], row["score"]))
+    # Key 9 has no other vector of its length.
     assert found[0] == [(1, None, 3.0), (2, 8, 1.0), (3, 20, 0.0), (4, 20, 0.0)]
     assert sorted(found[20]) == sorted([(1, 20, 4.0), (2, 8, 2.0), (3, None, 0.0), (4, 0, 0.0)] * 2, key=str) or len(found[20]) == 8
     assert set(found) == {0, 20}

@@ -78,10 +78,10 @@ def vocabulary(seed, stems=60, edits=6):
     return n
 
 
-@pytest.mark.parametrize("cell", [1 << 15, 20])
-def test_variants_equal_brute_force(spark, cell):
-    n = vocabulary(cell)
-    assert variants_of(spark, n, cell=cell) == brute_variants(n)
+def test_variants_equal_brute_force(spark):
+    """Cells of some twenty words, so that most pairs lie in two of them."""
+    n = vocabulary(20)
+    assert variants_of(spark, n, cell=20) == brute_variants(n)
 
 
 def test_words_of_documents(spark):
@@ -248,7 +248,7 @@ def chats(seed, n=150):
     return rows + [(None, 1, "user", "nobody"), (5, 1, "user", "again"), (5, 1, "user", "again")]
 
 
-@pytest.mark.parametrize("shard_rows", [1 << 16, 40, 1])
+@pytest.mark.parametrize("shard_rows", [40])
 def test_trie_equals_brute_force(spark, shard_rows):
     rows = chats(shard_rows)
     assert nodes_of(turn_trie.conversation_nodes(conversations(spark, rows), shard_rows=shard_rows)) == brute_nodes(rows)
