@@ -44,8 +44,9 @@ def entry(spark: SparkSession) -> DataFrame:
 # --- plumbing ---------------------------------------------------------------------------------
 
 
-def _warehouse(spark: SparkSession, folder: str, store=None) -> Warehouse:
-    return Warehouse(spark, StarSources(spark, folder), c.WIDE_IDS, store)
+def _warehouse(spark: SparkSession, tables: str | StarSources, store=None) -> Warehouse:
+    sources = StarSources(spark, tables) if isinstance(tables, str) else tables
+    return Warehouse(spark, sources, c.WIDE_IDS, store)
 
 
 _PLAIN_TYPES = {
@@ -167,11 +168,26 @@ def _candidate(spark: SparkSession, folder: str, repeated: bool = False) -> rele
     What the callers read afterwards is a few rows; the large layers go again.
     """
     store = scratch_store(spark)
-    candidate = release.build_candidate(spark, StarSources(spark, folder, repeated=repeated), RUN_AT, c.WIDE_IDS, store)
+    sources = StarSources(spark, folder, repeated=repeated, store=store)
+    candidate = release.build_candidate(spark, sources, RUN_AT, c.WIDE_IDS, store)
     store.discard(keep=("ops_data_quality_results", "ops_measurement", "ads_executive_kpis"))
     return candidate
 
 
+def _kept(name: str, pick: Callable[[Warehouse], DataFrame]) -> Query:
+    """A row made of all layers: each is written once, and all but the row go again."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        store = scratch_store(spark)
+        w = _warehouse(spark, StarSources(spark, folder, store=store), store)
+        w.build(w.FACT_WAVES)
+        row = store.keep(name, pick(w))
+        store.discard(keep=(name,))
+        return _edge(row)
+
+    return query
+
+
 def quality_checks(spark: SparkSession, folder: str) -> DataFrame:
     return _candidate(spark, folder).health.drop("details", "checked_at").orderBy("check_name")
 
@@ -220,10 +236,6 @@ def evidence_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def row_profile(spark: SparkSession, folder: str) -> DataFrame:
-    return _edge(quality.row_profile(quality.row_counts(_warehouse(spark, folder))))
-
-
 def lifecycle_violations(spark: SparkSession, folder: str) -> DataFrame:
     rows = quality.lifecycle_violations(_warehouse(spark, folder).valid("orders"))
     return _edge(rows.select("order_id", "order_status", "order_ts", "delivery_ts", "receive_ts"))
@@ -523,7 +535,7 @@ def core_queries() -> dict[str, Query]:
         "repeat_customers": _layer(lambda w: customers.repeat_customers(w.fact_order)),
         "category_performance": _layer(lambda w: w.category_performance),
         "category_ranking": _layer(lambda w: w.category_ranking),
-        "executive_kpis": _layer(lambda w: w.executive_kpis),
+        "executive_kpis": _kept("kpi_row", lambda w: w.executive_kpis),
         "orphan_rows": orphan_rows,
         "duplicate_keys": duplicate_keys,
         "lifecycle_violations": lifecycle_violations,
@@ -535,7 +547,7 @@ def core_queries() -> dict[str, Query]:
         "quality_checks_repeated_parents": quality_checks_repeated_parents,
         "layers_by_name": layers_by_name,
         "quality_summary": quality_summary,
-        "row_profile": row_profile,
+        "row_profile": _kept("profile_row", lambda w: quality.row_profile(quality.row_counts(w))),
         "evidence_reconciliation": evidence_reconciliation,
         "hourly_behavior_long": _layer(lambda w: consumption.hourly_behavior_long(w.hourly_behavior)),
         "top_categories": _layer(lambda w: consumption.top_categories(w.category_ranking)),
@@ -543,7 +555,7 @@ def core_queries() -> dict[str, Query]:
         "daily_series": _layer(lambda w: consumption.daily_series(w.daily_commerce)),
         "status_series": _layer(lambda w: consumption.status_series(w.order_status_summary)),
         "segment_series": _layer(lambda w: consumption.segment_series(w.customer_segments)),
-        "kpi_cards": _layer(lambda w: consumption.kpi_cards(w.executive_kpis)),
+        "kpi_cards": _kept("kpi_cards", lambda w: consumption.kpi_cards(w.executive_kpis)),
         "csv_roundtrip": csv_roundtrip,
         "csv_corrupt_capture": csv_corrupt_capture,
         "csv_contract_check": csv_contract_check,

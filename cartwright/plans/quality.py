@@ -5,12 +5,22 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from cartwright import contract as c
-from cartwright.functions.parsing import all_of, any_of, differs, exprs, listed, literal, rows_of
+from cartwright.functions.parsing import all_of, any_of, differs, exprs, literal, rows_of
 from cartwright.operators.relations import duplicate_keys, mismatches, orphans, side_by_side
-from cartwright.operators.validation import ACCEPTED, REASONS, locally_clean_rows, union_all
+from cartwright.operators.validation import ACCEPTED, locally_clean_rows, union_all
 from cartwright.plans.activity import CALLED_OFF
+from cartwright.plans.verdicts import (
+    EQUATION_OFF,
+    LIFECYCLE_BROKEN,
+    UNIT_PRICE_OFF,
+    fact_counts,
+    judged_counts,
+    staged_counts,
+    status_in,
+)
 from cartwright.plans.warehouse import Warehouse
 
 PASS, FAIL, WARN = "pass", "fail", "warn"
@@ -42,24 +52,6 @@ class Check:
 
 # --- findings at row grain ------------------------------------------------------------------
 
-EQUATION_OFF = differs("total_amount - discount", "actual_payment", c.AMOUNT_TOLERANCE)
-UNIT_PRICE_OFF = differs("unit_price * quantity", "total_amount", c.AMOUNT_TOLERANCE)
-
-
-def _status_in(*codes: str) -> str:
-    return f"order_status IN ({listed(c.STATUS_TEXT[code] for code in codes)})"
-
-
-LIFECYCLE_BROKEN = any_of(
-    [
-        all_of(_status_in("shipped", "received", "completed"), "delivery_ts IS NULL"),
-        all_of(_status_in("received", "completed"), "receive_ts IS NULL"),
-        "delivery_ts < order_ts",
-        "receive_ts < delivery_ts",
-    ]
-)
-
-
 def lifecycle_violations(valid_orders: DataFrame) -> DataFrame:
     return valid_orders.filter(LIFECYCLE_BROKEN)
 
@@ -90,8 +82,8 @@ def _recount(w: Warehouse, key: str, amount: str, order_count: str, completed: s
     ordered = locally_clean_rows(w.judged("orders")).groupBy(key).agg(
         *exprs(
             f"count(1) AS f_{order_count}",
-            f"count_if({_status_in('completed')}) AS f_{completed}",
-            f"count_if({_status_in(*c.CANCELLED_OR_REFUNDED)}) AS f_{cancelled}",
+            f"count_if({status_in('completed')}) AS f_{completed}",
+            f"count_if({status_in(*c.CANCELLED_OR_REFUNDED)}) AS f_{cancelled}",
             f"round(sum(actual_payment), 2) AS f_{amount}",
         )
     )
@@ -142,23 +134,28 @@ def _sum_if(condition: str) -> str:
     return f"sum(CASE WHEN {condition} THEN 1 ELSE 0 END)"
 
 
+def _counted(w: Warehouse, layer: str, rows: DataFrame, columns: dict[str, str], only: tuple[str, ...] = ()) -> DataFrame:
+    """Aggregates of a layer: those taken while it was written, or else taken now."""
+    asked = _aggregate(rows, **{name: columns[name] for name in only or columns})
+    known = w.store.counted(layer)
+    if known is None:
+        return asked
+    # The types are those of the aggregates, so that both ways give the same row.
+    return w.spark.range(0, 1, 1, 1).select(*[F.lit(known[f.name]).cast(f.dataType).alias(f.name) for f in asked.schema])
+
+
+def _raw_counts(w: Warehouse, name: str) -> DataFrame:
+    layer = f"stg_{name}" if name in ("users", "products") else f"jdg_{name}"
+    known = w.store.counted(layer)
+    return _counted(w, layer, w.raw(name), {f"raw_{name}": "count(1)"}) if known else _count(w.raw(name), f"raw_{name}")
+
+
 def _verdict_counts(w: Warehouse, name: str) -> DataFrame:
-    temporal = literal(c.TEMPORAL_REASON)
-    columns = {
-        f"valid_{name}": f"count_if({ACCEPTED})",
-        f"rejected_{name}": f"count_if(NOT {ACCEPTED})",
-        f"other_{name}": f"count_if(NOT {ACCEPTED} AND {REASONS} <> array({temporal}))",
-        f"early_{name}": f"count_if(NOT {ACCEPTED} AND array_contains({REASONS}, {temporal}))",
-    }
-    if name == "orders":
-        columns["lifecycle_broken"] = f"count_if({ACCEPTED} AND {LIFECYCLE_BROKEN})"
-    return _aggregate(w.staged(name), **columns)
+    return _counted(w, f"stg_{name}", w.staged(name), staged_counts(name))
 
 
 def _amount_counts(w: Warehouse) -> DataFrame:
-    return _aggregate(
-        locally_clean_rows(w.judged("orders")), equation_off=_sum_if(EQUATION_OFF), unit_price_off=_sum_if(UNIT_PRICE_OFF)
-    )
+    return _counted(w, "jdg_orders", w.judged("orders"), judged_counts("orders"), only=("equation_off", "unit_price_off"))
 
 
 def _fact_recount(w: Warehouse) -> DataFrame:
@@ -186,19 +183,18 @@ def _fact_recount(w: Warehouse) -> DataFrame:
 def _row_counts(w: Warehouse) -> list[DataFrame]:
     """Rows of every table in text, validated and in the fact layer, and the event window."""
     facts = {
-        "users": w.dim_user, "products": w.dim_product, "orders": w.fact_order,
-        "user_behaviors": w.fact_behavior, "user_features": w.snapshot_user,
-        "product_features": w.snapshot_product,
+        "orders": ("dwd_fact_order", w.fact_order, "order_date"),
+        "user_behaviors": ("dwd_fact_behavior", w.fact_behavior, "behavior_date"),
     }
-    window = [
-        _aggregate(w.fact_order, first="min(order_date)", last="max(order_date)"),
-        _aggregate(w.fact_behavior, first="min(behavior_date)", last="max(behavior_date)"),
-    ]
+    views = {"users": w.dim_user, "products": w.dim_product, "user_features": w.snapshot_user, "product_features": w.snapshot_product}
+    counted = {name: _counted(w, layer, rows, fact_counts(name, date)) for name, (layer, rows, date) in facts.items()}
     return [
-        *[_count(w.raw(name), f"raw_{name}") for name in c.HEADERS],
+        *[_raw_counts(w, name) for name in c.HEADERS],
         *[_verdict_counts(w, name) for name in c.HEADERS],
-        *[_count(rows, f"dwd_{name}") for name, rows in facts.items()],
-        _aggregate(union_all(window), min_event_date="min(first)", max_event_date="max(last)"),
+        *[counted[name].select(f"dwd_{name}") if name in counted else _count(views[name], f"dwd_{name}") for name in c.HEADERS],
+        _aggregate(
+            union_all([rows.select("first", "last") for rows in counted.values()]), min_event_date="min(first)", max_event_date="max(last)"
+        ),
     ]
 
 

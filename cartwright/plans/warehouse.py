@@ -27,7 +27,7 @@ from cartwright.operators.validation import (
     with_parents,
     without_parents,
 )
-from cartwright.plans import activity, categories, customers, kpis
+from cartwright.plans import activity, categories, customers, kpis, verdicts
 from cartwright.plans.rulebook import LINEAGE, RULEBOOK, raw_contract
 from cartwright.sources.store import LazyStore
 
@@ -67,19 +67,21 @@ class Warehouse:
         The recounts read these, so the tables with parents are kept in this state too.
         """
         if name not in self._judged_rows:
-            self._judged_rows[name] = self.store.keep(f"jdg_{name}", self._judged(name))
+            self._judged_rows[name] = self.store.keep(f"jdg_{name}", self._judged(name), counts=verdicts.judged_counts(name))
         return self._judged_rows[name]
 
-    def _stage(self, name: str, rows: DataFrame) -> DataFrame:
-        return self.store.keep(f"stg_{name}", rows, partition_by=ACCEPTED)
+    def _stage(self, name: str, rows: DataFrame, counts: dict[str, str] | None = None) -> DataFrame:
+        counts = verdicts.staged_counts(name) | (counts or {})
+        return self.store.keep(f"stg_{name}", rows, partition_by=ACCEPTED, counts=counts)
 
     @cached_property
     def staged_users(self) -> DataFrame:
-        return self._stage("users", without_parents(self._judged("users")))
+        # Without parents no row is repeated: the staged rows are the raw ones.
+        return self._stage("users", without_parents(self._judged("users")), verdicts.judged_counts("users"))
 
     @cached_property
     def staged_products(self) -> DataFrame:
-        return self._stage("products", without_parents(self._judged("products")))
+        return self._stage("products", without_parents(self._judged("products")), verdicts.judged_counts("products"))
 
     def _user_link(self, child_time: str | None = None) -> ParentLink:
         if child_time is None:
@@ -104,12 +106,12 @@ class Warehouse:
 
     @cached_property
     def staged_user_features(self) -> DataFrame:
-        return self._stage("user_features", with_parents(self._judged("user_features"), [self._user_link()]))
+        return self._stage("user_features", with_parents(self.judged("user_features"), [self._user_link()]))
 
     @cached_property
     def staged_product_features(self) -> DataFrame:
         return self._stage(
-            "product_features", with_parents(self._judged("product_features"), [self._product_link()])
+            "product_features", with_parents(self.judged("product_features"), [self._product_link()])
         )
 
     def staged(self, name: str) -> DataFrame:
@@ -159,7 +161,7 @@ class Warehouse:
             f"CASE WHEN is_paid_lifecycle THEN actual_payment ELSE CAST(0 AS {MONEY}) END AS paid_gmv",
             "delivery_ts", "receive_ts", "review_score", *LINEAGE,
         )
-        return self.store.keep("dwd_fact_order", rows)
+        return self.store.keep("dwd_fact_order", rows, counts=verdicts.fact_counts("orders", "order_date"))
 
     @cached_property
     def fact_behavior(self) -> DataFrame:
@@ -168,7 +170,7 @@ class Warehouse:
             "behavior_group", "stage_order", "behavior_ts", "to_date(behavior_ts) AS behavior_date",
             "hour(behavior_ts) AS behavior_hour", "duration_seconds", *LINEAGE,
         )
-        return self.store.keep("dwd_fact_behavior", rows)
+        return self.store.keep("dwd_fact_behavior", rows, counts=verdicts.fact_counts("user_behaviors", "behavior_date"))
 
     @cached_property
     def snapshot_user(self) -> DataFrame:
@@ -251,19 +253,23 @@ class Warehouse:
             "ads_order_status": self.order_status_summary,
         }
 
-    def build(self) -> None:
+    #: Layers that do not depend on each other, in the order of those that do.
+    FACT_WAVES = (
+        ("staged_users", "staged_products"),
+        ("staged_orders", "staged_user_behaviors", "staged_user_features", "staged_product_features"),
+        ("fact_order", "fact_behavior"),
+    )
+    REPORT_WAVES = (
+        ("daily_commerce", "order_status_summary", "hourly_behavior", "customer_summary",
+         "sequential_funnel", "category_ranking", "executive_kpis"),
+        ("customer_segments",),
+    )
+
+    def build(self, waves: tuple[tuple[str, ...], ...] = FACT_WAVES + REPORT_WAVES) -> None:
         """Bring every kept layer into being, independent ones at the same time.
 
         Small layers do not fill a cluster on their own; side by side their jobs share it.
         """
-        waves = (
-            ("staged_users", "staged_products"),
-            ("staged_orders", "staged_user_behaviors", "staged_user_features", "staged_product_features"),
-            ("fact_order", "fact_behavior"),
-            ("daily_commerce", "order_status_summary", "hourly_behavior", "customer_summary",
-             "sequential_funnel", "category_ranking", "executive_kpis"),
-            ("customer_segments",),
-        )
         with ThreadPoolExecutor(max_workers=len(max(waves, key=len))) as pool:
             for wave in waves:
                 list(pool.map(lambda name: getattr(self, name), wave))

@@ -8,12 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping
 from functools import cached_property
+from threading import Lock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cartwright import contract as c
 from cartwright.functions.parsing import MONEY, exprs, listed, literal, named
+from cartwright.sources.store import LazyStore
 
 KEY = "_k"
 DELIVERED = ("shipped", "received", "completed")
@@ -112,13 +114,16 @@ REPAIRS: dict[str, dict[str, str]] = {
 class StarSources(Mapping):
     """The six source tables, all text, keyed by logical name and planned on first use."""
 
-    def __init__(self, spark: SparkSession, folder: str, spoiled: bool = False, repeated: bool = False, repaired: bool = False) -> None:
+    def __init__(self, spark: SparkSession, folder: str, spoiled: bool = False, repeated: bool = False, repaired: bool = False, store=None) -> None:
+        """With a ``store`` the order and event rows, which several tables are made of, are written once."""
         self._spark = spark
         self._folder = folder
         self._spoiled = spoiled
         self._repeated = repeated
         self._repaired = repaired
+        self._store = store or LazyStore()
         self._planned: dict[str, DataFrame] = {}
+        self._lock = Lock()
 
     def __iter__(self) -> Iterator[str]:
         return iter(c.HEADERS)
@@ -127,12 +132,14 @@ class StarSources(Mapping):
         return len(c.HEADERS)
 
     def __getitem__(self, name: str) -> DataFrame:
-        if name not in self._planned:
-            rows = getattr(self, f"_{name}")()
-            if self._repeated and name in REPEATS:
-                rows = rows.unionByName(rows.filter(f"{KEY} % {REPEATS[name]} = 0"))
-            self._planned[name] = _spoil(rows, SPOILS[name]) if self._spoiled else rows
-        return self._planned[name]
+        # Tables built side by side share what is written once.
+        with self._lock:
+            if name not in self._planned:
+                rows = getattr(self, f"_{name}")()
+                if self._repeated and name in REPEATS:
+                    rows = rows.unionByName(rows.filter(f"{KEY} % {REPEATS[name]} = 0"))
+                self._planned[name] = _spoil(rows, SPOILS[name]) if self._spoiled else rows
+            return self._planned[name]
 
     def _table(self, name: str) -> DataFrame:
         return self._spark.read.parquet(f"{self._folder}/{name}.parquet")
@@ -140,12 +147,13 @@ class StarSources(Mapping):
     @cached_property
     def _order_rows(self) -> DataFrame:
         rows = _order_rows(self._table("orders"), self._table("lineitem"))
-        return _with_lines(rows, self._table("part")) if self._repaired else rows
+        return self._store.keep("src_order_rows", _with_lines(rows, self._table("part")) if self._repaired else rows)
 
     @cached_property
     def _event_rows(self) -> DataFrame:
         rows = _event_rows(self._table("events"), self._table("part"))
-        return rows.withColumn("behavior", F.coalesce("behavior", F.lit("browse"))) if self._repaired else rows
+        rows = rows.withColumn("behavior", F.coalesce("behavior", F.lit("browse"))) if self._repaired else rows
+        return self._store.keep("src_event_rows", rows)
 
     def _users(self) -> DataFrame:
         return self._mended("users", _users(self._table("customer"), self._table("nation")))

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Mapping
+from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from cartwright.sources.folders import remove_folder
 
@@ -14,9 +16,13 @@ from cartwright.sources.folders import remove_folder
 class LazyStore:
     """Keep layers as plans."""
 
-    def keep(self, name: str, rows: DataFrame, partition_by: str | None = None) -> DataFrame:
+    def keep(self, name: str, rows: DataFrame, partition_by: str | None = None, counts: Mapping[str, str] | None = None) -> DataFrame:
         return rows
 
+    def counted(self, name: str) -> dict[str, Any] | None:
+        """Nothing is counted before somebody reads the plan."""
+        return None
+
 
 class ParquetStore:
     """Write a layer to the shared folder and continue from the written table.
@@ -29,21 +35,35 @@ class ParquetStore:
         self.spark = spark
         self.root = root.rstrip("/")
         self._written: set[str] = set()
+        self._counted: dict[str, dict[str, Any]] = {}
 
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def keep(self, name: str, rows: DataFrame, partition_by: str | None = None) -> DataFrame:
+    def keep(self, name: str, rows: DataFrame, partition_by: str | None = None, counts: Mapping[str, str] | None = None) -> DataFrame:
+        """Write a layer and read it back; ``counts`` are aggregates taken of its rows on the way.
+
+        They are taken by the tasks that write, each of which counts once however often it is tried.
+        """
+        schema = rows.schema
+        if counts:
+            observation = Observation()
+            rows = rows.observe(observation, *[F.expr(text).alias(column) for column, text in counts.items()])
         writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(partition_by)
         writer.parquet(self.path(name))
         self._written.add(name)
-        schema = rows.schema
+        if counts:
+            self._counted[name] = observation.get
         # The declared schema keeps the partition column's type without inference.
         back = self.spark.read.schema(schema).parquet(self.path(name))
         return back.select(*schema.names)
 
+    def counted(self, name: str) -> dict[str, Any] | None:
+        """What was counted while the layer was written, None if nothing was."""
+        return self._counted.get(name)
+
     def remove(self, names: Iterable[str]) -> None:
         """Remove written layers that nobody will read any more."""
         for name in sorted(self._written.intersection(names)):
