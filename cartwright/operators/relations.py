@@ -44,9 +44,32 @@ def with_share(grouped: DataFrame, amount: str, share: str) -> DataFrame:
     return grouped.selectExpr("*", f"{safe_ratio(amount, f'sum({amount}) OVER ()')} AS {share}")
 
 
-def ranked(grouped: DataFrame, rank: str, order: str) -> DataFrame:
-    """Global rank over an already aggregated relation."""
-    return grouped.selectExpr("*", f"row_number() OVER (ORDER BY {order}) AS {rank}")
+# Ranges that a global rank is taken in, and bytes of a name that take part in choosing the range.
+RANGES, NAME_BYTES = 64, 6
+
+
+def ranked(written: DataFrame, rank: str, amount: str, name: str) -> DataFrame:
+    """Rank by ``amount`` (two decimals, falling) and ``name`` (rising), without one task over all rows.
+
+    Rows are ranked within ranges of some sixty quantiles, and each range starts after the rows of those before it.  A range
+    is chosen by one number that never falls along the order: the amount in cents, and below it the first bytes of
+    the name, so that many rows of one amount spread over ranges too.  ``written`` is read three times.
+    """
+    unit = float(1 << 8 * NAME_BYTES)
+    opening = f"CAST(conv(rpad(hex(substring(encode({name}, 'UTF-8'), 1, {NAME_BYTES})), {2 * NAME_BYTES}, '0'), 16, 10) AS DOUBLE)"
+    place = f"coalesce(CAST(-{amount} * 100 AS DOUBLE), 1e300D) * {unit}D + coalesce({opening}, 0D)"
+    rows = written.withColumn("__place", F.expr(place))
+    # Bounds and counts: as many numbers as there are ranges.
+    bounds = sorted(set(rows.approxQuantile("__place", [i / RANGES for i in range(1, RANGES)], 0.25 / RANGES)))
+    bounds_sql = ", ".join(f"{bound!r}D" for bound in bounds) or "CAST(NULL AS DOUBLE)"
+    ranges = rows.withColumn("__range", F.expr(f"size(filter(array({bounds_sql}), bound -> bound < __place))"))
+    before, starts = 0, []
+    for row in sorted(ranges.groupBy("__range").count().collect()):
+        starts.append(f"WHEN {row['__range']} THEN {before}")
+        before += row["count"]
+    start = f"CASE __range {' '.join(starts)} END" if starts else "0"
+    order = f"row_number() OVER (PARTITION BY __range ORDER BY {amount} DESC, {name})"
+    return ranges.selectExpr(*written.columns, f"CAST({start} + {order} AS INT) AS {rank}")
 
 
 def duplicate_keys(tables: dict[str, tuple[DataFrame, str]]) -> DataFrame:

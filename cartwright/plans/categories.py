@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame
 from cartwright import contract as c
 from cartwright.functions import measures as m
 from cartwright.functions.parsing import exprs, listed
-from cartwright.operators.relations import ranked
 from cartwright.plans.activity import COMPLETED, PAID, PAYMENT
 
 PERFORMANCE_COLUMNS = (
@@ -18,8 +17,8 @@ COMPLETED_COLUMNS = ("completed_orders", "completed_customers", "completed_gmv")
 _MAY_BE_NULL = ("category", "products", "paid_aov")
 
 
-def category_ranking(dim_product: DataFrame, fact_order: DataFrame, fact_behavior: DataFrame) -> DataFrame:
-    """Every category with its activity, ranked by completed amount.
+def category_activity(dim_product: DataFrame, fact_order: DataFrame, fact_behavior: DataFrame) -> DataFrame:
+    """Every category with its activity.
 
     The facts meet the product dimension without a broadcast hint; the dimension is
     cut to key and category first.
@@ -53,10 +52,9 @@ def category_ranking(dim_product: DataFrame, fact_order: DataFrame, fact_behavio
         .join(behaved, "category", "left")
         .join(ordered, "category", "left")
     )
-    filled = joined.selectExpr(
+    return joined.selectExpr(
         *[
             name if name in _MAY_BE_NULL else f"coalesce({name}, 0) AS {name}"
             for name in PERFORMANCE_COLUMNS + COMPLETED_COLUMNS
         ]
     )
-    return ranked(filled, "category_rank", "completed_gmv DESC, category")

@@ -43,7 +43,7 @@ def empty_sources(spark: SparkSession) -> dict[str, DataFrame]:
 
 def planned_layers(spark: SparkSession, ids: c.IdFormats) -> dict[str, DataFrame]:
     """All published layers as plans over empty tables."""
-    w = Warehouse(spark, empty_sources(spark), ids)
+    w = Warehouse(spark, empty_sources(spark), ids, planned_only=True)
     health = quality.quality_checks(quality.measurement(w))
     return catalog.layers(w, health)
 

@@ -97,7 +97,7 @@ def output_schemas(spark: SparkSession) -> dict[str, T.StructType]:
     """Columns and types of the eight outputs, from their plans over empty tables."""
     application = spark.sparkContext.applicationId
     if application not in _SCHEMAS:
-        w, at = Warehouse(spark, identity.empty_sources(spark)), datetime(2000, 1, 1)
+        w, at = Warehouse(spark, identity.empty_sources(spark), planned_only=True), datetime(2000, 1, 1)
         health = quality.quality_checks(quality.measurement(w)).withColumn("checked_at", F.lit(at))
         _SCHEMAS[application] = {name: rows.schema for name, rows in _outputs(w, health, at, "DEMO", "").items()}
     return _SCHEMAS[application]

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from cartwright import contract as c
 from cartwright.functions.parsing import MONEY, iso_weekday, literal
-from cartwright.operators.relations import decode, literal_table
+from cartwright.operators.relations import decode, literal_table, ranked
 from cartwright.operators.validation import (
     ACCEPTED,
     ParentLink,
@@ -29,7 +29,7 @@ from cartwright.operators.validation import (
 )
 from cartwright.plans import activity, categories, customers, kpis, verdicts
 from cartwright.plans.rulebook import LINEAGE, RULEBOOK, raw_contract
-from cartwright.sources.store import LazyStore
+from cartwright.sources.store import LazyStore, scratch_store
 
 
 class Warehouse:
@@ -42,10 +42,13 @@ class Warehouse:
         ids: c.IdFormats = c.STRICT_IDS,
         store=None,
         run_at: datetime | None = None,
+        planned_only: bool = False,
     ) -> None:
+        """``planned_only`` is for plans that nobody will run: nothing is written or read to make them."""
         self.spark = spark
         self.ids = ids
         self.store = store or LazyStore()
+        self.planned_only = planned_only
         self.run_at = run_at
         self._sources = sources
         self._raw: dict[str, DataFrame] = {}
@@ -225,8 +228,13 @@ class Warehouse:
 
     @cached_property
     def category_ranking(self) -> DataFrame:
-        rows = categories.category_ranking(self.dim_product, self.fact_order, self.fact_behavior)
-        return self.store.keep("ads_category_performance", rows)
+        activity_rows = categories.category_activity(self.dim_product, self.fact_order, self.fact_behavior)
+        if self.planned_only:
+            return activity_rows.selectExpr("*", "row_number() OVER (ORDER BY completed_gmv DESC, category) AS category_rank")
+        # Ranking reads its input several times, so that is written even where other layers stay plans.
+        small = scratch_store(self.spark) if isinstance(self.store, LazyStore) else self.store
+        written = small.keep("dws_category_activity", activity_rows)
+        return self.store.keep("ads_category_performance", ranked(written, "category_rank", "completed_gmv", "category"))
 
     @cached_property
     def category_performance(self) -> DataFrame:
