@@ -28,7 +28,7 @@ from cartwright.plans.rulebook import RULEBOOK, raw_contract
 from cartwright.plans.warehouse import Warehouse
 from cartwright.session import prepare
 from cartwright.sources import catalog, csv_files
-from cartwright.sources.star_schema import StarSources
+from cartwright.sources.star_schema import StarSources, files_state
 from cartwright.sources.store import scratch_store, shared_folder
 from cartwright.streaming.quarantine import stream_tables
 
@@ -162,11 +162,22 @@ def rejection_reason_frequency(spark: SparkSession, folder: str) -> DataFrame:
 # --- checks, gate and evidence -------------------------------------------------------------------
 
 
+_CANDIDATES: dict[tuple, release.Candidate] = {}
+
+
 def _candidate(spark: SparkSession, folder: str, repeated: bool = False) -> release.Candidate:
     """The checks read every layer several times, so the layers are written once.
 
-    What the callers read afterwards is a few rows; the large layers go again.
+    What the callers read afterwards is a few rows; the large layers go again.  The queries over checks share one candidate as
+    long as the session lives and the tables' files stay as they are.
     """
+    key = (spark.sparkContext.applicationId, folder, repeated, files_state(spark, folder))
+    if key not in _CANDIDATES:
+        _CANDIDATES[key] = _built(spark, folder, repeated)
+    return _CANDIDATES[key]
+
+
+def _built(spark: SparkSession, folder: str, repeated: bool) -> release.Candidate:
     store = scratch_store(spark)
     sources = StarSources(spark, folder, repeated=repeated, store=store)
     candidate = release.build_candidate(spark, sources, RUN_AT, c.WIDE_IDS, store)
@@ -363,12 +374,15 @@ def gated_publish(spark: SparkSession, folder: str) -> DataFrame:
 # --- publication ----------------------------------------------------------------------------------
 
 
-_ROOTS: dict[tuple[str, str, bool], str] = {}
+_ROOTS: dict[tuple, str] = {}
 
 
 def _publication(spark: SparkSession, folder: str, repaired: bool) -> str:
-    """A root to which the given tables were released from CSV files, once per session; sound tables get through the gate."""
-    key = (spark.sparkContext.applicationId, folder, repaired)
+    """A root to which the given tables were released from CSV files, once per session and state of the files.
+
+    Sound tables get through the gate.
+    """
+    key = (spark.sparkContext.applicationId, folder, repaired, files_state(spark, folder))
     if key not in _ROOTS:
         root = _scratch_folder(spark)
         arrivals.write_text_files(StarSources(spark, folder, repaired=repaired), f"{root}/in")
@@ -491,14 +505,12 @@ def _prepared(query: Query) -> Query:
 
 
 def _corpus():
-    """The corpus queries, or None where that subpackage is not installed."""
+    """The corpus queries, or None where that subpackage, or a library that it needs, is not installed."""
     try:
         import corpus_pipeline
         from cartwright.llm import registry
-    except ModuleNotFoundError as missing:
-        if missing.name in ("cartwright.llm", "corpus_pipeline"):
-            return None
-        raise
+    except ModuleNotFoundError:
+        return None
     return registry, corpus_pipeline
 
 

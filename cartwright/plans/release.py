@@ -11,6 +11,7 @@ import json
 import time
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timedelta, timezone
 from typing import Any
@@ -208,6 +209,13 @@ def _close(manifest: dict[str, Any], run_at: datetime, started: float) -> None:
     manifest["finished_at"] = (run_at + timedelta(seconds=seconds)).isoformat()
 
 
+def _kept_inputs(store: ParquetStore, sources: Mapping[str, DataFrame]) -> dict[str, DataFrame]:
+    """The raw text as written tables, side by side: what reads it afterwards parses no CSV again."""
+    with ThreadPoolExecutor(max_workers=len(sources)) as pool:
+        kept = pool.map(lambda item: store.keep(f"src_{item[0]}", item[1]), sources.items())
+        return dict(zip(sources, kept, strict=True))
+
+
 def run_release(
     spark: SparkSession,
     input_folder: str,
@@ -248,7 +256,7 @@ def run_release(
         csv_files.check_files(spark, input_folder)
         manifest["statements"] = identity.layer_digests(spark, ids)
         reports = csv_files.inspect_inputs(spark, input_folder, multi_line)
-        sources = csv_files.read_inputs(spark, input_folder, run_at, multi_line)
+        sources = _kept_inputs(store, csv_files.read_inputs(spark, input_folder, run_at, multi_line))
         prints = csv_files.fingerprints(sources)
         ordered = {row["table_name"]: row["content_sha256"] for row in prints.collect()}
         manifest["input"] = {

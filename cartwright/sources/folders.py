@@ -42,12 +42,13 @@ class Entry:
     size: int
     is_link: bool
     is_folder: bool
+    modified: int
 
 
 def _entry(spark: SparkSession, fs, path) -> Entry:
     # Without its scheme: the local file system looks for links by the plain path only.
     status = fs.getFileLinkStatus(_path(spark, path.toUri().getPath()))
-    return Entry(path.getName(), status.getLen(), status.isSymlink(), status.isDirectory())
+    return Entry(path.getName(), status.getLen(), status.isSymlink(), status.isDirectory(), status.getModificationTime())
 
 
 def entry(spark: SparkSession, path: str) -> Entry | None:

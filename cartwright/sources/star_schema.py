@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from cartwright import contract as c
 from cartwright.functions.parsing import MONEY, exprs, listed, literal, named
+from cartwright.sources import folders
 from cartwright.sources.store import LazyStore
 
 KEY = "_k"
@@ -111,6 +112,19 @@ REPAIRS: dict[str, dict[str, str]] = {
 }
 
 
+TABLES = ("nation", "customer", "part", "orders", "lineitem", "events")
+
+
+def files_state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the tables' files: equal as long as nobody rewrites them."""
+    found = []
+    for table in TABLES:
+        path = f"{folder}/{table}.parquet"
+        whole = folders.entry(spark, path)
+        found.append((table, whole, *(folders.entries(spark, path) if whole and whole.is_folder else ())))
+    return tuple(found)
+
+
 class StarSources(Mapping):
     """The six source tables, all text, keyed by logical name and planned on first use."""
 
