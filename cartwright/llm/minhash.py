@@ -323,7 +323,8 @@ def near_duplicates(
     ``component_id`` is the least key reachable over links.  Null, empty and blank texts have no
     shingles and are linked with nothing.  One row of each component is kept, that of the least key; of
     repeated keys the first row, and null keys only where a component has no other.  An empty table
-    gives an empty result.  Shingles are compared by 63-bit hashes.
+    gives an empty result.  Shingles are compared by 63-bit hashes, those of a long text all of them, in one
+    Python worker's memory.
     """
     store = store_for(docs)
     row = "near_row"

@@ -216,7 +216,8 @@ def schedule(
     """Every copy to emit: ``<key>, <source>, n_tokens, pass, block, position``.
 
     Tokens are counted by ``word_count`` unless a column is named.  A null source is a source of its own.
-    Null and empty texts have no tokens and come once, with the pass, in any block.  Repeated rows are
+    Null and empty texts have no tokens and come once, with the pass, in any block; a text longer than a block starts in
+    one and counts whole.  Repeated rows are
     rows of their own.  An empty table gives an empty result.  Equal input gives equal output.
     """
     store = store_for(docs)

@@ -196,7 +196,22 @@ SELECT doc_id, CAST(line_no AS INTEGER) AS line_no, coalesce(head[1], doc_id) AS
 FROM lines LEFT JOIN heads h USING (line)
 """
 
+# The given pages hold their article in one element of that name, with bold text and line breaks as its only inline tags.
+OP12_SQL = r"""
+WITH articles AS (
+    SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(</article>|$)', 1) AS inside FROM pages
+), plain AS (
+    SELECT page_id, url, regexp_replace(regexp_replace(inside, '</?b>', '', 'g'), '<[^>]*>', ' ', 'g') AS words FROM articles
+), decoded AS (
+    SELECT page_id, url, replace(replace(replace(replace(replace(words, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&amp;', '&'), '&amp', '&') AS words FROM plain
+), trimmed AS (
+    SELECT page_id, url, trim(regexp_replace(words, '\s+', ' ', 'g')) AS text FROM decoded
+)
+SELECT page_id, url, text, length(text) AS n_chars FROM trimmed
+"""
+
 SQL: dict[str, str] = {
+    "op12_main_text": OP12_SQL,
     "op8_line_dedup": OP8_SQL,
     "op5_url_filters": OP5_SQL,
     "op7_exact_dedup": OP7_SQL,

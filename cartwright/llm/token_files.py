@@ -98,7 +98,7 @@ def _width(encoder) -> int:
 def write(docs: DataFrame, root: str, vocabulary_path: str, end_id: int, key: str = "doc_id", text: str = "text") -> None:
     """Encode whole texts, append ``end_id`` to each, and write them in ascending key order.
 
-    Null and empty texts hold the end id alone.  Null keys come first; rows of equal keys follow each
+    Null and empty texts hold the end id alone; a text of any length is one frame.  Null keys come first; rows of equal keys follow each
     other, by text hash.  Other columns are not written.  An empty table gives empty files.
     """
     spark = ship(docs.sparkSession)

@@ -360,7 +360,12 @@ def _logistic(features: np.ndarray, labels: np.ndarray, prior_shift: float) -> t
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text") -> Model:
-    """Learn lexicon and model.  Without labelled rows of both kinds the lexicon is empty."""
+    """Learn lexicon and model.  Without labelled rows of both kinds the lexicon is empty.
+
+    The sample is bounded by TOXIC_ROWS and CLEAN_ROWS; of its terms over the statistical bars the CANDIDATES strongest are
+    looked at and LEXICON_ENTRIES taken at most, which bounds the automaton, not the texts it reads.  Null keys and
+    labels take no part, of repeated keys one row does; null texts are empty.
+    """
     store = store_for(docs)
     sample = labelled_sample(docs, labels, key, text, store)
     sizes = {row["toxic"]: row["n"] for row in sample.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -417,7 +422,7 @@ def _reader(entries: tuple[Entry, ...]) -> Reader:
 def score(docs: DataFrame, model: Model, text: str = "text", output: str = "toxicity") -> DataFrame:
     """Add ``output``, 0 to 1.
 
-    Null and empty texts have no evidence and get the score of that.  Nothing but the text is looked at;
+    Null and empty texts have no evidence and get the score of that; a text of any length is read whole.  Nothing but the text is looked at;
     rows and other columns stay as they are, and a column that has the name ``output`` is replaced.
     """
     ship(docs.sparkSession)

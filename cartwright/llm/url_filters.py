@@ -106,7 +106,7 @@ def judge(
     ``verdict`` is the rule's.  Without a rule: allow if an alias is explicitly allowed, else block if an
     alias is blocked, else allow.  Aliases are reached over links in the pages and over ``edges``
     (a, b: urls).  Null urls and urls without ``://`` have an empty host and path, no aliases, and are
-    allowed.  Null pages have no links.  Repeated rows are judged alike; an empty table gives an empty
+    allowed.  Null pages have no links; very long urls and pages are read whole.  Repeated rows are judged alike; an empty table gives an empty
     result; other columns are not read.
     """
     spark = pages.sparkSession

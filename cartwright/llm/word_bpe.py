@@ -157,7 +157,7 @@ keeps_cache("token_counts", _counter.cache_clear)
 def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", limit: int = 2048) -> DataFrame:
     """Add ``n_bytes, n_tokens, over_limit``.
 
-    Null and empty texts have 0 bytes and tokens.  Rows, repeated ones too, and other columns stay as they
+    Null and empty texts have 0 bytes and tokens; long texts are counted whole, in segments.  Rows, repeated ones too, and other columns stay as they
     are; columns that already have one of the new names are replaced.  There is no shuffle.
     """
     spark = ship(docs.sparkSession)
