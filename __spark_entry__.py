@@ -482,13 +482,19 @@ def streamed_hourly_behavior(spark: SparkSession, folder: str) -> DataFrame:
     return arrivals.hourly_stream(spark, _warehouse(spark, folder).fact_behavior, _scratch_folder(spark)).result()
 
 
+_LAYERS: dict[tuple, incremental.PartitionedLayers] = {}
+
+
 def _replaced(fact: incremental.PartitionedFact, report: Callable[[incremental.PartitionedLayers], DataFrame]) -> Query:
-    """A report over partitions that two change sets brought to their present state."""
+    """A report over partitions that two change sets brought to their present state, once per session and state of the files."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        w = _warehouse(spark, folder)
-        rows = w.fact_order if fact is incremental.ORDERS else w.fact_behavior
-        return _edge(report(arrivals.replaced_layers(spark, {fact: rows}, _scratch_folder(spark))))
+        key = (spark.sparkContext.applicationId, folder, fact.name, files_state(spark, folder))
+        if key not in _LAYERS:
+            w = _warehouse(spark, folder)
+            rows = w.fact_order if fact is incremental.ORDERS else w.fact_behavior
+            _LAYERS[key] = arrivals.replaced_layers(spark, {fact: rows}, _scratch_folder(spark))
+        return _edge(report(_LAYERS[key]))
 
     return query
 

@@ -72,8 +72,11 @@ def change_sets(rows: DataFrame, fact: incremental.PartitionedFact) -> ChangeSet
 def replaced_layers(spark: SparkSession, facts: Mapping[incremental.PartitionedFact, DataFrame], root: str) -> incremental.PartitionedLayers:
     """Partitioned layers after both change sets of each fact."""
     layers = incremental.PartitionedLayers(spark, root, incremental.MONTH)
+    given = ParquetStore(spark, f"{root}/given")
     for fact, rows in facts.items():
-        sets = change_sets(rows, fact)
+        # Both change sets are made of the same rows.
+        sets = change_sets(given.keep(fact.name, rows), fact)
         layers.apply(fact, f"{fact.name}-1", sets.first, sets.first.select(fact.key))
         layers.apply(fact, f"{fact.name}-2", sets.second, sets.second_keys)
+        given.discard()
     return layers
