@@ -41,8 +41,6 @@ CACHED_WORDS = 250_000
 PARITY_WORDS = 8
 PARITY = tuple(f"p{i}" for i in range(PARITY_WORDS))
 PIVOT_ROUNDS = 2
-# Contractions after a pivot round.  What they leave apart is only compared once more.
-CONTRACTIONS = 2
 # More unconnected pairs than this for each list entry call for another pivot round.
 PAIRS_PER_ENTRY = 4
 # Size of the table of key hashes: 1 MB.
@@ -276,7 +274,8 @@ def class_components(
         sets = store.keep(f"sets-{step}", full_sets(docs, wanted, key, text, words))
         links = links.unionByName(store.keep(f"links-{step}", verified_links(likely, sets, numerator, denominator)))
         store.remove([f"{name}-{step}" for name in ("active", "likely", "wanted", "sets")])
-        found = connected_components(links, store, f"components-{step + 1}", None if last else CONTRACTIONS)
+        # In full: what a round leaves apart would meet again pair by pair.
+        found = connected_components(links, store, f"components-{step + 1}")
         if last:
             break
     return found
