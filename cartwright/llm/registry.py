@@ -112,7 +112,7 @@ def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
 
 def op12_main_text(spark: SparkSession, folder: str) -> DataFrame:
     """Main text of all pages."""
-    return main_text.extract(table(spark, folder, "pages").select("page_id", "url", "html"))
+    return main_text.extract(table(spark, folder, "pages").select("page_id", "url", "html")).select("page_id", "url", "text", "n_chars")
 
 
 def op13_turn_trie(spark: SparkSession, folder: str) -> DataFrame:

@@ -28,7 +28,7 @@ def test_query_equals_sql(spark, database, name):
 def test_all_are_registered():
     names = entry.queries()
     assert "pipeline" in names
-    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 11))
+    assert all(any(name.startswith(f"op{n}_") for name in names) for n in range(1, 14))
     assert set(entry.oracle_sql()) <= set(names)
 
 
@@ -42,6 +42,7 @@ def test_columns_of_contracts(spark):
         "op7_exact_dedup": "doc_id bigint, keep_id bigint, group_size bigint, kept boolean, text_sha256 string",
         "op9_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
         "op10_neighbours": "query_id bigint, rank int, vec_id bigint, score double",
+        "op12_main_text": "page_id bigint, url string, text string, n_chars bigint",
     }
     for name, columns in expected.items():
         assert ", ".join(f"{c} {t}" for c, t in registry.QUERIES[name](spark, SMALL).dtypes) == columns
