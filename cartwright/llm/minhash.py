@@ -36,7 +36,7 @@ from cartwright.sources.store import ParquetStore
 
 KEPT = 32
 MISS = 1e-9
-CACHED_WORDS = 250_000
+CACHED_WORDS = 125_000
 # Words of 64 bits in a parity signature.
 PARITY_WORDS = 8
 PARITY = tuple(f"p{i}" for i in range(PARITY_WORDS))
