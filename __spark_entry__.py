@@ -7,6 +7,7 @@ from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -363,6 +364,26 @@ def typed_release_read(spark: SparkSession, folder: str) -> DataFrame:
     return _edge(rows.select("order_date", "total_orders", "paid_gmv", "completed_gmv", "paid_aov", "completed_customers"))
 
 
+def exported_customers(spark: SparkSession, folder: str) -> DataFrame:
+    """Export all customers in ordered parts, some eight at least, and read them back typed.
+
+    ``in_order`` says whether all keys of a row's part lie above those of the part before.
+    """
+    store, target = scratch_store(spark), f"{_scratch_folder(spark)}/dws_customer_summary.csv"
+    rows = store.keep("exported", _warehouse(spark, folder).customer_summary)
+    count = rows.count()
+    part_rows = max(1, min(csv_files.PART_ROWS, count // 8))
+    csv_files.write_aggregate(rows, target, ("user_id",), count, part_rows)
+    back = csv_files.read_aggregate(spark, target, rows.schema, part="part")
+    # A row per part.
+    parts = back.groupBy("part").agg(F.min("user_id").alias("low"), F.max("user_id").alias("high"))
+    before = F.lag("high").over(W.orderBy("part"))
+    judged = parts.select("part", F.coalesce(F.col("low") > before, F.lit(True)).alias("in_order"))
+    store.discard()
+    kept = ("user_id", "member_level", "total_orders", "paid_gmv", "first_order_ts", "behavior_events", "customer_segment", "in_order")
+    return _edge(back.join(judged, "part").select(*kept))
+
+
 def gated_publish(spark: SparkSession, folder: str) -> DataFrame:
     """The gate's verdict over the given tables: what would block, and was anything published?"""
     summary = quality.quality_summary(_candidate(spark, folder).health)
@@ -581,6 +602,7 @@ def core_queries() -> dict[str, Query]:
         "table_fingerprint": table_fingerprint,
         "combined_fingerprint": combined_fingerprint,
         "typed_release_read": typed_release_read,
+        "exported_customers": exported_customers,
         "gated_publish": gated_publish,
         "publication_outcome": publication_outcome,
         **{f"published_{output.removeprefix('ads_')}": _published(output) for output in c.SERVING_SORT_KEYS},

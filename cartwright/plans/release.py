@@ -110,7 +110,7 @@ def read_release(spark: SparkSession, folder: str) -> tuple[dict[str, DataFrame]
 
 
 def export(spark: SparkSession, outputs: dict[str, DataFrame], folder: str) -> dict[str, int]:
-    """Write every output as one ordered CSV and count the rows in one job."""
+    """Write every output as an ordered CSV; their rows are counted in one job."""
     counted = union_all(
         [rows.agg(F.lit(name).alias("output"), F.count(F.lit(1)).alias("n")) for name, rows in outputs.items()]
     )
@@ -119,7 +119,7 @@ def export(spark: SparkSession, outputs: dict[str, DataFrame], folder: str) -> d
     if empty:
         raise QualityGateError(f"Outputs without rows: {', '.join(empty)}")
     for name, rows in outputs.items():
-        csv_files.write_aggregate(rows, f"{folder}/{name}.csv", c.SERVING_SORT_KEYS[name])
+        csv_files.write_aggregate(rows, f"{folder}/{name}.csv", c.SERVING_SORT_KEYS[name], counts[name])
     return {name: counts[name] for name in outputs}
 
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Iterator, Mapping
 from datetime import datetime
 
 from pyspark.errors import AnalysisException
@@ -221,16 +221,41 @@ def combined_fingerprint(per_table: DataFrame) -> DataFrame:
 # --- aggregates out and in -----------------------------------------------------------------------
 
 
-def write_aggregate(rows: DataFrame, path: str, sort_keys: tuple[str, ...]) -> None:
-    """A small aggregate as one ordered CSV part with a header.
+# Rows of an export that one task sorts and writes.
+PART_ROWS = 1_000_000
 
-    The upstream stages keep their parallelism; only the finished rows move to one task.
+
+def write_aggregate(rows: DataFrame, path: str, sort_keys: tuple[str, ...], row_count: int | None = None, part_rows: int = PART_ROWS) -> None:
+    """An ordered CSV export with headers: one part up to ``part_rows`` rows, beyond it one per ``part_rows``.
+
+    Parts hold ascending ranges of the sort keys (NULL first), so their name order is the order of all rows and no
+    task sees more than its range.  Each has the header; ``export_lines`` reads them on as one file.  Rows with equal
+    keys share a part.  ``row_count`` spares counting the rows.  Without rows there is one part with the header alone.
+    CSV has no line for a NULL in a lone column; exports have more columns.
     """
-    single = rows.repartition(1)
     keys = [key for key in sort_keys if key in rows.columns]
+    count = row_count if row_count is not None else rows.count()
+    parts = max(1, -(-count // part_rows)) if keys else 1
+    placed = rows.repartition(1) if parts == 1 else rows.repartitionByRange(parts, *keys)
     if keys:
-        single = single.sortWithinPartitions(*keys)
-    single.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+        placed = placed.sortWithinPartitions(*keys)
+    placed.write.mode("errorifexists").option("header", True).option("escape", '"').csv(path)
+
+
+def export_lines(spark: SparkSession, path: str) -> Iterator[str]:
+    """The physical lines of an ordered export as of one file: parts in order, the header once.
+
+    Lines are read as they are asked for, so the driver holds a buffer, not the export.  A record with a line break
+    inside quotes spans lines; headers of exports are column names without line breaks.
+    """
+    names = [entry.name for entry in folders.entries(spark, path) if entry.name.startswith("part-")]
+    # Part numbers are padded to five digits and may have more.
+    for position, name in enumerate(sorted(names, key=lambda name: (len(name), name))):
+        lines = folders.text_lines(spark, f"{path}/{name}")
+        header = next(lines, None)
+        if position == 0 and header is not None:
+            yield header
+        yield from lines
 
 
 def read_type(dtype: T.DataType) -> str | None:
@@ -240,14 +265,19 @@ def read_type(dtype: T.DataType) -> str | None:
     return "TIMESTAMP" if isinstance(dtype, (T.DateType, T.TimestampType, T.TimestampNTZType)) else None
 
 
-def read_aggregate(spark: SparkSession, path: str, like: T.StructType) -> DataFrame:
-    """Read a published aggregate with the types of the layer it was made from; what does not parse becomes NULL."""
+def read_aggregate(spark: SparkSession, path: str, like: T.StructType, part: str | None = None) -> DataFrame:
+    """Read a published aggregate with the types of the layer it was made from; what does not parse becomes NULL.
+
+    With ``part`` a column of that name says which file a row stands in; names ascend with the order of the rows.
+    """
     types = {field.name.lower(): read_type(field.dataType) for field in like}
     rows = spark.read.option("header", True).option("escape", '"').csv(path)
     typed = {}
     for header in rows.columns:
         name, value = header.strip().lower(), f"`{header}`"
         typed[name] = parsed(value, types[name]) if types.get(name) else value
+    if part:
+        rows, typed[part] = rows.withColumn(part, F.col("_metadata.file_name")), f"`{part}`"
     return rows.selectExpr(*named(typed))
 
 

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import codecs
 import uuid
-
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 from py4j.protocol import Py4JJavaError
@@ -34,6 +35,20 @@ def read_text(spark: SparkSession, path: str) -> str:
         stream.close()
 
 
+def text_lines(spark: SparkSession, path: str, block_bytes: int = 1 << 20) -> Iterator[str]:
+    """The lines of a UTF-8 file, read block by block."""
+    stream = _file_system(spark, path).open(_path(spark, path))
+    decoder, rest = codecs.getincrementaldecoder("utf-8")(), ""
+    try:
+        while block := bytes(stream.readNBytes(block_bytes)):
+            *lines, rest = (rest + decoder.decode(block)).split("\n")
+            yield from lines
+        if rest:
+            yield rest
+    finally:
+        stream.close()
+
+
 @dataclass(frozen=True)
 class Entry:
     """What the file system says of a path, links not followed."""

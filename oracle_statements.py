@@ -845,6 +845,9 @@ def _finals() -> dict[str, str]:
         "typed_release_read": """SELECT CAST(order_date AS TIMESTAMP) AS order_date, CAST(total_orders AS DOUBLE) AS total_orders,
             CAST(paid_gmv AS DOUBLE) AS paid_gmv, CAST(completed_gmv AS DOUBLE) AS completed_gmv, CAST(paid_aov AS DOUBLE) AS paid_aov,
             CAST(completed_customers AS DOUBLE) AS completed_customers FROM m_daily""",
+        "exported_customers": """SELECT user_id, member_level, CAST(total_orders AS DOUBLE) AS total_orders, CAST(paid_gmv AS DOUBLE) AS paid_gmv,
+            CAST(first_order_ts AS TIMESTAMP) AS first_order_ts, CAST(behavior_events AS DOUBLE) AS behavior_events, customer_segment,
+            TRUE AS in_order FROM m_customer""",
         "gated_publish": """SELECT CASE WHEN status = 'pass' THEN 'published' ELSE 'withheld' END AS outcome, blocking_checks FROM summary""",
         "catalog_tables": " UNION ALL ".join(
             f"SELECT '{layer}' AS table_name, 'Grain: {GRAINS[layer]}.' AS grain, (SELECT count(*) FROM {rows}) AS table_rows"

@@ -118,6 +118,27 @@ def test_quotes_and_line_breaks(spark, folder):
     assert csv_files.read_aggregate(spark, f"{folder}/out", like).first().asDict() == {"note": 'a "q" b', "total_orders": 1.0}
 
 
+def test_large_exports_are_ordered_parts_with_one_header_in_all(spark, folder):
+    rows = spark.range(5000).selectExpr("(id * 7919) % 5000 AS n", "concat('é', id, ', \"q\"') AS note")
+    csv_files.write_aggregate(rows, f"{folder}/out", ("n", "absent"), part_rows=700)
+    parts = sorted(f for f in os.listdir(f"{folder}/out") if f.startswith("part-"))
+    assert len(parts) == 8
+    lines = list(csv_files.export_lines(spark, f"{folder}/out"))
+    assert lines[0] == "n,note" and lines.count("n,note") == 1
+    assert [int(line.split(",")[0]) for line in lines[1:]] == list(range(5000))
+    back = csv_files.read_aggregate(spark, f"{folder}/out", rows.schema, part="part")
+    assert back.count() == 5000 and back.select("part").distinct().count() == 8
+    # Equal keys stay together, NULL comes first, and what has no key or no rows is one part.
+    tied = spark.createDataFrame([(1, "x")] * 30 + [(None, "x")] * 3, "k int, note string")
+    csv_files.write_aggregate(tied, f"{folder}/tied", ("k",), part_rows=5)
+    assert list(csv_files.export_lines(spark, f"{folder}/tied")) == ["k,note"] + [",x"] * 3 + ["1,x"] * 30
+    csv_files.write_aggregate(tied, f"{folder}/keyless", (), part_rows=5)
+    csv_files.write_aggregate(tied.limit(0), f"{folder}/empty", ("k",), part_rows=5)
+    for name, lines in (("keyless", 34), ("empty", 1)):
+        assert len([f for f in os.listdir(f"{folder}/{name}") if f.startswith("part-")]) == 1
+        assert len(list(csv_files.export_lines(spark, f"{folder}/{name}"))) == lines
+
+
 def test_combined_fingerprint_in_plan_and_on_driver(spark):
     prints = csv_files.fingerprints(fixture.fixture_sources(spark, 12))
     collected = {r["table_name"]: r["content_sha256"] for r in prints.collect()}
