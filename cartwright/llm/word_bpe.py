@@ -11,6 +11,7 @@ import json
 import os
 import re
 import unicodedata
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
@@ -27,6 +28,8 @@ from cartwright.llm.byte_bpe import byte_characters
 from cartwright.llm.common import col, free_name, keeps_cache, ship, slices, use_cache, vocabulary_bytes
 
 CACHED_CHUNKS, CACHED_WORDS = 500_000, 500_000
+# The encoder keeps two tables of this many chunks.
+ENCODED_CHUNKS = 250_000
 SEGMENT_CHARS = 1 << 20
 # Cutting at these is safe: they end every pre-token and are starters in normalisation.
 _BLANKS = re.compile(r"[ \t\n\r]+")
@@ -188,7 +191,10 @@ def count_tokens(docs: DataFrame, vocabulary_path: str, text: str = "text", limi
 # --- encoding ---------------------------------------------------------------------------------
 
 
-_CLOSING = frozenset(".,;:!?")
+# Marks that form a pre-token with marks only.
+_CLOSING = ".,;:!?$&#%*)"
+# Letters that are their own lower case and normal form.
+_PLAIN = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+").fullmatch
 
 
 def _letters(chunk: str) -> bool:
@@ -220,7 +226,11 @@ class LibraryEncoder:
         if suffix:
             self._ends_word[[i for token, i in spec["model"]["vocab"].items() if token.endswith(suffix)]] = True
         self._is_mark[self._mark_id] = True
+        self._tokens_of = self._library.model.tokenize
+        self._characters = dict(enumerate(byte_characters()))
+        # When the table is full it becomes the older one, from which what is met again is taken back.
         self._chunks: dict[str, bytes] = {"": b""}
+        self._older: dict[str, bytes] = {}
 
     def _ask(self, text: str) -> np.ndarray:
         return np.array(self._library.encode(text, add_special_tokens=False).ids, dtype="<u4")
@@ -228,29 +238,51 @@ class LibraryEncoder:
     def _learn(self, chunks: set[str]) -> None:
         """Fill the table for chunks without special strings.
 
-        A chunk of letters is one pre-token, and so is a single mark after letters; other chunks are
+        A chunk of letters is one pre-token, and so are the marks after letters; other chunks are
         asked for with the special token between them.
         """
         words, odd, closed = set(), [], []
         for chunk in chunks:
             if chunk.isalpha():
                 words.add(chunk)
-            elif chunk[-1:] in _CLOSING and _letters(chunk[:-1]):
-                closed.append(chunk)
-                words.add(chunk[:-1])
-                words.add(chunk[-1])
+                continue
+            stem = chunk.rstrip(_CLOSING)
+            if len(stem) < len(chunk) and _letters(stem):
+                marks = chunk[len(stem) :]
+                closed.append((chunk, stem, marks))
+                words.add(stem)
+                words.add(marks)
             elif chunk:
                 odd.append(chunk)
+        self._learn_words(self._recalled(words.difference(self._chunks)))
         known = self._chunks
-        self._learn_words([word for word in words if word not in known])
-        for chunk in closed:
-            known[chunk] = known[chunk[:-1]] + known[chunk[-1]]
+        for chunk, stem, marks in closed:
+            known[chunk] = known[stem] + known[marks]
         for group in _groups(odd):
             self._keep(group, self._ask(f" {self._mark} ".join(group) + f" {self._mark}"), self._is_mark, 1)
 
-    def _learn_words(self, words: list[str]) -> None:
-        """One text of many pre-tokens; the last id of each ends a word."""
-        for group in _groups(words):
+    def _recalled(self, chunks: set[str]) -> set[str]:
+        """Take what the older table has into the new one; the chunks that it lacks."""
+        older = self._older
+        again = chunks.intersection(older) if older else ()
+        if not again:
+            return chunks
+        self._chunks.update(zip(again, map(older.__getitem__, again)))
+        return chunks.difference(again)
+
+    def _learn_words(self, words: set[str]) -> None:
+        """Words in plain letters go to the library's model, as nothing is left to normalise.
+
+        Others are asked for in one text of many pre-tokens; the last id of each ends a word.
+        """
+        known, tokens_of, characters, other = self._chunks, self._tokens_of, self._characters, []
+        for word in words:
+            if _PLAIN(word):
+                shown = word if word.isascii() else word.encode().decode("latin-1").translate(characters)
+                known[word] = array("I", [token.id for token in tokens_of(shown)]).tobytes()
+            else:
+                other.append(word)
+        for group in _groups(other):
             self._keep(group, self._ask(" ".join(group)), self._ends_word, 0)
 
     def _keep(self, group: list[str], ids: np.ndarray, closes: np.ndarray, left_out: int) -> None:
@@ -275,11 +307,12 @@ class LibraryEncoder:
         for text in texts:
             plain = len(text) <= SEGMENT_CHARS and not any(opening in text for opening in self._openings)
             split.append(self._split(text) if plain else None)
-        missing = set().union(*filter(None, split)).difference(self._chunks)
-        if missing and len(self._chunks) + len(missing) > CACHED_CHUNKS:
-            self._chunks = {"": b""}
-            missing = set().union(*filter(None, split))
-        self._learn(missing)
+        wanted = set().union(*filter(None, split))
+        missing = wanted.difference(self._chunks)
+        if missing and len(self._chunks) + len(missing) > ENCODED_CHUNKS:
+            self._older, self._chunks = self._chunks, {"": b""}
+            missing = wanted.difference(self._chunks)
+        self._learn(self._recalled(missing))
         look_up = self._chunks.__getitem__
         return [
             self._encode_alone(text) if chunks is None else b"".join(map(look_up, chunks)) for text, chunks in zip(texts, split)

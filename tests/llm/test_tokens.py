@@ -97,7 +97,7 @@ def test_counter_and_encoder_equal_the_library(library):
 
 
 def test_small_caches_and_segments(library, monkeypatch):
-    for name in ("CACHED_CHUNKS", "CACHED_WORDS", "SEGMENT_CHARS"):
+    for name in ("CACHED_CHUNKS", "CACHED_WORDS", "ENCODED_CHUNKS", "SEGMENT_CHARS"):
         monkeypatch.setattr(word_bpe, name, 4)
     file = open(WORDS, "rb").read()
     counter, encoder = word_bpe.TokenCounter(file), word_bpe.LibraryEncoder(file)
