@@ -15,6 +15,7 @@ from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 from heapq import heapify, heappop, heappush
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from cartwright.llm.common import col, free_name, keeps_cache, ship, slices, use
 
 CACHED_CHUNKS, CACHED_WORDS = 500_000, 500_000
 # The encoder keeps two tables of this many chunks.
-ENCODED_CHUNKS = 250_000
+ENCODED_CHUNKS = 400_000
 SEGMENT_CHARS = 1 << 20
 # Cutting at these is safe: they end every pre-token and are starters in normalisation.
 _BLANKS = re.compile(r"[ \t\n\r]+")
@@ -241,23 +242,23 @@ class LibraryEncoder:
         A chunk of letters is one pre-token, and so are the marks after letters; other chunks are
         asked for with the special token between them.
         """
-        words, odd, closed = set(), [], []
+        words, odd = set(), []
+        closed, stems, endings = [], [], []
         for chunk in chunks:
             if chunk.isalpha():
                 words.add(chunk)
                 continue
             stem = chunk.rstrip(_CLOSING)
             if len(stem) < len(chunk) and _letters(stem):
-                marks = chunk[len(stem) :]
-                closed.append((chunk, stem, marks))
-                words.add(stem)
-                words.add(marks)
+                closed.append(chunk)
+                stems.append(stem)
+                endings.append(chunk[len(stem) :])
             elif chunk:
                 odd.append(chunk)
+        words.update(stems, endings)
         self._learn_words(self._recalled(words.difference(self._chunks)))
         known = self._chunks
-        for chunk, stem, marks in closed:
-            known[chunk] = known[stem] + known[marks]
+        known.update(zip(closed, map(add, map(known.__getitem__, stems), map(known.__getitem__, endings))))
         for group in _groups(odd):
             self._keep(group, self._ask(f" {self._mark} ".join(group) + f" {self._mark}"), self._is_mark, 1)
 
