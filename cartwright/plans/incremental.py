@@ -73,6 +73,10 @@ BEHAVIORS = PartitionedFact(
 )
 
 
+def _parts_of(rows: DataFrame) -> list[str]:
+    return sorted(row[PART] for row in rows.select(PART).distinct().toLocalIterator())
+
+
 class PartitionedLayers:
     """Partitioned tables below one folder."""
 
@@ -110,20 +114,25 @@ class PartitionedLayers:
         """
         self.recover()
         staging = ParquetStore(self.spark, f"{self.root}/pending-{change}")
-        keys = staging.keep("keys", keys.select(fact.key).distinct())
-        changed = staging.keep("rows", self._parted(rows, fact.date))
-        touched = changed.select(PART)
+        parted = self._parted(rows, fact.date)
+
+        def dealt(rows: DataFrame) -> DataFrame:
+            # Splits a partition that holds a large share of the rows, and does not scatter a small one over all tasks.
+            return staging.keep(fact.name, rows.hint("rebalance", PART), partition_by=PART)
+
         if self.exists(fact.name):
+            keys, changed = staging.keep("keys", keys.select(fact.key).distinct()), staging.keep("rows", parted)
             # Two columns of the fact are read here, and whole rows below of the touched partitions only.
-            touched = touched.union(self.read(fact.name).select(fact.key, PART).join(keys, fact.key, "left_semi").select(PART))
-        parts = sorted(row[PART] for row in touched.distinct().toLocalIterator())
-        if parts:
-            whole = changed
-            if self.exists(fact.name):
+            held = self.read(fact.name).select(fact.key, PART).join(keys, fact.key, "left_semi")
+            parts = _parts_of(changed.select(PART).union(held.select(PART)))
+            if parts:
                 kept = self.read(fact.name).filter(F.col(PART).isin(parts)).join(keys, fact.key, "left_anti")
-                whole = kept.unionByName(changed)
-            # Splits a partition that holds a large share of the rows, and does not scatter a small one over all tasks.
-            whole = staging.keep(fact.name, whole.hint("rebalance", PART), partition_by=PART)
+                whole = dealt(kept.unionByName(changed))
+        else:
+            # Nothing is held yet: the rows are written once, and no key is looked up.
+            whole = dealt(parted)
+            parts = _parts_of(whole)
+        if parts:
             tables = {fact.name: whole.schema}
             for dependent in fact.dependents:
                 made = self._parted(dependent.build(whole.drop(PART)), fact.date)
@@ -148,10 +157,11 @@ class PartitionedLayers:
         folders.remove_folder(self.spark, staging)
 
     def _replace(self, name: str, rows: DataFrame, parts: list[str]) -> None:
-        writer = rows.hint("rebalance", PART).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        # The staged files are dealt by partition already, so they are written on without another shuffle.
+        writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         writer.partitionBy(PART).parquet(self._path(name))
         # Dynamic overwrite leaves alone what it has no rows for; a partition that lost all its rows goes.
-        left = {row[PART] for row in rows.select(PART).distinct().toLocalIterator()}
+        left = set(_parts_of(rows))
         for part in parts:
             if part not in left:
                 folders.remove_folder(self.spark, f"{self._path(name)}/{PART}={part}")

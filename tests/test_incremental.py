@@ -99,3 +99,30 @@ def test_sketches_merge_over_days(spark, folder):
         exact = span.select("user_id").distinct().count()
         estimate = layers.approximate_customers(first, last).first()["customers"]
         assert abs(estimate - exact) <= 4 * incremental.SKETCH_ERROR * exact
+
+
+def test_first_change_set_is_written_once_and_replacing_shuffles_nothing(spark, folder, facts, monkeypatch):
+    layers, rows, kept, plans = PartitionedLayers(spark, folder, incremental.MONTH), facts[ORDERS], [], []
+    keep, replace = incremental.ParquetStore.keep, PartitionedLayers._replace
+
+    def noted(store, name, *args, **options):
+        kept.append(name)
+        return keep(store, name, *args, **options)
+
+    def planned(self, name, rows, parts):
+        with monkeypatch.context() as patch:
+            hint = type(rows).hint
+            patch.setattr(type(rows), "hint", lambda *args: plans.append(name) or hint(*args))
+            replace(self, name, rows, parts)
+
+    monkeypatch.setattr(incremental.ParquetStore, "keep", noted)
+    monkeypatch.setattr(PartitionedLayers, "_replace", planned)
+    layers.apply(ORDERS, "one", rows, rows.select("order_id"))
+    assert kept == ["fact_order", *[d.name for d in ORDERS.dependents]] and not plans
+    assert rows_of(layers.read("fact_order").drop("part")) == rows_of(rows)
+
+
+def test_an_empty_first_change_set_leaves_nothing(spark, folder, facts):
+    layers, none = PartitionedLayers(spark, folder, incremental.MONTH), facts[ORDERS].limit(0)
+    assert layers.apply(ORDERS, "none", none, none.select("order_id")) == []
+    assert not layers.exists("fact_order") and not Path(folder, "pending-none").exists()
