@@ -212,7 +212,7 @@ def quality_checks_repeated_parents(spark: SparkSession, folder: str) -> DataFra
 def layers_by_name(spark: SparkSession, folder: str) -> DataFrame:
     """Rows of every layer, read under its published name."""
     store = scratch_store(spark)
-    candidate = release.build_candidate(spark, StarSources(spark, folder), RUN_AT, c.WIDE_IDS, store)
+    candidate = release.build_candidate(spark, StarSources(spark, folder, store=store), RUN_AT, c.WIDE_IDS, store)
     names = catalog.create_views(candidate.warehouse, candidate.health)
     counts = [spark.table(name).agg(F.lit(name).alias("layer"), F.count(F.lit(1)).alias("layer_rows")) for name in names]
     rows = store.keep("layer_counts", union_all(counts))
@@ -470,7 +470,7 @@ def catalog_tables(spark: SparkSession, folder: str) -> DataFrame:
     """Every layer saved as a table of the catalog: its grain as the catalog describes it, and its rows."""
     database = f"cartwright_{uuid.uuid4().hex}"
     store = scratch_store(spark)
-    candidate = release.build_candidate(spark, StarSources(spark, folder), RUN_AT, c.WIDE_IDS, store)
+    candidate = release.build_candidate(spark, StarSources(spark, folder, store=store), RUN_AT, c.WIDE_IDS, store)
     spark.sql(f"CREATE DATABASE {database}")
     try:
         catalog.save_tables(candidate.warehouse, candidate.health, database)
