@@ -32,7 +32,9 @@ def connected_components(edges: DataFrame, store: ParquetStore, name: str = "com
             break
 
         def ranked(node: str, step: int = step) -> Column:
-            return F.struct(F.xxhash64(F.col(node), F.lit(step)).alias("rank"), F.col(node).alias("node"))
+            # The first order is that of plain hashes: stars around nodes chosen by it fall together at once.
+            rank = F.xxhash64(F.col(node), F.lit(step)) if step else F.xxhash64(F.col(node))
+            return F.struct(rank.alias("rank"), F.col(node).alias("node"))
 
         ends = current.select("a", "b").unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = ends.groupBy("a").agg(F.min(ranked("b")).alias("other"))

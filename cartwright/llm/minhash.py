@@ -1,18 +1,19 @@
-"""Near-duplicate detection by bottom-k sketches from one hash function.
+"""Near-duplicate detection by MinHash bands and bottom-k sketches, with exact checks.
 
-A text's set is its distinct word shingles.  A sketch keeps the k least hashes of the set.
+A text's set is its distinct word shingles.
 
-1. Texts with equal sets form a class; only one sketch per class goes on.
-2. Inverted lists of the kept values generate overlaps.  Similar sets share at least ``needed`` of
-   their kept values, so a class enters only the lists of its rarest ones: a class with enough
-   values of its own enters none, however common its other passages are.
+1. Texts with equal sets form a class; only one row per class goes on.
+2. A band is a few values, each the least of the set under a hash function of its own.  Two sets at
+   the threshold agree in a whole band with a chance that so many bands miss them less often than
+   ``MISS``; sets that share single shingles only, however common these are, hardly ever do.  Classes
+   that agree in a band form a list; keys of one class alone drop out while they are counted.
 3. A list does not emit all its pairs.  Round by round its members are compared with one pivot, and
    lists whose members are all connected are done.  When pivots close no more lists, all unconnected
    pairs left meet; so no link between different components is lost.
    A pair comes out of a list only if sizes fit, and parity signatures: bit i holds the parity of the
    set's hashes that fall on i, so two signatures differ in no more bits than the sets in hashes.
-4. Pairs whose estimate from the union of both sketches is too low drop out; exact Jaccard
-   similarity over the full sets decides on the others.
+4. Pairs whose estimate from the union of both sketches, the k least hashes of each, is too low drop
+   out; exact Jaccard similarity over the full sets decides on the others.
 
 A set of fewer than k shingles is its own sketch, and ``needed`` is then exact.  For larger sets the
 chance that a pair at the threshold shares fewer than ``needed`` values is below ``MISS``.
@@ -22,7 +23,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
-from math import comb
+from math import ceil, comb, log
 
 import numpy as np
 import pyarrow as pa
@@ -36,6 +37,8 @@ from cartwright.sources.store import ParquetStore
 
 KEPT = 32
 MISS = 1e-9
+# Least values in a band: more make false meetings rarer and bands more.
+BAND_VALUES = 4
 CACHED_WORDS = 125_000
 # Words of 64 bits in a parity signature.
 PARITY_WORDS = 8
@@ -94,6 +97,41 @@ def parity_words(sets: list[np.ndarray]) -> np.ndarray:
     return packed.view("<i8").T if len(rows) else np.empty((PARITY_WORDS, 0), np.int64)
 
 
+@lru_cache(maxsize=8)
+def band_multipliers(numerator: int, denominator: int) -> np.ndarray:
+    """A row of odd multipliers per band, one hash function each; a pair at the threshold misses all bands with chance below MISS."""
+    agree = (numerator / denominator) ** BAND_VALUES
+    bands = ceil(log(MISS) / log(1 - agree)) if agree < 1 else 1
+    values = [xxhash.xxh32_intdigest(b"%d" % i) | 1 for i in range(bands * BAND_VALUES)]
+    return np.array(values, np.uint32).reshape(bands, BAND_VALUES)
+
+
+def band_keys(sets: list[np.ndarray], numerator: int, denominator: int) -> pa.ListArray:
+    """The band keys of each set; none where no other set can reach the threshold."""
+    multipliers = band_multipliers(numerator, denominator)
+    bands = len(multipliers)
+    # The nearest other set has one shingle more, or one less.
+    able = [len(s) * denominator >= (len(s) + 1) * numerator for s in sets]
+    members = [s for s, reached in zip(sets, able) if reached]
+    offsets = np.zeros(len(sets) + 1, np.int32)
+    np.cumsum(np.array(able, np.int32) * bands, out=offsets[1:])
+    keys = np.empty((len(members), bands), np.uint64)
+    if members:
+        starts = np.cumsum([0, *map(len, members[:-1])])
+        # Other shingles with the same 32 bits only add meetings.
+        values = (np.concatenate(members) >> 31).astype(np.uint32)
+        product = np.empty_like(values)
+        for band, row in enumerate(multipliers):
+            key = np.full(len(members), band + 1, np.uint64)
+            for multiplier in row:
+                np.multiply(values, multiplier, out=product)
+                key ^= np.minimum.reduceat(product, starts)
+                key *= _MULTIPLIER
+                key ^= key >> np.uint64(32)
+            keys[:, band] = key
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel().view(np.int64)))
+
+
 @lru_cache(maxsize=8)
 def needed_of_sketch(kept: int, numerator: int, denominator: int) -> int:
     """The largest c for which a pair at the threshold shares fewer than c of k values with chance below MISS."""
@@ -117,7 +155,7 @@ def needed(size: int, kept: int, numerator: int, denominator: int) -> int:
 
 
 def sketches(docs: DataFrame, key: str, text: str, words: int, kept: int, numerator: int, denominator: int, carry: str) -> DataFrame:
-    """``carry, <key>, size, needed, set_digest, sketch``; the digest of an empty set is null."""
+    """``carry, row_key, size, needed, set_digest, sketch``, parity words and ``bands``; the digest of an empty set is null."""
     ship(docs.sparkSession)
     source = docs.select(F.col(carry), col(key).alias("row_key"), col(text).cast("string").alias("row_text"))
 
@@ -138,17 +176,18 @@ def sketches(docs: DataFrame, key: str, text: str, words: int, kept: int, numera
                         pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                         pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)),
                         *(pa.array(word) for word in parity_words(sets)),
+                        band_keys(sets, numerator, denominator),
                     ],
-                    ["carry", "row_key", "size", "needed", "set_digest", "sketch", *PARITY],
+                    ["carry", "row_key", "size", "needed", "set_digest", "sketch", *PARITY, "bands"],
                 )
 
     kind = docs.schema[key].dataType.simpleString()
     schema = f"carry bigint, row_key {kind}, size bigint, needed int, set_digest binary, sketch array<bigint>"
-    return source.mapInArrow(run, schema + "".join(f", {name} bigint" for name in PARITY))
+    return source.mapInArrow(run, schema + "".join(f", {name} bigint" for name in PARITY) + ", bands array<bigint>")
 
 
 def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: int) -> DataFrame:
-    """``set_digest, shingles`` of the wanted classes (set_digest, row_key), each once.
+    """``c, shingles`` of the wanted classes (c, set_digest, row_key), each once.
 
     No text is shuffled.  A table of key hashes, of BITS bits whatever the corpus, tells whose sets are
     made; keys may be null, repeated or share a bit, so the digest of a set decides whether it is kept.
@@ -176,28 +215,18 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: in
                     yield pa.RecordBatch.from_arrays([digests, lists], ["set_digest", "shingles"])
 
     found = source.mapInArrow(run, "set_digest binary, shingles array<bigint>")
-    return found.join(wanted.select("set_digest"), "set_digest", "left_semi").dropDuplicates(["set_digest"])
+    return found.join(wanted.select("c", "set_digest"), "set_digest").dropDuplicates(["set_digest"]).select("c", "shingles")
 
 
 # --- candidates -------------------------------------------------------------------------------
 
 
-def inverted_lists(classes: DataFrame, store: ParquetStore) -> DataFrame:
-    """``value, c, size`` and parity words: each class under the rarest of its kept values.
-
-    Two similar classes share ``needed`` values, so they share one of the rarest values that are left when
-    that many less one are taken away.
-    """
-    entries = classes.select(F.col("set_digest").alias("c"), F.explode("sketch").alias("value"))
-    shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("frequency")).filter("frequency > 1")
-    # At most k rows per class.
-    common = entries.join(shared, "value").groupBy("c").agg(F.sort_array(F.collect_list(F.struct("frequency", "value"))).alias("common"))
-    # Values of its own come first in the order of rarity and fill places.
-    own = F.size("sketch") - F.size("common")
-    places = F.size("sketch") - F.col("needed") + 1 - own
-    rows = classes.select(F.col("set_digest").alias("c"), "size", "needed", "sketch", *PARITY).join(common, "c").withColumn("places", places)
-    rows = rows.filter("places > 0").select("c", "size", *PARITY, F.explode(F.slice("common", F.lit(1), F.col("places"))).alias("entry"))
-    return store.keep("lists", rows.select(F.col("entry.value").alias("value"), "c", "size", *PARITY))
+def band_lists(classes: DataFrame, store: ParquetStore) -> DataFrame:
+    """``value, c, size`` and parity words: each class under its band keys that other classes have too."""
+    entries = classes.select("c", F.explode("bands").alias("value"))
+    shared = entries.groupBy("value").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    rows = entries.join(shared.select("value"), "value", "left_semi")
+    return store.keep("lists", rows.join(classes.select("c", "size", *PARITY), "c").select("value", "c", "size", *PARITY))
 
 
 def _candidates(entries: DataFrame, others: DataFrame, numerator: int, denominator: int) -> DataFrame:
@@ -215,26 +244,28 @@ def _candidates(entries: DataFrame, others: DataFrame, numerator: int, denominat
 
 def likely_links(pairs: DataFrame, classes: DataFrame, kept: int) -> DataFrame:
     """Those pairs whose similarity, estimated from the union of both sketches, is not too low."""
+    kinds = ("set_digest", "row_key", "sketch", "size", "needed")
 
     def side(end: str) -> DataFrame:
-        return classes.select(F.col("set_digest").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in ("sketch", "size", "needed")])
+        return classes.select(F.col("c").alias(end), *[F.col(name).alias(f"{name}_{end}") for name in kinds])
 
     rows = pairs.join(side("a"), "a").join(side("b"), "b")
     union = F.slice(F.sort_array(F.array_union("sketch_a", "sketch_b")), 1, kept)
     # Of the k least values of the union, those in both sketches: k times the similarity is expected.
-    rows = rows.withColumn("hits", F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b"))))
+    hits = F.size(F.array_intersect(union, F.array_intersect("sketch_a", "sketch_b")))
     least = F.when((F.col("size_a") >= kept) & (F.col("size_b") >= kept), F.least("needed_a", "needed_b")).otherwise(1)
-    return rows.filter(F.col("hits") >= least).select("a", "b", "size_a", "size_b")
+    return rows.filter(hits >= least).select("a", "b", *[f"{name}_{end}" for end in "ab" for name in ("size", "set_digest", "row_key")])
 
 
 def verified_links(likely: DataFrame, sets: DataFrame, numerator: int, denominator: int) -> DataFrame:
     """Those pairs whose similarity over full sets reaches the threshold."""
 
     def side(end: str) -> DataFrame:
-        return sets.select(F.col("set_digest").alias(end), F.col("shingles").alias(f"shingles_{end}"))
+        return sets.select(F.col("c").alias(end), F.col("shingles").alias(f"shingles_{end}"))
 
     inter = F.size(F.array_intersect("shingles_a", "shingles_b"))
-    full = likely.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", inter.alias("common"))
+    pairs = likely.select("a", "b", "size_a", "size_b")
+    full = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "size_a", "size_b", inter.alias("common"))
     return full.filter(F.col("common") * denominator >= (F.col("size_a") + F.col("size_b") - F.col("common")) * numerator).select("a", "b")
 
 
@@ -243,42 +274,51 @@ def class_components(
 ) -> DataFrame:
     """``node, component`` of all classes that are linked with another one."""
     links = lists.select(F.col("c").alias("a"), F.col("c").alias("b")).limit(0)
-    found = connected_components(links, store, "components-0")
+    found = None
     for step in range(PIVOT_ROUNDS + 1):
-        placed = lists.join(found.select(F.col("node").alias("c"), "component"), "c", "left")
-        placed = placed.withColumn("component", F.coalesce("component", "c"))
-        open_lists = placed.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low <> high")
-        active = store.keep(f"active-{step}", placed.join(open_lists.select("value"), "value", "left_semi"))
-        parts = active.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
-        totals = parts.groupBy("value").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"))
-        left = totals.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("within")) / 2)).first()
-        entries, pairs_left = left[0] or 0, left[1] or 0
-        if not entries:
-            break
-        last = step == PIVOT_ROUNDS or pairs_left <= PAIRS_PER_ENTRY * entries
+        last = step == PIVOT_ROUNDS
+        if found is None:
+            placed = lists.withColumn("component", F.col("c"))
+        else:
+            placed = lists.join(found.select(F.col("node").alias("c"), "component"), "c", "left").withColumn("component", F.coalesce("component", "c"))
+        if step == 0 and not last:
+            active = placed
+        else:
+            parts = placed.groupBy("value", "component").agg(F.count(F.lit(1)).alias("n"))
+            totals = parts.groupBy("value").agg(
+                F.sum("n").alias("n"), F.sum(F.col("n") * F.col("n")).alias("within"),
+                F.count(F.lit(1)).alias("parts"), F.max(F.struct("n", "component"))["component"].alias("largest"),
+            )
+            totals = totals.filter("parts > 1")
+            active = store.keep(f"active-{step}", placed.join(totals.select("value", "largest"), "value"))
+            left = totals.agg(F.sum("n"), F.sum((F.col("n") * F.col("n") - F.col("within")) / 2)).first()
+            entries, pairs_left = left[0] or 0, left[1] or 0
+            if not entries:
+                break
+            last = last or pairs_left <= PAIRS_PER_ENTRY * entries
         if last:
             # A pair between components has an end outside the list's largest one; only such ends are joined.
-            largest = parts.groupBy("value").agg(F.max(F.struct("n", "component"))["component"].alias("largest"))
-            entering, others = active.join(largest, "value").filter("component <> largest").drop("largest"), active
+            entering, others = active.filter("component <> largest"), active
         else:
             # The same pivots in all lists first, which close compact groups; then other ones in every list, which
             # chain the members of loose groups.
             rank = F.xxhash64("c", "value", F.lit(step)) if step else F.xxhash64("c")
-            order = F.struct(rank.alias("rank"), "c", "size", "component", *PARITY)
-            pivots = active.groupBy("value").agg(F.min(order).alias("pivot"))
+            pivots = active.groupBy("value").agg(F.min(F.struct(rank.alias("rank"), "c", "size", "component", *PARITY)).alias("pivot"))
             entering, others = active, pivots.select("value", "pivot.c", "pivot.size", "pivot.component", *[f"pivot.{p}" for p in PARITY])
         pairs = _candidates(entering, others, numerator, denominator)
         likely = store.keep(f"likely-{step}", likely_links(pairs, classes, kept))
-        ends = likely.select(F.col("a").alias("set_digest")).union(likely.select("b")).distinct()
-        wanted = store.keep(f"wanted-{step}", classes.join(ends, "set_digest", "left_semi").select("set_digest", "row_key"))
+        ends = [likely.select(F.col(end).alias("c"), *[F.col(f"{name}_{end}").alias(name) for name in ("set_digest", "row_key")]) for end in "ab"]
+        wanted = store.keep(f"wanted-{step}", ends[0].union(ends[1]).dropDuplicates(["c"]))
         sets = store.keep(f"sets-{step}", full_sets(docs, wanted, key, text, words))
-        links = links.unionByName(store.keep(f"links-{step}", verified_links(likely, sets, numerator, denominator)))
+        fresh = store.keep(f"links-{step}", verified_links(likely, sets, numerator, denominator))
         store.remove([f"{name}-{step}" for name in ("active", "likely", "wanted", "sets")])
-        # In full: what a round leaves apart would meet again pair by pair.
-        found = connected_components(links, store, f"components-{step + 1}")
+        if found is None or not fresh.isEmpty():
+            links = links.unionByName(fresh)
+            # In full: what a round leaves apart would meet again pair by pair.
+            found = connected_components(links, store, f"components-{step + 1}")
         if last:
             break
-    return found
+    return found if found is not None else links.select(F.col("a").alias("node"), F.col("b").alias("component"))
 
 
 # --- the operator -----------------------------------------------------------------------------
@@ -289,16 +329,16 @@ def judge_rows(
 ) -> DataFrame:
     """``carry, row_key, n_shingles, component_id, kept`` for every row."""
     rows = store.keep("sketches", sketches(docs, key, text, words, kept, numerator, denominator, carry))
-    nonempty = rows.filter("set_digest IS NOT NULL")
-    # One row of each class stands for it; classes of copies are folded before the shuffle.
-    first = nonempty.groupBy("set_digest").agg(F.min("carry").alias("carry"))
-    classes = store.keep("classes", nonempty.join(first, ["set_digest", "carry"], "left_semi"))
-    lists = inverted_lists(classes, store)
+    # One row of each class stands for it and names it; classes of copies are folded before the shuffle.
+    kinds = ("row_key", "size", "needed", "sketch", *PARITY, "bands")
+    first = rows.filter("set_digest IS NOT NULL").groupBy("set_digest").agg(F.min(F.struct("carry", *kinds)).alias("first"))
+    classes = store.keep("classes", first.select("set_digest", F.col("first.carry").alias("c"), *[f"first.{name}" for name in kinds]))
+    lists = band_lists(classes, store)
     found = class_components(docs, lists, classes, store, key, text, words, numerator, denominator, kept)
-    placed = rows.select("carry", "row_key", "size", "set_digest").join(
-        found.select(F.col("node").alias("set_digest"), "component"), "set_digest", "left"
-    )
-    placed = placed.select("carry", "row_key", "size", F.coalesce("component", "set_digest").alias("component"))
+    named = classes.select("set_digest", "c").join(found.withColumnRenamed("node", "c"), "c", "left")
+    named = named.select("set_digest", F.coalesce("component", "c").alias("component"))
+    placed = rows.select("carry", "row_key", "size", "set_digest").join(named, "set_digest", "left")
+    placed = placed.select("carry", "row_key", "size", "component")
     placed = store.keep("placed", placed)
     # Null keys come last; of repeated keys the first row stays.
     order = F.struct(F.col("row_key").isNull().alias("absent"), "row_key", "carry")

@@ -5,6 +5,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from awkward import AWKWARD, SCHEMA, clashing, documents
 
@@ -98,6 +99,37 @@ def test_needed_is_never_more_than_what_similar_sets_share():
             assert shared >= max(minhash.needed(len(a), 32, 80, 100), minhash.needed(len(b), 32, 80, 100)) or min(len(a), len(b)) >= 32 and shared >= 10
 
 
+def test_similar_sets_share_a_band():
+    random.seed(6)
+    sets = []
+    for n in [4, 5, 9, 30, 31, 32, 33, 60, 200, 900] * 20:
+        union = [random.getrandbits(63) for _ in range(n + n // 4)]
+        sets += [np.array(sorted(union[:n]), np.int64), np.array(sorted(union), np.int64)]
+    keys = minhash.band_keys([*sets, np.empty(0, np.int64), sets[0][:3]], 80, 100).to_pylist()
+    assert all(set(a) & set(b) for a, b in zip(keys[:-2:2], keys[1:-2:2]))
+    # No other set can be near one of three.
+    assert keys[-2:] == [[], []]
+
+
+def test_common_shingles_make_no_long_lists(spark, monkeypatch):
+    """Every shingle here is in several texts, and only the planted pairs are near."""
+    random.seed(7)
+    texts = [" ".join(f"w{random.randrange(40)}" for _ in range(90)) for _ in range(300)]
+    texts += [f"{text} end" for text in texts[:5]]
+    layers, keep = {}, minhash.ParquetStore.keep
+
+    def counting(store, name, rows, *more, **named):
+        layers[name] = keep(store, name, rows, *more, **named)
+        if name == "lists":
+            layers["entries"] = layers[name].count()
+        return layers[name]
+
+    monkeypatch.setattr(minhash.ParquetStore, "keep", counting)
+    rows = minhash.near_duplicates(spark.createDataFrame([(i, t, "s") for i, t in enumerate(texts)], SCHEMA), words=2).collect()
+    assert sorted((r["doc_id"], r["component_id"]) for r in rows if not r["kept"]) == [(300 + i, i) for i in range(5)]
+    assert layers["entries"] < 2 * len(texts)
+
+
 def brute_exact(rows):
     groups = defaultdict(list)
     for key, text, _ in rows:
