@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterator
@@ -48,6 +49,10 @@ def use_cache(owner: str) -> None:
     for other, clear in _CACHES.items():
         if other != owner:
             clear()
+    # What is free goes back to the system; a worker that is used again would hold it beside the next operator's.
+    pa.default_memory_pool().release_unused()
+    if trim := getattr(ctypes.CDLL(None), "malloc_trim", None):
+        trim(0)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -75,6 +75,14 @@ def test_encode_and_decode_rows(spark, reference):
     assert byte_bpe.encode(documents(spark).limit(0), RANKS).collect() == []
 
 
+def test_a_kept_text_is_sent_to_python_once(spark):
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    docs = spark.createDataFrame([(1, "One text"), (2, None)], "doc_id bigint, text string")
+    rows = byte_bpe.encode(docs, path, public_tokenizers.PATTERN, decoded=True)
+    assert "text_to_encode" not in rows._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["doc_id"], r["text"], bytes(r["decoded_bytes"])) for r in rows.orderBy("doc_id").collect()] == [(1, "One text", b"One text"), (2, None, b"")]
+
+
 def test_query_digests(spark, reference, tmp_path):
     from cartwright.llm.registry import QUERIES
 
