@@ -9,7 +9,7 @@ A text's set is its distinct word shingles.
    that agree in a band form a list; keys of one class alone drop out while they are counted.
 3. A list does not emit all its pairs.  Round by round its members are compared with one pivot, and
    lists whose members are all connected are done.  When pivots close no more lists, all unconnected
-   pairs left meet; so no link between different components is lost.
+   pairs left meet, each in one of the lists they share; so no link between different components is lost.
    A pair comes out of a list only if sizes fit, and parity signatures: bit i holds the parity of the
    set's hashes that fall on i, so two signatures differ in no more bits than the sets in hashes.
 4. Pairs whose estimate from the union of both sketches, the k least hashes of each, is too low drop
@@ -229,17 +229,30 @@ def band_lists(classes: DataFrame, store: ParquetStore) -> DataFrame:
     return store.keep("lists", rows.join(classes.select("c", "size", *PARITY), "c").select("value", "c", "size", *PARITY))
 
 
-def _candidates(entries: DataFrame, others: DataFrame, numerator: int, denominator: int) -> DataFrame:
-    """Distinct pairs (a, b) of different components that meet in a list and may be similar."""
-    other = others.select(
-        "value", F.col("c").alias("d"), F.col("size").alias("other_size"), F.col("component").alias("other"), *[F.col(p).alias(f"other_{p}") for p in PARITY]
-    )
+def with_lists(active: DataFrame) -> DataFrame:
+    """Add ``lists``, all keys under which a class is in ``active``: no more than there are bands."""
+    return active.join(active.groupBy("c").agg(F.collect_set("value").alias("lists")), "c")
+
+
+def _met(entries: DataFrame, others: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    """Pairs (a, b) of different components that meet in a list and may be similar.
+
+    Where both sides have ``lists``, a pair comes out of one of its lists only, that of the least key.
+    """
+    renamed = {"c": "d", "size": "other_size", "component": "other", **{p: f"other_{p}" for p in PARITY}, "lists": "other_lists"}
+    other = others.select("value", *[F.col(name).alias(new) for name, new in renamed.items() if name in others.columns])
     fit = F.least("size", "other_size") * denominator >= F.greatest("size", "other_size") * numerator
     differing = sum((F.bit_count(F.col(p).bitwiseXOR(F.col(f"other_{p}"))) for p in PARITY), F.lit(0))
     # Sets at the threshold differ in (1 - t) / (1 + t) of their joint sizes.
     close = differing * (denominator + numerator) <= (F.col("size") + F.col("other_size")) * (denominator - numerator)
-    met = entries.join(other, "value").filter((F.col("component") != F.col("other")) & fit & close)
-    return met.select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b")).distinct()
+    wanted = (F.col("component") != F.col("other")) & fit & close
+    if "lists" in entries.columns and "lists" in others.columns:
+        wanted &= F.col("value") == F.array_min(F.array_intersect("lists", "other_lists"))
+    return entries.join(other, "value").filter(wanted).select(F.least("c", "d").alias("a"), F.greatest("c", "d").alias("b"))
+
+
+def _candidates(entries: DataFrame, others: DataFrame, numerator: int, denominator: int) -> DataFrame:
+    return _met(entries, others, numerator, denominator).distinct()
 
 
 def likely_links(pairs: DataFrame, classes: DataFrame, kept: int) -> DataFrame:
@@ -297,7 +310,9 @@ def class_components(
                 break
             last = last or pairs_left <= PAIRS_PER_ENTRY * entries
         if last:
-            # A pair between components has an end outside the list's largest one; only such ends are joined.
+            # A pair between components has an end outside the list's largest one; only such ends are joined.  Near
+            # classes share many lists, and all that two of different components share are active.
+            active = store.keep("meeting", with_lists(active))
             entering, others = active.filter("component <> largest"), active
         else:
             # The same pivots in all lists first, which close compact groups; then other ones in every list, which

@@ -130,6 +130,31 @@ def test_common_shingles_make_no_long_lists(spark, monkeypatch):
     assert layers["entries"] < 2 * len(texts)
 
 
+def test_pairs_of_near_copies_meet_once(spark, monkeypatch):
+    """Loose copies of one text share many lists; each pair comes out of one of them, from either end, and no link is lost."""
+    random.seed(8)
+    base = [f"w{i}" for i in range(160)]
+    corpus = []
+    for i in range(60):
+        words = list(base)
+        for at in random.sample(range(len(words)), random.choice([3, 4, 5])):
+            words[at] = f"x{random.getrandbits(40)}"
+        corpus.append((i, " ".join(words), "s"))
+    made = []
+    met = minhash._met
+
+    def counting(*sides):
+        made.append((met(*sides).count(), met(*sides).distinct().count()))
+        return met(*sides)
+
+    monkeypatch.setattr(minhash, "_met", counting)
+    monkeypatch.setattr(minhash, "PIVOT_ROUNDS", 0)
+    found = minhash.near_duplicates(spark.createDataFrame(corpus, SCHEMA), words=2).collect()
+    assert sorted((r[0], r[1], r[2]) for r in found) == sorted(brute_components(corpus, 2))
+    rows, pairs = made[-1]
+    assert 60 < pairs <= rows <= 2 * pairs
+
+
 def brute_exact(rows):
     groups = defaultdict(list)
     for key, text, _ in rows:
