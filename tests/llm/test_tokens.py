@@ -104,6 +104,17 @@ def test_counter_and_encoder_equal_the_library(library):
         assert encoder.encode(text) == packed(ids), text
 
 
+def test_words_and_the_marks_after_them_are_learned_apart(library):
+    """One entry for a word, whatever marks follow it; runs of marks, contractions and figures are read as the library reads them."""
+    encoder = word_bpe.LibraryEncoder(open(WORDS, "rb").read())
+    words = [f"{a}{b}{c}" for a in ("tha", "ó", "Über") for b in ("nd", "ñe", "ss") for c in ("ly", "É", "r")]
+    text = " ".join(f"{word}{mark}" for word in words for mark in ("", ",", ".", "?!", ").", ";\n"))
+    assert encoder.encode(text) == packed(library.encode(text, add_special_tokens=False).ids)
+    assert len(encoder._chunks) <= len(words) + 10
+    for odd in ("it's. we'll, a.b.c 3.5, x1. e%20f d*)( $a$ ª. µ, ß!ß ÿ.\u00a0, ×, n.\xad.", "o'clock.'s, 'd.'d ..a.. \u0085a,\u0085", "a,\tb.\r\nc;\x0bd:\x0c"):
+        assert encoder.encode(odd) == packed(library.encode(odd, add_special_tokens=False).ids), odd
+
+
 def test_small_caches_and_segments(library, monkeypatch):
     for name in ("CACHED_CHUNKS", "CACHED_WORDS", "ENCODED_CHUNKS", "SEGMENT_CHARS"):
         monkeypatch.setattr(word_bpe, name, 4)
