@@ -20,13 +20,15 @@ import sentencepiece
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from cartwright.llm.common import col, free_name, keeps_cache, ship, slices, use_cache, vocabulary_bytes
+from cartwright.llm.common import bound_batches, col, free_name, keeps_cache, ship, slices, use_cache, vocabulary_bytes
 
 # Matches of this pattern never hold white space after other text, so a text may be cut there.
 CUT_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 SEGMENT_CHARS = 1 << 20
 # Words that are kept; of the chunks made of them half as many, as words spare the most work.
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 120_000
+# Bytes of text that are encoded at a time; ids and decoded bytes of a slice leave before the next one.
+SLICE_BYTES = 1 << 20
 
 _UNEVEN_BLANKS = regex.compile(r"\s (?:\s|\Z)")
 _SAFE_CUT = re.compile(r"(?<=\S)[ \n]")
@@ -190,10 +192,11 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = CUT_PATTERN, text: s
 
     A null or empty text has no ids.  Rows, order of columns, repeated rows and rows with a null key stay
     as they are, an empty table gives an empty one, and columns that already have one of the new names
-    are replaced.  There is no shuffle, and a long text is cut at white space, so memory follows the
-    longest text.
+    are replaced.  There is no shuffle, batches are bounded in bytes and a long text is cut at white space,
+    so memory follows the longest text.
     """
     spark = ship(docs.sparkSession)
+    bound_batches(spark)
     table = spark.sparkContext.broadcast(vocabulary_bytes(ranks_path))
     added = {"token_ids": pa.binary(), "n_tokens": pa.int64()} | ({"decoded_bytes": pa.binary()} if decoded else {})
     kept = [name for name in docs.columns if name.lower() not in added]
@@ -206,7 +209,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = CUT_PATTERN, text: s
         use_cache("byte_bpe")
         codec = _codec(table.value, pattern)
         for batch in batches:
-            for part in slices(batch, work):
+            for part in slices(batch, work, SLICE_BYTES):
                 ids = codec.encode_all(_strings(part.column(work)))
                 values = [pa.array(ids, pa.binary()), pa.array([len(i) // 4 for i in ids], pa.int64())]
                 if decoded:
@@ -222,6 +225,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str = CUT_PATTERN, text: s
 def decode(tokens: DataFrame, ranks_path: str, ids: str = "token_ids", pattern: str = CUT_PATTERN) -> DataFrame:
     """Add ``decoded_bytes`` to rows with encoded ids; null ids give null."""
     spark = ship(tokens.sparkSession)
+    bound_batches(spark)
     table = spark.sparkContext.broadcast(vocabulary_bytes(ranks_path))
     kept = [name for name in tokens.columns if name.lower() != "decoded_bytes"]
 
@@ -229,7 +233,7 @@ def decode(tokens: DataFrame, ranks_path: str, ids: str = "token_ids", pattern:
         use_cache("byte_bpe")
         codec = _codec(table.value, pattern)
         for batch in batches:
-            for part in slices(batch, ids):
+            for part in slices(batch, ids, SLICE_BYTES):
                 values = [None if i is None else codec.decode(i) for i in part.column(ids).to_pylist()]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(values, pa.binary())], [*kept, "decoded_bytes"])
 

@@ -36,6 +36,18 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+# Rows go to Python in batches of so many bytes, and not of 10,000 rows whatever their texts measure: the JVM's
+# buffer for a batch doubles as it grows, and a worker holds the whole batch while it works on slices of it.
+BATCH_BYTES = "8m"
+_BATCH_BYTES_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of Arrow batches from here on in this session, unless its user has set a bound."""
+    if spark.conf.get(_BATCH_BYTES_SETTING, None) is None:
+        spark.conf.set(_BATCH_BYTES_SETTING, BATCH_BYTES)
+
+
 _CACHES: dict[str, Callable[[], object]] = {}
 
 

@@ -83,6 +83,26 @@ def test_a_kept_text_is_sent_to_python_once(spark):
     assert [(r["doc_id"], r["text"], bytes(r["decoded_bytes"])) for r in rows.orderBy("doc_id").collect()] == [(1, "One text", b"One text"), (2, None, b"")]
 
 
+def test_batches_of_long_texts_are_bounded_in_bytes(spark):
+    def measured(batches):
+        import pyarrow as pa
+
+        return (pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], ["n"]) for batch in batches)
+
+    setting = "spark.sql.execution.arrow.maxBytesPerBatch"
+    spark.conf.unset(setting)
+    docs = spark.range(64, numPartitions=1).selectExpr("id AS doc_id", "concat(repeat('word ', 100000), id) AS text")
+    try:
+        assert byte_bpe.encode(docs, RANKS).selectExpr("count(*)", "min(n_tokens) > 100000").first()[:] == (64, True)
+        sizes = [r["n"] for r in docs.mapInArrow(measured, "n bigint").collect()]
+        assert len(sizes) > 1 and max(sizes) < 10_000_000
+        spark.conf.set(setting, "1m")
+        byte_bpe.encode(docs, RANKS)
+        assert spark.conf.get(setting) == "1m"
+    finally:
+        spark.conf.unset(setting)
+
+
 def test_query_digests(spark, reference, tmp_path):
     from cartwright.llm.registry import QUERIES
 
