@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartwright.llm.common import col, free_name, keeps_cache, ship, slices, store_for, use_cache
+from cartwright.llm.common import bound_batches, col, free_name, keeps_cache, ship, slices, store_for, use_cache
 from cartwright.llm.components import connected_components
 from cartwright.sources.store import ParquetStore
 
@@ -44,8 +44,9 @@ CACHED_WORDS = 125_000
 PARITY_WORDS = 8
 PARITY = tuple(f"p{i}" for i in range(PARITY_WORDS))
 PIVOT_ROUNDS = 2
-# More unconnected pairs than this for each list entry call for another pivot round.
-PAIRS_PER_ENTRY = 4
+# More unconnected pairs than this for each list entry call for another pivot round.  So many comparisons of sizes and
+# signatures take less than a round does, and remain in proportion to the entries.
+PAIRS_PER_ENTRY = 128
 # Size of the table of key hashes: 1 MB.
 BITS = 1 << 23
 
@@ -156,7 +157,7 @@ def needed(size: int, kept: int, numerator: int, denominator: int) -> int:
 
 def sketches(docs: DataFrame, key: str, text: str, words: int, kept: int, numerator: int, denominator: int, carry: str) -> DataFrame:
     """``carry, row_key, size, needed, set_digest, sketch``, parity words and ``bands``; the digest of an empty set is null."""
-    ship(docs.sparkSession)
+    bound_batches(ship(docs.sparkSession))
     source = docs.select(F.col(carry), col(key).alias("row_key"), col(text).cast("string").alias("row_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,7 +193,7 @@ def full_sets(docs: DataFrame, wanted: DataFrame, key: str, text: str, words: in
     No text is shuffled.  A table of key hashes, of BITS bits whatever the corpus, tells whose sets are
     made; keys may be null, repeated or share a bit, so the digest of a set decides whether it is kept.
     """
-    ship(docs.sparkSession)
+    bound_batches(ship(docs.sparkSession))
     place = F.pmod(F.xxhash64("hashed_key"), F.lit(BITS))
     word, bit = F.floor(place / 64), F.pmod(place, F.lit(64)).cast("int")
     marked = wanted.select(F.col("row_key").alias("hashed_key")).withColumn("word", word).withColumn("bit", bit)

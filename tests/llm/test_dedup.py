@@ -155,6 +155,29 @@ def test_pairs_of_near_copies_meet_once(spark, monkeypatch):
     assert 60 < pairs <= rows <= 2 * pairs
 
 
+def test_lists_of_a_loose_group_are_read_for_one_round(spark, monkeypatch):
+    """Texts with one long passage in common share lists without links; few comparisons an entry need no more pivots."""
+    random.seed(9)
+    passage = [f"w{i}" for i in range(60)]
+    corpus = [(i, " ".join([*passage, *(f"x{i}y{j}" for j in range(20))]), "s") for i in range(80)]
+    corpus += [(100 + i, f"{text} end", "s") for i, text, _ in corpus[:6]]
+    layers, keep = {}, minhash.ParquetStore.keep
+
+    def counting(store, name, rows, *more, **named):
+        layers[name] = keep(store, name, rows, *more, **named)
+        if name.startswith("active"):
+            layers[name] = layers[name].localCheckpoint()
+        return layers[name]
+
+    monkeypatch.setattr(minhash.ParquetStore, "keep", counting)
+    found = minhash.near_duplicates(spark.createDataFrame(corpus, SCHEMA), words=2).collect()
+    assert sorted((r[0], r[1], r[2]) for r in found) == sorted(brute_components(corpus, 2))
+    active = {name for name in layers if name.startswith("active")}
+    assert active == {"active-1"}
+    # One row for each entry of a list, at most one per class and band: in proportion to the texts.
+    assert layers["active-1"].count() <= len(corpus) * len(minhash.band_multipliers(80, 100))
+
+
 def brute_exact(rows):
     groups = defaultdict(list)
     for key, text, _ in rows:
