@@ -6,6 +6,7 @@ from datetime import datetime
 
 import pytest
 
+import __spark_entry__ as entry
 from cartwright import contract as c
 from cartwright.plans import arrivals, quality, release
 from cartwright.plans.warehouse import Warehouse
@@ -88,3 +89,16 @@ def test_measured_row_reads_no_layer_again(built):
 def test_give_back_leaves_the_session_as_it_is(spark):
     assert isinstance(give_back(spark), bool)
     assert spark.range(3).count() == 3
+
+
+def test_republished_outputs_are_compared_one_after_the_other(spark, monkeypatch):
+    changed, *equal = c.SERVING_SORT_KEYS
+    rows = {output: spark.range(7, 10).selectExpr("id", "IF(id = 8, NULL, 'a') AS text") for output in (changed, *equal)}
+    releases = iter([rows, rows | {changed: spark.range(8, 11).selectExpr("id", "IF(id = 8, NULL, 'a') AS text")}])
+    monkeypatch.setattr(entry, "_publication", lambda *_, **__: "root")
+    monkeypatch.setattr(entry, "_release", lambda *_: None)
+    monkeypatch.setattr(entry.release, "current_release", lambda *_: "folder")
+    monkeypatch.setattr(entry.release, "read_release", lambda *_: (next(releases), []))
+    found = entry.republished_outputs(spark, "")
+    assert "Range (7" not in found._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(row) for row in found.collect()] == [(changed, 3, 2), *[(output, 3, 0) for output in equal]]
